@@ -96,10 +96,10 @@ def resolve_names(df: DataFrame, name: str, conversions: DataFrame, missing: Dat
     )
 
 
-def keep_unhandled(df: DataFrame, name: str, *lists: DataFrame) -> DataFrame:
-    """The name column resolved in place; a name in no list stays as it is."""
-    resolved = resolve_names(df, name, *lists)
-    return resolved.withColumn(name, F.coalesce("clean", name)).select(*df.columns)
+def keep_unhandled(df: DataFrame, name: str, conversions: DataFrame) -> DataFrame:
+    """The name column resolved in place. Only a converted name changes: known, missing and unhandled ones stay."""
+    mapped = map_values(df, name, conversions, into="_clean")
+    return mapped.withColumn(name, F.coalesce("_clean", name)).select(*df.columns)
 
 
 def name_status(df: DataFrame, name: str, conversions: DataFrame, missing: DataFrame, known: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.functions.scalars import is_number
-from feedkit.operators.ordering import CHUNK_WIDTH, rank_in_group
+from feedkit.operators.ordering import rank_in_group
 
 PART_SIZE = 10_000
 
@@ -56,13 +56,13 @@ def _pieces(ranked: DataFrame, keys: Sequence[str], element: Column, open_: Colu
     )
 
 
-def _ranked(df: DataFrame, keys: Sequence[str], order: str, first_of: dict[str, str], width: int) -> DataFrame:
+def _ranked(df: DataFrame, keys: Sequence[str], order: str, first_of: dict[str, str], width: int | None) -> DataFrame:
     return rank_in_group(df, keys, order, "_rank", "_size", first_of, width)
 
 
 def list_literal(
     df: DataFrame, keys: Sequence[str], order: str, value: str, plain: bool = False, part_size: int = PART_SIZE,
-    width: int = CHUNK_WIDTH,
+    width: int | None = None,
 ) -> DataFrame:
     """``[a, b]`` per group; the group's first value decides whether values are quoted."""
     ranked = _ranked(df.select(*keys, order, value), keys, order, {"_v": value}, width)
@@ -71,7 +71,7 @@ def list_literal(
 
 def dict_literal(
     df: DataFrame, keys: Sequence[str], order: str, key: str, value: str, plain_keys: bool = False,
-    plain_values: bool = False, part_size: int = PART_SIZE, width: int = CHUNK_WIDTH,
+    plain_values: bool = False, part_size: int = PART_SIZE, width: int | None = None,
 ) -> DataFrame:
     """``{k:v, …}`` per group."""
     columns = [*keys, order, *[c for c in dict.fromkeys((key, value)) if c not in (*keys, order)]]
@@ -84,7 +84,7 @@ def dict_literal(
 
 def columns_literal(
     df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str], part_size: int = PART_SIZE,
-    width: int = CHUNK_WIDTH,
+    width: int | None = None,
 ) -> DataFrame:
     """``{'col':[…], …}`` per group. Pieces are ordered by ``col_no`` and ``part``."""
     cells = F.array(
@@ -108,7 +108,7 @@ def columns_literal(
 
 def matrix_literal(
     df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str], plain: bool = False,
-    part_size: int = PART_SIZE, width: int = CHUNK_WIDTH,
+    part_size: int = PART_SIZE, width: int | None = None,
 ) -> DataFrame:
     """``[[…], […]]`` per group, one inner list per row; the first cell of a row decides on its quotes."""
     cells = [_text(F.col(c), F.col(columns[0]), plain) for c in columns]
@@ -119,7 +119,7 @@ def matrix_literal(
 
 
 def id_lists(
-    df: DataFrame, keys: Sequence[str], id_: str, part_size: int = PART_SIZE, width: int = CHUNK_WIDTH
+    df: DataFrame, keys: Sequence[str], id_: str, part_size: int = PART_SIZE, width: int | None = None
 ) -> DataFrame:
     """Ascending ids of each group as arrays ``ids``, in pieces of up to ``part_size`` ids."""
     ranked = rank_in_group(df.select(*keys, id_), keys, id_, "_rank", width=width)

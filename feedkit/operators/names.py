@@ -58,38 +58,37 @@ def resolve_abbrevs(df: DataFrame, abbrev: str, universe: DataFrame) -> DataFram
 
 
 def _candidates(name: Column, first: Column, last: Column, suffix: Column) -> Column:
-    """Spellings to look up, as ``(prio, sub, cand)``, in the order in which they are tried.
+    """Spellings to look up, as ``(prio, sub, cand)``, in the order in which they are tried; null where not tried.
 
     Initials and a suffix settle the matter: if their own spelling is unknown nothing else is tried.
     """
 
-    def entry(prio: int, cand: Column, sub: Column | int = 0) -> Column:
-        sub = F.lit(sub) if isinstance(sub, int) else sub
-        return F.struct(
-            F.lit(prio).alias("prio"), sub.cast("long").alias("sub"), cand.alias("cand")
-        )
-
     def join(f: Column, rest: Column) -> Column:
         return F.concat(f, F.lit(" "), rest)
 
     def bare(c: Column) -> Column:
         return F.replace(c, F.lit("'"), F.lit(""))
 
-    dotted = F.concat(F.substring(first, 1, 1), F.lit("."), F.substring(first, 2, 1), F.lit("."))
-    hyphen_parts = F.transform(F.split(last, "-"), lambda part, i: entry(6, join(first, part), i))
-    loose = F.concat(
-        F.when(first.contains("'"), F.array(entry(4, join(bare(first), last)))).otherwise(F.array()),
-        F.when(last.contains("'"), F.array(entry(5, join(first, bare(last))))).otherwise(F.array()),
-        F.when(last.contains("-"), hyphen_parts).otherwise(F.array()),
-    )
-    settled = (
-        F.when(first.rlike(INITIALS_PLAIN), F.array(entry(1, join(dotted, last))))
-        .when(first.rlike(INITIALS_DOTTED), F.array(entry(2, join(F.replace(first, F.lit("."), F.lit("")), last))))
-        .when(suffix.isNotNull(), F.array(entry(3, join(first, last))))
-        .when(first.isNotNull(), loose)
-        .otherwise(F.array())
-    )
-    return F.concat(F.array(entry(0, name)), settled)
+    plain, dotted = first.rlike(INITIALS_PLAIN), first.rlike(INITIALS_DOTTED)
+    loose = ~plain & ~dotted & suffix.isNull()
+    with_dots = F.concat(F.substring(first, 1, 1), F.lit("."), F.substring(first, 2, 1), F.lit("."))
+    tried = [
+        name,
+        F.when(plain, join(with_dots, last)),
+        F.when(~plain & dotted, join(F.replace(first, F.lit("."), F.lit("")), last)),
+        F.when(~plain & ~dotted & suffix.isNotNull(), join(first, last)),
+        F.when(loose & first.contains("'"), join(bare(first), last)),
+        F.when(loose & last.contains("'"), join(first, bare(last))),
+    ]
+    # The hyphenated parts are alternatives of the same step, in their own order.
+    parts = F.when(loose & last.contains("-"), F.split(last, "-"))
+
+    def entry(prio: Column, sub: Column, cand: Column) -> Column:
+        return F.struct(prio.alias("prio"), sub.cast("long").alias("sub"), cand.alias("cand"))
+
+    single = F.transform(F.array(*tried), lambda c, i: entry(i, F.lit(0), c))
+    several = F.transform(F.coalesce(parts, F.array().cast("array<string>")), lambda c, i: entry(F.lit(6), i, join(first, c)))
+    return F.concat(single, several)
 
 
 def resolve_best_names(df: DataFrame, name: str, universe: DataFrame, nicknames: DataFrame) -> DataFrame:
@@ -103,7 +102,7 @@ def resolve_best_names(df: DataFrame, name: str, universe: DataFrame, nicknames:
     parts = name_parts(F.col(name))
     wanted = df.select(name).distinct().withColumns({f"_{k}": c for k, c in parts.items()})
     first, last, suffix = F.col("_first"), F.col("_last"), F.col("_suffix")
-    spelled = wanted.select(name, F.inline(_candidates(F.col(name), first, last, suffix)))
+    spelled = wanted.select(name, F.inline(_candidates(F.col(name), first, last, suffix))).filter("cand is not null")
     free = wanted.filter(
         first.isNotNull() & ~first.rlike(INITIALS_PLAIN) & ~first.rlike(INITIALS_DOTTED) & suffix.isNull()
     )

@@ -2,7 +2,8 @@
 
 A window over a hot group would sort that group in one task. Here a group is cut into chunks by the value of an
 integer order column. Each chunk is windowed on its own, and one small row per chunk carries the result of the
-chunks before it. A chunk holds at most ``width`` order values (twice that around zero).
+chunks before it. A chunk holds at most ``width`` order values (twice that around zero); unless given, the width is
+chosen so that a group has at most MAX_CHUNKS chunks.
 """
 
 from __future__ import annotations
@@ -13,11 +14,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-CHUNK_WIDTH = 100_000
+MIN_WIDTH = 100_000
+MAX_CHUNKS = 1_000_000
 _CHUNK = "_chunk"
 
 
-def chunk_of(order: str, width: int = CHUNK_WIDTH) -> Column:
+def chunk_width(df: DataFrame, order: str) -> int:
+    """Width of the chunks for the range that an order column spans. Reads only that column."""
+    low, high = df.agg(F.min(order), F.max(order)).first()
+    return MIN_WIDTH if low is None else max(MIN_WIDTH, (high - low) // MAX_CHUNKS + 1)
+
+
+def chunk_of(order: str, width: int) -> Column:
     """Chunk number of an integer order value; grows with it."""
     return F.expr(f"`{order}` div {width}L")
 
@@ -39,7 +47,7 @@ def rank_in_group(
     rank: str = "rank",
     size: str | None = None,
     first_of: Mapping[str, str] | None = None,
-    width: int = CHUNK_WIDTH,
+    width: int | None = None,
 ) -> DataFrame:
     """Adds the 1-based position of each row in its group, ordered by a unique integer column.
 
@@ -49,7 +57,7 @@ def rank_in_group(
     first_of = dict(first_of or {})
     for k in keys:
         df = df.filter(F.col(k).isNotNull())
-    df = df.withColumn(_CHUNK, chunk_of(order, width))
+    df = df.withColumn(_CHUNK, chunk_of(order, width or chunk_width(df, order)))
     group = [*keys, _CHUNK]
     chunks = df.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_n"), *[F.min_by(c, order).alias(f"_f_{n}") for n, c in first_of.items()]
@@ -73,10 +81,10 @@ def rank_in_group(
 
 
 def last_so_far(
-    df: DataFrame, keys: Sequence[str], order: str, value: str, name: str, width: int = CHUNK_WIDTH
+    df: DataFrame, keys: Sequence[str], order: str, value: str, name: str, width: int | None = None
 ) -> DataFrame:
     """Adds the latest non-null ``value`` at or before each row of its group."""
-    df = df.withColumn(_CHUNK, chunk_of(order, width))
+    df = df.withColumn(_CHUNK, chunk_of(order, width or chunk_width(df, order)))
     group = [*keys, _CHUNK]
     chunks = df.groupBy(*group).agg(
         F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("_last")
@@ -89,3 +97,9 @@ def last_so_far(
         .withColumn(name, F.coalesce("_inside", "_carried"))
         .drop(_CHUNK, "_inside", "_carried")
     )
+
+
+def number_rows(df: DataFrame, order: str, name: str, start: Column, width: int | None = None) -> DataFrame:
+    """Numbers all rows in the order of a unique integer column, from ``start`` + 1 on."""
+    placed = rank_in_group(df.withColumn("_all", F.lit(0)), ["_all"], order, "_rank", width=width)
+    return placed.withColumn(name, start + F.col("_rank")).drop("_all", "_rank")

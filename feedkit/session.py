@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from feedkit.errors import SharedDirUnset
 
@@ -45,7 +45,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
+def written(df: DataFrame) -> DataFrame:
+    """The rows as a parquet table in the shared folder."""
+    path = fresh_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared checkpoint folder and go on from there. Survives the loss of executors."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
