@@ -58,7 +58,7 @@ def resolve_abbrevs(df: DataFrame, abbrev: str, universe: DataFrame) -> DataFram
 
 
 def _candidates(name: Column, first: Column, last: Column, suffix: Column) -> Column:
-    """Spellings to look up, as ``(prio, sub, cand)``, in the order in which they are tried; null where not tried.
+    """Spellings to look up, as ``(prio, sub, cand, alias_of)``, in the order in which they are tried; null where not tried.
 
     Initials and a suffix settle the matter: if their own spelling is unknown nothing else is tried.
     """
@@ -83,12 +83,18 @@ def _candidates(name: Column, first: Column, last: Column, suffix: Column) -> Co
     # The hyphenated parts are alternatives of the same step, in their own order.
     parts = F.when(loose & last.contains("-"), F.split(last, "-"))
 
-    def entry(prio: Column, sub: Column, cand: Column) -> Column:
-        return F.struct(prio.alias("prio"), sub.cast("long").alias("sub"), cand.alias("cand"))
+    nothing = F.lit(None).cast("string")
+
+    def entry(prio: Column, sub: Column, cand: Column, alias_of: Column = nothing) -> Column:
+        return F.struct(
+            prio.alias("prio"), sub.cast("long").alias("sub"), cand.alias("cand"), alias_of.alias("alias_of")
+        )
 
     single = F.transform(F.array(*tried), lambda c, i: entry(i, F.lit(0), c))
     several = F.transform(F.coalesce(parts, F.array().cast("array<string>")), lambda c, i: entry(F.lit(6), i, join(first, c)))
-    return F.concat(single, several)
+    # The last name alone, to be put after each alias of the first name.
+    aliased = F.array(entry(F.lit(7), F.lit(0), F.when(loose, last), first))
+    return F.concat(single, several, aliased)
 
 
 def resolve_best_names(df: DataFrame, name: str, universe: DataFrame, nicknames: DataFrame) -> DataFrame:
@@ -100,29 +106,26 @@ def resolve_best_names(df: DataFrame, name: str, universe: DataFrame, nicknames:
     ``nickname`` and ``ord``.
     """
     parts = name_parts(F.col(name))
-    wanted = df.select(name).distinct().withColumns({f"_{k}": c for k, c in parts.items()})
+    wanted = df.select(name).filter(F.col(name).isNotNull()).distinct().withColumns({f"_{k}": c for k, c in parts.items()})
     first, last, suffix = F.col("_first"), F.col("_last"), F.col("_suffix")
-    spelled = wanted.select(name, F.inline(_candidates(F.col(name), first, last, suffix))).filter("cand is not null")
-    free = wanted.filter(
-        first.isNotNull() & ~first.rlike(INITIALS_PLAIN) & ~first.rlike(INITIALS_DOTTED) & suffix.isNull()
-    )
-    aliased = free.join(alias_rows(nicknames), first == F.col("value")).select(
-        name,
-        F.lit(7).alias("prio"),
-        F.col("ord").cast("long").alias("sub"),
-        F.concat(F.col("alias"), F.lit(" "), last).alias("cand"),
+    spelled = wanted.select(
+        name, first.isNotNull().alias("parsed"), F.inline(_candidates(F.col(name), first, last, suffix))
+    ).filter("cand is not null")
+    ready = spelled.filter("prio < 7").drop("alias_of")
+    aliased = (
+        spelled.filter("prio = 7")
+        .join(alias_rows(nicknames), F.col("alias_of") == F.col("value"))
+        .select(name, "parsed", "prio", F.col("ord").cast("long").alias("sub"), F.concat_ws(" ", "alias", "cand").alias("cand"))
     )
-    known = universe.select(F.col("name").alias("cand")).distinct()
+    known = universe.select(F.col("name").alias("cand")).distinct().withColumn("_known", F.lit(True))
+    # Every name has a row of its own spelling, so one aggregation also tells which names were not found.
+    place = F.when(F.col("_known"), F.struct("prio", "sub", "cand"))
     best = (
-        spelled.unionByName(aliased)
-        .join(known, "cand", "left_semi")
-        .groupBy(F.col(name).alias("_name"))
-        .agg(
-            F.min_by("cand", F.struct("prio", "sub", "cand")).alias("best"),
-            F.min("prio").alias("step"),
-        )
-    )
-    status = F.when(F.col("best").isNotNull(), "found").when(first.isNull(), "unparsed").otherwise("missing")
-    return wanted.join(best, F.col(name) == F.col("_name"), "left").select(
-        name, "best", "step", status.alias("status")
+        ready.unionByName(aliased)
+        .join(known, "cand", "left")
+        .groupBy(name)
+        .agg(F.min(place).alias("_best"), F.bool_or("parsed").alias("_parsed"))
     )
+    found = F.col("_best")
+    status = F.when(found.isNotNull(), "found").when(~F.col("_parsed"), "unparsed").otherwise("missing")
+    return best.select(name, found["cand"].alias("best"), found["prio"].alias("step"), status.alias("status"))
