@@ -14,6 +14,9 @@ SCORE_WEIGHTS = {"pts": 1.0, "treb": 1.2, "ast": 1.5, "blk": 3.0, "stl": 3.0, "t
 REGULATION_MINUTES = 240
 OVERTIME_MINUTES = 25
 
+# The ASCII characters that count as white space at the ends of a text.
+ASCII_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
+
 # Month spellings in calendar order. Accepted in lower case or capitalised.
 MONTHS = [
     ("jan", "january"),
@@ -109,10 +112,10 @@ def clean_html(c: Column) -> Column:
     Non-ASCII characters go after the spaces are collapsed, so ``"a é b"`` keeps two spaces.
     """
     c = F.replace(c, F.lit("&nbsp;"), F.lit(" "))
-    c = F.regexp_replace(c, "\n+", " ")
-    c = F.regexp_replace(c, " +", " ")
-    c = F.regexp_replace(c, r"[^\x00-\x7F]", "")
-    return F.regexp_replace(c, r"^[\t-\r\x1c-\x20]+|[\t-\r\x1c-\x20]+$", "")
+    # A run of newlines and spaces, but not a single space, which would be replaced by itself at every word.
+    c = F.regexp_replace(c, "\n[\n ]*| [\n ]+", " ")
+    c = F.regexp_replace(c, r"[^\x00-\x7F]+", "")
+    return F.btrim(c, F.lit(ASCII_SPACE))
 
 
 def abbrev_initial(c: Column) -> Column:

@@ -13,15 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.errors import MissingLinks
+from feedkit.session import written
 
 
 def map_values(df: DataFrame, column: str, lookup: DataFrame, into: str | None = None) -> DataFrame:
     """Values mapped through a lookup (``old_name``, ``new_name``), null where not listed."""
     into = into or column
     pairs = lookup.select(F.col("old_name").alias("_old"), F.col("new_name").alias("_new"))
-    kept = [c for c in df.columns if c != into]
-    joined = df.join(pairs, F.col(column) == F.col("_old"), "left")
-    return joined.select(*kept, F.col("_new").alias(into))
+    return df.join(pairs, F.col(column) == F.col("_old"), "left").withColumn(into, F.col("_new")).drop("_old", "_new")
 
 
 def unmapped(df: DataFrame, column: str, lookup: DataFrame) -> DataFrame:
@@ -99,7 +98,7 @@ def resolve_names(df: DataFrame, name: str, conversions: DataFrame, missing: Dat
 def keep_unhandled(df: DataFrame, name: str, conversions: DataFrame) -> DataFrame:
     """The name column resolved in place. Only a converted name changes: known, missing and unhandled ones stay."""
     mapped = map_values(df, name, conversions, into="_clean")
-    return mapped.withColumn(name, F.coalesce("_clean", name)).select(*df.columns)
+    return mapped.withColumn(name, F.coalesce("_clean", name)).drop("_clean")
 
 
 def name_status(df: DataFrame, name: str, conversions: DataFrame, missing: DataFrame, known: DataFrame) -> DataFrame:
@@ -196,7 +195,11 @@ def without_known_pairs(pairs: DataFrame, a: str, b: str, known: DataFrame) -> D
 def opposing_groups(
     groups: DataFrame, keys: Sequence[str], other: str, values: Sequence[str], prefix: str = "opp_"
 ) -> DataFrame:
-    """Per-group rows with the values of the group they face: same first key, ``other`` equal to the second key."""
+    """Per-group rows with the values of the group they face: same first key, ``other`` equal to the second key.
+
+    The groups are written once, because they are joined with themselves and are far fewer than the rows.
+    """
+    groups = written(groups)
     common, own = keys
     facing = groups.select(
         F.col(common).alias("_common"), F.col(own).alias("_own"), *[F.col(v).alias(prefix + v) for v in values]

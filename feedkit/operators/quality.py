@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.operators.joins import name_status
+from feedkit.session import written
 
 # Bounds of the game rules.
 MAX_OPEN_SPREAD = 25
@@ -112,7 +113,8 @@ def check_players(
 
     Players: id, gid, gd, team, opp, player, starter, tsid. Games: id, gd, team.
     """
-    groups = player_groups(players)
+    # Written once, because the groups meet themselves in the join below; they are far fewer than the rows.
+    groups = written(player_groups(players))
     facing = groups.select(
         F.col("gd").alias("_f_gd"), F.col("team").alias("_f_team"), F.col("_first_gid").alias("_f_gid"), F.lit(True).alias("_faced")
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,9 +42,12 @@ def rank_by_distance(df: DataFrame, name: str, reference: str, order: str) -> Da
 
 @dataclass
 class _Bracket:
-    """Open interval known to hold the value of one rank, with the number of values at or under its low end."""
+    """Open interval known to hold the values of some ranks.
 
-    rank: int
+    ``below`` values are at or under its low end and ``inside`` values in it.
+    """
+
+    ranks: list[int]
     low: float | None
     high: float | None
     below: int
@@ -63,33 +67,30 @@ def exact_quantiles(
 ) -> list[float | None]:
     """Quantiles with linear interpolation, exact at any size. Nulls and NaN are skipped.
 
-    A built-in exact percentile gathers every distinct value in one task. Here an approximate sketch gives a narrow
-    bracket around each wanted rank, exact counts confirm on which side of it the rank lies, and the search goes on
-    inside until a bracket has at most ``gather`` values. Each pass shrinks a bracket about ``accuracy / 4`` times,
-    so even 10**12 rows need three passes. Only counts and bracket ends reach the driver.
+    A built-in exact percentile gathers every distinct value in one task. Here an approximate sketch gives narrow
+    brackets around the wanted ranks, exact counts confirm on which side of an end each rank lies, and the search
+    goes on inside until a bracket has at most ``gather`` values. Each round shrinks a bracket about
+    ``accuracy / 4`` times, so even 10**12 rows need two or three. Only counts and bracket ends reach the driver.
     """
     c = F.col("_v")
-    values = df.select(F.col(column).cast("double").alias("_v")).filter(c.isNotNull() & ~F.isnan(c))
+    values = df.select(F.col(column).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     n = values.count()
     if n == 0:
         return [None] * len(probs)
     places = [(n - 1) * p for p in probs]
     ranks = sorted({r for h in places for r in (math.floor(h), math.ceil(h))})
     found: dict[int, float] = {}
-    open_brackets = [_Bracket(r, None, None, 0, n) for r in ranks]
-    while open_brackets:
-        small = [b for b in open_brackets if b.inside <= gather]
-        large = [b for b in open_brackets if b.inside > gather]
-        # Ranks that share a bracket share its list of values.
-        spans = {(b.low, b.high): b for b in small}
-        for key, first in spans.items():
-            same = [b for b in small if (b.low, b.high) == key]
-            ordered = F.sort_array(F.collect_list(c))
-            row = values.filter(first.holds(c)).agg(
-                *[F.element_at(ordered, b.rank - b.below + 1).alias(str(b.rank)) for b in same]
-            ).first()
-            found.update({b.rank: row[str(b.rank)] for b in same})
-        open_brackets = _narrow(values, c, large, accuracy, found) if large else []
+    brackets = [_Bracket(ranks, None, None, 0, n)]
+    while large := [b for b in brackets if b.inside > gather]:
+        small = [b for b in brackets if b.inside <= gather]
+        brackets = small + _narrow(values, c, large, accuracy, found)
+    if brackets:
+        picks = []
+        for b in brackets:
+            ordered = F.sort_array(F.collect_list(F.when(b.holds(c), c)))
+            picks += [F.element_at(ordered, r - b.below + 1).alias(str(r)) for r in b.ranks]
+        near = reduce(lambda x, y: x | y, [b.holds(c) for b in brackets])
+        found.update({int(r): v for r, v in values.filter(near).agg(*picks).first().asDict().items()})
     out = []
     for h in places:
         lo, hi = found[math.floor(h)], found[math.ceil(h)]
@@ -102,15 +103,28 @@ def _narrow(
 ) -> list[_Bracket]:
     """One sketch pass and one counting pass over all brackets; ranks hit on a bracket end are done."""
     slack = 2.0 / accuracy
-    sketches = []
-    for i, b in enumerate(brackets):
-        at = (b.rank - b.below) / max(b.inside - 1, 1)
-        around = [max(at - slack, 0.0), min(at + slack, 1.0)]
-        sketches.append(F.percentile_approx(F.when(b.holds(c), c), around, accuracy).alias(str(i)))
+    clusters: list[list[tuple[list[int], float, float]]] = []
+    for b in brackets:
+        own: list[tuple[list[int], float, float]] = []
+        for r in b.ranks:
+            at = (r - b.below) / max(b.inside - 1, 1)
+            if own and at - slack <= own[-1][2]:
+                own[-1] = ([*own[-1][0], r], own[-1][1], min(at + slack, 1.0))
+            else:
+                own.append(([r], max(at - slack, 0.0), min(at + slack, 1.0)))
+        clusters.append(own)
+    sketches = [
+        F.percentile_approx(F.when(b.holds(c), c), [p for _, lo, hi in own for p in (lo, hi)], accuracy).alias(str(i))
+        for i, (b, own) in enumerate(zip(brackets, clusters, strict=True))
+    ]
     ends = values.agg(*sketches).first()
+    cuts = [
+        (b, ranks, ends[i][2 * j], ends[i][2 * j + 1])
+        for i, (b, own) in enumerate(zip(brackets, clusters, strict=True))
+        for j, (ranks, _, _) in enumerate(own)
+    ]
     counts = []
-    for i, b in enumerate(brackets):
-        lo, hi = ends[str(i)]
+    for i, (b, _, lo, hi) in enumerate(cuts):
         inside = b.holds(c)
         counts += [
             F.count_if(inside & (c < lo)).alias(f"under{i}"),
@@ -119,24 +133,30 @@ def _narrow(
             F.count_if(inside & (c == hi)).alias(f"hi{i}"),
         ]
     row = values.agg(*counts).first()
-    left = []
-    for i, b in enumerate(brackets):
-        lo, hi = ends[str(i)]
-        under, at_lo, mid = row[f"under{i}"], row[f"lo{i}"], row[f"mid{i}"]
-        at_hi = row[f"hi{i}"] if hi > lo else 0
-        place = b.rank - b.below
-        if place < under:
-            left.append(_Bracket(b.rank, b.low, lo, b.below, under))
-        elif place < under + at_lo:
-            found[b.rank] = lo
-        elif place < under + at_lo + mid:
-            left.append(_Bracket(b.rank, lo, hi, b.below + under + at_lo, mid))
-        elif place < under + at_lo + mid + at_hi:
-            found[b.rank] = hi
-        else:
-            done = under + at_lo + mid + at_hi
-            left.append(_Bracket(b.rank, hi, b.high, b.below + done, b.inside - done))
-    return left
+    left: dict[tuple, _Bracket] = {}
+
+    def keep(rank: int, low: float | None, high: float | None, below: int, inside: int) -> None:
+        left.setdefault((low, high), _Bracket([], low, high, below, inside)).ranks.append(rank)
+
+    for i, (b, ranks, lo, hi) in enumerate(cuts):
+        # Number of values of the bracket before each boundary.
+        to_lo = row[f"under{i}"]
+        past_lo = to_lo + row[f"lo{i}"]
+        to_hi = past_lo + row[f"mid{i}"]
+        past_hi = to_hi + (row[f"hi{i}"] if hi > lo else 0)
+        for r in ranks:
+            place = r - b.below
+            if place < to_lo:
+                keep(r, b.low, lo, b.below, to_lo)
+            elif place < past_lo:
+                found[r] = lo
+            elif place < to_hi:
+                keep(r, lo, hi, b.below + past_lo, to_hi - past_lo)
+            elif place < past_hi:
+                found[r] = hi
+            else:
+                keep(r, hi, b.high, b.below + past_hi, b.inside - past_hi)
+    return list(left.values())
 
 
 def remove_outliers_pct(df: DataFrame, column: str, top: float = 0, bottom: float = 0, **options) -> DataFrame:

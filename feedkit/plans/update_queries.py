@@ -15,7 +15,7 @@ from feedkit.plans.stages import update_all
 from feedkit.plans.views import table, with_views
 from feedkit.sources import lookup_pairs
 from feedkit.sources.writers import append_rows
-from feedkit.session import fresh_path
+from feedkit.session import fresh_path, written
 
 SEASON = 2018
 
@@ -173,58 +173,40 @@ _CUT = dt.datetime(1998, 1, 1)
 
 def raw_team_feed(spark, sf):
     """The team rows with the headers of the team feed. Statistics that no table has are made from the row's id."""
-    games = table(spark, sf, "v_pteam").join(
-        table(spark, sf, "orders").select(
-            F.col("o_orderkey").alias("gid"), F.col("o_orderdate").alias("date"), F.col("o_custkey").alias("cust")
-        ),
-        "gid",
-    )
-    first = F.col("id") % 2 == 0
+    orders = table(spark, sf, "orders").selectExpr("o_orderkey AS gid", "o_orderdate AS date", "o_custkey AS cust")
     special = {
-        "playoff": F.when(F.col("cust") % 5 == 0, "Playoffs").otherwise("Regular Season"),
-        "gd": F.col("date"),
-        "team": F.col("team"),
-        "home": F.when(first, "Home").otherwise("Road"),
-        "mins": 240 + 25 * (F.col("gid") % 3),
-        "restdays": F.lit("3+"),
-        "ref_main": F.when(first, F.concat(F.lit("M"), F.col("cust") % 50)),
-        "ref_crew1": F.concat(F.lit("C"), F.col("id") % 70),
-        **{s: F.col(s) for s in STARTERS},
-    }
-    made = {
-        header: special.get(name, F.col("id") % (11 + i)) for i, (header, name) in enumerate(feeds.TEAM_HEADERS.items())
+        "playoff": "CASE WHEN cust % 5 = 0 THEN 'Playoffs' ELSE 'Regular Season' END",
+        "gd": "date",
+        "team": "team",
+        "home": "CASE WHEN id % 2 = 0 THEN 'Home' ELSE 'Road' END",
+        "mins": "240 + 25 * (gid % 3)",
+        "restdays": "'3+'",
+        "ref_main": "CASE WHEN id % 2 = 0 THEN concat('M', cust % 50) END",
+        "ref_crew1": "concat('C', id % 70)",
+        **{s: s for s in STARTERS},
     }
-    return games.select(
-        F.col("id").alias("line"),
-        (F.col("id") % 60 + 30).alias("FG"),
-        (F.col("id") % 90 + 60).alias("FGA"),
-        *[c.alias(header) for header, c in made.items()],
-    )
+    made = [f"{special.get(name, f'id % {11 + i}')} AS `{h}`" for i, (h, name) in enumerate(feeds.TEAM_HEADERS.items())]
+    games = table(spark, sf, "v_pteam").drop("gd").join(orders, "gid")
+    return games.selectExpr("id AS line", "id % 60 + 30 AS FG", "id % 90 + 60 AS FGA", *made)
 
 
 def raw_player_feed(spark, sf):
     """The player rows with the headers of the player feed."""
     special = {
-        "playoff": F.lit("Regular Season"),
-        "gd": F.col("gd"),
-        "player": F.col("player"),
-        "pos": F.lit("G"),
-        "team": F.col("team"),
-        "opp": F.col("opp"),
-        "home": F.when(F.col("team").endswith("-F"), "H").otherwise("R"),
-        "pts": F.col("qty"),
-        "fg3m": F.col("qty") % 3,
+        "playoff": "'Regular Season'",
+        "gd": "gd",
+        "player": "player",
+        "pos": "'G'",
+        "team": "team",
+        "opp": "opp",
+        "home": "CASE WHEN team LIKE '%-F' THEN 'H' ELSE 'R' END",
+        "pts": "qty",
+        "fg3m": "qty % 3",
     }
-    made = {
-        header: special.get(name, F.col("qty") % (11 + i))
-        for i, (header, name) in enumerate(feeds.PLAYER_HEADERS.items())
-    }
-    return table(spark, sf, "v_player").select(
-        F.col("id").alias("line"),
-        F.col("qty").alias("FG"),
-        (F.col("qty") + 4).alias("FGA"),
-        *[c.alias(header) for header, c in made.items()],
-    )
+    made = [
+        f"{special.get(name, f'qty % {11 + i}')} AS `{h}`" for i, (h, name) in enumerate(feeds.PLAYER_HEADERS.items())
+    ]
+    return table(spark, sf, "v_player").selectExpr("id AS line", "qty AS FG", "qty + 4 AS FGA", *made)
 
 
 def _player_name(key: str) -> str:
@@ -239,8 +221,8 @@ def lookups(spark, sf):
     part = table(spark, sf, "part").withColumn("old", F.expr(_player_name("p_partkey")))
     listed = part.filter(F.col("p_brand") == "Brand#1").withColumn("new", F.concat(F.lit("Sir "), F.col("old")))
     return feeds.Lookups(
-        teams=lookup_pairs(teams, "old_name", "new_name", "id"),
-        conversions=lookup_pairs(listed, "old", "new", "p_partkey"),
+        teams=written(lookup_pairs(teams, "old_name", "new_name", "id")),
+        conversions=written(lookup_pairs(listed, "old", "new", "p_partkey")),
     )
 
 
@@ -265,13 +247,13 @@ _FEED_PLAYERS = f"""fp AS (
     SELECT row_number() OVER (ORDER BY gd > TIMESTAMP '1998-01-01', id) AS id, id AS line, gd, 'T' || team AS team,
            'T' || opp AS opp, team LIKE '%-F' AS home, {_clean('player')} AS player, qty,
            strftime(gd, '%y%m%d') || '_T' || split_part(team, '-', 1) || '-F_T' || split_part(team, '-', 1) || '-O' AS gid
-    FROM v_player WHERE opp <> 'nobody')"""
+    FROM v_player)"""
 
 
 @query(
     "feed_team_rows",
     with_views(
-        f"""WITH {_SIR}, {_FEED_GAMES} SELECT line, gd, team, opp, home, gid, ref_main, ref_crew1, ref_crew2, playoff,
+        f"""WITH {_SIR}, {_FEED_GAMES} SELECT row_number() OVER (ORDER BY line) AS feed_pos, gd, team, opp, home, gid, ref_main, ref_crew1, ref_crew2, playoff,
             start1, start2, start5, CAST(2018 AS INTEGER) AS season FROM fg
             WHERE gd > TIMESTAMP '1996-01-01' AND gd <= TIMESTAMP '1998-01-01'""",
         "v_pteam",
@@ -279,26 +261,28 @@ _FEED_PLAYERS = f"""fp AS (
 )
 def _(spark, sf):
     rows, _rejects = feeds.team_rows(
-        raw_team_feed(spark, sf), lookups(spark, sf), SEASON, _at(1996, 1, 1), _at(1998, 1, 1), "line"
+        written(raw_team_feed(spark, sf)), lookups(spark, sf), SEASON, _at(1996, 1, 1), _at(1998, 1, 1), "line"
     )
-    columns = "line gd team opp home gid ref_main ref_crew1 ref_crew2 playoff start1 start2 start5 season"
+    columns = "feed_pos gd team opp home gid ref_main ref_crew1 ref_crew2 playoff start1 start2 start5 season"
     return rows.select(*columns.split())
 
 
 @query(
     "feed_player_rows",
     with_views(
-        f"""WITH {_SIR}, {_FEED_PLAYERS} SELECT line, gd, team, opp, home, gid, player, CAST(qty AS INTEGER) AS pts,
-            CAST(qty - qty % 3 AS INTEGER) AS fg2m, CAST(2018 AS INTEGER) AS season FROM fp
-            WHERE gd > TIMESTAMP '1996-01-01' AND gd <= TIMESTAMP '1998-01-01'""",
+        f"""WITH {_SIR}, {_FEED_PLAYERS} SELECT feed_pos, gd, team, opp, home, gid, player, CAST(qty AS INTEGER) AS pts,
+            CAST(qty - qty % 3 AS INTEGER) AS fg2m, CAST(2018 AS INTEGER) AS season
+            FROM (SELECT *, row_number() OVER (ORDER BY line) AS feed_pos FROM fp
+                  WHERE gd > TIMESTAMP '1996-01-01' AND gd <= TIMESTAMP '1998-01-01')
+            WHERE opp <> 'Tnobody' AND gd > TIMESTAMP '1996-01-01' AND gd <= TIMESTAMP '1998-01-01'""",
         "v_player",
     ),
 )
 def _(spark, sf):
     rows, _rejects = feeds.player_rows(
-        raw_player_feed(spark, sf), lookups(spark, sf), SEASON, _at(1996, 1, 1), _at(1998, 1, 1), "line"
+        written(raw_player_feed(spark, sf)), lookups(spark, sf), SEASON, _at(1996, 1, 1), _at(1998, 1, 1), "line"
     )
-    return rows.select("line", "gd", "team", "opp", "home", "gid", "player", "pts", "fg2m", "season")
+    return rows.select("feed_pos", "gd", "team", "opp", "home", "gid", "player", "pts", "fg2m", "season")
 
 
 @query(
@@ -319,14 +303,16 @@ def _(spark, sf):
         f"""WITH {_SIR}, {_FEED_GAMES}, {_FEED_PLAYERS}
             SELECT p.id, p.gid, p.gd, p.team, p.player, CAST(p.qty AS INTEGER) AS pts, g.id AS tsid,
                    CASE WHEN p.player IN (g.start1, g.start2, g.start3, g.start4, g.start5) THEN true END AS starter
-            FROM fp p LEFT JOIN fg g ON g.gid = p.gid AND g.team = p.team""",
+            FROM fp p LEFT JOIN fg g ON g.gid = p.gid AND g.team = p.team
+            WHERE p.opp <> 'Tnobody'""",
         "v_player",
         "v_pteam",
     ),
 )
 def _(spark, sf):
     looked_up = lookups(spark, sf)
-    raw_players, raw_games, end = raw_player_feed(spark, sf), raw_team_feed(spark, sf), _at(2100, 1, 1)
+    raw_players, raw_games = written(raw_player_feed(spark, sf)), written(raw_team_feed(spark, sf))
+    end = _at(2100, 1, 1)
 
     def new_players(mark, until=end):
         return feeds.player_rows(raw_players, looked_up, SEASON, mark, until, "line")[0]
