@@ -42,20 +42,21 @@ def audit_counts(df: DataFrame, accepted: str = "accepted") -> DataFrame:
     return df.agg(F.count_if(ok).alias("successes"), F.count_if(~ok).alias("failures"))
 
 
+def _corr(a: Column, b: Column) -> Column:
+    """Pearson correlation, null where one side does not vary (the built-in one raises there in ANSI mode)."""
+    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    return F.try_divide(F.covar_pop(a, b), spread)
+
+
 def corr_pairs(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Pearson correlation of each pair of columns over the rows where both are present, in long form.
 
     One pass computes all pairs. Only the upper triangle is produced: ``col_a`` comes before ``col_b``.
     """
     pairs = list(combinations(columns, 2))
-    # corr leaves out the rows where either side is null.
-    row = df.agg(*[F.corr(columns[a], columns[b]).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
+    row = df.agg(*[_corr(columns[a], columns[b]).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
     entries = [
-        F.struct(
-            F.lit(a).alias("col_a"),
-            F.lit(b).alias("col_b"),
-            F.when(~F.isnan(f"_{i}"), F.col(f"_{i}")).alias("corr"),
-        )
+        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"_{i}").alias("corr"))
         for i, (a, b) in enumerate(pairs)
     ]
     return row.select(F.inline(F.array(*entries)))

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.errors import MissingLinks
-from feedkit.session import written
 
 
 def map_values(df: DataFrame, column: str, lookup: DataFrame, into: str | None = None) -> DataFrame:
@@ -197,9 +196,8 @@ def opposing_groups(
 ) -> DataFrame:
     """Per-group rows with the values of the group they face: same first key, ``other`` equal to the second key.
 
-    The groups are written once, because they are joined with themselves and are far fewer than the rows.
+    The groups are computed twice, once per side of the join; write them first if that is dear.
     """
-    groups = written(groups)
     common, own = keys
     facing = groups.select(
         F.col(common).alias("_common"), F.col(own).alias("_own"), *[F.col(v).alias(prefix + v) for v in values]

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.operators.joins import name_status
-from feedkit.session import written
 
 # Bounds of the game rules.
 MAX_OPEN_SPREAD = 25
@@ -83,26 +82,26 @@ def check_games(games: DataFrame) -> DataFrame:
 def player_groups(players: DataFrame) -> DataFrame:
     """One row per (gd, team) with what the player rules need.
 
-    Rows are first reduced per player, so a team with very many rows spreads over many tasks.
+    Rows are first reduced per player, so a team with very many rows spreads over many tasks. Text columns are keys of
+    that step rather than aggregates, which lets it hash instead of sort. Once a group has one game id and one
+    opponent, as rules 3 and 4 require, its reduced rows are its different players.
     """
     keyed = players.filter(F.col("gd").isNotNull() & F.col("team").isNotNull())
-    counted = ("gid", "opp", "tsid")
-    by_player = keyed.groupBy("gd", "team", "player").agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count_if("starter").alias("_starters"),
-        F.min("id").alias("_id"),
-        F.min_by("gid", "id").alias("_first_gid"),
-        *[agg for c in counted for agg in _one_number(c)],
+    by_player = keyed.groupBy("gd", "team", "player", "gid", "opp").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if("starter").alias("_s"), *_one_number("tsid")
     )
-    merged = []
-    for c in counted:
-        merged += [F.sum(f"_n_{c}").alias(f"_n_{c}"), F.min(f"_lo_{c}").alias(f"_lo_{c}"), F.max(f"_hi_{c}").alias(f"_hi_{c}")]
+    texts = []
+    for c in ("gid", "opp"):
+        filled = F.sum(F.when(F.col(c).isNotNull(), F.col("_n")).otherwise(0))
+        texts += [filled.alias(f"_n_{c}"), F.min(c).alias(f"_lo_{c}"), F.max(c).alias(f"_hi_{c}")]
     return by_player.groupBy("gd", "team").agg(
-        F.sum("_rows").alias("_rows"),
-        F.sum("_starters").alias("_starters"),
+        F.sum("_n").alias("_rows"),
+        F.sum("_s").alias("_starters"),
         F.count(F.lit(1)).alias("_players"),
-        F.min_by("_first_gid", "_id").alias("_first_gid"),
-        *merged,
+        F.sum("_n_tsid").alias("_n_tsid"),
+        F.min("_lo_tsid").alias("_lo_tsid"),
+        F.max("_hi_tsid").alias("_hi_tsid"),
+        *texts,
     )
 
 
@@ -113,10 +112,10 @@ def check_players(
 
     Players: id, gid, gd, team, opp, player, starter, tsid. Games: id, gd, team.
     """
-    # Written once, because the groups meet themselves in the join below; they are far fewer than the rows.
-    groups = written(player_groups(players))
-    facing = groups.select(
-        F.col("gd").alias("_f_gd"), F.col("team").alias("_f_team"), F.col("_first_gid").alias("_f_gid"), F.lit(True).alias("_faced")
+    groups = player_groups(players)
+    # Of the facing group only its first game id counts: a second, lighter aggregation that reads four columns.
+    facing = players.groupBy(F.col("gd").alias("_f_gd"), F.col("team").alias("_f_team")).agg(
+        F.min_by("gid", "id").alias("_f_gid"), F.lit(True).alias("_faced")
     )
     linked = games.groupBy(F.col("id").alias("_t_id")).agg(
         F.count(F.lit(1)).alias("_t_rows"), F.min("gd").alias("_t_gd"), F.min("team").alias("_t_team")

@@ -56,8 +56,10 @@ VIEWS = {
     """,
     # Sold parts as players of an order; the line status names the side. One row per part and order.
     "v_line": """
-        SELECT l_orderkey, l_partkey, min(l_linestatus) AS status, min(l_returnflag) AS flag,
-               CAST(sum(l_quantity) AS BIGINT) AS qty, max(l_linenumber) AS line
+        SELECT l_orderkey, l_partkey, CASE WHEN min(CASE WHEN l_linestatus = 'F' THEN 0 ELSE 1 END) = 0 THEN 'F'
+                                           ELSE 'O' END AS status,
+               min(CASE WHEN l_returnflag = 'A' THEN 0 WHEN l_returnflag = 'N' THEN 1 ELSE 2 END) AS flag,
+               CAST(sum(l_quantity) AS BIGINT) AS qty
         FROM {lineitem} GROUP BY l_orderkey, l_partkey
     """,
     "v_player": """
@@ -71,7 +73,7 @@ VIEWS = {
                     ELSE concat(CAST(l.l_orderkey AS VARCHAR(20)), '-', CASE WHEN l.status = 'O' THEN 'F' ELSE 'O' END)
                END AS opp,
                concat('P', CAST(CAST(floor(l.l_partkey / 50) AS BIGINT) AS VARCHAR(20))) AS player,
-               CASE WHEN l.flag = 'R' THEN true WHEN l.flag = 'A' THEN false END AS starter,
+               CASE WHEN l.flag = 2 THEN true WHEN l.flag = 0 THEN false END AS starter,
                CASE WHEN l.l_orderkey % 13 = 0 THEN NULL
                     WHEN l.l_orderkey % 17 = 0 OR l.l_partkey % 29 = 0 THEN 2 * l.l_orderkey + 2
                     WHEN l.l_orderkey % 23 = 0 THEN -1
@@ -83,14 +85,11 @@ VIEWS = {
     """,
     "v_side": """
         SELECT l_orderkey, status,
-               min(concat('P', CAST(CAST(floor(l_partkey / 50) AS BIGINT) AS VARCHAR(20)))) AS start1,
-               max(concat('P', CAST(CAST(floor(l_partkey / 50) AS BIGINT) AS VARCHAR(20)))) AS start2,
-               min(CASE WHEN flag = 'A'
-                        THEN concat('P', CAST(CAST(floor(l_partkey / 50) AS BIGINT) AS VARCHAR(20))) END) AS start3,
-               max(CASE WHEN flag = 'A'
-                        THEN concat('P', CAST(CAST(floor(l_partkey / 50) AS BIGINT) AS VARCHAR(20))) END) AS start4,
-               min(CASE WHEN flag = 'N'
-                        THEN concat('P', CAST(CAST(floor(l_partkey / 50) AS BIGINT) AS VARCHAR(20))) END) AS start5
+               concat('P', CAST(min(CAST(floor(l_partkey / 50) AS BIGINT)) AS VARCHAR(20))) AS start1,
+               concat('P', CAST(max(CAST(floor(l_partkey / 50) AS BIGINT)) AS VARCHAR(20))) AS start2,
+               'P' || CAST(min(CASE WHEN flag = 0 THEN CAST(floor(l_partkey / 50) AS BIGINT) END) AS VARCHAR(20)) AS start3,
+               'P' || CAST(max(CASE WHEN flag = 0 THEN CAST(floor(l_partkey / 50) AS BIGINT) END) AS VARCHAR(20)) AS start4,
+               'P' || CAST(min(CASE WHEN flag = 1 THEN CAST(floor(l_partkey / 50) AS BIGINT) END) AS VARCHAR(20)) AS start5
         FROM {v_line} GROUP BY l_orderkey, status
     """,
     # The team rows the players point to: both sides of every order.
@@ -167,9 +166,9 @@ VIEWS = {
         FROM {v_words}
     """,
     "v_nicknames": """
-        SELECT w1 AS name, concat(w1, 'y') AS nickname, p_partkey AS ord FROM {v_words} WHERE w1 <> 'Hot'
-        UNION ALL SELECT w1 AS name, 'Young' AS nickname, p_partkey AS ord FROM {v_words} WHERE w1 = 'Small'
-        UNION ALL SELECT w1 AS name, 'Cold' AS nickname, p_partkey AS ord FROM {v_words} WHERE w1 = 'Old'
+        SELECT w1 AS name, CASE WHEN w1 = 'Small' AND p_size > 25 THEN 'Young' WHEN w1 = 'Old' AND p_size > 25 THEN 'Cold'
+                                ELSE concat(w1, 'y') END AS nickname, p_partkey AS ord
+        FROM {v_words} WHERE w1 <> 'Hot'
     """,
     "v_parts_nick": """
         SELECT p_brand AS name, p_type AS nickname, p_partkey AS ord FROM {part}
