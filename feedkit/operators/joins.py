@@ -2,7 +2,7 @@
 
 No side is forced into a broadcast. Spark broadcasts a side whose size, estimated from its files or measured at run
 time, is under ``spark.sql.autoBroadcastJoinThreshold``; larger sides are shuffled, and adaptive execution splits the
-partitions of hot keys. Right sides are reduced to one row per key first, so no join multiplies rows.
+partitions of hot keys (see ``skew``). Right sides are reduced to one row per key first, so no join multiplies rows.
 """
 
 from __future__ import annotations
@@ -13,19 +13,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.errors import MissingLinks
+from feedkit.operators.skew import join_keys, join_on
 
 
 def map_values(df: DataFrame, column: str, lookup: DataFrame, into: str | None = None) -> DataFrame:
     """Values mapped through a lookup (``old_name``, ``new_name``), null where not listed."""
     into = into or column
     pairs = lookup.select(F.col("old_name").alias("_old"), F.col("new_name").alias("_new"))
-    return df.join(pairs, F.col(column) == F.col("_old"), "left").withColumn(into, F.col("_new")).drop("_old", "_new")
+    return join_on(df, pairs, {column: "_old"}).withColumn(into, F.col("_new")).drop("_new")
 
 
 def unmapped(df: DataFrame, column: str, lookup: DataFrame) -> DataFrame:
     """Rows whose value the lookup does not list, with the reason."""
-    pairs = lookup.select(F.col("old_name").alias(column))
-    return df.join(pairs, column, "left_anti").withColumn(
+    return join_on(df, lookup, {column: "old_name"}, "left_anti").withColumn(
         "reason", F.concat(F.lit(f"{column} not in lookup: "), F.coalesce(F.col(column).cast("string"), F.lit("null")))
     )
 
@@ -50,10 +50,10 @@ def link_first(
     """
     parents = parent.groupBy(*keys).agg(F.min_by(parent_id, order or parent_id).alias(into))
     if strict:
-        lost = child.select(*keys).join(parents, list(keys), "left_anti").distinct().limit(10).collect()
+        lost = join_keys(child.select(*keys).distinct(), parents, keys, "left_anti").limit(10).collect()
         if lost:
             raise MissingLinks("no parent row for: " + "; ".join(str(tuple(r)) for r in lost))
-    return child.join(parents, list(keys), "left").select(*child.columns, into)
+    return join_keys(child, parents, keys)
 
 
 def groups_without_flag(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
@@ -64,7 +64,7 @@ def groups_without_flag(df: DataFrame, keys: Sequence[str], flag: str) -> DataFr
 
 def rows_without_flag(df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """Rows of the groups in which no row has the flag set."""
-    return df.join(groups_without_flag(df, keys, flag), list(keys), "left_semi")
+    return join_keys(df, groups_without_flag(df, keys, flag), keys, "left_semi")
 
 
 def listed_members(
@@ -79,7 +79,7 @@ def listed_members(
         .filter(F.col(member).isNotNull())
         .distinct()
     )
-    return df.join(named, [*keys, member], "left_semi").select(*df.columns)
+    return join_keys(df, named, [*keys, member], "left_semi")
 
 
 def resolve_names(df: DataFrame, name: str, conversions: DataFrame, missing: DataFrame, known: DataFrame) -> DataFrame:
@@ -138,7 +138,7 @@ def _with_lists(df: DataFrame, name: str, conversions: DataFrame, missing: DataF
         .groupBy("_name")
         .agg(F.max("_new").alias("_new"), F.bool_or("_missing").alias("_missing"), F.bool_or("_known").alias("_known"))
     )
-    return df.join(lists, F.col(name) == F.col("_name"), "left").withColumns(
+    return join_on(df, lists, {name: "_name"}).withColumns(
         {c: F.coalesce(c, F.lit(False)) for c in ("_missing", "_known")}
     )
 
@@ -162,8 +162,8 @@ def aliases_of(df: DataFrame, value: str, nicknames: DataFrame) -> DataFrame:
     A regular name gives its nicknames; a value that is only a nickname gives its names. Aliases stay rows, so a
     value with very many of them is never gathered in one cell.
     """
-    both = alias_rows(nicknames).withColumnRenamed("value", "_value")
-    return df.join(both.select("_value", "alias"), F.col(value) == F.col("_value"), "left").drop("_value")
+    both = alias_rows(nicknames).select(F.col("value").alias("_value"), "alias")
+    return join_on(df, both, {value: "_value"})
 
 
 def alias_rows(nicknames: DataFrame) -> DataFrame:
@@ -180,8 +180,8 @@ def alias_rows(nicknames: DataFrame) -> DataFrame:
 
 def has_alias(df: DataFrame, value: str, nicknames: DataFrame) -> DataFrame:
     """Rows whose value is a name or a nickname."""
-    listed = nicknames.select(F.explode(F.array("name", "nickname")).alias(value)).distinct()
-    return df.join(listed, value, "left_semi").select(*df.columns)
+    listed = nicknames.select(F.explode(F.array("name", "nickname")).alias("_value")).distinct()
+    return join_on(df, listed, {value: "_value"}, "left_semi")
 
 
 def without_known_pairs(pairs: DataFrame, a: str, b: str, known: DataFrame) -> DataFrame:
@@ -202,14 +202,10 @@ def opposing_groups(
     facing = groups.select(
         F.col(common).alias("_common"), F.col(own).alias("_own"), *[F.col(v).alias(prefix + v) for v in values]
     )
-    return groups.join(
-        facing, (F.col(common) == F.col("_common")) & (F.col(other) == F.col("_own")), "left"
-    ).drop("_common", "_own")
+    return join_on(groups, facing, {common: "_common", other: "_own"})
 
 
 def count_parents(child: DataFrame, link: str, parent: DataFrame, parent_id: str, into: str = "n_parents") -> DataFrame:
     """Adds how many parent rows have the id that a row points at; zero for a null link."""
     counts = parent.groupBy(F.col(parent_id).alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
-    return child.join(counts, F.col(link) == F.col("_id"), "left").select(
-        *child.columns, F.coalesce("_n", F.lit(0)).cast("long").alias(into)
-    )
+    return join_on(child, counts, {link: "_id"}).withColumn(into, F.coalesce("_n", F.lit(0)).cast("long")).drop("_n")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from feedkit.functions.scalars import abbrev_initial, abbrev_last
 from feedkit.operators.joins import alias_rows
 from feedkit.operators.similarity import nearest_names
+from feedkit.operators.skew import join_on
 
 # Patterns of a full name (first, last, optional suffix) and of initials used as a first name.
 FULL_NAME = r"^(.+?)\s([^\s,]+)(,?\s([JS]r\.?|III?|IV|V))?$"
@@ -36,11 +37,8 @@ def full_name_of_abbrev(df: DataFrame, abbrev: str, universe: DataFrame) -> Data
     """
     people = parse_names(universe, "name").groupBy(F.col("last").alias("_last"), F.substring("first", 1, 1).alias("_i"))
     first = people.agg(F.min_by("name", "ord").alias("full_name"))
-    return df.join(
-        first,
-        (abbrev_last(F.col(abbrev)) == F.col("_last")) & (abbrev_initial(F.col(abbrev)) == F.col("_i")),
-        "left",
-    ).select(*df.columns, "full_name")
+    split = df.withColumns({"_al": abbrev_last(F.col(abbrev)), "_ai": abbrev_initial(F.col(abbrev))})
+    return join_on(split, first, {"_al": "_last", "_ai": "_i"}).drop("_al", "_ai")
 
 
 def resolve_abbrevs(df: DataFrame, abbrev: str, universe: DataFrame) -> DataFrame:
@@ -117,12 +115,11 @@ def resolve_best_names(df: DataFrame, name: str, universe: DataFrame, nicknames:
         .join(alias_rows(nicknames), F.col("alias_of") == F.col("value"))
         .select(name, "parsed", "prio", F.col("ord").cast("long").alias("sub"), F.concat_ws(" ", "alias", "cand").alias("cand"))
     )
-    known = universe.select(F.col("name").alias("cand")).distinct().withColumn("_known", F.lit(True))
+    known = universe.select(F.col("name").alias("_cand")).distinct().withColumn("_known", F.lit(True))
     # Every name has a row of its own spelling, so one aggregation also tells which names were not found.
     place = F.when(F.col("_known"), F.struct("prio", "sub", "cand"))
     best = (
-        ready.unionByName(aliased)
-        .join(known, "cand", "left")
+        join_on(ready.unionByName(aliased), known, {"cand": "_cand"})
         .groupBy(name)
         .agg(F.min(place).alias("_best"), F.bool_or("parsed").alias("_parsed"))
     )

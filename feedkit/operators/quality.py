@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.operators.joins import name_status
+from feedkit.operators.skew import join_on
 
 # Bounds of the game rules.
 MAX_OPEN_SPREAD = 25
@@ -120,9 +121,8 @@ def check_players(
     linked = games.groupBy(F.col("id").alias("_t_id")).agg(
         F.count(F.lit(1)).alias("_t_rows"), F.min("gd").alias("_t_gd"), F.min("team").alias("_t_team")
     )
-    joined = groups.join(
-        facing, (F.col("gd") == F.col("_f_gd")) & (F.col("_lo_opp") == F.col("_f_team")), "left"
-    ).join(linked, F.col("_lo_tsid") == F.col("_t_id"), "left")
+    joined = join_on(groups, facing, {"gd": "_f_gd", "_lo_opp": "_f_team"})
+    joined = join_on(joined, linked, {"_lo_tsid": "_t_id"})
     info = _first_broken(
         [
             (F.col("_rows") >= min_rows, f"Row count < {min_rows}"),
