@@ -86,9 +86,10 @@ def _segment_probes(df: DataFrame, name: str, k: int) -> DataFrame:
 
 
 def _rare_grams(df: DataFrame, k: int) -> DataFrame:
-    """Rows (n, o, key): the GRAM * k + 1 grams of each string that are rarest over all strings.
+    """Rows (n, o, keys, key): the GRAM * k + 1 grams of each string that are rarest over all strings.
 
-    An edit changes at most GRAM grams, so two strings within distance k share one of these.
+    An edit changes at most GRAM grams, so two strings within distance k share one of these. ``keys`` holds all keys
+    of the string, by which a pair that shares several is taken only once.
     """
     spots = F.filter(F.sequence(F.lit(1), F.length("n")), lambda i: i <= F.length("n") - GRAM + 1)
     grams = df.withColumn("_g", F.transform(spots, lambda i: F.substr("n", i, F.lit(GRAM))))
@@ -99,9 +100,9 @@ def _rare_grams(df: DataFrame, k: int) -> DataFrame:
     keys = grams.select("n", "o", F.explode(numbered).alias("key"))
     counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("_c"))
     rarest = F.slice(F.sort_array(F.collect_list(F.struct("_c", "key"))), 1, GRAM * k + 1)
-    return (
-        keys.join(counts, "key").groupBy("n", "o").agg(rarest.alias("_r")).select("n", "o", F.inline("_r")).drop("_c")
-    )
+    chosen = keys.join(counts, "key").groupBy("n", "o").agg(rarest.alias("_r"))
+    hashes = F.transform("_r", lambda r: F.xxhash64(r["key"]))
+    return chosen.select("n", "o", hashes.alias("keys")).withColumn("key", F.explode("keys"))
 
 
 def similar_pairs(names: DataFrame, name: str, order: str, limit: int, variant_length: int = VARIANT_LENGTH) -> DataFrame:
@@ -111,15 +112,19 @@ def similar_pairs(names: DataFrame, name: str, order: str, limit: int, variant_l
     """
     k = limit - 1
     df = names.select(F.col(name).alias("n"), F.col(order).alias("o"))
+    ordered = (F.col("ord1") < F.col("ord2")) | ((F.col("ord1") == F.col("ord2")) & (F.col("name1") < F.col("name2")))
     # A pair of a short and a long string needs both under one kind of key, hence the overlap of k characters.
     short = df.filter(F.length("n") <= variant_length).select("n", "o", F.explode(_variant_keys(F.col("n"), k)).alias("key"))
     a, b = (short.select(F.col("n").alias(f"name{i}"), F.col("o").alias(f"ord{i}"), "key") for i in (1, 2))
-    by_variant = a.join(b, "key").drop("key")
+    by_variant = a.join(b, "key").filter(ordered).drop("key")
     long_ = _rare_grams(df.filter(F.length("n") > variant_length - k), k)
-    c, d = (long_.select(F.col("n").alias(f"name{i}"), F.col("o").alias(f"ord{i}"), "key") for i in (1, 2))
-    by_gram = c.join(d, "key").drop("key")
-    ordered = (F.col("ord1") < F.col("ord2")) | ((F.col("ord1") == F.col("ord2")) & (F.col("name1") < F.col("name2")))
-    found = by_variant.unionByName(by_gram).filter(ordered)
+    c, d = (
+        long_.select(F.col("n").alias(f"name{i}"), F.col("o").alias(f"ord{i}"), F.col("keys").alias(f"keys{i}"), "key")
+        for i in (1, 2)
+    )
+    once = F.col("key") == F.array_min(F.array_intersect("keys1", "keys2"))
+    by_gram = c.join(d, "key").filter(ordered & once).drop("key", "keys1", "keys2")
+    found = by_variant.unionByName(by_gram)
     return (
         found.withColumn("dist", F.levenshtein(F.col("name1"), F.col("name2"), k))
         .filter(F.col("dist").between(0, k))

@@ -221,8 +221,8 @@ def lookups(spark, sf):
     part = table(spark, sf, "part").withColumn("old", F.expr(_player_name("p_partkey")))
     listed = part.filter(F.col("p_brand") == "Brand#1").withColumn("new", F.concat(F.lit("Sir "), F.col("old")))
     return feeds.Lookups(
-        teams=written(lookup_pairs(teams, "old_name", "new_name", "id")),
-        conversions=written(lookup_pairs(listed, "old", "new", "p_partkey")),
+        teams=lookup_pairs(teams, "old_name", "new_name", "id"),
+        conversions=lookup_pairs(listed, "old", "new", "p_partkey"),
     )
 
 
@@ -261,7 +261,7 @@ _FEED_PLAYERS = f"""fp AS (
 )
 def _(spark, sf):
     rows, _rejects = feeds.team_rows(
-        written(raw_team_feed(spark, sf)), lookups(spark, sf), SEASON, _at(1996, 1, 1), _at(1998, 1, 1), "line"
+        raw_team_feed(spark, sf), lookups(spark, sf), SEASON, _at(1996, 1, 1), _at(1998, 1, 1), "line"
     )
     columns = "feed_pos gd team opp home gid ref_main ref_crew1 ref_crew2 playoff start1 start2 start5 season"
     return rows.select(*columns.split())
@@ -280,7 +280,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     rows, _rejects = feeds.player_rows(
-        written(raw_player_feed(spark, sf)), lookups(spark, sf), SEASON, _at(1996, 1, 1), _at(1998, 1, 1), "line"
+        raw_player_feed(spark, sf), lookups(spark, sf), SEASON, _at(1996, 1, 1), _at(1998, 1, 1), "line"
     )
     return rows.select("feed_pos", "gd", "team", "opp", "home", "gid", "player", "pts", "fg2m", "season")
 
@@ -310,7 +310,9 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    looked_up = lookups(spark, sf)
+    # Feeds and lookups are files and tables in a real run.
+    listed = lookups(spark, sf)
+    looked_up = feeds.Lookups(teams=written(listed.teams), conversions=written(listed.conversions))
     raw_players, raw_games = written(raw_player_feed(spark, sf)), written(raw_team_feed(spark, sf))
     end = _at(2100, 1, 1)
 
