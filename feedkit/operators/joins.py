@@ -23,6 +23,12 @@ def map_values(df: DataFrame, column: str, lookup: DataFrame, into: str | None =
     return join_on(df, pairs, {column: "_old"}).withColumn(into, F.col("_new")).drop("_new")
 
 
+def mapped_only(df: DataFrame, column: str, lookup: DataFrame, into: str) -> DataFrame:
+    """Only the rows whose value the lookup lists, with what it is mapped to."""
+    pairs = lookup.select(F.col("old_name").alias("_old"), F.col("new_name").alias(into))
+    return join_on(df, pairs, {column: "_old"}, "inner")
+
+
 def unmapped(df: DataFrame, column: str, lookup: DataFrame) -> DataFrame:
     """Rows whose value the lookup does not list, with the reason."""
     return join_on(df, lookup, {column: "old_name"}, "left_anti").withColumn(

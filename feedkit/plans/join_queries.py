@@ -37,6 +37,16 @@ def _(spark, sf):
     return J.map_values(customers, "c_nationkey", _nations(spark, sf), into="nation")
 
 
+@query(
+    "filter_mapped",
+    """SELECT c_custkey, c_nationkey, n_name AS nation FROM customer
+       JOIN nation ON c_nationkey = n_nationkey AND n_regionkey IN (0, 1, 2)""",
+)
+def _(spark, sf):
+    customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    return J.mapped_only(customers, "c_nationkey", _nations(spark, sf), into="nation")
+
+
 @query(
     "join_map_rejects",
     """SELECT c_custkey, c_nationkey, 'c_nationkey not in lookup: ' || c_nationkey AS reason FROM customer

@@ -32,6 +32,11 @@ def _(spark, sf):
     return similar_names(spark, sf).orderBy("name1", "name2", ascending=[False, True])
 
 
+@query("sort_name_desc", "SELECT p_name, p_partkey FROM part")
+def _(spark, sf):
+    return table(spark, sf, "part").select("p_name", "p_partkey").orderBy(F.desc("p_name"), "p_partkey")
+
+
 @query(
     "similar_names_long",
     """WITH n AS (SELECT DISTINCT 'the ' || p_name || ' of ' || lower(p_brand) || ' made by hand' AS name FROM part)

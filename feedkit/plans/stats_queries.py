@@ -53,6 +53,25 @@ def _(spark, sf):
     return _rounded(model.table(spark).select("variable", "beta"), "beta", digits=4)
 
 
+@query("ols_min_obs", "SELECT count(*) AS observations FROM lineitem WHERE l_tax IS NOT NULL AND l_quantity IS NOT NULL")
+def _(spark, sf):
+    items = table(spark, sf, "lineitem")
+    model = ols_fit(items, "l_tax", "l_quantity", min_obs=1000, intcp=1)
+    return spark.createDataFrame([(model.observations,)], "observations long")
+
+
+@query(
+    "ols_params",
+    """SELECT form, round(regr_slope(l_extendedprice, l_quantity), 6) AS beta
+       FROM lineitem, (SELECT unnest(['text', 'list']) AS form) GROUP BY form""",
+)
+def _(spark, sf):
+    items = table(spark, sf, "lineitem")
+    forms = {"text": ("l_quantity", "l_extendedprice"), "list": (["l_quantity"], ["l_extendedprice"])}
+    betas = [(form, ols_fit(items, x, y, intcp=1).beta[0]) for form, (x, y) in forms.items()]
+    return _rounded(spark.createDataFrame(betas, "form string, beta double"), "beta")
+
+
 _ERRORS = """s AS (SELECT count(*) AS n, regr_slope(l_extendedprice, l_quantity) AS b1,
         regr_intercept(l_extendedprice, l_quantity) AS b0, regr_sxx(l_extendedprice, l_quantity) AS sxx,
         regr_syy(l_extendedprice, l_quantity) AS syy, regr_sxy(l_extendedprice, l_quantity) AS sxy,
