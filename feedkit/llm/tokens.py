@@ -35,16 +35,16 @@ SCHEMA = "shard int, doc_id long, shard_start long, n_tokens long, tokens array<
 # A place between a character that is surely no white space and a space or line feed. Byte-level BPE vocabularies of
 # this kind never merge across it, because their pre-tokenizer lets no token go on from text into white space.
 _BORDER = re.compile(r"(?<=[^\s\x1c-\x1f\x85\xa0\u180e\u200b\ufeff])(?=[ \n])")
-# Texts with other white space, or with runs of it, are cut at borders only; all others one word after another.
-_ODD = re.compile(r"[ \n]{2}|[^\S \n]|[\x1c-\x1f\x85\xa0\u180e\u200b\ufeff]|^[ \n]|[ \n]$")
-_PIECE = re.compile(r"[ \n]?[^ \n]+")
+_HIDDEN = ("\u180e", "\u200b", "\ufeff")
 
 
 class PieceEncoder:
     """Encodes whole texts by their pieces between white space, and remembers the ids of pieces.
 
     The ids are those the tokenizer gives the whole text: a piece begins where the pre-tokenizer begins a token in any
-    case. Texts that hold the string of a special token are encoded as they are.
+    case. Texts that hold the string of a special token are encoded as they are. A piece is known under a key: ``word``
+    for a word with a space before it, ``\\nword`` for one that begins a line, `` word`` for the first of a text, and
+    two spaces and the piece for pieces of texts with any other white space.
     """
 
     def __init__(self, path: str):
@@ -53,28 +53,60 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.wide = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        vocabulary = self.tokenizer.get_vocab()
+        self.wide = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
+        # In the strings of a byte-level vocabulary a character stands for a byte.
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.bytes_of[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self.marks = {c: self.pack(vocabulary[c]) for c in ".,"}
         self.known: dict[str, bytes] = {}
-
-    def pieces(self, text: str) -> list[str]:
-        return _BORDER.split(text) if _ODD.search(text) else _PIECE.findall(text)
+        self.older: dict[str, bytes] = {}
+
+    def pack(self, ids) -> bytes:
+        return np.atleast_1d(np.asarray(ids, self.wide)).tobytes()
+
+    def whole(self, text: str) -> bytes:
+        return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def keys(self, text: str) -> list[str]:
+        if text.split() == text.replace("\n", " ").split(" ") and (text.isascii() or not any(c in text for c in _HIDDEN)):
+            words = text.replace("\n", " \n").split(" ")
+            words[0] = " " + words[0]
+            return words
+        return ["  " + p for p in _BORDER.split(text)]
+
+    def learn(self, keys: set[str]) -> None:
+        """Makes the ids of all keys known."""
+        for k in keys & self.older.keys():
+            self.known[k] = self.older[k]
+        missing = keys - self.known.keys()
+        # A full stop or comma after a letter is a token of its own.
+        marked = {k for k in missing if k[-1:] in self.marks and len(k) > 1 and k[-2].isalpha() and k[0] != " "}
+        plain = (missing - marked) | {k[:-1] for k in marked} - self.known.keys()
+        line = [k for k in plain if k[0] != " "]
+        for k in plain.difference(line):
+            self.known[k] = self.whole(k[2:] if k[1:2] == " " else k[1:])
+        for at in range(0, len(line), 2000):
+            some = line[at : at + 2000]
+            parts = [k if k[0] == "\n" else " " + k for k in some]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids, self.wide)
+            ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(p.encode()) for p in parts])) + 1
+            packed, step, start = ids.tobytes(), ids.itemsize, 0
+            for k, end in zip(some, ends.tolist(), strict=True):
+                self.known[k] = packed[start * step : end * step]
+                start = end
+        for k in marked:
+            self.known[k] = self.known[k[:-1]] + self.marks[k[-1]]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, without special tokens added."""
-        whole = [i for i, t in enumerate(texts) if any(s in t for s in self.special)]
-        split = {i: self.pieces(t) for i, t in enumerate(texts) if i not in set(whole)}
-        missing = list({p for parts in split.values() for p in parts if p not in self.known})
-        if len(self.known) + len(missing) > CACHE_PIECES:
-            self.known = {}
-            missing = list({p for parts in split.values() for p in parts})
-        for at in range(0, len(missing), 1000):
-            some = missing[at : at + 1000]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[p] = np.array(e.ids, self.wide).tobytes()
-        ids = {i: np.frombuffer(b"".join(map(self.known.__getitem__, parts)), self.wide) for i, parts in split.items()}
-        for i in whole:
-            ids[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, self.wide)
-        return [ids[i] for i in range(len(texts))]
+        split = [None if any(s in t for s in self.special) else self.keys(t) for t in texts]
+        self.learn(set().union(*filter(None, split)))
+        known = self.known.__getitem__
+        packed = [self.whole(t) if keys is None else b"".join(map(known, keys)) for t, keys in zip(texts, split, strict=True)]
+        if len(self.known) > CACHE_PIECES:
+            self.known, self.older = {}, self.known
+        return [np.frombuffer(x, self.wide) for x in packed]
 
 
 _encoders: dict[str, PieceEncoder] = {}
