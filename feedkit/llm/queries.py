@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import tokens, warc
-from feedkit.llm.text import table
+from feedkit.llm import mixing, pii, tokens, warc
+from feedkit.llm.text import count_words, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,28 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(manifest).select(
         F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query("op4_mixing")
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text", count_words("text").alias("size"))
+    return mixing.mix(docs, "size").select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+@query("op10_pii")
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda s: s["no"] < len(pii.BASE))
+
+    def count(kind):
+        return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in pii.BASE],
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("pii")).alias("spans"),
+    )
