@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import mixing, pii, tokens, warc
+from feedkit.llm import mixing, pii, quality, tokens, warc
 from feedkit.llm.text import count_words, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,50 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("pii")).alias("spans"),
     )
+
+
+_STOP_WORDS = ", ".join(f"'{w.decode()}'" for w in sorted(quality.STOP_WORDS))
+
+
+@query(
+    "op2_quality_rules",
+    rf"""
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+               list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+        FROM documents
+    ), windows AS (
+        SELECT doc_id, i, w[i:i + 2] AS g, count(*) OVER (PARTITION BY doc_id, w[i:i + 2]) AS times
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)
+    ), repeated AS (
+        SELECT doc_id, count(DISTINCT p) AS n
+        FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE times > 1) GROUP BY doc_id
+    ), m AS (
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+               CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+               CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+               CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, len(l) AS n_lines,
+               length(regexp_replace(t, '[^A-Z]', '', 'g')) AS upper_, length(regexp_replace(t, '[^a-z]', '', 'g')) AS lower_,
+               len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS lettered,
+               len(list_filter([{_STOP_WORDS}], lambda x: list_contains(list_transform(w, lambda y: lower(y)), x))) AS stops,
+               len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*\x{{2022}}]'))) AS bulleted,
+               len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|\x{{2026}})[\x20\x09-\x0D]*$'))) AS dotted,
+               len(list_distinct(w)) AS different
+        FROM d LEFT JOIN repeated r ON r.doc_id = d.doc_id
+    ), b AS (
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT (base_failed OR 10 * n_symbols > n_words OR word_chars < 3 * n_words OR word_chars > 10 * n_words
+                OR 10 * n_dup_lines > 4 * n_lines OR 10 * upper_ > 3 * (upper_ + lower_) OR 10 * lettered < 8 * n_words
+                OR stops < 2 OR 10 * bulleted > 9 * n_lines OR 10 * dotted > 3 * n_lines
+                OR 20 * different < n_words) AS kept
+    FROM b
+    """,
+)
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.judge(docs, quality.ordered(docs))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
