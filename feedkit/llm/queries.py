@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import decontaminate, mixing, pii, quality, tokens, warc
+from feedkit.llm import classifier, decontaminate, mixing, pii, quality, tokens, warc
 from feedkit.llm.text import count_words, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,12 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op8_quality_classifier")
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = classifier.fit(docs, table(spark, sf_dir, "labels"))
+    scored = classifier.score(docs, model)
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return scored.select("doc_id", classifier.held_out("doc_id").alias("held_out"), "score", predicted)
