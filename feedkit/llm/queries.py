@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import classifier, decontaminate, mixing, pii, quality, tokens, warc
+from feedkit.llm import classifier, decontaminate, licenses, mixing, pii, quality, tokens, warc
 from feedkit.llm.text import count_words, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +179,43 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = classifier.score(docs, model)
     predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
     return scored.select("doc_id", classifier.held_out("doc_id").alias("held_out"), "score", predicted)
+
+
+_NOTICES = ", ".join(
+    "({}, '{}', '{}')".format(i, name, notice.replace("'", "''")) for i, (name, notice) in enumerate(licenses.TEMPLATES)
+)
+_FOLDED = (
+    "regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+
+@query(
+    "op7_license_scan",
+    f"""
+    WITH templates(template, license, notice) AS (VALUES {_NOTICES}), t AS (
+        SELECT DISTINCT template, license, w[i:i + 4] AS g
+        FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM (SELECT *, {_FOLDED.format("notice")} AS w FROM templates))
+    ), sized AS (
+        SELECT *, count(*) OVER (PARTITION BY template) AS n FROM t
+    ), classed AS (
+        SELECT *, CAST(pow(2, floor(log2(n))) AS BIGINT) AS step FROM sized
+    ), d AS (
+        SELECT doc_id, i - 1 AS p, w[i:i + 4] AS g
+        FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i
+              FROM (SELECT doc_id, {_FOLDED.format("text")} AS w FROM documents))
+    ), met AS (
+        SELECT doc_id, template, license, n, p // step AS w, d.g FROM d JOIN classed ON d.g = classed.g
+    ), held AS (
+        SELECT doc_id, template, license FROM (SELECT *, unnest([w, w - 1, w - 2]) AS j FROM met) WHERE j >= 0
+        GROUP BY doc_id, template, license, n, j HAVING 100 * count(DISTINCT g) >= 80 * n
+    ), named AS (
+        SELECT doc_id, count(DISTINCT template) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS names
+        FROM held GROUP BY doc_id
+    )
+    SELECT documents.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_templates, coalesce(names, '') AS licenses
+    FROM documents LEFT JOIN named ON named.doc_id = documents.doc_id
+    """,
+)
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_digest(table(spark, sf_dir, "documents"))
