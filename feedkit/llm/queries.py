@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import classifier, decontaminate, licenses, mixing, pii, quality, tokens, warc
+from feedkit.llm import classifier, decontaminate, licenses, mixing, ngram_join, pii, quality, tokens, warc
 from feedkit.llm.text import count_words, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -219,3 +219,38 @@ _FOLDED = (
 )
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_digest(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op3_ngram_join",
+    r"""
+    WITH RECURSIVE d AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), s AS (
+        SELECT DISTINCT doc_id, w[i:i + 2] AS g
+        FROM (SELECT *, unnest(range(1, greatest(len(w) - 2, CAST(len(w) > 0 AS BIGINT)) + 1)) AS i FROM d)
+    ), sized AS (
+        SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+    ), rare AS (
+        SELECT s.doc_id, g, n, row_number() OVER (PARTITION BY s.doc_id ORDER BY f, g) AS r
+        FROM s JOIN (SELECT g, count(*) AS f FROM s GROUP BY g) USING (g) JOIN sized ON sized.doc_id = s.doc_id
+    ), chosen AS (
+        SELECT * FROM rare WHERE r <= n - (9 * n + 9) // 10 + 1
+    ), pairs AS (
+        SELECT DISTINCT x.doc_id AS a, y.doc_id AS b, x.n AS an, y.n AS bn
+        FROM chosen x JOIN chosen y ON x.g = y.g AND x.doc_id < y.doc_id AND 10 * least(x.n, y.n) >= 9 * greatest(x.n, y.n)
+    ), links AS (
+        SELECT a, b FROM pairs JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b AND y.g = x.g
+        GROUP BY a, b, an, bn HAVING 100 * count(*) >= 90 * (an + bn - count(*))
+    ), edges AS (
+        SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+    ), reach(a, b) AS (
+        SELECT doc_id, doc_id FROM d UNION SELECT reach.a, edges.b FROM reach JOIN edges ON edges.a = reach.b
+    )
+    SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(b) AS component_id
+    FROM d LEFT JOIN sized ON sized.doc_id = d.doc_id JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id, n
+    """,
+)
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=90)
