@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import classifier, decontaminate, licenses, mixing, ngram_join, pii, quality, tokens, warc
+from feedkit.llm import classifier, decontaminate, licenses, mixing, ngram_join, pii, pitman_yor, quality, tokens, warc
 from feedkit.llm.text import count_words, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,8 +31,7 @@ def query(name: str, sql: str | None = None):
 
 @query("op1_token_output")
 def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = tokens.write_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
-    return tokens.token_digests(spark, folder)
+    return tokens.token_digests(tokens.write_tokens(table(spark, sf_dir, "documents"), TOKENIZER))
 
 
 @query(
@@ -254,3 +253,8 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+@query("op6_lm_score")
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(table(spark, sf_dir, "documents"))
