@@ -19,6 +19,14 @@ class TooFewRows(FeedkitError):
     """Fewer rows than the operator was asked to work with."""
 
 
+class FolderMissing(FeedkitError):
+    """The folder to write into does not exist."""
+
+
+class UnhandledName(FeedkitError):
+    """A name that no list knows."""
+
+
 class MissingLinks(FeedkitError):
     """Rows point at parents that do not exist."""
 

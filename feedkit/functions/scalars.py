@@ -40,8 +40,8 @@ def norm_nan(c: Column) -> Column:
 
 
 def is_number(c: Column) -> Column:
-    """True where a text value reads as a number; null text is not a number."""
-    return c.try_cast("double").isNotNull()
+    """True where a text value is written as a number; null text is not a number, nor is ``12d`` or ``nan``."""
+    return c.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$") & c.try_cast("double").isNotNull()
 
 
 def same_on_error(attempt: Column, original: Column) -> Column:

@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# More pairs of columns than this are computed as rows.
+WIDE_PAIRS = 50
+
+
 def date_range(df: DataFrame, column: str) -> DataFrame:
     """One row: number of different dates, first and last date. An empty table gives (0, null, null)."""
     return df.agg(
@@ -48,12 +52,31 @@ def _corr(a: Column, b: Column) -> Column:
     return F.try_divide(F.covar_pop(a, b), spread)
 
 
+def _corr_rows(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    names, last = list(columns), len(columns) - 1
+    values = df.select(F.array(*[c.cast("double") for c in columns.values()]).alias("v"))
+
+    def partners(i: Column) -> Column:
+        return F.transform(
+            F.sequence(i + 1, F.lit(last)),
+            lambda j: F.struct(i.alias("i"), j.alias("j"), F.get("v", i).alias("x"), F.get("v", j).alias("y")),
+        )
+
+    rows = values.select(F.inline(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(last - 1)), partners))))
+    found = rows.groupBy("i", "j").agg(_corr(F.col("x"), F.col("y")).alias("corr"))
+    listed = F.array(*[F.lit(n) for n in names])
+    return found.select(F.get(listed, F.col("i")).alias("col_a"), F.get(listed, F.col("j")).alias("col_b"), "corr")
+
+
 def corr_pairs(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Pearson correlation of each pair of columns over the rows where both are present, in long form.
 
-    One pass computes all pairs. Only the upper triangle is produced: ``col_a`` comes before ``col_b``.
+    One pass computes all pairs. Only the upper triangle is produced: ``col_a`` comes before ``col_b``. Of many columns
+    the pairs of values are rows, summed per pair before the shuffle, so that the plan does not grow with their number.
     """
     pairs = list(combinations(columns, 2))
+    if len(pairs) > WIDE_PAIRS:
+        return _corr_rows(df, columns)
     row = df.agg(*[_corr(columns[a], columns[b]).alias(f"_{i}") for i, (a, b) in enumerate(pairs)])
     entries = [
         F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"_{i}").alias("corr"))

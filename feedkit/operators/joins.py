@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedkit.errors import MissingLinks
+from feedkit.errors import MissingLinks, UnhandledName
 from feedkit.operators.skew import join_keys, join_on
 
 
@@ -88,9 +88,16 @@ def listed_members(
     return join_keys(df, named, [*keys, member], "left_semi")
 
 
-def resolve_names(df: DataFrame, name: str, conversions: DataFrame, missing: DataFrame, known: DataFrame) -> DataFrame:
-    """Adds ``clean`` and ``status``: converted, known missing, known, or unhandled (clean is null)."""
+def resolve_names(
+    df: DataFrame, name: str, conversions: DataFrame, missing: DataFrame, known: DataFrame, strict: bool = False
+) -> DataFrame:
+    """Adds ``clean`` and ``status``: converted, known missing, known, or unhandled (clean is null).
+
+    Strict mode stops if a name is unhandled, and names up to ten of them.
+    """
     joined = _with_lists(df, name, conversions, missing, known)
+    if strict and (lost := joined.filter(_status() == "unhandled").select(name).distinct().orderBy(name).take(10)):
+        raise UnhandledName(f"names that no list knows: {[r[0] for r in lost]}")
     return joined.select(
         *df.columns,
         F.when(F.col("_new").isNotNull(), F.col("_new"))

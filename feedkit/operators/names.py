@@ -12,6 +12,8 @@ from feedkit.operators.skew import join_on
 
 # Patterns of a full name (first, last, optional suffix) and of initials used as a first name.
 FULL_NAME = r"^(.+?)\s([^\s,]+)(,?\s([JS]r\.?|III?|IV|V))?$"
+# White space is that of Unicode.
+UNICODE = "(?U)"
 INITIALS_DOTTED = r"^[A-Z]\.[A-Z]\."
 INITIALS_PLAIN = r"^[A-Z][A-Z]"
 
@@ -19,15 +21,15 @@ INITIALS_PLAIN = r"^[A-Z][A-Z]"
 def name_parts(c: Column) -> dict[str, Column]:
     """``first``, ``last`` and ``suffix`` of a full name; all null where it has no such form."""
     return {
-        part: F.nullif(F.regexp_extract(c, FULL_NAME, group), F.lit(""))
+        part: F.nullif(F.regexp_extract(c, UNICODE + FULL_NAME, group), F.lit(""))
         for part, group in (("first", 1), ("last", 2), ("suffix", 4))
     }
 
 
 def parse_names(df: DataFrame, name: str) -> DataFrame:
     """Stripped name with its parts; names without the form of a full name are skipped."""
-    stripped = df.withColumn(name, F.regexp_replace(F.col(name), r"^\s+|\s+$", ""))
-    return stripped.filter(F.col(name).rlike(FULL_NAME)).withColumns(name_parts(F.col(name)))
+    stripped = df.withColumn(name, F.regexp_replace(F.col(name), UNICODE + r"^\s+|\s+$", ""))
+    return stripped.filter(F.col(name).rlike(UNICODE + FULL_NAME)).withColumns(name_parts(F.col(name)))
 
 
 def full_name_of_abbrev(df: DataFrame, abbrev: str, universe: DataFrame) -> DataFrame:

@@ -2,32 +2,61 @@
 
 A window over a hot group would sort that group in one task. Here a group is cut into chunks by the value of an
 integer order column. Each chunk is windowed on its own, and one small row per chunk carries the result of the
-chunks before it. A chunk holds at most ``width`` order values (twice that around zero); unless given, the width is
-chosen so that a group has at most MAX_CHUNKS chunks.
+chunks before it. Unless a width is given, the cuts follow the rows: quantiles of the order column cut it into buckets of
+about as many rows, whatever the gaps between its values, and each bucket is cut into equal parts of about CHUNK_ROWS rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-MIN_WIDTH = 100_000
-MAX_CHUNKS = 1_000_000
+CHUNK_ROWS = 100_000
+BUCKETS = 256
 _CHUNK = "_chunk"
 
 
-def chunk_width(df: DataFrame, order: str) -> int:
-    """Width of the chunks for the range that an order column spans. Reads only that column."""
-    low, high = df.agg(F.min(order), F.max(order)).first()
-    return MIN_WIDTH if low is None else max(MIN_WIDTH, (high - low) // MAX_CHUNKS + 1)
+@dataclass(frozen=True)
+class Cuts:
+    """Bucket i begins at ``starts[i]`` and is cut into chunks of ``widths[i]`` order values, ``parts`` or so of them."""
 
+    starts: tuple[int, ...]
+    widths: tuple[int, ...]
+    parts: int
 
-def chunk_of(order: str, width: int) -> Column:
-    """Chunk number of an integer order value; grows with it."""
-    return F.expr(f"`{order}` div {width}L")
+
+def row_cuts(df: DataFrame, order: str, rows: int | None = None) -> Cuts:
+    """Cuts of an integer order column into chunks of about so many rows. Reads only that column, once."""
+    rows = rows or CHUNK_ROWS
+    marks = [i / BUCKETS for i in range(1, BUCKETS)]
+    n, low, high, at = df.agg(F.count(order), F.min(order), F.max(order), F.percentile_approx(order, marks, 10_000)).first()
+    if n <= rows:
+        return Cuts((low or 0,), (1 << 62,), 1)
+    starts = sorted({low, *at})
+    parts = -(-n // (BUCKETS * rows))
+    ends = [*starts[1:], high + 1]
+    return Cuts(tuple(starts), tuple(max(1, -((a - b) // parts)) for a, b in zip(starts, ends, strict=True)), parts)
+
+
+def chunk_of(order: str, how: int | Cuts) -> Column:
+    """Chunk number of an integer order value; grows with it. ``how`` is a fixed width or the cuts of the column."""
+    if isinstance(how, int):
+        return F.expr(f"`{order}` div {how}L")
+
+    def inside(first: int, last: int) -> Column:
+        if first < last:
+            middle = (first + last + 1) // 2
+            return F.when(F.col(order) < how.starts[middle], inside(first, middle - 1)).otherwise(inside(middle, last))
+        start, width = how.starts[first], how.widths[first]
+        # Quotients are subtracted, not values, whose difference may be too large.
+        before_it = start // width if start >= 0 else -(-start // width)
+        return F.expr(f"`{order}` div {width}L") - before_it + first * (how.parts + 3)
+
+    return inside(0, len(how.starts) - 1)
 
 
 def before(keys: Sequence[str], order: str = _CHUNK):
@@ -47,7 +76,7 @@ def rank_in_group(
     rank: str = "rank",
     size: str | None = None,
     first_of: Mapping[str, str] | None = None,
-    width: int | None = None,
+    width: int | Cuts | None = None,
 ) -> DataFrame:
     """Adds the 1-based position of each row in its group, ordered by a unique integer column.
 
@@ -57,7 +86,7 @@ def rank_in_group(
     first_of = dict(first_of or {})
     for k in keys:
         df = df.filter(F.col(k).isNotNull())
-    df = df.withColumn(_CHUNK, chunk_of(order, width or chunk_width(df, order)))
+    df = df.withColumn(_CHUNK, chunk_of(order, width or row_cuts(df, order)))
     group = [*keys, _CHUNK]
     chunks = df.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_n"), *[F.min_by(c, order).alias(f"_f_{n}") for n, c in first_of.items()]
@@ -81,10 +110,10 @@ def rank_in_group(
 
 
 def last_so_far(
-    df: DataFrame, keys: Sequence[str], order: str, value: str, name: str, width: int | None = None
+    df: DataFrame, keys: Sequence[str], order: str, value: str, name: str, width: int | Cuts | None = None
 ) -> DataFrame:
     """Adds the latest non-null ``value`` at or before each row of its group."""
-    df = df.withColumn(_CHUNK, chunk_of(order, width or chunk_width(df, order)))
+    df = df.withColumn(_CHUNK, chunk_of(order, width or row_cuts(df, order)))
     group = [*keys, _CHUNK]
     chunks = df.groupBy(*group).agg(
         F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("_last")
@@ -99,7 +128,7 @@ def last_so_far(
     )
 
 
-def number_rows(df: DataFrame, order: str, name: str, start: Column, width: int | None = None) -> DataFrame:
+def number_rows(df: DataFrame, order: str, name: str, start: Column, width: int | Cuts | None = None) -> DataFrame:
     """Numbers all rows in the order of a unique integer column, from ``start`` + 1 on."""
     placed = rank_in_group(df.withColumn("_all", F.lit(0)), ["_all"], order, "_rank", width=width)
     return placed.withColumn(name, start + F.col("_rank")).drop("_all", "_rank")

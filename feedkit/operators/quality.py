@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedkit.functions.scalars import norm_nan
 from feedkit.operators.joins import name_status
 from feedkit.operators.skew import join_on
 
@@ -45,8 +46,10 @@ def _one_value(c: str) -> Column:
 def check_games(games: DataFrame) -> DataFrame:
     """Rules on the two team rows of a game: columns id, gid, gd, team, opp, home, ot, open_spread, open_pts.
 
-    Numbers and dates that are null differ from everything. Null names are equal to each other.
+    Numbers and dates that are null differ from everything, and so does NaN. Null names are equal to each other.
     """
+    floats = [c for c, t in games.dtypes if c in ("open_spread", "open_pts") and t in ("double", "float")]
+    games = games.withColumns({c: norm_nan(F.col(c)) for c in floats})
     side = F.struct("team", "opp", "open_spread")
     groups = (
         games.filter(F.col("gid").isNotNull())

@@ -3,8 +3,8 @@
 ``similar_pairs`` blocks on deletion variants: two strings within distance k become equal after at most k characters
 are deleted from each (the published FastSS method). Strings that share a variant are within 2k of each other, so a
 block stays small even where a third of all names share a first name or a prefix, unlike blocks on words, prefixes or
-segments. Long strings are blocked on their rarest grams (the published prefix filter), so that common text makes no
-block. ``nearest_names`` has no bound on the distance and widens a segment search until each name has an answer.
+segments. Long strings are blocked on their rarest grams (the published prefix filter); strings from one template still
+meet where their own parts are shorter than the grams that are chosen. ``nearest_names`` has no bound on the distance and widens a segment search until each name has an answer.
 """
 
 from __future__ import annotations
@@ -12,12 +12,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedkit.operators.skew import join_keys
 from feedkit.session import cut_lineage
 
 # Longer strings are blocked on their rarest grams instead, because the number of deletion variants grows with the
 # length to the power of the distance.
 VARIANT_LENGTH = 32
 GRAM = 3
+# Beyond this distance there are too many variants, and strings are blocked on segments.
+MOST_VARIANT_EDITS = 3
+
+
+def shortest_gram_border(k: int) -> int:
+    """Smallest ``variant_length`` for distance k: every string on the gram path has more than GRAM * k grams."""
+    return GRAM * (k + 1) + k - 1
 
 
 def _deletions(texts: Column) -> Column:
@@ -100,7 +108,7 @@ def _rare_grams(df: DataFrame, k: int) -> DataFrame:
     keys = grams.select("n", "o", F.explode(numbered).alias("key"))
     counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("_c"))
     rarest = F.slice(F.sort_array(F.collect_list(F.struct("_c", "key"))), 1, GRAM * k + 1)
-    chosen = keys.join(counts, "key").groupBy("n", "o").agg(rarest.alias("_r"))
+    chosen = join_keys(keys, counts, ["key"], "inner").groupBy("n", "o").agg(rarest.alias("_r"))
     hashes = F.transform("_r", lambda r: F.xxhash64(r["key"]))
     return chosen.select("n", "o", hashes.alias("keys")).withColumn("key", F.explode("keys"))
 
@@ -108,9 +116,15 @@ def _rare_grams(df: DataFrame, k: int) -> DataFrame:
 def similar_pairs(names: DataFrame, name: str, order: str, limit: int, variant_length: int = VARIANT_LENGTH) -> DataFrame:
     """Pairs of different names at an edit distance under ``limit``: ``name1`` (the earlier one), ``name2``, ``dist``.
 
-    The names are distinct and non-null. Results are whole: every pair within the distance is found.
+    The names are distinct and non-null. Results are whole: every pair within the distance is found. Distances beyond
+    MOST_VARIANT_EDITS are found by segments: of two strings within distance k, one of the k + 1 segments of one of them
+    stands in the other, at most k places away.
     """
     k = limit - 1
+    if variant_length < shortest_gram_border(k) and k <= MOST_VARIANT_EDITS:
+        raise ValueError(f"variant_length must be {shortest_gram_border(k)} or more for limit {limit}")
+    if k > MOST_VARIANT_EDITS:
+        return _within(_by_segments(names, name, order, k), k)
     df = names.select(F.col(name).alias("n"), F.col(order).alias("o"))
     ordered = (F.col("ord1") < F.col("ord2")) | ((F.col("ord1") == F.col("ord2")) & (F.col("name1") < F.col("name2")))
     # A pair of a short and a long string needs both under one kind of key, hence the overlap of k characters.
@@ -124,12 +138,30 @@ def similar_pairs(names: DataFrame, name: str, order: str, limit: int, variant_l
     )
     once = F.col("key") == F.array_min(F.array_intersect("keys1", "keys2"))
     by_gram = c.join(d, "key").filter(ordered & once).drop("key", "keys1", "keys2")
-    found = by_variant.unionByName(by_gram)
+    return _within(by_variant.unionByName(by_gram), k)
+
+
+def _by_segments(names: DataFrame, name: str, order: str, k: int) -> DataFrame:
+    """Candidate pairs (name1, ord1, name2, ord2) for any distance k."""
+    first = names.select(F.col(name).alias("name1"), F.col(order).alias("ord1"))
+    second = names.select(F.col(name).alias("name2"), F.col(order).alias("ord2"))
+    ordered = (F.col("ord1") < F.col("ord2")) | ((F.col("ord1") == F.col("ord2")) & (F.col("name1") < F.col("name2")))
+    probes = _segment_probes(first, "name1", k).distinct()
+    index = _segment_index(second, "name2", k).distinct()
+    met = probes.join(index, ["_len", "_no", "_key"]).filter(ordered).select("name1", "ord1", "name2", "ord2")
+    # Strings of k characters or fewer are all within k of each other, so these are results and not only candidates.
+    short = first.filter(F.length("name1") <= k).withColumn("_one", F.lit(1))
+    others = second.filter(F.length("name2") <= k).withColumn("_one", F.lit(1))
+    return met.unionByName(short.join(others, "_one").filter(ordered).drop("_one"))
+
+
+def _within(found: DataFrame, k: int) -> DataFrame:
+    """Candidates within distance k; a pair is compared once, however many keys it shares."""
     return (
-        found.withColumn("dist", F.levenshtein(F.col("name1"), F.col("name2"), k))
+        found.select("name1", "name2")
+        .distinct()
+        .withColumn("dist", F.levenshtein(F.col("name1"), F.col("name2"), k))
         .filter(F.col("dist").between(0, k))
-        .groupBy("name1", "name2")
-        .agg(F.min("dist").alias("dist"))
     )
 
 

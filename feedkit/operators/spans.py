@@ -12,15 +12,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedkit.operators.ordering import before, chunk_of, chunk_width, last_so_far, rank_in_group, so_far
+from feedkit.operators.ordering import Cuts, before, chunk_of, last_so_far, rank_in_group, row_cuts, so_far
 
 
-def widen_ends(df: DataFrame, keys: Sequence[str], order: str, layers: str) -> DataFrame:
-    """An end mark that closes n layers becomes n end marks; ``order`` is renumbered within each run."""
+def widen_ends(df: DataFrame, keys: Sequence[str], order: str, layers: str, into: str = "mark_no") -> DataFrame:
+    """An end mark that closes n layers becomes n end marks, numbered in ``into``, the order of the wider log.
+
+    The order column keeps its values, so that it may also be the time.
+    """
     wide = df.withColumn("_layer", F.explode(F.sequence(F.lit(1), F.greatest(F.col(layers), F.lit(1)))))
     # All copies of one mark stay together: position of the mark plus the copies before it.
     grown = df.withColumn("_extra", F.greatest(F.col(layers), F.lit(1)).cast("long"))
-    grown = grown.withColumn("_c", chunk_of(order, chunk_width(df, order)))
+    grown = grown.withColumn("_c", chunk_of(order, row_cuts(df, order)))
     chunks = grown.groupBy(*keys, "_c").agg(F.sum("_extra").alias("_n"))
     carried = chunks.select(*keys, "_c", F.coalesce(F.sum("_n").over(before(keys, "_c")), F.lit(0)).alias("_base"))
     inside = F.sum("_extra").over(so_far([*keys, "_c"], order)) - F.col("_extra")
@@ -28,14 +31,14 @@ def widen_ends(df: DataFrame, keys: Sequence[str], order: str, layers: str) -> D
     placed = placed.select(*keys, order, (F.col("_base") + F.col("_inside")).alias("_start"))
     return (
         wide.join(placed, [*keys, order])
-        .withColumn(order, F.col("_start") + F.col("_layer"))
+        .withColumn(into, F.col("_start") + F.col("_layer"))
         .drop("_layer", "_start")
     )
 
 
-def span_depth(df: DataFrame, run: str, order: str, is_start: Column, width: int | None = None) -> DataFrame:
+def span_depth(df: DataFrame, run: str, order: str, is_start: Column, width: int | Cuts | None = None) -> DataFrame:
     """Adds ``is_start``, ``depth`` (of the span that a mark opens or closes) and ``rejected`` to every mark."""
-    width = width or chunk_width(df, order)
+    width = width or row_cuts(df, order)
     step = F.when(F.col("is_start"), F.lit(1)).otherwise(F.lit(-1)).cast("long")
     marks = df.withColumn("is_start", is_start).withColumn("_chunk", chunk_of(order, width))
     group = [run, "_chunk"]
@@ -69,10 +72,10 @@ def match_spans(
     is_start: Column,
     now: Column,
     carry: Sequence[str] = (),
-    width: int | None = None,
+    width: int | Cuts | None = None,
 ) -> DataFrame:
     """One row per span: ``start_at``, ``end_at`` (null while open) and ``seconds``, open spans measured to ``now``."""
-    width = width or chunk_width(df, order)
+    width = width or row_cuts(df, order)
     marks = span_depth(df, run, order, is_start, width).filter(~F.col("rejected"))
     marks = rank_in_group(marks, [run, "depth", "is_start"], order, "_k", width=width)
     start = F.col("is_start")
@@ -93,9 +96,9 @@ def match_spans(
     )
 
 
-def span_parents(df: DataFrame, run: str, order: str, is_start: Column, width: int | None = None) -> DataFrame:
+def span_parents(df: DataFrame, run: str, order: str, is_start: Column, width: int | Cuts | None = None) -> DataFrame:
     """Every start with ``uid``, ``depth`` and ``pid``: the nearest earlier start still open, null at the top."""
-    width = width or chunk_width(df, order)
+    width = width or row_cuts(df, order)
     marks = span_depth(df, run, order, is_start, width).filter("is_start").select(run, order, "depth")
     marks = rank_in_group(marks, [run], order, "uid", width=width)
     # Each start speaks at its own depth and asks at the depth above it.

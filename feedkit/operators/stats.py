@@ -152,6 +152,17 @@ def forecast(model: LinearModel, columns: Sequence[str], sigma: float = 0) -> Co
     return total
 
 
+def load_model(spark: SparkSession, path: str) -> LinearModel:
+    """A model that ``save_model`` wrote, ready for ``forecast``. Counts of rows are not stored and read as 0."""
+    rows = spark.read.schema(TABLE_SCHEMA).parquet(path).select("variable", "beta", "stderr").collect()
+    if not rows:
+        raise EmptyInput(f"no coefficients in {path}")
+    # The intercept is the last one.
+    rows.sort(key=lambda r: r["variable"] == "intercept")
+    names, beta, stderr = zip(*map(tuple, rows), strict=True)
+    return LinearModel(names, beta, stderr, 0, 0)
+
+
 def save_model(spark: SparkSession, model: LinearModel | None, path: str, force_dir: bool = False) -> str | None:
     """The coefficient table written to the next free version of ``path``; nothing without a model."""
     if model is None:

@@ -77,7 +77,7 @@ def _parts_sql(keys: str, order: str, item: str, opened: str, closed: str, sourc
         GROUP BY o_orderstatus, part""",
 )
 def _(spark, sf):
-    lists = L.id_lists(table(spark, sf, "orders"), ["o_orderstatus"], "o_orderkey", part_size=PART, width=500)
+    lists = L.id_lists(table(spark, sf, "orders"), ["o_orderstatus"], "o_orderkey", part_size=PART)
     return lists.withColumn("ids", F.array_join(F.col("ids").cast("array<string>"), ","))
 
 
@@ -146,7 +146,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     return L.list_literal(
-        table(spark, sf, "orders"), ["o_orderstatus"], "o_orderkey", "o_orderpriority", part_size=PART, width=500
+        table(spark, sf, "orders"), ["o_orderstatus"], "o_orderkey", "o_orderpriority", part_size=PART
     )
 
 

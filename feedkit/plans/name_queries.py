@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedkit.operators.joins import without_known_pairs
-from feedkit.operators.names import full_name_of_abbrev, parse_names, resolve_abbrevs, resolve_best_names
+from feedkit.operators.names import FULL_NAME, full_name_of_abbrev, parse_names, resolve_abbrevs, resolve_best_names
 from feedkit.operators.quality import MAX_LEVENSHTEIN
 from feedkit.operators.similarity import similar_pairs
 from feedkit.plans.registry import query
 from feedkit.plans.views import table, with_views
 from feedkit.sources import name_pairs
 
-_PATTERN = r"^(.+?)\s([^\s,]+)(,?\s([JS]r\.?|III?|IV|V))?$"
-
 # All pairs, which the Spark side never forms.
 SIMILAR_SQL = f"""SELECT a.name AS name1, b.name AS name2, CAST(levenshtein(a.name, b.name) AS INTEGER) AS dist
     FROM v_names a JOIN v_names b ON a.ord < b.ord WHERE levenshtein(a.name, b.name) < {MAX_LEVENSHTEIN}
@@ -54,10 +52,10 @@ def _(spark, sf):
     "parse_name",
     with_views(
         f"""SELECT DISTINCT trim(full_name) AS full_name,
-                   nullif(regexp_extract(trim(full_name), '{_PATTERN}', 1), '') AS first,
-                   nullif(regexp_extract(trim(full_name), '{_PATTERN}', 2), '') AS last,
-                   nullif(regexp_extract(trim(full_name), '{_PATTERN}', 4), '') AS suffix
-            FROM v_variant WHERE regexp_matches(trim(full_name), '{_PATTERN}')"""
+                   nullif(regexp_extract(trim(full_name), '{FULL_NAME}', 1), '') AS first,
+                   nullif(regexp_extract(trim(full_name), '{FULL_NAME}', 2), '') AS last,
+                   nullif(regexp_extract(trim(full_name), '{FULL_NAME}', 4), '') AS suffix
+            FROM v_variant WHERE regexp_matches(trim(full_name), '{FULL_NAME}')"""
     ),
 )
 def _(spark, sf):
@@ -97,9 +95,9 @@ def _(spark, sf):
     "resolve_best_name",
     with_views(
         f"""WITH p AS (SELECT full_name,
-                nullif(regexp_extract(full_name, '{_PATTERN}', 1), '') AS first,
-                nullif(regexp_extract(full_name, '{_PATTERN}', 2), '') AS last,
-                nullif(regexp_extract(full_name, '{_PATTERN}', 4), '') AS suffix FROM v_variant),
+                nullif(regexp_extract(full_name, '{FULL_NAME}', 1), '') AS first,
+                nullif(regexp_extract(full_name, '{FULL_NAME}', 2), '') AS last,
+                nullif(regexp_extract(full_name, '{FULL_NAME}', 4), '') AS suffix FROM v_variant),
             kinds AS (SELECT *, CASE WHEN regexp_matches(first, '^[A-Z][A-Z]') THEN 1
                 WHEN regexp_matches(first, '^[A-Z]\\.[A-Z]\\.') THEN 2 WHEN suffix IS NOT NULL THEN 3 ELSE 4 END AS kind
                 FROM p WHERE first IS NOT NULL),

@@ -22,7 +22,7 @@ from feedkit.plans.views import table, with_views
 )
 def _(spark, sf):
     rows = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("team"))
-    paired = pair_by_position(rows, "o_orderkey", width=1000)
+    paired = pair_by_position(rows, "o_orderkey")
     return swap_opponents(paired, "pair", "o_orderkey").drop("pair")
 
 
@@ -46,7 +46,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     turns = table(spark, sf, "conversations").select("conv_id", "turn")
-    return rank_in_group(turns, ["conv_id"], "turn", "uid", width=3)
+    return rank_in_group(turns, ["conv_id"], "turn", "uid")
 
 
 # Users and the system open a span, the assistant closes one.
@@ -71,7 +71,7 @@ def _turns(spark, sf):
 
 @query("win_span_depth", f"WITH {_MARKS} SELECT conv_id, turn, role, is_start, rejected, depth FROM d")
 def _(spark, sf):
-    return S.span_depth(_turns(spark, sf), "conv_id", "turn", _starts(), width=3)
+    return S.span_depth(_turns(spark, sf), "conv_id", "turn", _starts())
 
 
 @query(
@@ -85,7 +85,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     now = F.lit(1000).cast("long")
-    return S.match_spans(_turns(spark, sf), "conv_id", "turn", "turn", _starts(), now, carry=["role"], width=3)
+    return S.match_spans(_turns(spark, sf), "conv_id", "turn", "turn", _starts(), now, carry=["role"])
 
 
 @query(
@@ -98,7 +98,7 @@ def _(spark, sf):
         GROUP BY a.conv_id, a.turn, a.uid, a.depth""",
 )
 def _(spark, sf):
-    return S.span_parents(_turns(spark, sf), "conv_id", "turn", _starts(), width=3)
+    return S.span_parents(_turns(spark, sf), "conv_id", "turn", _starts())
 
 
 @query("topk_rows", "SELECT * FROM orders ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 100")
@@ -112,7 +112,11 @@ def _(spark, sf):
 
 
 _LINE_CORR = corr_sql("lineitem", {c: c for c in _NUMERICS})
-_DIMS = {f"d{i}": f"CAST(embedding[{i}] AS DOUBLE)" for i in range(1, 9)}
+DIMENSIONS = 64
+_DIM_CORR = """SELECT 'd' || a.i AS col_a, 'd' || b.i AS col_b, corr(b.v, a.v) AS corr
+    FROM e a JOIN e b ON a.vec_id = b.vec_id AND a.i < b.i GROUP BY a.i, b.i"""
+_DIM_ROWS = f"""e AS (SELECT vec_id, i, CAST(embedding[i] AS DOUBLE) AS v
+    FROM (SELECT *, unnest(range(1, {DIMENSIONS} + 1)) AS i FROM embeddings))"""
 
 
 @query(
@@ -126,7 +130,7 @@ def _(spark, sf):
 
 @query(
     "top_corr_neg",
-    f"SELECT col_a, col_b, round(corr, 9) AS corr FROM ({corr_sql('embeddings', _DIMS)}) ORDER BY corr LIMIT 5",
+    f"WITH {_DIM_ROWS} SELECT col_a, col_b, round(corr, 9) AS corr FROM ({_DIM_CORR}) ORDER BY corr LIMIT 5",
 )
 def _(spark, sf):
     return T.top_pairs(_dim_pairs(spark, sf), 5, mode="neg").withColumn("corr", F.round("corr", 9))
@@ -134,7 +138,7 @@ def _(spark, sf):
 
 @query(
     "top_corr_abs",
-    f"""SELECT col_a, col_b, round(abs(corr), 9) AS corr FROM ({corr_sql('embeddings', _DIMS)})
+    f"""WITH {_DIM_ROWS} SELECT col_a, col_b, round(abs(corr), 9) AS corr FROM ({_DIM_CORR})
         ORDER BY abs(corr) DESC LIMIT 5""",
 )
 def _(spark, sf):
@@ -142,7 +146,7 @@ def _(spark, sf):
 
 
 def _dim_pairs(spark, sf):
-    dims = {f"d{i}": F.col("embedding")[i - 1].cast("double") for i in range(1, 9)}
+    dims = {f"d{i}": F.col("embedding")[i - 1].cast("double") for i in range(1, DIMENSIONS + 1)}
     return corr_pairs(table(spark, sf, "embeddings"), dims)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedkit.operators.stats import forecast, ols_fit, save_model
+from feedkit.operators.stats import forecast, load_model, ols_fit, save_model
 from feedkit.plans.registry import query
 from feedkit.plans.views import table
 from feedkit.session import fresh_path
@@ -110,6 +110,18 @@ def _(spark, sf):
     return items.select("l_orderkey", "l_linenumber", F.round(predicted, 3).alias("forecast"))
 
 
+@query(
+    "ols_forecast_saved",
+    f"""WITH {_ERRORS} SELECT l_orderkey, l_linenumber,
+        round((b0 - 0.5 * se0) + (b1 - 0.5 * se1) * l_quantity, 3) AS forecast FROM lineitem, e""",
+)
+def _(spark, sf):
+    path = save_model(spark, _price_model(spark, sf), fresh_path(spark, "model"), force_dir=True)
+    items = table(spark, sf, "lineitem")
+    predicted = forecast(load_model(spark, path), items.columns, sigma=-0.5)
+    return items.select("l_orderkey", "l_linenumber", F.round(predicted, 3).alias("forecast"))
+
+
 @query("ols_save", _TABLE)
 def _(spark, sf):
     path = save_model(spark, _price_model(spark, sf), fresh_path(spark, "model"), force_dir=True)

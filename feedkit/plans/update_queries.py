@@ -310,6 +310,36 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
+    return _daily_job(spark, sf).players.select("id", "gid", "gd", "team", "player", "pts", "tsid", "starter")
+
+
+@query(
+    "update_all_games",
+    with_views(
+        f"""WITH {_SIR}, {_FEED_GAMES} SELECT id, gd, team, opp, home, gid, ref_main, ref_crew1, ref_crew2, playoff,
+            start1, start2, start3, start4, start5, CAST(2018 AS INTEGER) AS season FROM fg""",
+        "v_pteam",
+    ),
+)
+def _(spark, sf):
+    games = _daily_job(spark, sf, link=False, starters=False).games
+    names = "id gd team opp home gid ref_main ref_crew1 ref_crew2 playoff start1 start2 start3 start4 start5 season"
+    return games.select(*names.split())
+
+
+@query(
+    "pipeline_update_all",
+    with_views(
+        f"""SELECT 'players' AS stage, gd, team, opp, 'team not in lookup' AS reason FROM v_player
+            WHERE opp = 'nobody' AND gd > TIMESTAMP '{_CUT}'"""
+    ),
+)
+def _(spark, sf):
+    return _daily_job(spark, sf, link=False, starters=False).problems
+
+
+def _daily_job(spark, sf, **stages):
+    """The tables after an earlier run, which loaded everything up to the cut, and a run over the rest of the feeds."""
     # Feeds and lookups are files and tables in a real run.
     listed = lookups(spark, sf)
     looked_up = feeds.Lookups(teams=written(listed.teams), conversions=written(listed.conversions))
@@ -317,22 +347,20 @@ def _(spark, sf):
     end = _at(2100, 1, 1)
 
     def new_players(mark, until=end):
-        return feeds.player_rows(raw_players, looked_up, SEASON, mark, until, "line")[0]
+        return feeds.player_rows(raw_players, looked_up, SEASON, mark, until, "line")
 
     def new_games(mark, until=end):
-        return feeds.team_rows(raw_games, looked_up, SEASON, mark, until, "line")[0]
+        return feeds.team_rows(raw_games, looked_up, SEASON, mark, until, "line")
 
-    # What an earlier run loaded, into tables that were empty before: everything up to the cut.
     cut = F.lit(_CUT).cast("timestamp_ntz")
     columns = {"id": "long", "tsid": "long", "starter": "boolean"}
     no_players = _empty(spark, {**columns, **_named(feeds.PLAYER_TYPES)})
     no_games = _empty(spark, {"id": "long", **_named(feeds.TEAM_TYPES)})
-    old_players, old_games, _skipped = update_all(
+    old = update_all(
         no_players, no_games, SEASON, lambda mark: new_players(mark, cut), lambda mark: new_games(mark, cut),
         link=False, starters=False,
     )
-    players, _games, _skipped = update_all(old_players, old_games, SEASON, new_players, new_games)
-    return players.select("id", "gid", "gd", "team", "player", "pts", "tsid", "starter")
+    return update_all(old.players, old.games, SEASON, new_players, new_games, **stages)
 
 
 def _named(types):

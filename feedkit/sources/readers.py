@@ -11,11 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedkit.errors import SnapshotMissing
+from feedkit.functions.scalars import norm_nan
 
 # Fixed value: a feed may be up to 14 days old, today included.
 LOOKBACK_DAYS = 15
 
 
+def without_nan(df: DataFrame) -> DataFrame:
+    """NaN becomes null in all float columns, which leaves one missing marker."""
+    floats = [c for c, t in df.dtypes if t in ("double", "float")]
+    return df.withColumns({c: norm_nan(F.col(c)) for c in floats}) if floats else df
+
+
 def table_scan(spark: SparkSession, path: str, schema: T.StructType | None = None, key: str | None = None) -> DataFrame:
     """Whole parquet table; ``key`` moves the identifying column to the front."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
@@ -43,10 +50,10 @@ def high_water_mark(target: DataFrame, column: str, floor: Column) -> Column:
 
 
 def feed_scan(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv", **options: Any) -> DataFrame:
-    """A feed with known headers. The schema is given, never inferred, so the files are read once."""
+    """A feed with known headers. The schema is given, never inferred, so the files are read once. NaN is read as null."""
     if fmt == "csv":
         options = {"header": True, "mode": "FAILFAST", "enforceSchema": False, **options}
-    return spark.read.schema(schema).options(**options).format(fmt).load(path)
+    return without_nan(spark.read.schema(schema).options(**options).format(fmt).load(path))
 
 
 def latest_snapshot(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedkit.errors import EmptyInput
+from feedkit.errors import EmptyInput, FolderMissing
 
 # Field names a desktop database reserves; they are bracketed in exports.
 RESERVED_FIELDS = ("date", "name")
@@ -54,8 +54,10 @@ def _next_free(path: str, write) -> str:
 def _require_parent(df: DataFrame, path: str, force_dir: bool) -> None:
     """Without ``force_dir`` the folder that will hold ``path`` has to exist already."""
     if not force_dir:
-        # Resolving the path is enough to find out; no file is read.
-        df.sparkSession.read.format("binaryFile").load(path.rpartition("/")[0])
+        sc = df.sparkSession.sparkContext
+        parent = sc._jvm.org.apache.hadoop.fs.Path(path.rpartition("/")[0])
+        if not parent.getFileSystem(sc._jsc.hadoopConfiguration()).exists(parent):
+            raise FolderMissing(f"no folder {parent} to write into")
 
 
 def write_version(

@@ -160,6 +160,7 @@ def test_text_helpers(spark):
     assert one(spark, "HOME", "string", lambda c: K.venue_is(c, "home", ignore_case=True)) is True
     assert one(spark, "h", "string", lambda c: K.venue_is(c, "H")) is False
     assert [one(spark, t, "string", K.is_number) for t in ("3", "x", "", "1e5", None)] == [True, False, False, True, False]
+    assert [one(spark, t, "string", K.is_number) for t in ("12d", "3f", "nan", " -4.5 ", ".5", "1.")] == [False] * 3 + [True] * 3
 
 
 def test_weighted_score(spark):

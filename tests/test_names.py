@@ -9,6 +9,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from feedkit.errors import UnhandledName
 from feedkit.operators import joins, names
 from feedkit.operators.similarity import nearest_names, similar_pairs
 from feedkit.operators.topk import rank_by_distance
@@ -156,7 +157,7 @@ def random_names(n, seed, low, high, letters="abcd "):
         (random_names(150, 1, 1, 9), 4, 32),
         (["John " + n for n in random_names(120, 2, 4, 8, string.ascii_lowercase[:6])], 4, 32),
         # The same names on the path for long strings, and astride the border between both.
-        (["Johnathan Fitzgerald " + n for n in random_names(120, 3, 4, 10)], 4, 12),
+        (["Johnathan Fitzgerald " + n for n in random_names(120, 3, 4, 10)], 4, 14),
         (random_names(120, 4, 14, 26), 4, 20),
         (random_names(100, 5, 1, 6), 2, 32),
     ],
@@ -199,3 +200,41 @@ def test_nearest_of_nothing(spark):
 def test_rank_by_distance(spark):
     df = spark.createDataFrame([("abd", 1), ("abc", 2), ("xyz", 3), ("abe", 4)], "n string, o int")
     assert [r["n"] for r in rank_by_distance(df, "n", "abc", "o").collect()] == ["abc", "abd", "abe", "xyz"]
+
+
+def test_similar_pairs_beyond_the_variants(spark):
+    """Long strings at a large distance, short ones that share nothing, and both together."""
+    a = "the quick brown fox jumps over it"
+    texts = [a, a[:20] + "XXXXXXXXXXX" + a[31:], "abcdef", "aXcdYf", "uvw", "", "abc", "abcdefghijklmnop", a.upper()]
+    for limit in (5, 12):
+        df = spark.createDataFrame([(t, i) for i, t in enumerate(texts) if t], "name string, ord int")
+        got = {(r["name1"], r["name2"]): r["dist"] for r in similar_pairs(df, "name", "ord", limit).collect()}
+        want = {(s, t): distance(s, t) for i, s in enumerate(texts) for t in texts[i + 1 :] if s and t}
+        assert got == {p: d for p, d in want.items() if d < limit}
+    with pytest.raises(ValueError):
+        similar_pairs(df, "name", "ord", 4, 5)
+
+
+def test_templates_with_a_varying_number(spark):
+    texts = [f"item number {i:06d} of the catalogue" for i in range(0, 3000, 13)]
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "name string, ord int")
+    want = {(s, t) for i, s in enumerate(texts) for t in texts[i + 1 :] if sum(x != y for x, y in zip(s, t, strict=True)) < 2}
+    got = {(r["name1"], r["name2"]) for r in similar_pairs(df, "name", "ord", 2).collect()}
+    assert got == {p for p in want if distance(*p) < 2}
+
+
+def test_unicode_white_space_in_names(spark):
+    df = spark.createDataFrame([("\u00a0Tim\u00a0Hardaway",)], "full_name string")
+    assert rows(names.parse_names(df, "full_name"), "full_name", "first", "last") == [("Tim\u00a0Hardaway", "Tim", "Hardaway")]
+
+
+def test_strict_resolution_stops_at_an_unhandled_name(spark):
+    lists = (
+        spark.createDataFrame([("Bob", "Robert")], "old_name string, new_name string"),
+        spark.createDataFrame([("Gone",)], "name string"),
+        spark.createDataFrame([("Known",)], "name string"),
+    )
+    good = spark.createDataFrame([("Bob",), ("Gone",), ("Known",)], "n string")
+    assert joins.resolve_names(good, "n", *lists, strict=True).count() == 3
+    with pytest.raises(UnhandledName, match="Nobody"):
+        joins.resolve_names(good.union(spark.createDataFrame([("Nobody",)], "n string")), "n", *lists, strict=True)

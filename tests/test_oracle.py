@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from feedkit.plans.catalog import ORACLES, QUERIES
 from feedkit.plans.views import TABLES
 
 TYPES = {
@@ -49,7 +50,7 @@ def check_plan(df):
         assert unwanted not in plan
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(name, spark, duck, sf_dir):
     df = entry.queries()[name](spark, sf_dir)
     got = df.collect()
@@ -63,7 +64,7 @@ def test_query_matches_sql(name, spark, duck, sf_dir):
     assert sorted([canonical(row[c]) for c in columns] for row in got) == wanted
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_gives_rows(name, spark, sf_dir):
     assert entry.queries()[name](spark, sf_dir).count() > 0
 
@@ -79,6 +80,6 @@ def test_every_oracle_has_a_query():
 LIMITED = {"topk_rows", "topk_keys", "top_corr", "top_corr_neg", "top_corr_abs", "remove_outliers_abs"}
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - LIMITED))
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - LIMITED))
 def test_sql_reads_whole_tables(name):
     assert not re.search(r"\blimit\b|using sample|tablesample", entry.oracle_sql()[name], re.IGNORECASE)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from feedkit.errors import TooFewRows
 from feedkit.operators import literals, pairing, spans, topk
 from feedkit.operators.aggregates import corr_pairs, date_range, distinct_per_group
-from feedkit.operators.ordering import chunk_width, last_so_far, number_rows, rank_in_group
+from feedkit.operators.ordering import chunk_of, last_so_far, number_rows, rank_in_group, row_cuts
 
 
 @pytest.fixture(scope="module")
@@ -42,9 +42,21 @@ def test_no_task_gets_a_whole_group(hot):
     assert chunked < df.filter("g = 'hot'").count() / 10
 
 
-def test_chunk_width_grows_with_the_range(spark):
-    assert chunk_width(spark.createDataFrame([(0,), (10**15,)], "o long"), "o") > 10**9
-    assert chunk_width(spark.createDataFrame([], "o long"), "o") > 0
+@pytest.mark.parametrize("far", [9 * 10**18, -9 * 10**18, 50_000])
+def test_cuts_follow_the_rows(spark, far):
+    """One far outlier makes no large chunk, and chunk numbers grow with the order."""
+    df = spark.range(50_000).union(spark.createDataFrame([(far,)], "id long"))
+    chunk = chunk_of("id", row_cuts(df, "id", 100))
+    sizes = df.groupBy(chunk.alias("c")).agg(F.count("id").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
+    found = sizes.orderBy("c").collect()
+    assert max(r["n"] for r in found) <= 200
+    assert all(a["high"] < b["low"] for a, b in zip(found, found[1:], strict=False))
+
+
+def test_few_rows_are_one_chunk(spark):
+    for data in ([], [(5,), (-3,)]):
+        df = spark.createDataFrame(data, "o long")
+        assert df.select(chunk_of("o", row_cuts(df, "o"))).distinct().count() <= 1
 
 
 def test_null_keys_form_no_group(spark):
@@ -105,8 +117,8 @@ def test_spans_equal_a_replay(spark, width):
 def test_an_end_may_close_several_layers(spark):
     data = [("r", 1, True, 1), ("r", 2, True, 1), ("r", 5, False, 2), ("r", 6, True, 1)]
     df = spans.widen_ends(spark.createDataFrame(data, "run string, at long, s boolean, n int"), ["run"], "at", "n")
-    got = spans.match_spans(df, "run", "at", "at", F.col("s"), F.lit(9).cast("long"))
-    assert rows(got, "at", "depth", "end_at") == [(1, 1, 4), (2, 2, 3), (5, 1, None)]
+    got = spans.match_spans(df, "run", "mark_no", "at", F.col("s"), F.lit(9).cast("long"))
+    assert rows(got, "mark_no", "depth", "end_at", "seconds") == [(1, 1, 5, 4.0), (2, 2, 5, 3.0), (5, 1, None, 3.0)]
 
 
 def test_pairs(spark):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedkit import session
-from feedkit.errors import EmptyInput, FeedkitError, MissingLinks, SharedDirUnset, SnapshotMissing, TooFewRows
+from feedkit.errors import EmptyInput, FeedkitError, FolderMissing, MissingLinks, SharedDirUnset, SnapshotMissing, TooFewRows
 from feedkit.operators import joins, quality, stats, updates
 from feedkit.plans import feeds, stages
 from feedkit.sources import (
@@ -239,12 +239,14 @@ def test_a_missing_feed_skips_only_its_stage(spark):
     def no_feed(mark):
         raise SnapshotMissing("Unable to find latest team feed.")
 
-    got, same, skipped = stages.update_all(players, games, 2018, lambda mark: new, no_feed, strict=False)
+    lost = spark.createDataFrame([(DAY, "X", "Y", "team not in lookup")], feeds.PROBLEM)
+    got, same, skipped, problems = stages.update_all(players, games, 2018, lambda mark: (new, lost), no_feed, strict=False)
+    assert rows(problems, "stage", "team", "reason") == [("players", "X", "team not in lookup")]
     assert skipped == ["Unable to find latest team feed."]
     assert rows(got, "id", "player", "tsid", "starter") == [(1, "p", None, None)]
     assert same is games
     with pytest.raises(MissingLinks):
-        stages.update_all(players, games, 2018, lambda mark: new)
+        stages.update_all(players, games, 2018, lambda mark: (new, None))
 
 
 def test_snapshots(spark):
@@ -271,8 +273,10 @@ def test_versions(spark, tmp_path):
 
 def test_missing_folder(spark, tmp_path):
     df = spark.createDataFrame([(1,)], "id int")
-    with pytest.raises(AnalysisException):
+    with pytest.raises(FolderMissing):
         write_version(df, str(tmp_path / "no" / "out"))
+    df.withColumn("part", F.lit(1)).write.partitionBy("part").parquet(str(tmp_path / "parts"))
+    write_version(df, str(tmp_path / "parts" / "out"))
     assert write_version(df, str(tmp_path / "no" / "out"), force_dir=True)
 
 
