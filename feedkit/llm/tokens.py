@@ -1,21 +1,27 @@
 """Token-id tables: Parquet files that can be read selectively.
 
-A file table has one row per document: ``shard``, ``doc_id``, ``shard_start`` (ids of the shard before the document),
+A file has one row per document: ``shard``, ``doc_id``, ``shard_start`` (ids of the shard before the document),
 ``n_tokens`` and ``tokens`` (a list column). Shards are ranges of doc_id, so files in the order of their shards hold the
 documents in ascending order. Token lists are dictionary encoded (a vocabulary of 50,000 ids needs 16 bits at most), the
-other columns delta encoded. Row groups and pages have stated sizes and Parquet's page indexes are written, so a reader
-of some documents or of the metadata alone skips the rest of the tokens.
+other columns delta encoded. Row groups and pages have stated sizes and page indexes are written, so a reader of some
+documents or of the metadata alone skips the rest of the tokens.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import string
+import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -25,26 +31,81 @@ from feedkit.operators.skew import join_on
 from feedkit.session import fresh_path
 
 END = 0
-ROW_GROUP_BYTES = 32 << 20
+# Ids of a row group, and bytes of a page.
+ROW_GROUP_TOKENS = 4_000_000
 PAGE_BYTES = 256 << 10
-# Distinct pieces whose ids a Python worker remembers.
-CACHE_PIECES = 400_000
+# Distinct pieces whose ids a Python worker remembers, once more for those of the generation before.
+CACHE_PIECES = 600_000
 
 SCHEMA = "shard int, doc_id long, shard_start long, n_tokens long, tokens array<int>"
+_FILE = pa.schema(
+    [("shard", pa.int32()), ("doc_id", pa.int64()), ("shard_start", pa.int64()), ("n_tokens", pa.int64()), ("tokens", pa.list_(pa.int32()))]
+)
 
 # A place between a character that is surely no white space and a space or line feed. Byte-level BPE vocabularies of
 # this kind never merge across it, because their pre-tokenizer lets no token go on from text into white space.
 _BORDER = re.compile(r"(?<=[^\s\x1c-\x1f\x85\xa0\u180e\u200b\ufeff])(?=[ \n])")
-_HIDDEN = ("\u180e", "\u200b", "\ufeff")
+
+
+class _Pieces(dict):
+    """Packed ids by key; what is missing is encoded when it is asked for.
+
+    A piece is known under a key: ``word`` for a word with a space before it, ``\\nword`` for one that begins a line,
+    `` word`` for the first of a text, and two spaces and the piece for pieces of texts with any other white space. A key
+    that begins with a zero character is punctuation behind a letter; no text that is split this way holds one.
+    """
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer, self.bpe = tokenizer, tokenizer.model.tokenize
+        vocabulary = tokenizer.get_vocab()
+        self.code = "H" if max(vocabulary.values()) < 1 << 16 else "I"
+        # A word of letters, with or without a space before it, is one token of the pre-tokenizer, which writes bytes as
+        # characters; so are a line feed before a word, and the punctuation behind its last letter.
+        written = {c: "".join(t for t, _ in tokenizer.pre_tokenizer.pre_tokenize_str(c)) for c in map(chr, range(0x250))}
+        self.letters = {b: x for c, out in written.items() for b, x in zip(c.encode(), out, strict=True)}
+        self.space = self.letters[32]
+        self.line = self.pack([vocabulary[self.letters[10]]])
+        self.older: dict[str, bytes] = {}
+
+    def pack(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
+    def whole(self, text: str) -> bytes:
+        return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def __missing__(self, key: str) -> bytes:
+        ids = self.older.get(key)
+        if ids is None:
+            ids = self[key] = self.encoded(key)
+        else:
+            self[key] = ids
+        return ids
+
+    def encoded(self, key: str) -> bytes:
+        if key[:1] == " " or not key:
+            return self.whole(key[2:] if key[1:2] == " " else key[1:])
+        core = key.rstrip(string.punctuation)
+        if len(core) < len(key):
+            if core[-1:].isalpha():
+                return self[core] + self["\0" + key[len(core) :]]
+            if core == "\0":
+                return self.pack([t.id for t in self.bpe(key[1:].translate(self.letters))])
+        word = key[1:] if key[0] == "\n" else key
+        if word.isalpha() and max(word) < "\u0250":
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(self.letters)
+            if key[0] == "\n":
+                return self.line + self.pack([t.id for t in self.bpe(word)])
+            return self.pack([t.id for t in self.bpe(self.space + word)])
+        return self.whole(key if key[0] == "\n" else " " + key)
 
 
 class PieceEncoder:
     """Encodes whole texts by their pieces between white space, and remembers the ids of pieces.
 
     The ids are those the tokenizer gives the whole text: a piece begins where the pre-tokenizer begins a token in any
-    case. Texts that hold the string of a special token are encoded as they are. A piece is known under a key: ``word``
-    for a word with a space before it, ``\\nword`` for one that begins a line, `` word`` for the first of a text, and
-    two spaces and the piece for pieces of texts with any other white space.
+    case. Texts that hold the string of a special token are encoded as they are.
     """
 
     def __init__(self, path: str):
@@ -53,60 +114,27 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        vocabulary = self.tokenizer.get_vocab()
-        self.wide = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
-        # In the strings of a byte-level vocabulary a character stands for a byte.
-        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
-        self.bytes_of[list(vocabulary.values())] = [len(t) for t in vocabulary]
-        self.marks = {c: self.pack(vocabulary[c]) for c in ".,"}
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def pack(self, ids) -> bytes:
-        return np.atleast_1d(np.asarray(ids, self.wide)).tobytes()
-
-    def whole(self, text: str) -> bytes:
-        return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        self.known = _Pieces(self.tokenizer)
+        self.type = "<u2" if self.known.code == "H" else "<u4"
 
     def keys(self, text: str) -> list[str]:
-        if text.split() == text.replace("\n", " ").split(" ") and (text.isascii() or not any(c in text for c in _HIDDEN)):
-            words = text.replace("\n", " \n").split(" ")
-            words[0] = " " + words[0]
-            return words
-        return ["  " + p for p in _BORDER.split(text)]
-
-    def learn(self, keys: set[str]) -> None:
-        """Makes the ids of all keys known."""
-        for k in keys & self.older.keys():
-            self.known[k] = self.older[k]
-        missing = keys - self.known.keys()
-        # A full stop or comma after a letter is a token of its own.
-        marked = {k for k in missing if k[-1:] in self.marks and len(k) > 1 and k[-2].isalpha() and k[0] != " "}
-        plain = (missing - marked) | {k[:-1] for k in marked} - self.known.keys()
-        line = [k for k in plain if k[0] != " "]
-        for k in plain.difference(line):
-            self.known[k] = self.whole(k[2:] if k[1:2] == " " else k[1:])
-        for at in range(0, len(line), 2000):
-            some = line[at : at + 2000]
-            parts = [k if k[0] == "\n" else " " + k for k in some]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0].ids, self.wide)
-            ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(p.encode()) for p in parts])) + 1
-            packed, step, start = ids.tobytes(), ids.itemsize, 0
-            for k, end in zip(some, ends.tolist(), strict=True):
-                self.known[k] = packed[start * step : end * step]
-                start = end
-        for k in marked:
-            self.known[k] = self.known[k[:-1]] + self.marks[k[-1]]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, without special tokens added."""
-        split = [None if any(s in t for s in self.special) else self.keys(t) for t in texts]
-        self.learn(set().union(*filter(None, split)))
-        known = self.known.__getitem__
-        packed = [self.whole(t) if keys is None else b"".join(map(known, keys)) for t, keys in zip(texts, split, strict=True)]
-        if len(self.known) > CACHE_PIECES:
-            self.known, self.older = {}, self.known
-        return [np.frombuffer(x, self.wide) for x in packed]
+        words = text.replace("\n", " \n").split(" ")
+        # Other white space and control characters are not printable; runs of spaces leave empty words.
+        if "" in words or "\n" in words or not text.replace("\n", "").isprintable():
+            return ["  " + p for p in _BORDER.split(text)]
+        words[0] = " " + words[0]
+        return words
+
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text, without special tokens added."""
+        known = self.known
+        if any(s in text for s in self.special):
+            return np.frombuffer(known.whole(text), self.type)
+        packed = b"".join(map(known.__getitem__, self.keys(text)))
+        if len(known) > CACHE_PIECES:
+            known.older = dict(known)
+            known.clear()
+        return np.frombuffer(packed, self.type)
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -119,62 +147,79 @@ def encoder(path: str) -> PieceEncoder:
     return _encoders[path]
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, id_: str = "doc_id", text: str = "text") -> str:
-    """Encodes every whole text, ends it with id END and writes the file table. Returns its folder.
+def write_tokens(docs: DataFrame, tokenizer: str, folder: str | None = None, id_: str = "doc_id", text: str = "text") -> DataFrame:
+    """Encodes every whole text, ends it with id END and writes the files. Returns the manifest (shard, path, n).
 
     A null text is an empty one and has the end id alone. Rows that share a doc_id all stay, in the order of their
-    texts' hashes; a null doc_id comes first. Other columns are left out. A shard is what one task writes.
+    texts' hashes; a null doc_id comes first. Other columns are left out. A shard is the file that one task writes. Every
+    attempt of a task writes a file of its own, and the manifest, which Spark writes, names those that count.
     """
-    folder = folder or fresh_path(docs.sparkSession, "tokens")
+    spark = docs.sparkSession
+    folder = folder or fresh_path(spark, "tokens")
     rows = docs.select(F.col(id_).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     tie = F.xxhash64("text")
     ordered = rows.repartitionByRange(F.col("doc_id"), tie).sortWithinPartitions("doc_id", tie)
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        start = 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, end, shard = encoder(tokenizer).encode, np.array([END], np.uint16), TaskContext.get().partitionId()
+        store, base = fs.FileSystem.from_uri(folder)
+        store.create_dir(base, recursive=True)
+        name, writer, group, size, start = f"shard-{shard:07d}-{uuid.uuid4().hex}.parquet", None, [], 0, 0
         for batch in pieces(batches, "text"):
-            ids = [np.append(x.astype("<i4"), np.int32(END)) for x in encoder(tokenizer).encode(batch.column("text").to_pylist())]
-            sizes = np.array([len(x) for x in ids], np.int64)
+            ids = [x for t in batch.column("text").to_pylist() for x in (encode(t), end)]
+            sizes = np.array([len(x) + 1 for x in ids[::2]], np.int64)
             offsets = np.concatenate([[0], np.cumsum(sizes)])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array(start + offsets[:-1]),
-                    pa.array(sizes),
-                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(ids), pa.int32())),
-                ],
-                ["doc_id", "shard_start", "n_tokens", "tokens"],
-            )
-            start += int(offsets[-1])
-
-    encoded = ordered.mapInArrow(encode, "doc_id long, shard_start long, n_tokens long, tokens array<int>")
-    options = {
-        "compression": "zstd",
-        "parquet.writer.version": "PARQUET_2_0",
-        "parquet.enable.dictionary": "false",
-        "parquet.enable.dictionary#tokens.list.element": "true",
-        "parquet.block.size": str(ROW_GROUP_BYTES),
-        "parquet.page.size": str(PAGE_BYTES),
-        "parquet.dictionary.page.size": str(1 << 20),
-    }
-    encoded.select(F.spark_partition_id().alias("shard"), "*").write.options(**options).parquet(folder)
-    return folder
-
-
-def read_tokens(spark, folder: str, columns: list[str] | None = None) -> DataFrame:
-    """The file table, or some of its columns; Parquet reads only those."""
-    files = spark.read.schema(SCHEMA).parquet(folder)
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(ids).astype(np.int32)))
+            columns = [np.full(len(sizes), shard, np.int32), batch.column("doc_id"), start + offsets[:-1], sizes, lists]
+            group.append(pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_FILE))
+            start, size = start + int(offsets[-1]), size + int(offsets[-1])
+            if writer is None:
+                out = store.open_output_stream(f"{base}/{name}", compression=None)
+                writer = _writer(out)
+            if size >= ROW_GROUP_TOKENS:
+                writer.write_table(pa.Table.from_batches(group), row_group_size=1 << 30)
+                group, size = [], 0
+        if writer is not None:
+            if group:
+                writer.write_table(pa.Table.from_batches(group), row_group_size=1 << 30)
+            writer.close()
+            out.close()
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [f"{folder}/{name}"], "n": [start]})
+
+    manifest = f"{folder}/_manifest"
+    ordered.mapInArrow(run, "shard int, path string, n long").write.parquet(manifest)
+    return spark.read.schema("shard int, path string, n long").parquet(manifest)
+
+
+def _writer(stream) -> pq.ParquetWriter:
+    """Dictionary-encoded tokens, delta-encoded other columns, page indexes."""
+    delta = {c: "DELTA_BINARY_PACKED" for c in _FILE.names if c != "tokens"}
+    return pq.ParquetWriter(
+        stream,
+        _FILE,
+        compression="zstd",
+        use_dictionary=["tokens.list.element"],
+        column_encoding=delta,
+        data_page_size=PAGE_BYTES,
+        write_page_index=True,
+    )
+
+
+def read_tokens(manifest: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """The rows of the files, or some columns of them; Parquet reads only those. The driver holds the files' names."""
+    spark = manifest.sparkSession
+    paths = [r["path"] for r in manifest.select("path").collect()]
+    files = spark.read.schema(SCHEMA).parquet(*paths) if paths else spark.createDataFrame([], SCHEMA)
     return files.select(*columns) if columns else files
 
 
-def shard_offsets(spark, folder: str) -> DataFrame:
-    """Rows (at, base): ids of all shards before each one. Reads the metadata columns alone."""
-    sizes = read_tokens(spark, folder, ["shard", "n_tokens"]).groupBy(F.col("shard").alias("at")).agg(F.sum("n_tokens").alias("n"))
-    before = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select("at", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+def shard_offsets(manifest: DataFrame) -> DataFrame:
+    """Rows (at, base): ids of all shards before each one. One row per file."""
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return manifest.select(F.col("shard").alias("at"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
 
 
-def token_digests(spark, folder: str) -> DataFrame:
+def token_digests(manifest: DataFrame) -> DataFrame:
     """Per document of the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +234,7 @@ def token_digests(spark, folder: str) -> DataFrame:
                 ["shard", "doc_id", "shard_start", "n_tokens", "ids_crc32"],
             )
 
-    read = read_tokens(spark, folder, ["shard", "doc_id", "shard_start", "tokens"])
+    read = read_tokens(manifest, ["shard", "doc_id", "shard_start", "tokens"])
     rows = read.mapInArrow(digest, "shard int, doc_id long, shard_start long, n_tokens long, ids_crc32 long")
-    placed = join_on(rows, shard_offsets(spark, folder), {"shard": "at"})
+    placed = join_on(rows, shard_offsets(manifest), {"shard": "at"})
     return placed.select("doc_id", (F.col("base") + F.col("shard_start")).alias("start"), "n_tokens", "ids_crc32")
