@@ -52,13 +52,16 @@ GROUPS_SQL = """grp AS (SELECT gd, team, count(*) AS n, count(*) FILTER (starter
     count(DISTINCT tsid) + CASE WHEN count(tsid) < count(*) THEN 1 ELSE 0 END AS tsids, min(tsid) AS tsid,
     count(DISTINCT player) AS players FROM v_player GROUP BY gd, team)"""
 
-NAMES_SQL = f"""SELECT 'part' AS "table", n.name AS id, {MESSAGE_SQL} AS info
-    FROM v_names n LEFT JOIN conv c ON n.name = c.old_name LEFT JOIN v_missing m ON n.name = m.name
+_NAMES_OF = f"""SELECT '%s' AS "table", n.name AS id, {MESSAGE_SQL} AS info
+    FROM %s n LEFT JOIN conv c ON n.name = c.old_name LEFT JOIN v_missing m ON n.name = m.name
     LEFT JOIN v_known k ON n.name = k.name
     WHERE c.old_name IS NOT NULL OR (m.name IS NULL AND k.name IS NULL)"""
+NAMES_SQL = _NAMES_OF.replace("%s", "part", 1).replace("%s", "v_names")
+# A second table of names.
+SEGMENTS_SQL = _NAMES_OF.replace("%s", "customer", 1).replace("%s", "(SELECT DISTINCT c_mktsegment AS name FROM customer)")
 
 _ALL_VIEWS = ("v_team", "v_player", "v_pteam", "v_names", "v_conversions", "v_missing", "v_known", "v_similar")
-_ALL_SQL = f"{GAMES_SQL} UNION ALL {PLAYERS_SQL} UNION ALL {NAMES_SQL}"
+_ALL_SQL = f"{GAMES_SQL} UNION ALL {PLAYERS_SQL} UNION ALL {NAMES_SQL} UNION ALL {SEGMENTS_SQL}"
 
 
 def game_log(spark, sf):
@@ -75,7 +78,8 @@ def name_log(spark, sf):
 
 
 def whole_log(spark, sf):
-    return Q.combine_logs(game_log(spark, sf), player_log(spark, sf), name_log(spark, sf))
+    segments = Q.check_names(table(spark, sf, "customer"), "c_mktsegment", "customer", *name_lists(spark, sf))
+    return Q.combine_logs(game_log(spark, sf), player_log(spark, sf), name_log(spark, sf), segments)
 
 
 @query("dq_team_game", with_views(GAMES_SQL, "v_team"))

@@ -87,10 +87,23 @@ def _price_model(spark, sf):
     return ols_fit(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice", intcp=1)
 
 
-@query("ols_table", _TABLE)
+# Two-sided p of Student's t with v degrees of freedom: one less twice the density from 0 to |t|, by Simpson's rule.
+_P_VALUES = f"""WITH {_ERRORS}, t AS (
+        SELECT 'l_quantity' AS variable, b1 AS b, se1 AS se, b1 / se1 AS t, n - 2 AS v FROM e
+        UNION ALL SELECT 'intercept', b0, se0, b0 / se0, n - 2 FROM e),
+    grid AS (SELECT *, least(abs(t), 60) / 4000 AS h, i * least(abs(t), 60) / 4000 AS x,
+                    CASE WHEN i IN (0, 4000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END AS w FROM t, range(0, 4001) r(i)),
+    area AS (SELECT variable, any_value(b) AS b, any_value(se) AS se, any_value(t) AS t,
+                    sum(w * h / 3 * exp(lgamma((v + 1) / 2) - lgamma(v / 2)) / sqrt(v * pi())
+                        * pow(1 + x * x / v, -(v + 1) / 2)) AS half FROM grid GROUP BY variable)
+    SELECT variable, round(b, 5) AS beta, round(se, 5) AS stderr, round(t, 5) AS t_value,
+           round(greatest(1 - 2 * half, 0), 6) AS prob_t FROM area"""
+
+
+@query("ols_table", _P_VALUES)
 def _(spark, sf):
-    numbers = ["beta", "stderr", "t_value"]
-    return _rounded(_price_model(spark, sf).table(spark).select("variable", *numbers), *numbers, digits=5)
+    model = _price_model(spark, sf).table(spark).withColumn("prob_t", F.round("prob_t", 6))
+    return _rounded(model, "beta", "stderr", "t_value", digits=5)
 
 
 @query("ols_pvalues")
