@@ -130,34 +130,47 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return _parity(((hashes >> np.uint64(6)) % np.uint64(64 * SIGNATURE)).astype(np.int64), SIGNATURE)
 
 
-SETS = "id long, n_shingles long, fp long, fp2 long, sig array<long>, keys array<long>"
+def wide_signature(hashes: np.ndarray) -> np.ndarray | None:
+    """The same sketch with four bits or more for each shingle, for sets that the short one says little about.
+
+    Its length is a power of two, so it folds to a shorter one by XOR.
+    """
+    words = 1 << (len(hashes) // 16).bit_length()
+    if words <= SIGNATURE:
+        return None
+    return _parity(((hashes >> np.uint64(6)) % np.uint64(64 * words)).astype(np.int64), words)
+
+
+SETS = "id long, n_shingles long, fp long, fp2 long, sig array<long>, wide array<long>, keys array<long>"
 
 
 def sketched(docs: DataFrame, words: int, percent: int, id_: str, text: str) -> DataFrame:
-    """Rows (id, n_shingles, fp, fp2, sig, keys), written. ``keys`` is null where the task has met the set before."""
+    """Rows of SETS, written. ``wide`` and ``keys`` are null where the task has met the set before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, seen = Bands(percent), set()
         for batch in pieces(batches, "data"):
-            n, first, second, sigs, keys = [], [], [], [], []
+            n, first, second, sigs, wides, keys = [], [], [], [], [], []
             for data in batch.column("data").to_pylist():
                 hashes = shingles(data, words)
                 n.append(len(hashes))
                 if not len(hashes):
-                    first.append(None), second.append(None), sigs.append(None), keys.append(None)
+                    first.append(None), second.append(None), sigs.append(None), wides.append(None), keys.append(None)
                     continue
                 one, two = np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), "<i8").tolist()
                 first.append(one), second.append(two)
                 sigs.append(signature(hashes).view(np.int64))
                 if one in seen:
-                    keys.append(None)
+                    wides.append(None), keys.append(None)
                 else:
                     seen.add(one)
+                    wide = wide_signature(hashes)
+                    wides.append(None if wide is None else wide.view(np.int64))
                     keys.append(sketch_keys(hashes, bands).view(np.int64))
             if len(seen) > CACHE_SETS:
                 seen.clear()
             columns = [batch.column("id"), *(pa.array(x, pa.int64()) for x in (n, first, second))]
-            columns += [pa.array(x, pa.list_(pa.int64())) for x in (sigs, keys)]
+            columns += [pa.array(x, pa.list_(pa.int64())) for x in (sigs, wides, keys)]
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in SETS.split(", ")])
 
     rows = docs.select(F.col(id_).cast("long").alias("id"), utf8(text).alias("data"))
@@ -197,14 +210,43 @@ def _sided(nodes: DataFrame, side: str) -> DataFrame:
     )
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int, id_: str, text: str) -> DataFrame:
+def _folded(wide: str, size: Column) -> Column:
+    """A wide signature folded to ``size`` words."""
+    words = F.col(wide)
+
+    def word(i: Column) -> Column:
+        same = F.transform(F.sequence(i, F.size(words) - 1, size), lambda j: F.get(words, j))
+        return F.aggregate(same, F.lit(0).cast("long"), lambda x, y: x.bitwiseXOR(y))
+
+    return F.transform(F.sequence(F.lit(0), size - 1), word)
+
+
+def _wide_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose wide signatures allow a link as well."""
+    ends = pairs.select(F.col("a").alias("e")).union(pairs.select(F.col("b").alias("e"))).distinct()
+    wides = sets.filter("wide IS NOT NULL").join(written(ends), F.col("fp") == F.col("e"), "left_semi")
+    wides = written(wides.select("fp", "n_shingles", "wide").dropDuplicates(["fp"]))
+    for side in ("a", "b"):
+        own = wides.select(F.col("fp").alias(f"{side}_fp"), F.col("n_shingles").alias(f"{side}_n"), F.col("wide").alias(f"{side}_wide"))
+        pairs = join_on(pairs, own, {side: f"{side}_fp"})
+    size = F.least(F.size("a_wide"), F.size("b_wide"))
+    differ = F.zip_with(_folded("a_wide", size), _folded("b_wide", size), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(differ, F.lit(0), lambda x, y: x + y)
+    most = F.floor((100 - percent) * (F.col("a_n") + F.col("b_n")) / F.lit(100 + percent))
+    unknown = F.col("a_wide").isNull() | F.col("b_wide").isNull()
+    return pairs.filter(F.when(unknown, True).otherwise(differ <= most)).select("a", "b")
+
+
+def _links(
+    pairs: DataFrame, nodes: DataFrame, sets: DataFrame, docs: DataFrame, words: int, percent: int, id_: str, text: str
+) -> DataFrame:
     """Those of the pairs (a, b) of classes that are similar enough, compared on whole sets; written."""
-    pairs = written(pairs)
+    pairs = written(_wide_enough(written(pairs), sets, percent))
     ends = pairs.select(F.col("a").alias("e")).union(pairs.select(F.col("b").alias("e"))).distinct()
     involved = written(nodes.join(ends, F.col("fp") == F.col("e"), "left_semi").select("fp", "id"))
-    sets = _sets_of(docs, involved, words, id_, text)
-    a = sets.select(F.col("fp").alias("a_fp"), F.col("hashes").alias("a_set"))
-    b = sets.select(F.col("fp").alias("b_fp"), F.col("hashes").alias("b_set"))
+    hashes = _sets_of(docs, involved, words, id_, text)
+    a = hashes.select(F.col("fp").alias("a_fp"), F.col("hashes").alias("a_set"))
+    b = hashes.select(F.col("fp").alias("b_fp"), F.col("hashes").alias("b_set"))
     both = join_on(join_on(pairs, a, {"a": "a_fp"}, "inner"), b, {"b": "b_fp"}, "inner")
     common = F.size(F.array_intersect("a_set", "b_set"))
     union = F.size("a_set") + F.size("b_set") - F.col("common")
@@ -236,23 +278,24 @@ def near_duplicates(
     ends = members.select(F.col("low").alias("a"), F.col("fp").alias("b")).union(members.select(F.col("fp"), F.col("high")))
     stars = ends.filter("a < b").distinct()
     stars = join_on(join_on(stars, _sided(nodes, "a"), {"a": "a_fp"}, "inner"), _sided(nodes, "b"), {"b": "b_fp"}, "inner")
-    links = _links(stars.filter(_could_link(percent)).select("a", "b"), nodes, docs, words, percent, id_, text)
+    links = _links(stars.filter(_could_link(percent)).select("a", "b"), nodes, sets, docs, words, percent, id_, text)
     labels = components(links, "a", "b")
 
     # What is left of the buckets: members that the links do not connect with the smallest one, against all others.
     named = labels.select(F.col("node"), F.col("root"))
     left = join_on(members.select("key", "fp", "low").distinct(), named.withColumnRenamed("node", "m"), {"fp": "m"})
     left = join_on(left.withColumnRenamed("root", "r"), named.withColumnRenamed("node", "m"), {"low": "m"})
-    left = left.select("key", "fp", F.coalesce("r", "fp").alias("label"), F.coalesce("root", "low").alias("main"))
-    left = written(join_on(left, nodes.select(F.col("fp").alias("n_fp"), "n", *[f"s{i}" for i in range(SIGNATURE)]), {"fp": "n_fp"}, "inner"))
-    apart = left.filter("label <> main")
-    one = _as_side(apart, "a")
-    two = _as_side(left.join(apart.select(F.col("key").alias("k")).distinct(), F.col("key") == F.col("k"), "left_semi"), "b")
+    left = written(left.select("key", "fp", F.coalesce("r", "fp").alias("label"), F.coalesce("root", "low").alias("main")))
+    unsolved = left.filter("label <> main").select(F.col("key").alias("k")).distinct()
+    left = join_on(left, unsolved, {"key": "k"}, "left_semi")
+    marks = nodes.select(F.col("fp").alias("n_fp"), "n", *[f"s{i}" for i in range(SIGNATURE)])
+    left = written(join_on(left, marks, {"fp": "n_fp"}, "inner"))
+    one, two = _as_side(left.filter("label <> main"), "a"), _as_side(left, "b")
     # Both outside the main component: taken once, by order.
     order = (F.col("b_label") == F.col("b_main")) | (F.col("a_fp") < F.col("b_fp"))
     met = one.join(two, (F.col("a_key") == F.col("b_key")) & (F.col("a_label") != F.col("b_label")) & order & _could_link(percent))
     rest = met.select(F.least("a_fp", "b_fp").alias("a"), F.greatest("a_fp", "b_fp").alias("b")).distinct()
-    more = _links(rest, nodes, docs, words, percent, id_, text)
+    more = _links(rest, nodes, sets, docs, words, percent, id_, text)
     labels = components(links.union(more), "a", "b")
 
     # From classes back to documents.
