@@ -6,6 +6,8 @@ rounds that grows with the logarithm of its size; nothing but the two sums that
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,15 +32,18 @@ def _hung(edges: DataFrame, larger_only: bool) -> DataFrame:
     return hung.filter("u <> v").distinct()
 
 
-def components(edges: DataFrame, a: str, b: str) -> DataFrame:
-    """Rows (node, root): the smallest node of the component of every node that has an edge. Loops and nulls are nothing."""
+def components(edges: DataFrame, a: str, b: str, write: Callable[[DataFrame], DataFrame] = written) -> DataFrame:
+    """Rows (node, root): the smallest node of the component of every node that has an edge. Loops and nulls are nothing.
+
+    ``write`` writes what a round has found, so that the next one starts from a table.
+    """
     now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-    now = written(now.filter("u <> v").distinct())
+    now = write(now.filter("u <> v").distinct())
     before = None
     # The sums are of hashes, so that they change when the edges do.
     while (after := now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()) != before:
         before = after
         if not after[0]:
             break
-        now = written(_hung(written(_hung(now, True)), False))
+        now = write(_hung(write(_hung(now, True)), False))
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select("v", "v").distinct())

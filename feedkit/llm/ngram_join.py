@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from feedkit.llm.components import components
+from feedkit.llm.scratch import Scratch
 from feedkit.llm.text import pieces, utf8
 from feedkit.operators.skew import join_on
 from feedkit.session import written
@@ -141,43 +142,65 @@ def wide_signature(hashes: np.ndarray) -> np.ndarray | None:
     return _parity(((hashes >> np.uint64(6)) % np.uint64(64 * words)).astype(np.int64), words)
 
 
-SETS = "id long, n_shingles long, fp long, fp2 long, sig array<long>, wide array<long>, keys array<long>"
+SETS = "id long, n_shingles long, fp long, fp2 long, sig array<long>, wide array<long>"
 
 
-def sketched(docs: DataFrame, words: int, percent: int, id_: str, text: str) -> DataFrame:
-    """Rows of SETS, written. ``wide`` and ``keys`` are null where the task has met the set before."""
+def _fingerprint(hashes: np.ndarray) -> list[int]:
+    return np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), "<i8").tolist()
+
+
+def sketched(docs: DataFrame, words: int, id_: str, text: str) -> DataFrame:
+    """Rows of SETS. ``wide`` is null where the task has met the set before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands, seen = Bands(percent), set()
+        seen: set[int] = set()
         for batch in pieces(batches, "data"):
-            n, first, second, sigs, wides, keys = [], [], [], [], [], []
+            rows = []
             for data in batch.column("data").to_pylist():
                 hashes = shingles(data, words)
-                n.append(len(hashes))
                 if not len(hashes):
-                    first.append(None), second.append(None), sigs.append(None), wides.append(None), keys.append(None)
+                    rows.append((0, None, None, None, None))
                     continue
-                one, two = np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), "<i8").tolist()
-                first.append(one), second.append(two)
-                sigs.append(signature(hashes).view(np.int64))
-                if one in seen:
-                    wides.append(None), keys.append(None)
-                else:
-                    seen.add(one)
-                    wide = wide_signature(hashes)
-                    wides.append(None if wide is None else wide.view(np.int64))
-                    keys.append(sketch_keys(hashes, bands).view(np.int64))
+                one, two = _fingerprint(hashes)
+                wide = None if one in seen else wide_signature(hashes)
+                seen.add(one)
+                rows.append((len(hashes), one, two, signature(hashes).view(np.int64), None if wide is None else wide.view(np.int64)))
             if len(seen) > CACHE_SETS:
                 seen.clear()
+            n, first, second, sigs, wides = zip(*rows, strict=True)
             columns = [batch.column("id"), *(pa.array(x, pa.int64()) for x in (n, first, second))]
-            columns += [pa.array(x, pa.list_(pa.int64())) for x in (sigs, wides, keys)]
+            columns += [pa.array(x, pa.list_(pa.int64())) for x in (sigs, wides)]
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in SETS.split(", ")])
 
     rows = docs.select(F.col(id_).cast("long").alias("id"), utf8(text).alias("data"))
-    return written(rows.mapInArrow(run, SETS))
+    return rows.mapInArrow(run, SETS)
+
+
+def keyed(docs: DataFrame, words: int, percent: int, text: str) -> DataFrame:
+    """Rows (key, fp): the join keys of every set, which a task gives once. They go straight into the join's shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands, seen = Bands(percent), set()
+        for batch in pieces(batches, "data"):
+            keys, fps = [], []
+            for data in batch.column("data").to_pylist():
+                hashes = shingles(data, words)
+                one = _fingerprint(hashes)[0] if len(hashes) else None
+                if one is None or one in seen:
+                    continue
+                seen.add(one)
+                own = sketch_keys(hashes, bands).view(np.int64)
+                keys.append(own)
+                fps.append(np.full(len(own), one, np.int64))
+            if len(seen) > CACHE_SETS:
+                seen.clear()
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, fps)], ["key", "fp"])
+
+    return docs.select(utf8(text).alias("data")).mapInArrow(run, "key long, fp long")
 
 
-def _sets_of(docs: DataFrame, nodes: DataFrame, words: int, id_: str, text: str) -> DataFrame:
+def _sets_of(scratch: Scratch, docs: DataFrame, nodes: DataFrame, words: int, id_: str, text: str) -> DataFrame:
     """Rows (fp, hashes) of the classes in ``nodes`` (fp, id), from the text of one document each; written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +215,7 @@ def _sets_of(docs: DataFrame, nodes: DataFrame, words: int, id_: str, text: str)
     rows = docs.select(F.col(id_).cast("long").alias("id"), utf8(text).alias("data"))
     rows = rows.join(wanted.select("w_id").distinct(), F.col("id") == F.col("w_id"), "left_semi")
     sets = rows.mapInArrow(run, "fp long, hashes array<long>")
-    return written(sets.join(wanted, F.col("fp") == F.col("w_fp"), "left_semi").dropDuplicates(["fp"]))
+    return scratch.written(sets.join(wanted, F.col("fp") == F.col("w_fp"), "left_semi").dropDuplicates(["fp"]))
 
 
 def _could_link(percent: int) -> Column:
@@ -221,11 +244,11 @@ def _folded(wide: str, size: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), size - 1), word)
 
 
-def _wide_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _wide_enough(scratch: Scratch, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (a, b) whose wide signatures allow a link as well."""
     ends = pairs.select(F.col("a").alias("e")).union(pairs.select(F.col("b").alias("e"))).distinct()
-    wides = sets.filter("wide IS NOT NULL").join(written(ends), F.col("fp") == F.col("e"), "left_semi")
-    wides = written(wides.select("fp", "n_shingles", "wide").dropDuplicates(["fp"]))
+    wides = sets.filter("wide IS NOT NULL").join(scratch.written(ends), F.col("fp") == F.col("e"), "left_semi")
+    wides = scratch.written(wides.select("fp", "n_shingles", "wide").dropDuplicates(["fp"]))
     for side in ("a", "b"):
         own = wides.select(F.col("fp").alias(f"{side}_fp"), F.col("n_shingles").alias(f"{side}_n"), F.col("wide").alias(f"{side}_wide"))
         pairs = join_on(pairs, own, {side: f"{side}_fp"})
@@ -238,20 +261,28 @@ def _wide_enough(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _links(
-    pairs: DataFrame, nodes: DataFrame, sets: DataFrame, docs: DataFrame, words: int, percent: int, id_: str, text: str
+    scratch: Scratch,
+    pairs: DataFrame,
+    nodes: DataFrame,
+    sets: DataFrame,
+    docs: DataFrame,
+    words: int,
+    percent: int,
+    id_: str,
+    text: str,
 ) -> DataFrame:
     """Those of the pairs (a, b) of classes that are similar enough, compared on whole sets; written."""
-    pairs = written(_wide_enough(written(pairs), sets, percent))
+    pairs = scratch.written(_wide_enough(scratch, scratch.written(pairs), sets, percent))
     ends = pairs.select(F.col("a").alias("e")).union(pairs.select(F.col("b").alias("e"))).distinct()
-    involved = written(nodes.join(ends, F.col("fp") == F.col("e"), "left_semi").select("fp", "id"))
-    hashes = _sets_of(docs, involved, words, id_, text)
+    involved = scratch.written(nodes.join(ends, F.col("fp") == F.col("e"), "left_semi").select("fp", "id"))
+    hashes = _sets_of(scratch, docs, involved, words, id_, text)
     a = hashes.select(F.col("fp").alias("a_fp"), F.col("hashes").alias("a_set"))
     b = hashes.select(F.col("fp").alias("b_fp"), F.col("hashes").alias("b_set"))
     both = join_on(join_on(pairs, a, {"a": "a_fp"}, "inner"), b, {"b": "b_fp"}, "inner")
     common = F.size(F.array_intersect("a_set", "b_set"))
     union = F.size("a_set") + F.size("b_set") - F.col("common")
     near = both.withColumn("common", common).filter(100 * F.col("common") >= percent * union)
-    return written(near.select("a", "b"))
+    return scratch.written(near.select("a", "b"))
 
 
 def near_duplicates(
@@ -263,49 +294,51 @@ def near_duplicates(
     with nothing. Rows that share an id are one document as to what their sets link to. A row without an id takes part
     like any other, but is never the smallest; alone it has no component. Other columns are left out.
     """
-    sets = sketched(docs, words, percent, id_, text)
+    scratch = Scratch(docs.sparkSession, "ngram-join")
+    sets = scratch.written(sketched(docs, words, id_, text))
     classes = sets.filter("fp IS NOT NULL").groupBy("fp").agg(
         F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")
     )
-    nodes = written(classes.select("fp", "id", "n", *[F.get("sig", i).alias(f"s{i}") for i in range(SIGNATURE)]))
+    nodes = scratch.written(classes.select("fp", "id", "n", *[F.get("sig", i).alias(f"s{i}") for i in range(SIGNATURE)]))
 
     # Buckets of the join with more than one class, and their smallest and largest member.
     bucket = Window.partitionBy("key")
-    rows = sets.filter("keys IS NOT NULL").select(F.explode("keys").alias("key"), "fp")
-    ranged = rows.withColumns({"low": F.min("fp").over(bucket), "high": F.max("fp").over(bucket)})
-    members = written(ranged.filter("low < high"))
+    sides = {"low": F.min("fp").over(bucket), "high": F.max("fp").over(bucket), "size": F.count(F.lit(1)).over(bucket)}
+    members = scratch.written(keyed(docs, words, percent, text).withColumns(sides).filter("low < high"))
 
     ends = members.select(F.col("low").alias("a"), F.col("fp").alias("b")).union(members.select(F.col("fp"), F.col("high")))
     stars = ends.filter("a < b").distinct()
     stars = join_on(join_on(stars, _sided(nodes, "a"), {"a": "a_fp"}, "inner"), _sided(nodes, "b"), {"b": "b_fp"}, "inner")
-    links = _links(stars.filter(_could_link(percent)).select("a", "b"), nodes, sets, docs, words, percent, id_, text)
-    labels = components(links, "a", "b")
+    links = _links(scratch, stars.filter(_could_link(percent)).select("a", "b"), nodes, sets, docs, words, percent, id_, text)
+    labels = components(links, "a", "b", scratch.written)
 
-    # What is left of the buckets: members that the links do not connect with the smallest one, against all others.
+    # What is left of the buckets of three or more: members that the links do not connect with the smallest one, against all others.
     named = labels.select(F.col("node"), F.col("root"))
-    left = join_on(members.select("key", "fp", "low").distinct(), named.withColumnRenamed("node", "m"), {"fp": "m"})
+    left = join_on(members.filter("size > 2").select("key", "fp", "low").distinct(), named.withColumnRenamed("node", "m"), {"fp": "m"})
     left = join_on(left.withColumnRenamed("root", "r"), named.withColumnRenamed("node", "m"), {"low": "m"})
-    left = written(left.select("key", "fp", F.coalesce("r", "fp").alias("label"), F.coalesce("root", "low").alias("main")))
+    left = scratch.written(left.select("key", "fp", F.coalesce("r", "fp").alias("label"), F.coalesce("root", "low").alias("main")))
     unsolved = left.filter("label <> main").select(F.col("key").alias("k")).distinct()
     left = join_on(left, unsolved, {"key": "k"}, "left_semi")
     marks = nodes.select(F.col("fp").alias("n_fp"), "n", *[f"s{i}" for i in range(SIGNATURE)])
-    left = written(join_on(left, marks, {"fp": "n_fp"}, "inner"))
+    left = scratch.written(join_on(left, marks, {"fp": "n_fp"}, "inner"))
     one, two = _as_side(left.filter("label <> main"), "a"), _as_side(left, "b")
     # Both outside the main component: taken once, by order.
     order = (F.col("b_label") == F.col("b_main")) | (F.col("a_fp") < F.col("b_fp"))
     met = one.join(two, (F.col("a_key") == F.col("b_key")) & (F.col("a_label") != F.col("b_label")) & order & _could_link(percent))
     rest = met.select(F.least("a_fp", "b_fp").alias("a"), F.greatest("a_fp", "b_fp").alias("b")).distinct()
-    more = _links(rest, nodes, sets, docs, words, percent, id_, text)
-    labels = components(links.union(more), "a", "b")
+    more = _links(scratch, rest, nodes, sets, docs, words, percent, id_, text)
+    labels = components(links.union(more), "a", "b", scratch.written)
 
     # From classes back to documents.
     ids = nodes.select(F.col("fp").alias("c"), F.col("id").alias("c_id"))
     linked = join_on(labels, ids, {"node": "c"}, "inner")
     least = linked.groupBy("root").agg(F.min("c_id").alias("least")).withColumnRenamed("root", "t")
-    linked = written(join_on(linked, least, {"root": "t"}, "inner").select(F.col("node").alias("l"), "least"))
+    linked = scratch.written(join_on(linked, least, {"root": "t"}, "inner").select(F.col("node").alias("l"), "least"))
     placed = join_on(sets.select("id", "n_shingles", "fp"), ids, {"fp": "c"})
     placed = join_on(placed, linked, {"fp": "l"})
-    return placed.select(F.col("id").alias(id_), "n_shingles", F.coalesce("least", "c_id", "id").alias("component_id"))
+    out = written(placed.select(F.col("id").alias(id_), "n_shingles", F.coalesce("least", "c_id", "id").alias("component_id")))
+    scratch.drop()
+    return out
 
 
 def _as_side(rows: DataFrame, side: str) -> DataFrame:
