@@ -63,6 +63,7 @@ def check_games(games: DataFrame) -> DataFrame:
         )
     )
     a, b = F.col("a"), F.col("b")
+    # The messages of the log.
     info = _first_broken(
         [
             (F.col("_rows") == 2, "Row count != 2"),
@@ -126,6 +127,7 @@ def check_players(
     )
     joined = join_on(groups, facing, {"gd": "_f_gd", "_lo_opp": "_f_team"})
     joined = join_on(joined, linked, {"_lo_tsid": "_t_id"})
+    # The messages of the log.
     info = _first_broken(
         [
             (F.col("_rows") >= min_rows, f"Row count < {min_rows}"),

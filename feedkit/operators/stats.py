@@ -82,13 +82,13 @@ def ols_fit(
     )
     n = row["n"]
     if n == 0:
-        raise EmptyInput("Training DF empty after dropping NA.")
+        raise EmptyInput("no row has a value in every column of the model")
     mean = np.array([row[f"m{i}"] for i in range(k)])
     cov = np.empty((k, k))
     for i, j in pairs:
         cov[i, j] = cov[j, i] = row[f"c{i}_{j}"]
     if n < min_obs:
-        raise TooFewRows(f"Insufficient obs: {n}.")
+        raise TooFewRows(f"the fit has {n} complete rows and was asked for {min_obs} at least")
     return _solve(xs, n, mean, cov, bool(intcp))
 
 

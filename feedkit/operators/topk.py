@@ -176,7 +176,7 @@ def remove_outliers_count(df: DataFrame, column: str, top: int, bottom: int, key
     Ties go by ``key``, a unique column. The picked rows are few, so the table itself is not shuffled.
     """
     if df.select(key).limit(top + bottom).count() < top + bottom:
-        raise TooFewRows("(top + bottom) to remove > size of DF.")
+        raise TooFewRows(f"the table has fewer than the {top + bottom} rows to be removed")
     # NaN is a missing value and is never picked.
     usable = df.select(key, column).filter(F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double")))
     highest = usable.orderBy(F.desc(column), F.asc(key)).limit(top).select(key)

@@ -68,7 +68,7 @@ def latest_snapshot(
     low, high = as_of - (lookback - 1) * days, as_of + days
     newest = df.filter((c >= F.lit(low)) & (c < F.lit(high))).agg(F.to_date(F.max(c))).first()[0]
     if newest is None:
-        raise SnapshotMissing(f"Unable to find latest {feed}.")
+        raise SnapshotMissing(f"no snapshot of {feed} within {lookback} days")
     return df.filter((c >= F.lit(newest)) & (c < F.lit(newest + days)))
 
 

@@ -101,5 +101,5 @@ def write_values(df: DataFrame, column: str, path: str) -> str:
     """One value per line; an empty input is an error."""
     out = df.select(F.col(column).cast("string").alias("value"))
     if out.isEmpty():
-        raise EmptyInput("data is empty.")
+        raise EmptyInput("there is no value to write")
     return _next_free(path, lambda p: out.write.mode("errorifexists").text(p))

@@ -237,12 +237,12 @@ def test_a_missing_feed_skips_only_its_stage(spark):
     new = spark.createDataFrame([row], "feed_pos long, gid string, team string, player string, gd timestamp_ntz, season int")
 
     def no_feed(mark):
-        raise SnapshotMissing("Unable to find latest team feed.")
+        raise SnapshotMissing("no snapshot of team feed")
 
     lost = spark.createDataFrame([(DAY, "X", "Y", "team not in lookup")], feeds.PROBLEM)
     got, same, skipped, problems = stages.update_all(players, games, 2018, lambda mark: (new, lost), no_feed, strict=False)
     assert rows(problems, "stage", "team", "reason") == [("players", "X", "team not in lookup")]
-    assert skipped == ["Unable to find latest team feed."]
+    assert skipped == ["no snapshot of team feed"]
     assert rows(got, "id", "player", "tsid", "starter") == [(1, "p", None, None)]
     assert same is games
     with pytest.raises(MissingLinks):
