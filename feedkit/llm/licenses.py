@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedkit.operators.skew import join_on
+from feedkit.session import written
 
 SHINGLE = 5
 PERCENT = 80
@@ -97,8 +98,10 @@ def words_of(text: Column) -> Column:
 
 def shingles_of(words: Column) -> Column:
     """64-bit hashes of all runs of SHINGLE words, in order."""
-    places = F.filter(F.sequence(F.lit(0), F.size(words)), lambda i: i <= F.size(words) - SHINGLE)
-    return F.transform(places, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(SHINGLE)]))
+    size = F.greatest(F.size(words) - (SHINGLE - 1), F.lit(0))
+    # Shifted copies side by side, so that the words are worked out once and not once per place.
+    runs = F.arrays_zip(*[F.slice(words, F.lit(k + 1), size).alias(f"w{k}") for k in range(SHINGLE)])
+    return F.transform(runs, lambda r: F.xxhash64(*[r[f"w{k}"] for k in range(SHINGLE)]))
 
 
 def _plain_words(text: str) -> list[str]:
@@ -159,7 +162,8 @@ def find_licenses(docs: DataFrame, templates=TEMPLATES, id_: str = "doc_id", tex
     per window. A null id is reported as null. Other columns are left out.
     """
     spark = docs.sparkSession
-    table = template_table(spark, templates)
+    # Written, so that their size is known before the joins are planned and the texts are not shuffled for them.
+    table = written(template_table(spark, templates))
     marked = marks(templates)
     some = F.lit(False)
     for word in marked:
@@ -167,8 +171,7 @@ def find_licenses(docs: DataFrame, templates=TEMPLATES, id_: str = "doc_id", tex
     # Only windows with a marked word can pass, so only these are made.
     rows = docs.select(F.col(id_).alias("id"), folded(F.col(text)).alias("_lower")).filter(some)
     rows = rows.select("id", words_of(F.col("_lower")).alias("words"))
-    everywhere = F.sequence(F.lit(0), F.size("words"))
-    spots = F.filter(everywhere, lambda i: F.get("words", i).isin(marked))
+    spots = F.array_compact(F.transform("words", lambda w, i: F.when(w.isin(marked), i)))
     rows = rows.select("id", "words", spots.alias("spots")).filter((F.size("spots") > 0) & (F.size("words") >= SHINGLE))
     sizes = (len(set(_plain_shingles(t))) for _, t in templates)
     classes = F.array(*[F.lit(c) for c in sorted({n.bit_length() - 1 for n in sizes if n})])
@@ -183,11 +186,13 @@ def find_licenses(docs: DataFrame, templates=TEMPLATES, id_: str = "doc_id", tex
     windows = rows.select("id", "cls", "first", shingles_of(F.slice("words", F.col("first") + 1, long_)).alias("s"))
     windows = windows.filter(F.size("s") > 0)
     keyed = windows.select("*", F.inline(_bands(F.col("s"))))
-    wanted = table.select("template", "license", "n", "wanted", F.col("cls").alias("t_cls"), F.inline(_bands(F.col("wanted"))))
-    wanted = wanted.withColumnsRenamed({"band": "t_band", "low": "t_low"})
-    met = join_on(keyed, wanted, {"cls": "t_cls", "band": "t_band", "low": "t_low"}, "inner")
-    held = F.size(F.array_intersect("s", "wanted"))
-    sure = met.withColumn("held", held).filter(100 * F.col("held") >= PERCENT * F.col("n"))
+    # As many rows as templates times BANDS.
+    keys = table.select(F.col("template").alias("t"), F.col("cls").alias("t_cls"), F.inline(_bands(F.col("wanted"))))
+    keys = written(keys.withColumnsRenamed({"band": "t_band", "low": "t_low"}))
+    met = join_on(keyed, keys, {"cls": "t_cls", "band": "t_band", "low": "t_low"}, "inner")
+    met = met.groupBy("id", "cls", "first", "t").agg(F.first("s").alias("s"))
+    both = join_on(met, table.drop("cls"), {"t": "template"}, "inner").withColumnRenamed("t", "template")
+    sure = both.withColumn("held", F.size(F.array_intersect("s", "wanted"))).filter(100 * F.col("held") >= PERCENT * F.col("n"))
     return sure.groupBy("id", "license", "template", "first").agg(F.max("held").alias("n_shingles")).select(
         "id", "license", "template", F.col("first").alias("first_word"), "n_shingles"
     )
