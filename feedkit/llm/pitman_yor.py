@@ -1,14 +1,19 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
-A text is a sequence of words and its end. The context of a word is the language that the function words before it speak
-for, if any; each such context is a restaurant of words. They share one parent, which serves all words; its parent spells
-them, symbol by symbol, from the ORDER - 1 symbols before. Every such context is a restaurant that shares its parent, the
-context without its first symbol, with all contexts of that ending, down to a uniform choice of symbols. Tables of a restaurant are customers of its
-parent. Seatings are sampled by Gibbs sweeps over the dishes, each dish's customers being seated anew by the Chinese
-restaurant process given all other tables, and predictive probabilities are averaged over samples.
+A text is a sequence of words and its end. The context of a word is the two words before it (a mark stands before a text)
+and the language that the function words before it speak for, if any. Contexts are restaurants of words: those of two words
+before share a parent that knows one of them, those of one word share the language's, and the languages share one that
+serves all words; its parent spells them, symbol by symbol, from the ORDER - 1 symbols before. Every such context is a
+restaurant that shares its parent, the context without its first symbol, with all contexts of that ending, down to a
+uniform choice of symbols. Tables of a restaurant are customers of its parent. Seatings are sampled by Gibbs sweeps over the
+dishes, each dish's customers being seated anew by the Chinese restaurant process given all other tables, and predictive
+probabilities are averaged over samples.
 
 The words' restaurants grow with the corpus and are spread over partitions. Documents are stored in chunks, as numbers of
-the chunk's distinct dishes (a word in a context); a chunk asks the partitions once for each of them.
+the chunk's distinct dishes (a word in a language); a chunk asks the partitions once for each of them. Restaurants of
+preceding words are dealt by the last of these, so every such restaurant is whole in one partition and its sums are exact. A
+round samples them given the probabilities of the languages' dishes, and then the languages and all words given their
+tables, sample by sample; ROUNDS rounds follow a first one in which every use of a word is a customer of its language.
 
 The spelling model is bounded: with SYMBOLS = 64 (a-z, digits, frequent punctuation, sixteen halves of any other byte, the
 ends of a word and of a text) and ORDER = 4 it has 64^4 probabilities, 64 MB, however large the corpus is. That bound is
@@ -30,6 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedkit.llm.scratch import Scratch
 from feedkit.llm.text import pieces, utf8
 from feedkit.session import fresh_path, written
 
@@ -52,13 +58,19 @@ DISCOUNT = (0.5, 0.6, 0.7, 0.75)
 STRENGTH = (1.0, 1.0, 1.0, 1.0)
 WORD_DISCOUNT, WORD_STRENGTH = 0.75, 10.0
 CONTEXT_DISCOUNT, CONTEXT_STRENGTH = 0.5, 10.0
-BURN_IN, SAMPLES = 2, 3
+# Those of the restaurants of one and of two words before.
+ONE_DISCOUNT, ONE_STRENGTH = 0.75, 5.0
+TWO_DISCOUNT, TWO_STRENGTH = 0.85, 5.0
+BURN_IN, SAMPLES, ROUNDS = 2, 3, 1
 SEED = 11
 # Customers that are seated one by one; later ones of a dish are seated in blocks that double.
 ONE_BY_ONE = 32
 # Tokens of a chunk of documents, and distinct dishes of chunks that a partition of the vocabulary answers.
 CHUNK_TOKENS = 1_500_000
 PARTITION_DISHES = 3_000_000
+# Tokens for each partition of the restaurants of preceding words, and the number of the mark before a text.
+PARTITION_TOKENS = 1_500_000
+START = 1 << 62
 
 
 def _tables() -> np.ndarray:
@@ -292,13 +304,16 @@ STORE = (
 )
 
 
-def _packed(numbers: np.ndarray) -> bytes:
+def _packed(numbers: np.ndarray, kind: str = "<u4") -> bytes:
     """Numbers by planes of their bytes, deflated."""
-    return zlib.compress(np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+    size = np.dtype(kind).itemsize
+    planes = np.ascontiguousarray(numbers.astype(kind)).view(np.uint8).reshape(-1, size).T
+    return zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+def _unpacked(data: bytes, kind: str = "<u4") -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
 
 
 def chunks(docs: DataFrame, model: str, id_: str, text: str) -> DataFrame:
@@ -355,38 +370,41 @@ def _names(schema: str) -> list[str]:
     return [x.split()[0] for x in schema.split(", ")]
 
 
-# For each dish asked: ``own`` is c - d t in its context, averaged over samples; ``shared`` is c - d t of its word in the
-# restaurant of all words, sample after sample; ``uses`` says how often training texts hold the word.
-REPLY = "chunk long, part int, own binary, shared binary, uses binary, sums array<double>"
+# For each dish asked, sample after sample: ``own`` is c - d t in its language; ``shared`` is c - d t of its word in the
+# restaurant of all words; ``uses`` says how often training texts hold the word; ``number`` is the word's own in the corpus:
+# its rank by uses among those of its partition, times the partitions, plus the partition. Often used ones are small.
+REPLY = "chunk long, part int, own binary, shared binary, uses binary, number binary, sums array<double>"
 
 
-def seated(word: np.ndarray, context: np.ndarray, c: np.ndarray, p: np.ndarray, parts: int, part: int):
-    """Gibbs samples of the seating of a partition's dishes (c > 0 customers each) and of their words.
+def seated(word: np.ndarray, context: np.ndarray, c: list[np.ndarray], p: np.ndarray, parts: int, part: int):
+    """Gibbs samples of the seating of a partition's dishes (c > 0 customers each, by sample) and of their words.
 
     ``word`` numbers the words of the dishes, ``p`` has the spelling's probability of each word. Words are dealt evenly,
-    so sums over a whole restaurant are taken as ``parts`` times the partition's own. Yields (tables of the dishes,
-    customers and tables of the words).
+    so sums over a whole restaurant are taken as ``parts`` times the partition's own. Yields (customers and tables of the
+    dishes, customers and tables of the words).
     """
     random = np.random.default_rng([SEED, part])
-    t, tables = np.ones(len(c), np.int64), np.ones(len(p), np.int64)
+    t, tables = np.ones(len(word), np.int64), np.ones(len(p), np.int64)
     customers = np.bincount(word, minlength=len(p))
     for i in range(BURN_IN + SAMPLES):
+        now = c[max(0, i - BURN_IN)]
         all_tables = parts * tables.sum()
         base = np.maximum(customers - WORD_DISCOUNT * tables, 0) + (WORD_STRENGTH + WORD_DISCOUNT * all_tables) * p
         base /= WORD_STRENGTH + parts * customers.sum()
         others = parts * np.bincount(context, weights=t, minlength=CONTEXTS)[context] - t
-        t = seat(c, base[word], others, CONTEXT_STRENGTH, CONTEXT_DISCOUNT, random)
+        t = seat(now, base[word], others, CONTEXT_STRENGTH, CONTEXT_DISCOUNT, random)
         customers = np.bincount(word, weights=t, minlength=len(p)).astype(np.int64)
         tables = seat(customers, p, all_tables - tables, WORD_STRENGTH, WORD_DISCOUNT, random)
         if i >= BURN_IN:
-            yield t, customers, tables
+            yield now, t, customers, tables
 
 
-def _answers(asked: np.ndarray, contexts_: np.ndarray, train: np.ndarray, spelling: np.ndarray, parts: int, part: int):
-    """For every dish asked, own, shared and uses as in REPLY; and the sums over the partition's restaurants.
+def _answers(asked: np.ndarray, contexts_: np.ndarray, train: np.ndarray, spelling: np.ndarray, sent: list, parts: int, part: int):
+    """For every dish asked, own, shared, uses and number as in REPLY; and the sums over the partition's restaurants.
 
-    The sums are: different words and tokens of training texts; per context its customers; per sample and context its
-    tables; per sample customers and tables of the restaurant of all words.
+    ``sent`` has the tables (ranks of words, contexts, tables by sample) of the restaurants of preceding words; where it is empty,
+    every use is a customer. The sums are: different words and tokens of training texts; per sample and context its
+    customers, then its tables; per sample customers and tables of the restaurant of all words.
     """
     words, first, word_at = np.unique(asked, return_index=True, return_inverse=True)
     dishes, dish_at = np.unique(word_at * CONTEXTS + contexts_, return_inverse=True)
@@ -397,28 +415,45 @@ def _answers(asked: np.ndarray, contexts_: np.ndarray, train: np.ndarray, spelli
     place[served] = np.arange(len(served))
     context = dishes[eaten] % CONTEXTS
     p = 10.0 ** spelling[first][served].astype(np.float64)
-    own, shared = np.zeros(len(dishes)), np.zeros((SAMPLES, len(words)), "<f4")
-    sums = [len(served), c.sum(), *np.bincount(context, weights=c[eaten], minlength=CONTEXTS)]
-    more = []
+    by_rank = np.lexsort([words, -uses])
+    rank = np.empty(len(words), np.int64)
+    rank[by_rank] = np.arange(len(words))
+    guests = [c[eaten]] * SAMPLES
+    if sent:
+        at = [np.searchsorted(dishes, by_rank[w] * CONTEXTS + k) for w, k, _ in sent]
+        at, tables = np.concatenate(at), np.concatenate([t for *_, t in sent], axis=1)
+        guests = [np.bincount(at, weights=t, minlength=len(dishes)).astype(np.int64)[eaten] for t in tables]
+    own, shared = (np.zeros((SAMPLES, n), "<f4") for n in (len(dishes), len(words)))
+    sums = np.zeros((SAMPLES, 2 * CONTEXTS + 2))
     if len(eaten):
-        for i, (t, customers, tables) in enumerate(seated(place[dishes[eaten] // CONTEXTS], context, c[eaten], p, parts, part)):
-            own[eaten] += (c[eaten] - CONTEXT_DISCOUNT * t) / SAMPLES
+        for i, (now, t, customers, tables) in enumerate(seated(place[dishes[eaten] // CONTEXTS], context, guests, p, parts, part)):
+            own[i, eaten] = now - CONTEXT_DISCOUNT * t
             shared[i, served] = np.maximum(customers - WORD_DISCOUNT * tables, 0)
-            sums += list(np.bincount(context, weights=t, minlength=CONTEXTS))
-            more += [customers.sum(), tables.sum()]
-    else:
-        sums, more = sums + [0] * CONTEXTS * SAMPLES, [0] * 2 * SAMPLES
-    return own.astype("<f4")[dish_at], shared[:, word_at], uses.astype("<u8")[word_at], [float(x) for x in sums + more]
+            sums[i, :CONTEXTS] = np.bincount(context, weights=now, minlength=CONTEXTS)
+            sums[i, CONTEXTS:-2] = np.bincount(context, weights=t, minlength=CONTEXTS)
+            sums[i, -2:] = customers.sum(), tables.sum()
+    number = (rank * parts + part)[word_at]
+    return own[:, dish_at], shared[:, word_at], uses[word_at], number, [float(len(served)), float(c.sum()), *sums.reshape(-1).tolist()]
 
 
-def word_counts(store: DataFrame) -> DataFrame:
-    """Answers to every chunk's dishes, in pieces: rows of REPLY, written.
+def _word_bits(store: DataFrame) -> int:
+    """Leading bits of a word's hash that number its partition."""
+    total = store.agg(F.sum("n_dishes")).first()[0] or 0
+    return max(0, int(-(-total // PARTITION_DISHES) - 1).bit_length())
+
+
+def _edges(words: np.ndarray, bits: int) -> list[int]:
+    """Where each partition's words begin in sorted hashes, and where the last one's end."""
+    borders = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
+    return [0, *np.searchsorted(words, borders).tolist(), len(words)]
+
+
+def word_counts(store: DataFrame, bits: int, sent: DataFrame | None = None) -> DataFrame:
+    """Answers to every chunk's dishes, in pieces: rows of REPLY.
 
     Words are dealt to partitions by their leading bits, so the pieces of a chunk in the order of ``part`` follow its
-    sorted dishes. A row without a chunk per partition has the sums.
+    sorted dishes. A row without a chunk per partition has the sums. ``sent`` holds rows (part, words, contexts, tables).
     """
-    total = store.agg(F.sum("n_dishes")).first()[0] or 0
-    bits = max(0, int(-(-total // PARTITION_DISHES) - 1).bit_length())
     parts = 1 << bits
     kinds = {"words": "<u8", "contexts": "u1", "train": "<u4", "spelling": "<f4"}
 
@@ -427,8 +462,7 @@ def word_counts(store: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 columns = {k: np.frombuffer(row[k], t) for k, t in kinds.items()}
-                borders = np.arange(1, parts, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(0, np.uint64)
-                edges = [0, *np.searchsorted(columns["words"], borders).tolist(), len(columns["words"])]
+                edges = _edges(columns["words"], bits)
                 for p, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
                     if a < b:
                         one = {"part": pa.array([p], pa.int32()), "chunk": [row["chunk"]]}
@@ -439,26 +473,274 @@ def word_counts(store: DataFrame) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 by_part.setdefault(row["part"], []).append(row)
-        for part, rows in by_part.items():
-            rows.sort(key=lambda r: r["chunk"])
+        for part, both in by_part.items():
+            rows = sorted((r for r in both if r["chunk"] is not None), key=lambda r: r["chunk"])
+            tables = [r for r in both if r["chunk"] is None]
+            # The order in which tables arrive is no part of the result: they are only added up.
+            tables = [(_unpacked(r["words"]), np.frombuffer(r["contexts"], "u1"), _unpacked(r["tables"]).reshape(SAMPLES, -1)) for r in tables]
             columns = [np.concatenate([np.frombuffer(r[k], t) for r in rows]) for k, t in kinds.items()]
-            own, shared, uses, sums = _answers(*columns, parts, part)
+            own, shared, uses, number, sums = _answers(*columns, tables, parts, part)
             at = 0
             for r in rows:
                 to = at + len(r["contexts"])
-                yield _reply(r["chunk"], part, own[at:to].tobytes(), shared[:, at:to].T.tobytes(), uses[at:to].tobytes(), None)
+                packed = [_packed(own[:, at:to].T, "<f4"), _packed(shared[:, at:to].T, "<f4"), _packed(uses[at:to], "<u8")]
+                yield _reply(r["chunk"], part, *packed, _packed(number[at:to], "<u8"), None)
                 at = to
-            yield _reply(None, None, None, None, None, sums)
+            yield _reply(None, None, None, None, None, None, sums)
 
     requests = store.select("chunk", *kinds).mapInArrow(ask, "part int, chunk long, words binary, contexts binary, train binary, spelling binary")
-    return written(requests.repartition(parts, "part").mapInArrow(answer, REPLY))
+    requests = requests.withColumn("tables", F.lit(None).cast("binary"))
+    if sent is not None:
+        requests = requests.unionByName(sent.select("part", "words", "contexts", "tables"), allowMissingColumns=True)
+    return requests.repartition(parts, "part").mapInArrow(answer, REPLY)
 
 
 def _reply(*values) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.float64())]
+    types = [pa.int64(), pa.int32()] + [pa.binary()] * 4 + [pa.list_(pa.float64())]
     return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types, strict=True)], _names(REPLY))
 
 
+class Sums:
+    """What the answers to words say of whole restaurants, and the probabilities that follow from it."""
+
+    def __init__(self, replies: DataFrame):
+        size = 2 + SAMPLES * (2 * CONTEXTS + 2)
+        found = replies.filter("chunk IS NULL").agg(*[F.sum(F.get("sums", F.lit(i))) for i in range(size)]).first()
+        self.words, self.trained, *more = (x or 0 for x in found)
+        by_sample = np.array(more, np.float64).reshape(SAMPLES, -1)
+        self.guests, self.tables, self.alls = by_sample[:, :CONTEXTS], by_sample[:, CONTEXTS:-2], by_sample[:, -2:]
+
+    def probabilities(self, own: np.ndarray, shared: np.ndarray, language: np.ndarray, spelling: np.ndarray) -> np.ndarray:
+        """Predictive probabilities of dishes in their languages, a row per sample."""
+        total = np.empty((SAMPLES, len(spelling)))
+        for i in range(SAMPLES):
+            word = shared[:, i] + (WORD_STRENGTH + WORD_DISCOUNT * self.alls[i, 1]) * spelling
+            word /= WORD_STRENGTH + self.alls[i, 0]
+            total[i] = own[:, i] + (CONTEXT_STRENGTH + CONTEXT_DISCOUNT * self.tables[i, language]) * word
+            total[i] /= CONTEXT_STRENGTH + self.guests[i, language]
+        return total
+
+
+class Asked:
+    """The dishes of a stored chunk in the contexts of the two words before, and which of them each token is.
+
+    ``pairs`` are a preceding word times ``n_dishes`` plus the chunk's dish, ``triples`` a place in them times ``base`` plus
+    the word before that; both are sorted. Words are places in the chunk's sorted hashes, the mark stands at their end.
+    """
+
+    def __init__(self, row: dict):
+        places, sizes = _unpacked(row["numbers"]).astype(np.int64), np.array(row["n_tokens"], np.int64)
+        words = np.frombuffer(row["words"], "<u8")
+        self.new = np.append(True, words[1:] != words[:-1])
+        self.hashes = words[self.new]
+        self.n_dishes, self.base = len(words), len(self.hashes) + 1
+        token = (np.cumsum(self.new) - 1)[places]
+        starts = np.cumsum(sizes) - sizes
+        one = np.append(0, token[:-1])
+        one[starts] = self.base - 1
+        two = np.append(0, one[:-1])
+        two[starts] = self.base - 1
+        self.pairs, at = np.unique(one * self.n_dishes + places, return_inverse=True)
+        self.triples, self.at = np.unique(at * self.base + two, return_inverse=True)
+        self.train = np.bincount(self.at[np.repeat(~np.array(row["held"], bool), sizes)], minlength=len(self.triples))
+
+    def edges(self, parts: int) -> list[int]:
+        """Where the triples of each partition begin: words are dealt by their hashes in order, the mark to the last."""
+        part = np.append((self.hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.uint64(parts - 1)).astype(np.int64)
+        of = part[self.pairs[self.triples // self.base] // self.n_dishes]
+        return np.searchsorted(of, np.arange(parts + 1)).tolist()
+
+
+PIECE = "part int, chunk long, ones binary, pairs_of_one binary, dish_at binary, dishes binary, languages binary, p binary, triples_of_pair binary, twos binary, train binary"
+
+
+def _spread(x: np.ndarray) -> np.ndarray:
+    """A one-to-one map of 64-bit numbers after which near ones lie far apart."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """64-bit hashes of pairs of numbers."""
+    step = np.uint64(0x9E3779B97F4A7C15)
+    return _spread(_spread(a.astype(np.uint64) * step + step) + b.astype(np.uint64) * step)
+
+
+def _grouped(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct id is found first, and for every row the number of its id."""
+    _, first, at = np.unique(ids, return_index=True, return_inverse=True)
+    return first.astype(np.int32), at.astype(np.int32)
+
+
+def seated_after_words(c: np.ndarray, pair: np.ndarray, two: np.ndarray, one: np.ndarray, p: np.ndarray, random: np.random.Generator):
+    """Gibbs samples of the seating of restaurants of two words before (c >= 0 customers of each dish) and of one.
+
+    ``pair`` numbers a dish's place in those of its parent, ``two`` its restaurant; ``one`` and ``p`` are the restaurant
+    and the probability in the language of each dish of the parents. Yields (own, factor, tables): the probability of a
+    dish is own plus factor times that in the language, its tables are those of the parents' dishes.
+    """
+    eaten = np.flatnonzero(c)
+    many, t = eaten[c[eaten] > 1], (c > 0).astype(np.int64)
+    n_two, n_one = int(two.max(initial=-1)) + 1, int(one.max(initial=-1)) + 1
+    all_two = np.bincount(two, weights=c, minlength=n_two)
+    guests = np.bincount(pair, weights=t, minlength=len(one)).astype(np.int64)
+    tables = (guests > 0).astype(np.int64)
+
+    def in_one():
+        sums = [np.bincount(one, weights=x, minlength=n_one) for x in (guests, tables)]
+        own = np.maximum(guests - ONE_DISCOUNT * tables, 0) / (ONE_STRENGTH + sums[0][one])
+        return own, ((ONE_STRENGTH + ONE_DISCOUNT * sums[1]) / (ONE_STRENGTH + sums[0]))[one], sums[1]
+
+    for i in range(BURN_IN + SAMPLES):
+        own, factor, _ = in_one()
+        others = np.bincount(two, weights=t, minlength=n_two)[two[many]] - t[many]
+        at = pair[many]
+        t[many] = seat(c[many], own[at] + factor[at] * p[at], others, TWO_STRENGTH, TWO_DISCOUNT, random)
+        guests = np.bincount(pair, weights=t, minlength=len(one)).astype(np.int64)
+        tables = np.minimum(np.maximum(tables, guests > 0), guests)
+        several = np.flatnonzero(guests > 1)
+        others = np.bincount(one, weights=tables, minlength=n_one)[one[several]] - tables[several]
+        tables[guests == 1] = 1
+        tables[several] = seat(guests[several], p[several], others, ONE_STRENGTH, ONE_DISCOUNT, random)
+        if i >= BURN_IN:
+            own, factor, _ = in_one()
+            of_two = np.bincount(two, weights=t, minlength=n_two)
+            back = ((TWO_STRENGTH + TWO_DISCOUNT * of_two) / (TWO_STRENGTH + all_two))[two]
+            mine = np.maximum(c - TWO_DISCOUNT * t, 0) / (TWO_STRENGTH + all_two[two])
+            yield mine + back * own[pair], back * factor[pair], tables
+
+
+# ``near`` is the mean of own as above and ``factor`` that of each sample, for each triple of a chunk; rows without a chunk
+# have the tables that go to a partition of words.
+NEAR = "chunk long, part int, near binary, factor binary, words binary, contexts binary, tables binary"
+
+
+def _near(chunk=None, part=None, near=None, factor=None, words=None, contexts_=None, tables=None) -> pa.RecordBatch:
+    types = [pa.int64(), pa.int32()] + [pa.binary()] * 5
+    row = (chunk, part, near, factor, words, contexts_, tables)
+    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], _names(NEAR))
+
+
+def _after_words(rows: list[dict], part: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows of NEAR for all pieces of a partition."""
+    rows.sort(key=lambda r: r["chunk"])
+    pairs, triples, n_pairs = [], [], 0
+    chunks_ = [r["chunk"] for r in rows]
+    rows.reverse()
+    while rows:
+        r = rows.pop()
+        ones, words, two = (_unpacked(r[k], "<u8") for k in ("ones", "dishes", "twos"))
+        at, languages, p = _unpacked(r["dish_at"]), np.frombuffer(r["languages"], "u1"), np.frombuffer(r["p"], "<f4")
+        one = np.repeat(ones, _unpacked(r["pairs_of_one"]))
+        id_, restaurant = _mixed(one, _mixed(words, languages)[at]), _mixed(one, languages[at])
+        pair = np.repeat(np.arange(len(at), dtype=np.int32), _unpacked(r["triples_of_pair"]))
+        triples.append((_mixed(id_[pair], two), _mixed(restaurant[pair], two), pair + np.int32(n_pairs), _unpacked(r["train"])))
+        pairs.append((id_, restaurant, words[at], languages[at], p[at]))
+        n_pairs += len(at)
+    sizes = [len(x[0]) for x in triples]
+    id_, restaurant, word, language, p = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    first, pair_at = _grouped(id_)
+    one = _grouped(restaurant[first])[1]
+    word, language, p = word[first], language[first], p[first].astype(np.float64)
+    id_, restaurant, pair, train = (np.concatenate(x) for x in zip(*triples, strict=True))
+    del pairs, triples
+    first, at = _grouped(id_)
+    two, pair = _grouped(restaurant[first])[1], pair_at[pair[first]]
+    del id_, restaurant, pair_at
+    c = np.bincount(at, weights=train, minlength=len(first)).astype(np.int64)
+    del train, first
+    near, factors, sent = np.zeros(len(c)), np.empty((len(c), SAMPLES), "<f4"), []
+    dish, of = _grouped(_mixed(word, language))
+    for i, (own, factor, tables) in enumerate(seated_after_words(c, pair, two, one, p, np.random.default_rng([SEED, 1, part]))):
+        near += own / SAMPLES
+        factors[:, i] = factor
+        sent.append(np.bincount(of, weights=tables, minlength=len(dish)).astype(np.int64))
+    begin = 0
+    for chunk, n in zip(chunks_, sizes, strict=True):
+        mine = at[begin : begin + n]
+        yield _near(chunk, part, _packed(near[mine], "<f4"), _packed(factors[mine], "<f4"))
+        begin += n
+    word, language, sent = word[dish], language[dish], np.stack(sent)
+    to = (word & np.uint64((1 << bits) - 1)).astype(np.int64)
+    for k in np.unique(to):
+        some = np.flatnonzero((to == k) & (sent[0] > 0))
+        if len(some):
+            tables = _packed(sent[:, some].reshape(-1))
+            yield _near(None, int(k), None, None, _packed(word[some] >> np.uint64(bits)), language[some].tobytes(), tables)
+
+
+STORED = ("id", "held", "n_tokens", "numbers", "words", "contexts", "spelling")
+ANSWERS = {"own": "<f4", "shared": "<f4", "uses": "<u8", "number": "<u8", "near": "<f4", "factor": "<f4"}
+
+
+def _together(store: DataFrame, *replies: DataFrame) -> DataFrame:
+    """Rows of a chunk in one task: its pieces of answers by part, the stored documents after them."""
+    both = store.select("chunk", F.lit(None).cast("int").alias("part"), *STORED)
+    for x in replies:
+        parts = x.filter("chunk IS NOT NULL").select("chunk", "part", *[c for c in ANSWERS if c in x.columns])
+        both = both.unionByName(parts, allowMissingColumns=True)
+    return both.repartition(max(1, store.count()), "chunk").sortWithinPartitions("chunk", F.col("part").asc_nulls_last())
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, dict[str, np.ndarray]]]:
+    """Every stored row with the answers to it."""
+    answers: dict[str, list[np.ndarray]] = {}
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            if row["part"] is None:
+                yield row, {k: np.concatenate(x) for k, x in answers.items()}
+                answers = {}
+                continue
+            for k, kind in ANSWERS.items():
+                if row.get(k) is not None:
+                    answers.setdefault(k, []).append(_unpacked(row[k], kind))
+
+
+def _in_languages(row: dict, found: dict[str, np.ndarray], sums: Sums) -> np.ndarray:
+    own, shared = (found[k].reshape(-1, SAMPLES) for k in ("own", "shared"))
+    spelling = 10.0 ** np.frombuffer(row["spelling"], "<f4").astype(np.float64)
+    return sums.probabilities(own, shared, np.frombuffer(row["contexts"], "u1"), spelling)
+
+
+def after_words(store: DataFrame, replies: DataFrame, bits: int) -> DataFrame:
+    """Samples the restaurants of preceding words, given the answers to words: rows of NEAR."""
+    sums = Sums(replies)
+    tokens = store.agg(F.sum(F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, n: a + n))).first()[0] or 0
+    parts = max(1, -(-tokens // PARTITION_TOKENS))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, found in _whole(batches):
+            p = _in_languages(row, found, sums).mean(axis=0)
+            asked, languages, number = Asked(row), np.frombuffer(row["contexts"], "u1"), found["number"]
+            numbers = np.append(number[asked.new], np.uint64(START))
+            edges = asked.edges(parts)
+            for part, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+                if a == b:
+                    continue
+                pair = asked.triples[a:b] // asked.base
+                of_pair = np.bincount(pair - pair[0])
+                pairs = asked.pairs[pair[0] : pair[-1] + 1]
+                ones, of_one = np.unique(pairs // asked.n_dishes, return_counts=True)
+                dishes, dish_at = np.unique(pairs % asked.n_dishes, return_inverse=True)
+                values = [_packed(numbers[ones], "<u8"), _packed(of_one), _packed(dish_at), _packed(number[dishes], "<u8")]
+                values += [languages[dishes].tobytes(), p[dishes].astype("<f4").tobytes(), _packed(of_pair)]
+                values += [_packed(numbers[asked.triples[a:b] % asked.base], "<u8"), _packed(asked.train[a:b])]
+                arrays = [pa.array([part], pa.int32()), pa.array([row["chunk"]], pa.int64()), *[pa.array([x], pa.binary()) for x in values]]
+                yield pa.RecordBatch.from_arrays(arrays, _names(PIECE))
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_part: dict[int, list[dict]] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                by_part.setdefault(row["part"], []).append(row)
+        for part in sorted(by_part):
+            yield from _after_words(by_part.pop(part), part, bits)
+
+    return _together(store, replies).mapInArrow(ask, PIECE).repartition(parts, "part").mapInArrow(answer, NEAR)
+
+
 SCORES = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -472,51 +754,34 @@ def score(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFrame
     """
     model = fit(docs.filter(~held_out(id_)), text)
     store = chunks(docs, model, id_, text)
-    replies = word_counts(store)
-    size = 2 + CONTEXTS + SAMPLES * (CONTEXTS + 2)
-    found = replies.filter("chunk IS NULL").agg(*[F.sum(F.get("sums", F.lit(i))) for i in range(size)]).first()
-    words, trained, *more = (x or 0 for x in found)
-    guests, tables, alls = (np.array(x) for x in (more[:CONTEXTS], more[CONTEXTS : -2 * SAMPLES], more[-2 * SAMPLES :]))
-    tables, alls = tables.reshape(SAMPLES, CONTEXTS), alls.reshape(SAMPLES, 2)
-    rest, trained = trained + 0.5 * (words + 1), int(trained)
-
-    def probabilities(own: np.ndarray, shared: np.ndarray, context: np.ndarray, spelling: np.ndarray) -> np.ndarray:
-        """Predictive probabilities of dishes, averaged over the samples."""
-        total = own.astype(np.float64)
-        for i in range(SAMPLES):
-            word = shared[:, i] + (WORD_STRENGTH + WORD_DISCOUNT * alls[i, 1]) * spelling
-            word /= WORD_STRENGTH + alls[i, 0]
-            total += (CONTEXT_STRENGTH + CONTEXT_DISCOUNT * tables[i, context]) * word / SAMPLES
-        return total / (CONTEXT_STRENGTH + guests[context])
+    bits = _word_bits(store)
+    last = Scratch(docs.sparkSession, "words")
+    replies = last.written(word_counts(store, bits))
+    for _ in range(ROUNDS):
+        scratch = Scratch(docs.sparkSession, "words")
+        near = scratch.written(after_words(store, replies, bits))
+        last.drop()
+        last, replies = scratch, scratch.written(word_counts(store, bits, near.filter("chunk IS NULL")))
+    sums = Sums(replies)
+    rest, trained = sums.trained + 0.5 * (sums.words + 1), int(sums.trained)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of a chunk come together: its pieces of answers by part, the stored documents after them."""
-        answers: list[tuple] = []
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                if row["part"] is not None:
-                    answers.append((row["own"], row["shared"], row["uses"]))
-                    continue
-                own, shared, uses = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*answers, strict=True), ("<f4", "<f4", "<u8"), strict=True))
-                answers = []
-                spelling = 10.0 ** np.frombuffer(row["spelling"], "<f4").astype(np.float64)
-                p = probabilities(own, shared.reshape(-1, SAMPLES), np.frombuffer(row["contexts"], "u1"), spelling)
-                places, sizes = _unpacked(row["numbers"]), np.array(row["n_tokens"], np.int64)
-                starts = np.cumsum(sizes) - sizes
-                columns = [
-                    pa.array(row["id"], pa.int64()),
-                    pa.array(row["held"], pa.bool_()),
-                    pa.array(sizes),
-                    pa.array(np.add.reduceat((uses > 0).astype(np.int64)[places], starts)),
-                    pa.array(np.full(len(sizes), trained, np.int64)),
-                    pa.array(np.add.reduceat(np.log10((uses + 0.5) / rest)[places], starts)),
-                    pa.array(np.add.reduceat(np.log10(p)[places], starts)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, _names(SCORES))
-
-    stored = ("id", "held", "n_tokens", "numbers", "contexts", "spelling")
-    parts = replies.filter("chunk IS NOT NULL").select("chunk", "part", "own", "shared", "uses")
-    both = store.select("chunk", F.lit(None).cast("int").alias("part"), *stored).unionByName(parts, allowMissingColumns=True)
-    placed = both.repartition(max(1, store.count()), "chunk").sortWithinPartitions("chunk", F.col("part").asc_nulls_last())
-    return placed.mapInArrow(run, SCORES).withColumnRenamed("id", id_)
+        for row, found in _whole(batches):
+            p, places, asked = _in_languages(row, found, sums), _unpacked(row["numbers"]), Asked(row)
+            chance = found["near"].astype(np.float64)[asked.at]
+            for i, factor in enumerate(found["factor"].reshape(-1, SAMPLES).T):
+                chance += factor.astype(np.float64)[asked.at] * p[i, places] / SAMPLES
+            uses, sizes = found["uses"], np.array(row["n_tokens"], np.int64)
+            starts = np.cumsum(sizes) - sizes
+            columns = [
+                pa.array(row["id"], pa.int64()),
+                pa.array(row["held"], pa.bool_()),
+                pa.array(sizes),
+                pa.array(np.add.reduceat((uses > 0).astype(np.int64)[places], starts)),
+                pa.array(np.full(len(sizes), trained, np.int64)),
+                pa.array(np.add.reduceat(np.log10((uses + 0.5) / rest)[places], starts)),
+                pa.array(np.add.reduceat(np.log10(chance), starts)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, _names(SCORES))
+
+    return _together(store, replies, near).mapInArrow(run, SCORES).withColumnRenamed("id", id_)

@@ -134,3 +134,49 @@ def test_language_model_awkward_rows(spark, small):
     assert len(got) == small.count() and all(r["score"] < 0 for r in got)
     assert [r["n_tokens"] for r in got if r["doc_id"] in (2, 3, 4)] == [1, 1, 1]
     assert py.score(small.limit(0)).count() == 0
+
+
+def test_word_contexts_make_a_distribution():
+    """Probabilities of all words after each pair of words add up to one, whether the pair was seen or not."""
+    random = np.random.default_rng(5)
+    p = np.array([0.1, 0.2, 0.3, 0.4])
+    # Dishes of two restaurants of one word, each with all four words, and of three restaurants of two words below each.
+    pair = np.repeat(np.arange(8), 3)
+    one, two = np.repeat([0, 1], 4), np.tile(np.arange(3), 8) + 3 * np.repeat([0, 1], 12)
+    c = random.integers(0, 60, 24) * (two != 2)
+    samples = list(py.seated_after_words(c, pair, two, one, np.tile(p, 2), random))
+    assert len(samples) == py.SAMPLES
+    for own, factor, tables in samples:
+        assert np.allclose(np.bincount(two, weights=own + factor * np.tile(p, 2)[pair]), 1)
+        assert (tables <= np.bincount(pair, weights=c)).all() and (tables > 0).all()
+
+
+def test_word_order_counts(spark, monkeypatch):
+    random = np.random.default_rng(7)
+    nouns = [f"noun{i}" for i in range(30)]
+    follows = {w: nouns[(7 * i + 1) % 30] for i, w in enumerate(nouns)}
+
+    def chain():
+        w = [nouns[random.integers(30)]]
+        while len(w) < 40:
+            w.append(follows[w[-1]] if random.random() < 0.9 else nouns[random.integers(30)])
+        return w
+
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 1]
+    texts = {i: chain() for i in range(400)}
+    for a, b in zip(held[::2], held[1::2], strict=False):
+        texts[b] = [texts[a][k] for k in random.permutation(40)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    one = {r["doc_id"]: r for r in py.score(docs).collect()}
+    for a, b in zip(held[::2], held[1::2], strict=False):
+        assert one[a]["base_score"] == pytest.approx(one[b]["base_score"]) and one[a]["score"] > one[b]["score"] + 10
+    # Each restaurant of words before is whole in its partition, so many of them change no more than the random seats.
+    monkeypatch.setattr(py, "PARTITION_TOKENS", 1000)
+    monkeypatch.setattr(py, "CHUNK_TOKENS", 3000)
+    many = {r["doc_id"]: r for r in py.score(docs.repartition(3)).collect()}
+    assert sum(r["score"] for r in many.values()) == pytest.approx(sum(r["score"] for r in one.values()), rel=0.01)
+
+
+def test_pairs_of_small_numbers_have_hashes_of_their_own():
+    a, b = np.meshgrid(np.arange(200_000, dtype=np.uint64), np.arange(5, dtype=np.uint8))
+    assert len(np.unique(py._mixed(a.reshape(-1), b.reshape(-1)))) == a.size
