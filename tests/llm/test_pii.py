@@ -109,3 +109,22 @@ def test_query(spark, sf_dir):
         assert row["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
         assert [row[f"n_{k}"] for k in PLAIN] == [sum(b[2] == k for b in base) for k in PLAIN]
         assert set(filter(None, joined.split(","))) <= set(row["spans"].split(","))
+
+
+def test_ibans_end_where_their_country_says(spark):
+    iban = "DE89 3704 0044 0532 0130 00"
+    rows = [
+        (1, f"IBAN {iban} Please pay", [iban]),
+        (2, "DE89370400440532013000 BIC COBADEFF", ["DE89370400440532013000"]),
+        (3, f"{iban} 2 times, then GB82 WEST 1234 5698 7654 32 AND MORE", [iban, "GB82 WEST 1234 5698 7654 32"]),
+        (4, f"ID AB12 {iban}", [iban]),
+        (5, f"{iban}7 and x{iban}", []),
+        (6, f"é😀 {iban}", [iban]),
+        (7, "NO93 8601 1117 947 BE68 5390 0754 7034 X", ["NO93 8601 1117 947", "BE68 5390 0754 7034"]),
+    ]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in pii.find_pii(docs).collect()}
+    for i, text, want in rows:
+        found = [s for s in got[i]["pii"] if s["kind"] == "iban"]
+        assert [s["value"] for s in found] == want
+        assert all(text[s["start"] : s["end"]] == s["value"] for s in found)
