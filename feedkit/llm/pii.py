@@ -37,7 +37,7 @@ IBAN = rf"^(?:{_BY_LENGTH}|(?!{_LISTED})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{1
 ADDED = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
-    "secret": r"""(?i:(?<![a-z0-9])(?:password|passwd|pwd|secret|token|api[_-]?key)\x20?[=:]\x20?["']?)[A-Za-z0-9_/+.-]{8,200}+""",
+    "secret": r"""(?i:(?<![a-z0-9])(?:password|passwd|pwd|secret|token|api[_-]?key)\x20?[=:]\x20?["']?)[A-Za-z0-9_/+.-]{8,}+""",
 }
 KINDS = {**BASE, **ADDED}
 # A text without this expression holds no span of the kind and is not searched.

@@ -128,3 +128,10 @@ def test_ibans_end_where_their_country_says(spark):
         found = [s for s in got[i]["pii"] if s["kind"] == "iban"]
         assert [s["value"] for s in found] == want
         assert all(text[s["start"] : s["end"]] == s["value"] for s in found)
+
+
+def test_long_secrets_are_whole(spark):
+    secret = "eyJhbGciOi.J9-_" * 400
+    docs = spark.createDataFrame([(1, f"token={secret} x")], "doc_id long, text string")
+    found = [s for s in pii.find_pii(docs).first()["pii"] if s["kind"] == "secret"]
+    assert [(s["start"], s["value"]) for s in found] == [(0, f"token={secret}")]
