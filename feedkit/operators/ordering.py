@@ -15,6 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from feedkit.operators.columns import unused
+from feedkit.session import written
+
 CHUNK_ROWS = 100_000
 BUCKETS = 256
 _CHUNK = "_chunk"
@@ -69,6 +72,33 @@ def so_far(keys: Sequence[str], order: str):
     return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
+def in_order(
+    df: DataFrame, by: Sequence[Column], name: str, marked: Column | None = None, parts: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The rows with their 1-based position in the order ``by``, and rows (chunk, n, marked) of the chunks they stand in.
+
+    The order is cut into ranges of about as many rows, whatever the values are: a sample states the cuts, and each range
+    is sorted by one task. What the tasks made is written once, so that a row's chunk and its place in it cannot change
+    between the two uses; one small row per chunk says how many rows stand before it. ``marked`` counts the rows of a
+    chunk for which it is true. ``parts`` is the number of ranges; without it the session's shuffle settings decide.
+    Equal rows stand in any order; a last column of ``by`` that tells them apart keeps them from being one range.
+    """
+    at, chunk, of, base = unused([*df.columns, name], "_at", "_chunk", "_of", "_base")
+    cut = df.repartitionByRange(parts, *by) if parts else df.repartitionByRange(*by)
+    # Number of the partition in the upper bits, place in it in the lower ones.
+    placed = written(cut.sortWithinPartitions(*by).withColumn(at, F.monotonically_increasing_id()))
+    counts = placed.groupBy(F.shiftright(at, 33).alias("chunk")).agg(
+        F.count(F.lit(1)).alias("n"),
+        (F.count_if(marked) if marked is not None else F.lit(0).cast("long")).alias("marked"),
+    )
+    counts = written(counts)
+    stood = F.coalesce(F.sum("n").over(before([], "chunk")), F.lit(0))
+    offsets = counts.select(F.col("chunk").alias(of), stood.alias(base))
+    joined = placed.withColumn(chunk, F.shiftright(at, 33)).join(offsets, F.col(chunk) == F.col(of))
+    position = F.col(base) + F.col(at).bitwiseAND((1 << 33) - 1) + 1
+    return joined.withColumn(name, position).select(*[c for c in df.columns if c != name], name), counts
+
+
 def rank_in_group(
     df: DataFrame,
     keys: Sequence[str],
