@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedkit.llm import classifier, decontaminate, licenses, mixing, ngram_join, pii, pitman_yor, quality, tokens, warc
+from feedkit.llm import (
+    classifier,
+    decontaminate,
+    filter_audit,
+    licenses,
+    mixing,
+    ngram_join,
+    pii,
+    pitman_yor,
+    quality,
+    resampling,
+    tokens,
+    toxicity,
+    warc,
+)
 from feedkit.llm.text import count_words, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -258,3 +272,99 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_lm_score")
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pitman_yor.score(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_resampling",
+    rf"""
+    WITH shifts AS (
+        SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)), lambda c, i:
+               CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS tab
+    ), w AS (
+        SELECT 0 AS side, doc_id, row_number() OVER () AS r, {_FOLDED.format("text")} AS w FROM documents
+        UNION ALL SELECT 1, NULL, row_number() OVER (), {_FOLDED.format("text")} FROM benchmark
+    ), f AS (
+        SELECT side, r, unnest(w) AS f FROM w
+        UNION ALL SELECT side, r, w[i] || ' ' || w[i + 1] FROM (SELECT *, unnest(range(1, len(w))) AS i FROM w)
+    ), hashed AS (
+        SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(hex(f)), 2),
+               lambda i: CAST('0x' || substr(hex(f), i, 2) AS BIGINT))),
+               lambda c, b: xor(c // 256, tab[xor(c % 256, b) + 1])), 4294967295) % {resampling.BUCKETS} AS bucket
+        FROM (SELECT DISTINCT f FROM f), shifts
+    ), counted AS (
+        SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t
+        FROM f JOIN hashed USING (f) GROUP BY bucket
+    ), gained AS (
+        SELECT bucket, CAST(floor(1000 * ln(CAST((t + 1) * (sum(s) OVER () + {resampling.BUCKETS}) AS DOUBLE)
+               / CAST((s + 1) * (sum(t) OVER () + {resampling.BUCKETS}) AS DOUBLE))) AS BIGINT) AS gain FROM counted
+    ), weighed AS (
+        SELECT r, count(*) AS n, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight
+        FROM f JOIN hashed USING (f) JOIN gained USING (bucket) WHERE side = 0 GROUP BY r
+    ), scored AS (
+        SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+               + CAST(floor(-1000 * ln(-ln((CAST('0x' || left(sha256('7:' || doc_id), 8) AS BIGINT) + 0.5) / 4294967296)))
+                      AS BIGINT) AS score, len(w) >= {resampling.MIN_WORDS} AS able
+        FROM w LEFT JOIN weighed ON weighed.r = w.r WHERE side = 0
+    ), placed AS (
+        SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS p, count(*) FILTER (able) OVER () AS n
+        FROM scored
+    )
+    SELECT doc_id, n_features, weight, score, CASE WHEN able AND p <= n * {resampling.PERCENT} // 100 THEN p END AS rank
+    FROM placed
+    """,
+)
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op12_toxicity")
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.find_passages(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", classifier.held_out("doc_id").alias("held_out"), "score", predicted)
+
+
+@query(
+    "op13_filter_audit",
+    r"""
+    WITH d AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+               regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents
+    ), l AS (
+        SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id
+    ), f AS (
+        SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, [len(w) < 100,
+               100 * len(list_distinct(w)) < 80 * len(w),
+               100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t),
+               regexp_matches(t, '[#$%&*|]'), coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY t), false)] AS fails
+        FROM d LEFT JOIN l ON l.doc_id = d.doc_id
+    ), m AS (
+        SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails
+    ), x AS (
+        SELECT unnest(range(1, 6)) AS i
+    ), o AS (
+        SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+    ), s AS (
+        SELECT part, o, k, fails[o[k]] AS failing, len(list_filter(fails, lambda y: y)) AS failed, n, good, toxic,
+               coalesce(list_position(list_transform(o, lambda i: fails[i]), true), 9) AS place
+        FROM m, o, (SELECT i AS k FROM x)
+    ), r AS (
+        SELECT part, o, k, coalesce(sum(n) FILTER (place > k), 0) AS kept, coalesce(sum(n) FILTER (place = k), 0) AS removed,
+               coalesce(sum(n) FILTER (failing AND place < k), 0) AS redundant,
+               coalesce(sum(n) FILTER (failing AND failed = 1), 0) AS unique_fails,
+               coalesce(sum(good) FILTER (place = k), 0) AS good_lost, coalesce(sum(toxic) FILTER (place = k), 0) AS toxic_lost
+        FROM s GROUP BY part, o, k
+    )
+    SELECT part, array_to_string(list_transform(o, lambda i: chr(CAST(64 + i AS INTEGER))), '') AS filter_order,
+           CAST(k AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+           CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+           CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+           CAST(sum(removed) OVER (PARTITION BY part, o[k]) AS BIGINT) AS shapley
+    FROM r
+    """,
+)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
