@@ -23,6 +23,7 @@ from tokenizers import Regex
 from tokenizers.pre_tokenizers import Split
 
 from feedkit.llm.text import pieces, utf8
+from feedkit.operators.columns import unused
 from feedkit.operators.ordering import in_order
 from feedkit.operators.skew import join_on
 from feedkit.session import written
@@ -55,7 +56,7 @@ class Words:
             at = self.offsets(data)
             one = [crc32(data[a:b]) for a, b in at]
             # A run of two words is the first word, a space and the second one, whatever stood between them.
-            led = [before, *one[:-1]] if before is not None else one[:-1]
+            led = [*([] if before is None else [before]), *one][:-1]
             two = [crc32(data[a:b], crc32(b" ", c)) for (a, b), c in zip(at[len(at) - len(led) :], led, strict=True)]
             before = one[-1] if one else before
             yield len(one), np.array(one + two, np.uint32) % BUCKETS
@@ -174,7 +175,11 @@ def importance(
 
 
 def resample(docs: DataFrame, target: DataFrame, id_: str = "doc_id", text: str = "text", target_text: str = "text") -> DataFrame:
-    """The documents that are drawn, with their own columns. Rows that share an id are drawn together or not at all."""
-    drawn = importance(docs, target, id_, text, target_text).filter("rank IS NOT NULL")
-    ids = drawn.groupBy(F.col(id_).alias("of")).agg(F.min("rank").alias("of_rank")).select("of")
-    return join_on(docs, ids, {id_: "of"}, "left_semi")
+    """The documents that are drawn, with their own columns.
+
+    Rows that share an id are drawn together, if one of them is; rows without an id are left out.
+    """
+    of, rank = unused(docs.columns, "of", "rank")
+    drawn = importance(docs, target, id_, text, target_text).withColumnRenamed("rank", rank).filter(F.col(rank).isNotNull())
+    ids = drawn.select(F.col(id_).cast(docs.schema[id_].dataType).alias(of)).filter(F.col(of).isNotNull()).distinct()
+    return join_on(docs, ids, {id_: of}, "left_semi")

@@ -1,12 +1,12 @@
 """Toxic passages as segments of maximal score.
 
-Every token has a score: its log odds of being in a toxic rather than a clean document, with a Dirichlet prior in
-proportion to how often documents hold it at all, less so many standard deviations, so that chance says nothing. Tokens
-without such evidence cost a little. A scan in linear time (Ruzzo and Tompa) finds all disjoint segments of a text that
+Every token has a score: the log odds that a toxic rather than a clean document holds it, with a Dirichlet prior whose
+mean are the shares of the two classes, if chance cannot explain them. Beginnings of words have scores too, and a word has
+the best one of its own and theirs. Words without such evidence cost a little. A scan in linear time (Ruzzo and Tompa) finds all disjoint segments of a text that
 cannot be improved: its toxic passages. How often passages of a score come up in clean text is learned from labelled
 documents that had no part in the token scores: passages over a threshold arrive at a rate per token and their scores fall
 off exponentially, the tail of an extreme-value distribution. A document's evidence is the sum, over its passages, of how
-much rarer each one is than what clean text of that length brings, and a logistic curve over it gives the probability.
+much rarer each one is than what clean text of that length brings, and a logistic curve over its logarithm gives the probability.
 """
 
 from __future__ import annotations
@@ -29,13 +29,22 @@ from feedkit.session import written
 
 # Labelled documents that are learned from, at most: those of the smallest hashes of their ids.
 TRAIN_ROWS = 20_000
-# Documents of the prior, spread over the tokens and the two classes as the labelled ones are.
-PRIOR_DOCUMENTS = 10.0
-# Standard deviations taken off a token's log odds, and what a token without evidence costs.
-DEVIATIONS = 2.0
+# Mass of the Dirichlet prior of a token, in documents, spread over the two classes as the labelled ones are.
+PRIOR_DOCUMENTS = 2.0
+# A token has a score if its log odds exceed so many of their standard deviations; one of them is taken off the score.
+DEVIATIONS = 3.5
+# What a token without a score costs.
 COST = 0.05
+# Parts of the labelled documents: each is calibrated with the scores that the others give.
+FOLDS = 5
 # A token is looked at if so many toxic documents hold it.
 MIN_DOCUMENTS = 3
+# Beginnings of a word, in characters, that speak for it as well as the word itself.
+PREFIXES = (4, 5, 6, 7)
+# A beginning speaks for words of its own if so many times more toxic documents hold it than hold any one word of it.
+SHARED = 1.5
+# Words whose scores a task keeps.
+CACHE_WORDS = 300_000
 # Tokens with a score, at most: those of the highest ones.
 LEXICON = 100_000
 # Tokens per shingle that tells near copies among the labelled documents, which count as one.
@@ -44,8 +53,6 @@ SHINGLE = 5
 PSEUDO_PASSAGES = 0.5
 # Newton steps of the logistic curve, and its ridge.
 STEPS, RIDGE = 50, 1e-3
-# Fraction of the log evidence that is kept: evidence over this adds nothing to a document.
-MOST_EVIDENCE = 60.0
 
 # Letters A-Z become a-z; every byte that is no ASCII letter, digit or part of a longer character becomes a space.
 _FOLD = bytes((b + 32 if 65 <= b <= 90 else b) if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -70,6 +77,12 @@ def tokens(data: bytes) -> Iterator[bytes]:
         yield from found
 
 
+def forms(token: bytes) -> list[bytes]:
+    """The token and its beginnings, which are marked by a character that no token has."""
+    text = token.decode("utf-8", "replace")
+    return [token, *[text[:n].encode() + b"*" for n in PREFIXES if len(text) >= n]]
+
+
 def segments(scores: Iterable[tuple[int, float]], cost: float = COST) -> list[tuple[int, int, float]]:
     """All maximal segments (first, end, score) of a sequence whose tokens score -``cost`` but for those given.
 
@@ -107,34 +120,53 @@ def segments(scores: Iterable[tuple[int, float]], cost: float = COST) -> list[tu
     return done
 
 
-def passages(data: bytes, lexicon: Mapping[bytes, float]) -> tuple[int, list[tuple[int, int, float]]]:
+class Scores(dict):
+    """Score of a word, 0 if nothing speaks for it; worked out once per word and task."""
+
+    def __init__(self, lexicon: Mapping[bytes, float]):
+        super().__init__()
+        self.lexicon = lexicon
+
+    def __missing__(self, token: bytes) -> float:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        get = self.lexicon.get
+        value = self[token] = max([get(f, 0.0) for f in forms(token)])
+        return value
+
+
+def passages(data: bytes, scores: Scores) -> tuple[int, list[tuple[int, int, float]]]:
     """Number of tokens of a text and its segments."""
-    get, scored, n = lexicon.get, [], 0
+    scored: list[tuple[int, float]] = []
+    n = 0
     for before, found in stretches(data):
         n = before + len(found)
-        scored.extend((before + i, s) for i, s in enumerate(map(get, found)) if s is not None)
+        scored.extend((before + i, s) for i, s in enumerate(map(scores.__getitem__, found)) if s)
     return n, segments(scored)
 
 
 def token_scores(counts: Mapping[bytes, tuple[int, int]], toxic: int, clean: int) -> dict[bytes, float]:
     """Scores of the tokens that are more at home in toxic documents than chance explains.
 
-    ``counts`` are numbers of toxic and clean documents with a token. The prior adds, of PRIOR_DOCUMENTS documents that
-    hold tokens as often as all labelled ones do, the share of each class.
+    ``counts`` are numbers of toxic and clean documents with a token. Without documents of both kinds there are none.
     """
     if not toxic or not clean:
         return {}
     found = {}
-    share = PRIOR_DOCUMENTS / (toxic + clean)
+    prior = PRIOR_DOCUMENTS * toxic / (toxic + clean), PRIOR_DOCUMENTS * clean / (toxic + clean)
+    most: dict[bytes, int] = {}
+    for token, (t, _) in counts.items():
+        if not token.endswith(b"*"):
+            for form in forms(token)[1:]:
+                most[form] = max(most.get(form, 0), t)
     for token, (t, c) in counts.items():
-        if t < MIN_DOCUMENTS:
+        if t < max(MIN_DOCUMENTS, SHARED * most.get(token, 0)):
             continue
-        prior = share * (t + c)
-        a, b = t + prior, c + prior
-        odds = math.log(a / (toxic + PRIOR_DOCUMENTS - a + 1)) - math.log(b / (clean + PRIOR_DOCUMENTS - b + 1))
-        score = odds - DEVIATIONS * math.sqrt(1 / a + 1 / b)
-        if score > 0:
-            found[token] = score
+        a, b = t + prior[0], c + prior[1]
+        odds = math.log(a / (toxic + PRIOR_DOCUMENTS - a)) - math.log(b / (clean + PRIOR_DOCUMENTS - b))
+        deviation = math.sqrt(1 / a + 1 / b)
+        if odds > DEVIATIONS * deviation:
+            found[token] = odds - deviation
     return dict(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:LEXICON])
 
 
@@ -151,7 +183,7 @@ class Tail:
         if not found:
             return 0.0
         expected = math.log(self.rate * max(n, 1))
-        return min(MOST_EVIDENCE, math.fsum(max(0.0, self.decay * (s - self.over) - expected) for _, _, s in found))
+        return math.fsum(max(0.0, self.decay * (s - self.over) - expected) for _, _, s in found)
 
 
 @dataclass(frozen=True)
@@ -162,7 +194,7 @@ class Model:
     bias: float
 
     def probability(self, evidence: float) -> float:
-        return 1 / (1 + math.exp(-max(-700.0, min(700.0, self.slope * evidence + self.bias))))
+        return 1 / (1 + math.exp(-max(-700.0, min(700.0, self.slope * math.log1p(evidence) + self.bias))))
 
 
 def fit_tail(clean: list[tuple[int, list[tuple[int, int, float]]]]) -> Tail:
@@ -179,8 +211,9 @@ def fit_tail(clean: list[tuple[int, list[tuple[int, int, float]]]]) -> Tail:
 
 
 def fit_curve(rows: list[tuple[float, int]]) -> tuple[float, float]:
-    """Slope and bias of the logistic curve of label over evidence, by Newton steps with a ridge; the slope is positive."""
+    """Slope and bias of the logistic curve of label over log(1 + evidence), by Newton steps; the slope is positive."""
     slope, bias = 0.5, -2.0
+    rows = [(math.log1p(x), y) for x, y in rows]
     for _ in range(STEPS):
         g0 = g1 = 0.0
         h00 = h11 = RIDGE
@@ -216,8 +249,8 @@ def _near_key(data: bytes) -> int:
 def labelled(docs: DataFrame, labels: DataFrame, label: str, id_: str, text: str, rows: int) -> DataFrame:
     """Rows (fold, data, y) of at most ``rows`` labelled documents that are not held out; near copies of a label are one.
 
-    Of several labels of a document the largest counts; null labels and ids are left out. The fold, 0 or 1, is a hash of
-    what near copies share.
+    Of several labels of a document the largest counts; null labels and ids are left out. The fold is a hash of what near
+    copies share.
     """
     named = labels.select(F.col(id_).cast("long").alias("of"), F.col(label).cast("int").alias("y"))
     named = named.filter("of IS NOT NULL AND y IS NOT NULL").filter(~held_out("of")).groupBy("of").agg(F.max("y").alias("y"))
@@ -233,7 +266,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, id_: str, text: str
     keyed = found.select("id", "data", "y").mapInArrow(keys, "near long, id long, data binary, y int")
     # Of rows that repeat an id, the smaller text.
     one = keyed.groupBy("near", "y").agg(F.min(F.struct("id", "data")).alias("d"))
-    return one.select((F.pmod(F.xxhash64("near"), F.lit(2))).cast("int").alias("fold"), F.col("d.data").alias("data"), "y")
+    return one.select((F.pmod(F.xxhash64("near"), F.lit(FOLDS))).cast("int").alias("fold"), F.col("d.data").alias("data"), "y")
 
 
 def _document_counts(rows: DataFrame) -> DataFrame:
@@ -244,7 +277,7 @@ def _document_counts(rows: DataFrame) -> DataFrame:
         for batch in pieces(batches, "data"):
             columns = [batch.column(c).to_pylist() for c in ("fold", "data", "y")]
             for fold, data, y in zip(*columns, strict=True):
-                held.update((fold, t, y == 1) for t in set(tokens(data)))
+                held.update((fold, f, y == 1) for f in {f for t in set(tokens(data)) for f in forms(t)})
                 held[fold, None, y == 1] += 1
         names = {(f, t) for f, t, _ in held}
         out = [(f, t, held[f, t, True], held[f, t, False]) for f, t in names]
@@ -261,7 +294,7 @@ def fit(
 ) -> Model:
     """Learns token scores, the tail of clean text and the curve from labelled documents.
 
-    Passages of each fold are found with the scores of the other one, so that the tail and the curve see what new text
+    Passages of each fold are found with the scores that the other folds give, so that the tail and the curve see what new text
     brings. Without labelled documents of both kinds no token has a score, and every document has the probability of the
     bias alone. The driver holds the tokens of at least MIN_DOCUMENTS toxic documents, and the passages of the labelled ones.
     """
@@ -269,25 +302,27 @@ def fit(
     counted = written(_document_counts(taken))
     held = counted.filter("token IS NULL").collect()
     documents = {(r["fold"], k): r[k] for r in held for k in ("toxic", "clean")}
-    sums = counted.filter("token IS NOT NULL").groupBy("token").agg(
-        *[F.sum(F.when(F.col("fold") == f, F.col(k)).otherwise(0)).alias(f"{k}{f}") for f in (0, 1) for k in ("toxic", "clean")]
-    )
-    some = sums.filter(F.col("toxic0") + F.col("toxic1") >= MIN_DOCUMENTS)
-    # Clean tokens that stand in the same proportion as in all documents can have no positive score.
-    counts = {bytes(r["token"]): ((r["toxic0"], r["clean0"]), (r["toxic1"], r["clean1"])) for r in some.toLocalIterator()}
+    by_fold = F.collect_list(F.struct("fold", "toxic", "clean"))
+    grouped = counted.filter("token IS NOT NULL").groupBy("token").agg(F.sum("toxic").alias("n"), by_fold.alias("folds"))
+    counts = {
+        bytes(r["token"]): {f["fold"]: (f["toxic"], f["clean"]) for f in r["folds"]}
+        for r in grouped.filter(F.col("n") >= MIN_DOCUMENTS).toLocalIterator()
+    }
 
-    def lexicon(folds: tuple[int, ...]) -> dict[bytes, float]:
-        both = {t: (sum(c[f][0] for f in folds), sum(c[f][1] for f in folds)) for t, c in counts.items()}
-        return token_scores(both, *[sum(documents.get((f, k), 0) for f in folds) for k in ("toxic", "clean")])
+    def lexicon(without: int | None) -> dict[bytes, float]:
+        folds = [f for f in range(FOLDS) if f != without]
+        sums = {t: tuple(sum(c.get(f, (0, 0))[i] for f in folds) for i in (0, 1)) for t, c in counts.items()}
+        return token_scores(sums, *[sum(documents.get((f, k), 0) for f in folds) for k in ("toxic", "clean")])
 
-    others = taken.sparkSession.sparkContext.broadcast([lexicon((1,)), lexicon((0,))])
+    others = taken.sparkSession.sparkContext.broadcast([lexicon(f) for f in range(FOLDS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = [Scores(x) for x in others.value]
         for batch in pieces(batches, "data"):
             columns = [batch.column(c).to_pylist() for c in ("fold", "data", "y")]
             out = []
             for fold, data, y in zip(*columns, strict=True):
-                n, found = passages(data, others.value[fold])
+                n, found = passages(data, scores[fold])
                 out.append((y == 1, n, [s for _, _, s in found]))
             types = [pa.bool_(), pa.int64(), pa.list_(pa.float64())]
             yield pa.RecordBatch.from_arrays(
@@ -298,7 +333,7 @@ def fit(
     read = [(r["y"], r["n"], [(0, 0, s) for s in r["scores"]]) for r in seen]
     tail = fit_tail([(n, found) for y, n, found in read if not y])
     slope, bias = fit_curve([(tail.evidence(n, found), int(y)) for y, n, found in read])
-    return Model(lexicon((0, 1)), tail, slope, bias)
+    return Model(lexicon(None), tail, slope, bias)
 
 
 PASSAGE = "array<struct<first:long,end:long,score:double,expected:double>>"
@@ -321,10 +356,12 @@ def find_passages(docs: DataFrame, model: Model, text: str = "text") -> DataFram
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        known = Scores(model.lexicon)
         for batch in pieces(batches, data_):
-            model, found, scores = shared.value, [], []
+            found, scores = [], []
             for data in batch.column(data_).to_pylist():
-                n, some = passages(data, model.lexicon)
+                n, some = passages(data, known)
                 rare = []
                 for a, b, s in sorted(some):
                     expected = model.tail.rate * n * math.exp(-model.tail.decay * (s - model.tail.over))
