@@ -56,26 +56,26 @@ def _pieces(ranked: DataFrame, keys: Sequence[str], element: Column, open_: Colu
     )
 
 
-def _ranked(df: DataFrame, keys: Sequence[str], order: str, first_of: dict[str, str], width: int | None) -> DataFrame:
-    return rank_in_group(df, keys, order, "_rank", "_size", first_of, width)
+def _ranked(df: DataFrame, keys: Sequence[str], order: str, first_of: dict[str, str], parts: int | None) -> DataFrame:
+    return rank_in_group(df, keys, order, "_rank", "_size", first_of, parts)
 
 
 def list_literal(
     df: DataFrame, keys: Sequence[str], order: str, value: str, plain: bool = False, part_size: int = PART_SIZE,
-    width: int | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """``[a, b]`` per group; the group's first value decides whether values are quoted."""
-    ranked = _ranked(df.select(*keys, order, value), keys, order, {"_v": value}, width)
+    ranked = _ranked(df.select(*keys, order, value), keys, order, {"_v": value}, parts)
     return _pieces(ranked, keys, _text(F.col(value), F.col("_v"), plain), F.lit("["), "]", part_size)
 
 
 def dict_literal(
     df: DataFrame, keys: Sequence[str], order: str, key: str, value: str, plain_keys: bool = False,
-    plain_values: bool = False, part_size: int = PART_SIZE, width: int | None = None,
+    plain_values: bool = False, part_size: int = PART_SIZE, parts: int | None = None,
 ) -> DataFrame:
     """``{k:v, …}`` per group."""
     columns = [*keys, order, *[c for c in dict.fromkeys((key, value)) if c not in (*keys, order)]]
-    ranked = _ranked(df.select(*columns), keys, order, {"_k": key, "_v": value}, width)
+    ranked = _ranked(df.select(*columns), keys, order, {"_k": key, "_v": value}, parts)
     element = F.concat(
         _text(F.col(key), F.col("_k"), plain_keys), F.lit(":"), _text(F.col(value), F.col("_v"), plain_values)
     )
@@ -84,7 +84,7 @@ def dict_literal(
 
 def columns_literal(
     df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str], part_size: int = PART_SIZE,
-    width: int | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """``{'col':[…], …}`` per group. Pieces are ordered by ``col_no`` and ``part``."""
     cells = F.array(
@@ -95,7 +95,7 @@ def columns_literal(
     )
     # The order column is kept under a name of its own, since it may also be one of the listed columns.
     long = df.select(*keys, F.col(order).alias("_order"), F.inline(cells))
-    ranked = _ranked(long, [*keys, "col_no"], "_order", {"_v": "_value"}, width)
+    ranked = _ranked(long, [*keys, "col_no"], "_order", {"_v": "_value"}, parts)
     head = F.concat(
         F.when(F.col("col_no") == 0, F.lit("{'")).otherwise(F.lit(", '")), F.col("_name"), F.lit("':[")
     )
@@ -108,21 +108,21 @@ def columns_literal(
 
 def matrix_literal(
     df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str], plain: bool = False,
-    part_size: int = PART_SIZE, width: int | None = None,
+    part_size: int = PART_SIZE, parts: int | None = None,
 ) -> DataFrame:
     """``[[…], […]]`` per group, one inner list per row; the first cell of a row decides on its quotes."""
     cells = [_text(F.col(c), F.col(columns[0]), plain) for c in columns]
     row = F.concat(F.lit("["), F.concat_ws(", ", *cells), F.lit("]"))
     rows = df.select(*keys, F.col(order).alias("_order"), row.alias("_row"))
-    ranked = _ranked(rows, keys, "_order", {}, width)
+    ranked = _ranked(rows, keys, "_order", {}, parts)
     return _pieces(ranked, keys, F.col("_row"), F.lit("["), "]", part_size)
 
 
 def id_lists(
-    df: DataFrame, keys: Sequence[str], id_: str, part_size: int = PART_SIZE, width: int | None = None
+    df: DataFrame, keys: Sequence[str], id_: str, part_size: int = PART_SIZE, parts: int | None = None
 ) -> DataFrame:
     """Ascending ids of each group as arrays ``ids``, in pieces of up to ``part_size`` ids."""
-    ranked = rank_in_group(df.select(*keys, id_), keys, id_, "_rank", width=width)
+    ranked = rank_in_group(df.select(*keys, id_), keys, id_, "_rank", parts=parts)
     return ranked.groupBy(*keys, F.expr(f"(_rank - 1) div {part_size}").alias("part")).agg(
         F.sort_array(F.collect_list(id_)).alias("ids")
     )

@@ -1,68 +1,31 @@
-"""Positions and running values inside groups, safe when one group holds much of the data.
+"""Positions and running values in an order, safe when one group holds much of the data.
 
-A window over a hot group would sort that group in one task. Here a group is cut into chunks by the value of an
-integer order column. Each chunk is windowed on its own, and one small row per chunk carries the result of the
-chunks before it. Unless a width is given, the cuts follow the rows: quantiles of the order column cut it into buckets of
-about as many rows, whatever the gaps between its values, and each bucket is cut into equal parts of about CHUNK_ROWS rows.
+A window over a hot group would sort that group in one task. Here rows are cut into ranges of their order instead: Spark
+samples the order columns, states cuts of about as many rows each, whatever the gaps between the values are, and sorts each
+range in a task of its own. A row's partition is its chunk and its place there comes for nothing. One small row per chunk,
+or per chunk and group, carries the result of the chunks before it. What the tasks made is written once, so that a row's
+chunk cannot change between its uses.
+
+How many ranges there are is up to the session's shuffle settings, as for any sort, or to the parameter ``parts``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from feedkit.operators.columns import unused
+from feedkit.operators.skew import join_keys
 from feedkit.session import written
 
-CHUNK_ROWS = 100_000
-BUCKETS = 256
-_CHUNK = "_chunk"
-
-
-@dataclass(frozen=True)
-class Cuts:
-    """Bucket i begins at ``starts[i]`` and is cut into chunks of ``widths[i]`` order values, ``parts`` or so of them."""
-
-    starts: tuple[int, ...]
-    widths: tuple[int, ...]
-    parts: int
-
-
-def row_cuts(df: DataFrame, order: str, rows: int | None = None) -> Cuts:
-    """Cuts of an integer order column into chunks of about so many rows. Reads only that column, once."""
-    rows = rows or CHUNK_ROWS
-    marks = [i / BUCKETS for i in range(1, BUCKETS)]
-    n, low, high, at = df.agg(F.count(order), F.min(order), F.max(order), F.percentile_approx(order, marks, 10_000)).first()
-    if n <= rows:
-        return Cuts((low or 0,), (1 << 62,), 1)
-    starts = sorted({low, *at})
-    parts = -(-n // (BUCKETS * rows))
-    ends = [*starts[1:], high + 1]
-    return Cuts(tuple(starts), tuple(max(1, -((a - b) // parts)) for a, b in zip(starts, ends, strict=True)), parts)
+# The place of a row in its partition is in the lower bits of ``monotonically_increasing_id``.
+_PLACE_BITS = 33
 
 
-def chunk_of(order: str, how: int | Cuts) -> Column:
-    """Chunk number of an integer order value; grows with it. ``how`` is a fixed width or the cuts of the column."""
-    if isinstance(how, int):
-        return F.expr(f"`{order}` div {how}L")
-
-    def inside(first: int, last: int) -> Column:
-        if first < last:
-            middle = (first + last + 1) // 2
-            return F.when(F.col(order) < how.starts[middle], inside(first, middle - 1)).otherwise(inside(middle, last))
-        start, width = how.starts[first], how.widths[first]
-        # Quotients are subtracted, not values, whose difference may be too large.
-        before_it = start // width if start >= 0 else -(-start // width)
-        return F.expr(f"`{order}` div {width}L") - before_it + first * (how.parts + 3)
-
-    return inside(0, len(how.starts) - 1)
-
-
-def before(keys: Sequence[str], order: str = _CHUNK):
+def before(keys: Sequence[str], order: str):
     """All earlier chunks of the group."""
     return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
@@ -72,30 +35,36 @@ def so_far(keys: Sequence[str], order: str):
     return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def in_order(
-    df: DataFrame, by: Sequence[Column], name: str, marked: Column | None = None, parts: int | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """The rows with their 1-based position in the order ``by``, and rows (chunk, n, marked) of the chunks they stand in.
+def in_ranges(df: DataFrame, by: Sequence[Column | str], chunk: str, place: str, parts: int | None = None) -> DataFrame:
+    """The rows, written in ranges of ``by``, with the number of their range and their 0-based place in it.
 
-    The order is cut into ranges of about as many rows, whatever the values are: a sample states the cuts, and each range
-    is sorted by one task. What the tasks made is written once, so that a row's chunk and its place in it cannot change
-    between the two uses; one small row per chunk says how many rows stand before it. ``marked`` counts the rows of a
-    chunk for which it is true. ``parts`` is the number of ranges; without it the session's shuffle settings decide.
-    Equal rows stand in any order; a last column of ``by`` that tells them apart keeps them from being one range.
+    Equal rows may stand in any order, but in one range; a last column that tells them apart lets them be cut.
     """
-    at, chunk, of, base = unused([*df.columns, name], "_at", "_chunk", "_of", "_base")
+    (at,) = unused([*df.columns, chunk, place], "_at")
     cut = df.repartitionByRange(parts, *by) if parts else df.repartitionByRange(*by)
-    # Number of the partition in the upper bits, place in it in the lower ones.
     placed = written(cut.sortWithinPartitions(*by).withColumn(at, F.monotonically_increasing_id()))
-    counts = placed.groupBy(F.shiftright(at, 33).alias("chunk")).agg(
+    return placed.withColumns(
+        {chunk: F.shiftright(at, _PLACE_BITS), place: F.col(at).bitwiseAND((1 << _PLACE_BITS) - 1)}
+    ).drop(at)
+
+
+def in_order(
+    df: DataFrame, by: Sequence[Column | str], name: str, marked: Column | None = None, parts: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The rows with their 1-based position in the order ``by``, and rows (chunk, n, marked) of the ranges.
+
+    ``marked`` counts the rows of a range for which it is true. A column ``name`` is replaced.
+    """
+    chunk, place, of, base = unused([*df.columns, name], "_chunk", "_place", "_of", "_base")
+    placed = in_ranges(df, by, chunk, place, parts)
+    counts = placed.groupBy(F.col(chunk).alias("chunk")).agg(
         F.count(F.lit(1)).alias("n"),
         (F.count_if(marked) if marked is not None else F.lit(0).cast("long")).alias("marked"),
     )
-    counts = written(counts)
     stood = F.coalesce(F.sum("n").over(before([], "chunk")), F.lit(0))
     offsets = counts.select(F.col("chunk").alias(of), stood.alias(base))
-    joined = placed.withColumn(chunk, F.shiftright(at, 33)).join(offsets, F.col(chunk) == F.col(of))
-    position = F.col(base) + F.col(at).bitwiseAND((1 << 33) - 1) + 1
+    joined = placed.join(offsets, F.col(chunk) == F.col(of))
+    position = F.col(base) + F.col(place) + 1
     return joined.withColumn(name, position).select(*[c for c in df.columns if c != name], name), counts
 
 
@@ -106,59 +75,48 @@ def rank_in_group(
     rank: str = "rank",
     size: str | None = None,
     first_of: Mapping[str, str] | None = None,
-    width: int | Cuts | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
-    """Adds the 1-based position of each row in its group, ordered by a unique integer column.
+    """Adds the 1-based position of each row in its group, ordered by a unique column.
 
     ``size`` adds the number of rows of the group, ``first_of`` the group's first value of other columns
     (new name -> column). Rows with a null key belong to no group and are left out, as in a pandas group-by.
+
+    Rows are numbered throughout in the order of (keys, order); a group's own positions begin where the group does. Groups
+    are aggregated before they are shuffled, one row per group and range at most.
     """
     first_of = dict(first_of or {})
     for k in keys:
         df = df.filter(F.col(k).isNotNull())
-    df = df.withColumn(_CHUNK, chunk_of(order, width or row_cuts(df, order)))
-    group = [*keys, _CHUNK]
-    chunks = df.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.min_by(c, order).alias(f"_f_{n}") for n, c in first_of.items()]
-    )
-    whole = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
-    )
-    carried = chunks.select(
-        *group,
-        F.coalesce(F.sum("_n").over(before(keys)), F.lit(0)).alias("_before"),
-        *([F.sum("_n").over(whole).alias(size)] if size else []),
-        *[F.first(f"_f_{n}").over(whole).alias(n) for n in first_of],
-    )
-    inside = F.row_number().over(Window.partitionBy(*group).orderBy(order))
-    return (
-        df.withColumn("_inside", inside)
-        .join(carried, group)
-        .withColumn(rank, F.col("_before") + F.col("_inside"))
-        .drop(_CHUNK, "_inside", "_before")
+    pos, start = unused([*df.columns, rank, *([size] if size else []), *first_of], "_pos", "_start")
+    placed, _ = in_order(df, [*keys, order], pos, parts=parts)
+    groups = placed.groupBy(*keys).agg(
+        F.min(pos).alias(start),
+        *([F.count(F.lit(1)).alias(size)] if size else []),
+        *[F.min_by(c, pos).alias(n) for n, c in first_of.items()],
     )
+    joined = join_keys(placed, groups, list(keys), "inner")
+    return joined.withColumn(rank, F.col(pos) - F.col(start) + 1).drop(pos, start)
 
 
 def last_so_far(
-    df: DataFrame, keys: Sequence[str], order: str, value: str, name: str, width: int | Cuts | None = None
+    df: DataFrame, keys: Sequence[str], order: str, value: str, name: str, parts: int | None = None
 ) -> DataFrame:
     """Adds the latest non-null ``value`` at or before each row of its group."""
-    df = df.withColumn(_CHUNK, chunk_of(order, width or row_cuts(df, order)))
-    group = [*keys, _CHUNK]
-    chunks = df.groupBy(*group).agg(
-        F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("_last")
-    )
-    carried = chunks.select(*group, F.last("_last", ignorenulls=True).over(before(keys)).alias("_carried"))
-    inside = F.last(value, ignorenulls=True).over(so_far(group, order))
+    chunk, place, inside, carried = unused([*df.columns, name], "_chunk", "_place", "_inside", "_carried")
+    placed = in_ranges(df, [*keys, order], chunk, place, parts)
+    group = [*keys, chunk]
+    chunks = placed.groupBy(*group).agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(place))).alias(carried))
+    earlier = chunks.select(*group, F.last(carried, ignorenulls=True).over(before(keys, chunk)).alias(carried))
+    latest = F.last(value, ignorenulls=True).over(so_far(group, place))
     return (
-        df.withColumn("_inside", inside)
-        .join(carried, group)
-        .withColumn(name, F.coalesce("_inside", "_carried"))
-        .drop(_CHUNK, "_inside", "_carried")
+        join_keys(placed.withColumn(inside, latest), earlier, group, "inner")
+        .withColumn(name, F.coalesce(inside, carried))
+        .drop(chunk, place, inside, carried)
     )
 
 
-def number_rows(df: DataFrame, order: str, name: str, start: Column, width: int | Cuts | None = None) -> DataFrame:
-    """Numbers all rows in the order of a unique integer column, from ``start`` + 1 on."""
-    placed = rank_in_group(df.withColumn("_all", F.lit(0)), ["_all"], order, "_rank", width=width)
-    return placed.withColumn(name, start + F.col("_rank")).drop("_all", "_rank")
+def number_rows(df: DataFrame, order: str, name: str, start: Column, parts: int | None = None) -> DataFrame:
+    """Numbers all rows in the order of a unique column, from ``start`` + 1 on."""
+    placed, _ = in_order(df, [order], name, parts=parts)
+    return placed.withColumn(name, start + F.col(name))

@@ -12,55 +12,55 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedkit.operators.ordering import Cuts, before, chunk_of, last_so_far, rank_in_group, row_cuts, so_far
+from feedkit.operators.columns import unused
+from feedkit.operators.ordering import before, in_ranges, last_so_far, rank_in_group, so_far
+from feedkit.operators.skew import join_keys
 
 
-def widen_ends(df: DataFrame, keys: Sequence[str], order: str, layers: str, into: str = "mark_no") -> DataFrame:
+def widen_ends(
+    df: DataFrame, keys: Sequence[str], order: str, layers: str, into: str = "mark_no", parts: int | None = None
+) -> DataFrame:
     """An end mark that closes n layers becomes n end marks, numbered in ``into``, the order of the wider log.
 
-    The order column keeps its values, so that it may also be the time.
+    The order column keeps its values, so that it may also be the time. A mark without layers is one mark.
     """
-    wide = df.withColumn("_layer", F.explode(F.sequence(F.lit(1), F.greatest(F.col(layers), F.lit(1)))))
-    # All copies of one mark stay together: position of the mark plus the copies before it.
-    grown = df.withColumn("_extra", F.greatest(F.col(layers), F.lit(1)).cast("long"))
-    grown = grown.withColumn("_c", chunk_of(order, row_cuts(df, order)))
-    chunks = grown.groupBy(*keys, "_c").agg(F.sum("_extra").alias("_n"))
-    carried = chunks.select(*keys, "_c", F.coalesce(F.sum("_n").over(before(keys, "_c")), F.lit(0)).alias("_base"))
-    inside = F.sum("_extra").over(so_far([*keys, "_c"], order)) - F.col("_extra")
-    placed = grown.withColumn("_inside", inside).join(carried, [*keys, "_c"])
-    placed = placed.select(*keys, order, (F.col("_base") + F.col("_inside")).alias("_start"))
-    return (
-        wide.join(placed, [*keys, order])
-        .withColumn(into, F.col("_start") + F.col("_layer"))
-        .drop("_layer", "_start")
-    )
+    chunk, place, copies, base, layer = unused([*df.columns, into], "_chunk", "_place", "_copies", "_base", "_layer")
+    grown = df.withColumn(copies, F.greatest(F.coalesce(F.col(layers), F.lit(1)), F.lit(1)).cast("long"))
+    placed = in_ranges(grown, [*keys, order], chunk, place, parts)
+    group = [*keys, chunk]
+    chunks = placed.groupBy(*group).agg(F.sum(copies).alias(base))
+    chunks = chunks.select(*group, F.coalesce(F.sum(base).over(before(keys, chunk)), F.lit(0)).alias(base))
+    # All copies of one mark stay together: they begin after those of the marks before it.
+    inside = F.sum(copies).over(so_far(group, place)) - F.col(copies)
+    started = join_keys(placed.withColumn(place, inside), chunks, group, "inner")
+    wide = started.withColumn(layer, F.explode(F.sequence(F.lit(1), F.col(copies))))
+    return wide.withColumn(into, F.col(base) + F.col(place) + F.col(layer)).drop(chunk, place, copies, base, layer)
 
 
-def span_depth(df: DataFrame, run: str, order: str, is_start: Column, width: int | Cuts | None = None) -> DataFrame:
+def span_depth(df: DataFrame, run: str, order: str, is_start: Column, parts: int | None = None) -> DataFrame:
     """Adds ``is_start``, ``depth`` (of the span that a mark opens or closes) and ``rejected`` to every mark."""
-    width = width or row_cuts(df, order)
+    names = [*df.columns, "is_start", "depth", "rejected"]
+    chunk, place, total, low, base, floor = unused(names, "_chunk", "_place", "_sum", "_low", "_base", "_floor")
     step = F.when(F.col("is_start"), F.lit(1)).otherwise(F.lit(-1)).cast("long")
-    marks = df.withColumn("is_start", is_start).withColumn("_chunk", chunk_of(order, width))
-    group = [run, "_chunk"]
-    marks = marks.withColumn("_sum", F.sum(step).over(so_far(group, order)))
+    marks = in_ranges(df.withColumn("is_start", is_start), [run, order], chunk, place, parts)
+    group = [run, chunk]
+    marks = marks.withColumn(total, F.sum(step).over(so_far(group, place)))
     # Lowest point of the chunk before this mark.
-    earlier = before(group, order)
-    marks = marks.withColumn("_low", F.min("_sum").over(earlier))
+    marks = marks.withColumn(low, F.min(total).over(before(group, place)))
     # Per chunk: its total and its lowest point. Across chunks: where each one begins, and the lowest point so far.
-    chunks = marks.groupBy(*group).agg(F.max_by("_sum", order).alias("_total"), F.min("_sum").alias("_lowest"))
-    chunks = chunks.withColumn("_base", F.coalesce(F.sum("_total").over(before([run])), F.lit(0)))
-    chunks = chunks.withColumn("_floor", F.min(F.col("_base") + F.col("_lowest")).over(before([run])))
-    chunks = chunks.select(*group, "_base", F.least(F.coalesce("_floor", F.lit(0)), F.lit(0)).alias("_floor"))
-    level = F.col("_base") + F.col("_sum")
+    chunks = marks.groupBy(*group).agg(F.max_by(total, place).alias("_total"), F.min(total).alias("_lowest"))
+    chunks = chunks.withColumn(base, F.coalesce(F.sum("_total").over(before([run], chunk)), F.lit(0)))
+    chunks = chunks.withColumn(floor, F.min(F.col(base) + F.col("_lowest")).over(before([run], chunk)))
+    chunks = chunks.select(*group, base, F.least(F.coalesce(floor, F.lit(0)), F.lit(0)).alias(floor))
+    level = F.col(base) + F.col(total)
     # least skips nulls: the first mark of a chunk has no earlier point in it.
-    floor = F.least(F.col("_floor"), F.col("_base") + F.col("_low"))
+    lowest = F.least(F.col(floor), F.col(base) + F.col(low))
+    height = (level - lowest + F.when(F.col("is_start"), 0).otherwise(1)).cast("int")
     return (
-        marks.join(chunks, group)
-        .withColumn("rejected", level < floor)
-        .withColumn("_height", level - floor)
-        .withColumn("depth", F.when(F.col("is_start"), F.col("_height")).otherwise(F.col("_height") + 1))
-        .withColumn("depth", F.when(~F.col("rejected"), F.col("depth")).cast("int"))
-        .drop("_chunk", "_sum", "_low", "_base", "_floor", "_height")
+        join_keys(marks, chunks, group, "inner")
+        .withColumn("rejected", level < lowest)
+        .withColumn("depth", F.when(~F.col("rejected"), height))
+        .drop(chunk, place, total, low, base, floor)
     )
 
 
@@ -72,12 +72,11 @@ def match_spans(
     is_start: Column,
     now: Column,
     carry: Sequence[str] = (),
-    width: int | Cuts | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """One row per span: ``start_at``, ``end_at`` (null while open) and ``seconds``, open spans measured to ``now``."""
-    width = width or row_cuts(df, order)
-    marks = span_depth(df, run, order, is_start, width).filter(~F.col("rejected"))
-    marks = rank_in_group(marks, [run, "depth", "is_start"], order, "_k", width=width)
+    marks = span_depth(df, run, order, is_start, parts).filter(~F.col("rejected"))
+    marks = rank_in_group(marks, [run, "depth", "is_start"], order, "_k", parts=parts)
     start = F.col("is_start")
     spans = marks.groupBy(run, "depth", "_k").agg(
         F.max(F.when(start, F.col(order))).alias(order),
@@ -96,16 +95,15 @@ def match_spans(
     )
 
 
-def span_parents(df: DataFrame, run: str, order: str, is_start: Column, width: int | Cuts | None = None) -> DataFrame:
+def span_parents(df: DataFrame, run: str, order: str, is_start: Column, parts: int | None = None) -> DataFrame:
     """Every start with ``uid``, ``depth`` and ``pid``: the nearest earlier start still open, null at the top."""
-    width = width or row_cuts(df, order)
-    marks = span_depth(df, run, order, is_start, width).filter("is_start").select(run, order, "depth")
-    marks = rank_in_group(marks, [run], order, "uid", width=width)
+    marks = span_depth(df, run, order, is_start, parts).filter("is_start").select(run, order, "depth")
+    marks = rank_in_group(marks, [run], order, "uid", parts=parts)
     # Each start speaks at its own depth and asks at the depth above it.
     roles = F.array(
         F.struct(F.col("depth").alias("level"), F.col("uid").alias("said"), F.lit(False).alias("asks")),
         F.struct((F.col("depth") - 1).alias("level"), F.lit(None).cast("long").alias("said"), F.lit(True).alias("asks")),
     )
     asked = marks.select(run, order, "uid", "depth", F.inline(roles))
-    answered = last_so_far(asked, [run, "level"], order, "said", "pid", width)
+    answered = last_so_far(asked, [run, "level"], order, "said", "pid", parts)
     return answered.filter("asks").select(run, order, "uid", "depth", "pid")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from feedkit.errors import TooFewRows
 from feedkit.operators import literals, pairing, spans, topk
 from feedkit.operators.aggregates import corr_pairs, date_range, distinct_per_group
-from feedkit.operators.ordering import chunk_of, last_so_far, number_rows, rank_in_group, row_cuts
+from feedkit.operators.ordering import in_order, in_ranges, last_so_far, number_rows, rank_in_group
 
 
 @pytest.fixture(scope="module")
@@ -25,38 +25,46 @@ def hot(spark):
     return data, spark.createDataFrame(data, "g string, o long")
 
 
-@pytest.mark.parametrize("width", [1000, 10**7, 10**12, None])
-def test_rank_does_not_depend_on_chunks(hot, width):
+@pytest.mark.parametrize("parts", [1, 7, 40, None])
+def test_rank_does_not_depend_on_chunks(hot, parts):
     data, df = hot
     expected = {}
     for g in {g for g, _ in data}:
         inside = sorted(o for h, o in data if h == g)
         expected.update({(g, o): (i + 1, len(inside), inside[0]) for i, o in enumerate(inside)})
-    got = rank_in_group(df, ["g"], "o", "r", "n", {"first": "o"}, width=width).collect()
+    got = rank_in_group(df, ["g"], "o", "r", "n", {"first": "o"}, parts=parts).collect()
     assert {(r["g"], r["o"]): (r["r"], r["n"], r["first"]) for r in got} == expected
 
 
 def test_no_task_gets_a_whole_group(hot):
     _, df = hot
-    chunked = df.groupBy("g", F.expr("o div 10000000L")).count().agg(F.max("count")).first()[0]
-    assert chunked < df.filter("g = 'hot'").count() / 10
+    _, counts = in_order(df, ["g", "o"], "pos", parts=20)
+    assert counts.agg(F.max("n")).first()[0] < df.filter("g = 'hot'").count() / 5
 
 
 @pytest.mark.parametrize("far", [9 * 10**18, -9 * 10**18, 50_000])
-def test_cuts_follow_the_rows(spark, far):
-    """One far outlier makes no large chunk, and chunk numbers grow with the order."""
+def test_ranges_follow_the_rows(spark, far):
+    """One far outlier makes no large chunk, chunk numbers grow with the order, and positions have no gap."""
     df = spark.range(50_000).union(spark.createDataFrame([(far,)], "id long"))
-    chunk = chunk_of("id", row_cuts(df, "id", 100))
-    sizes = df.groupBy(chunk.alias("c")).agg(F.count("id").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
+    sizes = in_ranges(df, ["id"], "c", "p", 50).groupBy("c").agg(
+        F.count("id").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"), F.max("p").alias("last")
+    )
     found = sizes.orderBy("c").collect()
-    assert max(r["n"] for r in found) <= 200
+    assert max(r["n"] for r in found) <= 3_000 and all(r["last"] == r["n"] - 1 for r in found)
     assert all(a["high"] < b["low"] for a, b in zip(found, found[1:], strict=False))
+    placed, counts = in_order(df, [F.col("id").desc()], "id_pos", F.col("id") % 2 == 0, 50)
+    assert counts.agg(F.sum("n"), F.sum("marked")).first() == (50_001, 25_001 if far % 2 == 0 else 25_000)
+    pairs = placed.orderBy("id_pos").collect()
+    assert [r["id_pos"] for r in pairs] == list(range(1, 50_002))
+    assert [r["id"] for r in pairs] == sorted((r["id"] for r in pairs), reverse=True)
 
 
-def test_few_rows_are_one_chunk(spark):
-    for data in ([], [(5,), (-3,)]):
-        df = spark.createDataFrame(data, "o long")
-        assert df.select(chunk_of("o", row_cuts(df, "o"))).distinct().count() <= 1
+def test_few_rows_and_clashing_names(spark):
+    for data in ([], [(5, 1), (-3, 2)]):
+        df = spark.createDataFrame(data, "_chunk long, _at long")
+        placed, _ = in_order(df, ["_chunk"], "_place")
+        assert rows(placed, "_chunk", "_at", "_place") == [(a, b, i + 1) for i, (a, b) in enumerate(sorted(data))]
+        assert rows(rank_in_group(df, ["_at"], "_chunk", "_pos"), "_chunk", "_pos") == [(a, 1) for a, _ in sorted(data)]
 
 
 def test_null_keys_form_no_group(spark):
@@ -66,14 +74,14 @@ def test_null_keys_form_no_group(spark):
 
 def test_number_rows_goes_on_from_start(spark):
     df = spark.createDataFrame([(30,), (10,), (20,)], "line long")
-    assert rows(number_rows(df, "line", "id", F.lit(100), width=7), "line", "id") == [(10, 101), (20, 102), (30, 103)]
+    assert rows(number_rows(df, "line", "id", F.lit(100), parts=2), "line", "id") == [(10, 101), (20, 102), (30, 103)]
 
 
-@pytest.mark.parametrize("width", [2, 5, 1000])
-def test_last_so_far(spark, width):
+@pytest.mark.parametrize("parts", [20, 8, 1, None])
+def test_last_so_far(spark, parts):
     data = [("a", i, i if i % 7 == 0 else None) for i in range(40)]
     df = spark.createDataFrame(data, "g string, o long, v long")
-    got = last_so_far(df, ["g"], "o", "v", "last", width=width)
+    got = last_so_far(df, ["g"], "o", "v", "last", parts=parts)
     assert rows(got, "o", "last") == [(i, i // 7 * 7) for i in range(40)]
 
 
@@ -91,17 +99,17 @@ def replay(marks):
     return out, rejects
 
 
-@pytest.mark.parametrize("width", [1, 3, 50])
-def test_spans_equal_a_replay(spark, width):
+@pytest.mark.parametrize("parts", [12, 3, None])
+def test_spans_equal_a_replay(spark, parts):
     rng = random.Random(7)
     runs = {run: [(i, rng.random() < 0.5) for i in range(60)] for run in range(4)}
     runs[9] = [(0, True), (1, True), (2, False), (3, False)]
     runs[10] = [(0, False), (1, True)]
     data = [(run, i, s) for run, marks in runs.items() for i, s in marks]
     df = spark.createDataFrame(data, "run int, at long, s boolean")
-    depth = spans.span_depth(df, "run", "at", F.col("s"), width=width)
-    got = spans.match_spans(df, "run", "at", "at", F.col("s"), F.lit(100).cast("long"), width=width)
-    parents = spans.span_parents(df, "run", "at", F.col("s"), width=width)
+    depth = spans.span_depth(df, "run", "at", F.col("s"), parts=parts)
+    got = spans.match_spans(df, "run", "at", "at", F.col("s"), F.lit(100).cast("long"), parts=parts)
+    parents = spans.span_parents(df, "run", "at", F.col("s"), parts=parts)
     expected, expected_parents, rejected = [], [], []
     for run, marks in runs.items():
         out, rejects = replay(marks)
@@ -220,7 +228,7 @@ def test_literals(spark, part_size):
             out[r["g"]] = out.get(r["g"], "") + r["text"]
         return out
 
-    size = {"part_size": part_size, "width": 2}
+    size = {"part_size": part_size, "parts": 5}
     # The first element decides about the quotes of all.
     assert whole(literals.list_literal(df, ["g"], "o", "s", **size), "part") == {"g": "['a', 'b', 'c']", "h": "[3, x]"}
     assert whole(literals.list_literal(df, ["g"], "o", "s", plain=True, **size), "part")["g"] == "[a, b, c]"
