@@ -82,21 +82,28 @@ def rank_in_group(
     ``size`` adds the number of rows of the group, ``first_of`` the group's first value of other columns
     (new name -> column). Rows with a null key belong to no group and are left out, as in a pandas group-by.
 
-    Rows are numbered throughout in the order of (keys, order); a group's own positions begin where the group does. Groups
-    are aggregated before they are shuffled, one row per group and range at most.
+    Rows stand in ranges of (keys, order), so a group is a stretch of one range or goes on over several. Per group and range
+    one row says where the stretch begins and how many rows of the group stand before it.
     """
     first_of = dict(first_of or {})
     for k in keys:
         df = df.filter(F.col(k).isNotNull())
-    pos, start = unused([*df.columns, rank, *([size] if size else []), *first_of], "_pos", "_start")
-    placed, _ = in_order(df, [*keys, order], pos, parts=parts)
-    groups = placed.groupBy(*keys).agg(
-        F.min(pos).alias(start),
-        *([F.count(F.lit(1)).alias(size)] if size else []),
-        *[F.min_by(c, pos).alias(n) for n, c in first_of.items()],
+    names = [*df.columns, rank, *([size] if size else []), *first_of]
+    chunk, place, n, shift = unused(names, "_chunk", "_place", "_n", "_shift")
+    placed = in_ranges(df, [*keys, order], chunk, place, parts)
+    group = [*keys, chunk]
+    stretches = placed.groupBy(*group).agg(
+        F.count(F.lit(1)).alias(n), F.min(place).alias(shift), *[F.min_by(c, place).alias(k) for k, c in first_of.items()]
+    )
+    whole = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    stretches = stretches.select(
+        *group,
+        (F.coalesce(F.sum(n).over(before(keys, chunk)), F.lit(0)) - F.col(shift) + 1).alias(shift),
+        *([F.sum(n).over(whole).alias(size)] if size else []),
+        *[F.first(k).over(whole).alias(k) for k in first_of],
     )
-    joined = join_keys(placed, groups, list(keys), "inner")
-    return joined.withColumn(rank, F.col(pos) - F.col(start) + 1).drop(pos, start)
+    joined = join_keys(placed, stretches, group, "inner")
+    return joined.withColumn(rank, F.col(place) + F.col(shift)).drop(chunk, place, shift)
 
 
 def last_so_far(
