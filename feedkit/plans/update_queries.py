@@ -171,8 +171,11 @@ def _(spark, sf):
 _CUT = dt.datetime(1998, 1, 1)
 
 
-def raw_team_feed(spark, sf):
-    """The team rows with the headers of the team feed. Statistics that no table has are made from the row's id."""
+def raw_team_feed(spark, sf, **other: str):
+    """The team rows with the headers of the team feed. Statistics that no table has are made from the row's id.
+
+    ``other`` gives expressions for columns by their names in the table.
+    """
     orders = table(spark, sf, "orders").selectExpr("o_orderkey AS gid", "o_orderdate AS date", "o_custkey AS cust")
     special = {
         "playoff": "CASE WHEN cust % 5 = 0 THEN 'Playoffs' ELSE 'Regular Season' END",
@@ -184,6 +187,7 @@ def raw_team_feed(spark, sf):
         "ref_main": "CASE WHEN id % 2 = 0 THEN concat('M', cust % 50) END",
         "ref_crew1": "concat('C', id % 70)",
         **{s: s for s in STARTERS},
+        **other,
     }
     made = [f"{special.get(name, f'id % {11 + i}')} AS `{h}`" for i, (h, name) in enumerate(feeds.TEAM_HEADERS.items())]
     games = table(spark, sf, "v_pteam").drop("gd").join(orders, "gid")
@@ -233,6 +237,40 @@ def _clean(c: str) -> str:
     return f"CASE WHEN {c} IN (SELECT old FROM sir) THEN 'Sir ' || {c} ELSE {c} END"
 
 
+def _made_sql(headers: dict[str, str], types: dict[str, tuple[str, ...]], special: dict[str, str], id_: str) -> str:
+    """The numbers of a feed in SQL, as the raw feed makes them, under the names and types of the table."""
+    made = {name: f"{id_} % {11 + i}" for i, name in enumerate(headers.values())} | special
+    kinds = {"int": "INTEGER", "double": "DOUBLE"}
+    return ", ".join(f"CAST({made[n]} AS {sql}) AS {n}" for k, sql in kinds.items() for n in types[k])
+
+
+_PLACES = {name: 11 + i for i, name in enumerate(feeds.TEAM_HEADERS.values())}
+_PLAYER_PLACES = {name: 11 + i for i, name in enumerate(feeds.PLAYER_HEADERS.values())}
+_TEAM_SQL = _made_sql(
+    feeds.TEAM_HEADERS,
+    feeds.TEAM_TYPES,
+    {
+        "mins": "240 + 25 * (t.gid % 3)",
+        "ot": "t.gid % 3",
+        "fg2m": f"t.id % 60 + 30 - t.id % {_PLACES['fg3m']}",
+        "fg2a": f"t.id % 90 + 60 - t.id % {_PLACES['fg3a']}",
+        "season": str(SEASON),
+    },
+    "t.id",
+)
+_PLAYER_SQL = _made_sql(
+    feeds.PLAYER_HEADERS,
+    feeds.PLAYER_TYPES,
+    {
+        "pts": "qty",
+        "fg3m": "qty % 3",
+        "fg2m": "qty - qty % 3",
+        "fg2a": f"qty + 4 - qty % {_PLAYER_PLACES['fg3a']}",
+        "season": str(SEASON),
+    },
+    "qty",
+)
+
 # Game rows as the team feed gives them, numbered as two loads number them.
 _FEED_GAMES = f"""fg AS (
     SELECT row_number() OVER (ORDER BY o.o_orderdate > TIMESTAMP '1998-01-01', t.id) AS id, t.id AS line,
@@ -241,20 +279,23 @@ _FEED_GAMES = f"""fg AS (
            strftime(o.o_orderdate, '%y%m%d') || '_T' || t.gid || '-F_T' || t.gid || '-O' AS gid,
            'M' || o.o_custkey % 50 AS ref_main, 'C' || (t.id - t.id % 2) % 70 AS ref_crew1,
            'C' || (t.id - t.id % 2 + 1) % 70 AS ref_crew2, o.o_custkey % 5 = 0 AS playoff,
-           {', '.join(f'{_clean(s)} AS {s}' for s in STARTERS)}
+           '3+' AS restdays, {_TEAM_SQL}, {', '.join(f'{_clean(s)} AS {s}' for s in STARTERS)}
     FROM v_pteam t JOIN orders o ON o.o_orderkey = t.gid)"""
 _FEED_PLAYERS = f"""fp AS (
-    SELECT row_number() OVER (ORDER BY gd > TIMESTAMP '1998-01-01', id) AS id, id AS line, gd, 'T' || team AS team,
-           'T' || opp AS opp, team LIKE '%-F' AS home, {_clean('player')} AS player, qty,
+    SELECT row_number() OVER (ORDER BY gd > TIMESTAMP '1998-01-01', v_player.id) AS id, v_player.id AS line, gd, 'T' || team AS team,
+           'T' || opp AS opp, team LIKE '%-F' AS home, {_clean('player')} AS player, 'G' AS pos, false AS playoff, {_PLAYER_SQL},
            strftime(gd, '%y%m%d') || '_T' || split_part(team, '-', 1) || '-F_T' || split_part(team, '-', 1) || '-O' AS gid
     FROM v_player)"""
 
 
+_TEAM_COLUMNS = sorted(n for names in feeds.TEAM_TYPES.values() for n in names)
+_PLAYER_COLUMNS = sorted(n for names in feeds.PLAYER_TYPES.values() for n in names)
+
+
 @query(
     "feed_team_rows",
     with_views(
-        f"""WITH {_SIR}, {_FEED_GAMES} SELECT row_number() OVER (ORDER BY line) AS feed_pos, gd, team, opp, home, gid, ref_main, ref_crew1, ref_crew2, playoff,
-            start1, start2, start5, CAST(2018 AS INTEGER) AS season FROM fg
+        f"""WITH {_SIR}, {_FEED_GAMES} SELECT row_number() OVER (ORDER BY line) AS feed_pos, {', '.join(_TEAM_COLUMNS)} FROM fg
             WHERE gd > TIMESTAMP '1996-01-01' AND gd <= TIMESTAMP '1998-01-01'""",
         "v_pteam",
     ),
@@ -263,18 +304,54 @@ def _(spark, sf):
     rows, _rejects = feeds.team_rows(
         raw_team_feed(spark, sf), lookups(spark, sf), SEASON, _at(1996, 1, 1), _at(1998, 1, 1), "line"
     )
-    columns = "feed_pos gd team opp home gid ref_main ref_crew1 ref_crew2 playoff start1 start2 start5 season"
-    return rows.select(*columns.split())
+    return rows
+
+
+# A value that is no number in some rows of two columns.
+_ODD = {"blk": "CASE WHEN id % 13 = 0 THEN concat('n/a ', id % 5) ELSE CAST(id % 37 AS STRING) END",
+        "stl": "CASE WHEN id % 29 = 0 THEN 'none' WHEN id % 31 <> 0 THEN CAST(id % 7 AS STRING) END"}
+
+
+def _odd_feed(spark, sf):
+    return feeds.team_rows(
+        raw_team_feed(spark, sf, **_ODD), lookups(spark, sf), SEASON, _at(1900, 1, 1), _at(2100, 1, 1), "line"
+    )
+
+
+@query(
+    "feed_team_misfits",
+    with_views(
+        f"""WITH {_SIR}, {_FEED_GAMES}
+            SELECT gd, team, opp, 'blk is no int: n/a ' || line % 5 AS reason FROM fg WHERE line % 13 = 0
+            UNION ALL SELECT gd, team, opp, 'stl is no int: none' FROM fg WHERE line % 29 = 0""",
+        "v_pteam",
+    ),
+)
+def _(spark, sf):
+    return _odd_feed(spark, sf)[1]
+
+
+@query(
+    "feed_team_lenient",
+    with_views(
+        f"""WITH {_SIR}, {_FEED_GAMES}
+            SELECT row_number() OVER (ORDER BY line) AS feed_pos, team, gid,
+                   CASE WHEN line % 13 <> 0 THEN CAST(line % 37 AS INTEGER) END AS blk,
+                   CASE WHEN line % 29 <> 0 AND line % 31 <> 0 THEN CAST(line % 7 AS INTEGER) END AS stl FROM fg""",
+        "v_pteam",
+    ),
+)
+def _(spark, sf):
+    return _odd_feed(spark, sf)[0].select("feed_pos", "team", "gid", "blk", "stl")
 
 
 @query(
     "feed_player_rows",
     with_views(
-        f"""WITH {_SIR}, {_FEED_PLAYERS} SELECT feed_pos, gd, team, opp, home, gid, player, CAST(qty AS INTEGER) AS pts,
-            CAST(qty - qty % 3 AS INTEGER) AS fg2m, CAST(2018 AS INTEGER) AS season
+        f"""WITH {_SIR}, {_FEED_PLAYERS} SELECT feed_pos, {', '.join(_PLAYER_COLUMNS)}
             FROM (SELECT *, row_number() OVER (ORDER BY line) AS feed_pos FROM fp
                   WHERE gd > TIMESTAMP '1996-01-01' AND gd <= TIMESTAMP '1998-01-01')
-            WHERE opp <> 'Tnobody' AND gd > TIMESTAMP '1996-01-01' AND gd <= TIMESTAMP '1998-01-01'""",
+            WHERE opp <> 'Tnobody'""",
         "v_player",
     ),
 )
@@ -282,7 +359,7 @@ def _(spark, sf):
     rows, _rejects = feeds.player_rows(
         raw_player_feed(spark, sf), lookups(spark, sf), SEASON, _at(1996, 1, 1), _at(1998, 1, 1), "line"
     )
-    return rows.select("feed_pos", "gd", "team", "opp", "home", "gid", "player", "pts", "fg2m", "season")
+    return rows
 
 
 @query(
@@ -301,7 +378,7 @@ def _(spark, sf):
     "update_all_stages",
     with_views(
         f"""WITH {_SIR}, {_FEED_GAMES}, {_FEED_PLAYERS}
-            SELECT p.id, p.gid, p.gd, p.team, p.player, CAST(p.qty AS INTEGER) AS pts, g.id AS tsid,
+            SELECT p.id, p.gid, p.gd, p.team, p.player, p.pts, g.id AS tsid,
                    CASE WHEN p.player IN (g.start1, g.start2, g.start3, g.start4, g.start5) THEN true END AS starter
             FROM fp p LEFT JOIN fg g ON g.gid = p.gid AND g.team = p.team
             WHERE p.opp <> 'Tnobody'""",
@@ -316,15 +393,12 @@ def _(spark, sf):
 @query(
     "update_all_games",
     with_views(
-        f"""WITH {_SIR}, {_FEED_GAMES} SELECT id, gd, team, opp, home, gid, ref_main, ref_crew1, ref_crew2, playoff,
-            start1, start2, start3, start4, start5, CAST(2018 AS INTEGER) AS season FROM fg""",
+        f"""WITH {_SIR}, {_FEED_GAMES} SELECT id, {', '.join(_TEAM_COLUMNS)} FROM fg""",
         "v_pteam",
     ),
 )
 def _(spark, sf):
-    games = _daily_job(spark, sf, link=False, starters=False).games
-    names = "id gd team opp home gid ref_main ref_crew1 ref_crew2 playoff start1 start2 start3 start4 start5 season"
-    return games.select(*names.split())
+    return _daily_job(spark, sf, link=False, starters=False).games
 
 
 @query(
@@ -364,7 +438,7 @@ def _daily_job(spark, sf, **stages):
 
 
 def _named(types):
-    return {name: kind for kind, names in types.items() for name in names.split()}
+    return {name: kind for kind, names in types.items() for name in names}
 
 
 def _empty(spark, columns):

@@ -52,6 +52,14 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_by(df: DataFrame, column: str) -> DataFrame:
+    """The rows as a parquet table with one folder per value of a column, so that a filter on it reads those files alone."""
+    path = fresh_path(df.sparkSession, "stage")
+    df.write.partitionBy(column).parquet(path)
+    ordered = df.select(*[c for c in df.columns if c != column], column)
+    return df.sparkSession.read.schema(ordered.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared checkpoint folder and go on from there. Survives the loss of executors."""
     spark = df.sparkSession

@@ -229,7 +229,7 @@ def test_audit(spark):
 
 def test_a_missing_feed_skips_only_its_stage(spark):
     def columns(types):
-        return ", ".join(f"{n} {k}" for k, ns in types.items() for n in ns.split())
+        return ", ".join(f"{n} {k}" for k, ns in types.items() for n in ns)
 
     players = spark.createDataFrame([], "id long, tsid long, starter boolean, " + columns(feeds.PLAYER_TYPES))
     games = spark.createDataFrame([], "id long, " + columns(feeds.TEAM_TYPES))
