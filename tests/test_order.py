@@ -169,6 +169,28 @@ def test_corr_pairs_use_complete_rows(spark):
     assert got["a", "c"] is None
 
 
+def test_wide_correlations_equal_pairwise_ones(spark):
+    """Nulls, constants, constants of the common rows, columns without a value, large values with a small spread."""
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(400, 9))
+    table = [[None if rng.random() < 0.2 else float(x) for x in r] for r in base]
+    for i, r in enumerate(table):
+        r += [0.1, None, 1e9 + float(base[i][0]), 7.5 if i % 2 else float(i), None if i % 2 == 0 else float(i)]
+    names = [f"c{i:02}" for i in range(14)]
+    df = spark.createDataFrame(table, ", ".join(f"{n} double" for n in names)).repartition(3)
+    plan = corr_pairs(df, {n: F.col(n) for n in names})
+    assert "Generate" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["col_a"], r["col_b"]): r["corr"] for r in plan.collect()}
+    assert len(got) == 91
+    for (a, b), value in got.items():
+        pairs = [(r[int(a[1:])], r[int(b[1:])]) for r in table]
+        x, y = np.array([p for p in pairs if None not in p]).reshape(-1, 2).T
+        if len(x) == 0 or x.min() == x.max() or y.min() == y.max():
+            assert value is None
+        else:
+            assert value == pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-6)
+
+
 def quantile_data(kind):
     rng = np.random.default_rng(3)
     if kind == "ties":
