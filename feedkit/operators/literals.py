@@ -82,6 +82,25 @@ def dict_literal(
     return _pieces(ranked, keys, element, F.lit("{"), "}", part_size)
 
 
+def dict_maps(
+    df: DataFrame, keys: Sequence[str], order: str, key: str, value: str, part_size: int = PART_SIZE, parts: int | None = None
+) -> DataFrame:
+    """Typed maps of each group in pieces (keys…, part, entries): a map from ``key`` to ``value`` as they are.
+
+    Of a key that a group has twice the value of the last row counts, and the key stands where it came first, as in an
+    ordered dictionary. Rows with a null key have no entry. A group of up to ``part_size`` keys is one map.
+    """
+    rows = df.filter(F.col(key).isNotNull()).select(*keys, F.col(order).alias("_o"), F.col(key).alias("_k"), F.col(value).alias("_v"))
+    entries = rows.groupBy(*keys, "_k").agg(F.min("_o").alias("_o"), F.max_by("_v", "_o").alias("_v"))
+    ranked = rank_in_group(entries, keys, "_o", "_rank", parts=parts)
+    element = F.struct(F.col("_rank").alias("r"), F.col("_k").alias("k"), F.col("_v").alias("v"))
+    pieces = ranked.groupBy(*keys, F.expr(f"(_rank - 1) div {part_size}").alias("part")).agg(
+        F.sort_array(F.collect_list(element)).alias("_e")
+    )
+    made = F.map_from_arrays(F.transform("_e", lambda e: e["k"]), F.transform("_e", lambda e: e["v"]))
+    return pieces.select(*keys, "part", made.alias("entries"))
+
+
 def columns_literal(
     df: DataFrame, keys: Sequence[str], order: str, columns: Sequence[str], part_size: int = PART_SIZE,
     parts: int | None = None,

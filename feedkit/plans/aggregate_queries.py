@@ -170,6 +170,21 @@ def _(spark, sf):
     )
 
 
+@query(
+    "agg_dict_typed",
+    f"""WITH e AS (
+            SELECT o_orderstatus AS status, o_custkey AS k, min(o_orderkey) AS first, max_by(o_totalprice, o_orderkey) AS v
+            FROM orders GROUP BY o_orderstatus, o_custkey),
+        r AS (SELECT *, row_number() OVER (PARTITION BY status ORDER BY first) AS r FROM e)
+        SELECT status, (r - 1) // {PART} AS part, k AS cust, v AS price FROM r""",
+)
+def _(spark, sf):
+    """The entries of the maps, one row each; a customer's last order counts."""
+    orders = table(spark, sf, "orders").withColumnRenamed("o_orderstatus", "status")
+    maps = L.dict_maps(orders, ["status"], "o_orderkey", "o_custkey", "o_totalprice", part_size=PART)
+    return maps.select("status", "part", F.explode("entries").alias("cust", "price"))
+
+
 @query(
     "agg_columns_to_lists",
     _parts_sql(

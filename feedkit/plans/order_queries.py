@@ -88,6 +88,32 @@ def _(spark, sf):
     return S.match_spans(_turns(spark, sf), "conv_id", "turn", "turn", _starts(), now, carry=["role"])
 
 
+# An answer of the assistant closes as many open spans as its turn number says, by 3, and one more.
+_LAYERS = """
+    w AS (SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn, i) AS mark_no,
+                 role <> 'assistant' AS is_start
+          FROM (SELECT *, unnest(range(CASE WHEN role = 'assistant' THEN turn % 3 + 1 ELSE 1 END)) AS i FROM conversations)),
+    m AS (SELECT *, sum(CASE WHEN is_start THEN 1 ELSE -1 END) OVER (PARTITION BY conv_id ORDER BY mark_no) AS s FROM w),
+    f AS (SELECT *, least(0, coalesce(min(s) OVER (PARTITION BY conv_id ORDER BY mark_no
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS floor FROM m),
+    d AS (SELECT *, s < floor AS rejected,
+                 CASE WHEN s >= floor THEN CAST(s - floor + CASE WHEN is_start THEN 0 ELSE 1 END AS INTEGER) END AS depth FROM f)"""
+
+
+@query(
+    "win_span_layers",
+    f"""WITH {_LAYERS},
+        nxt AS (SELECT *, lead(turn) OVER (PARTITION BY conv_id, depth ORDER BY mark_no) AS end_at FROM d WHERE NOT rejected)
+        SELECT conv_id, mark_no, role, depth, turn AS start_at, end_at,
+               CAST(coalesce(end_at, 1000) - turn AS DOUBLE) AS seconds FROM nxt WHERE is_start""",
+)
+def _(spark, sf):
+    turns = _turns(spark, sf).withColumn("layers", F.when(F.col("role") == "assistant", F.col("turn") % 3 + 1).otherwise(1))
+    marks = S.widen_ends(turns, ["conv_id"], "turn", "layers")
+    now = F.lit(1000).cast("long")
+    return S.match_spans(marks, "conv_id", "mark_no", "turn", _starts(), now, carry=["role"])
+
+
 @query(
     "win_span_parent",
     f"""WITH {_MARKS},

@@ -12,17 +12,22 @@ from feedkit.plans.views import table, with_views
 from feedkit.session import fresh_path
 from feedkit.sources import (
     active_team_names,
+    append_batch,
     append_rows,
     feed_scan,
+    html_files,
     known_names,
+    latest_dated,
     latest_snapshot,
     listed_names,
     lookup_pairs,
     name_pairs,
+    read_batches,
     sql_query,
     table_scan,
     text_lines,
     write_named,
+    write_observed,
     write_values,
     write_version,
     write_version_csv,
@@ -118,11 +123,60 @@ def _(spark, sf):
     return text_lines(spark, path)
 
 
-@query("src_html_docs", "SELECT page_id, url, html FROM pages")
+def _page_folder(spark, sf) -> str:
+    """Every page as a file of its own, as a crawler leaves them: one folder per page. The writer ends it with a line end."""
+    path = fresh_path(spark, "html-pages")
+    pages = table(spark, sf, "pages").select("page_id", F.col("html").alias("value")).filter("html IS NOT NULL")
+    pages.repartition(8, "page_id").write.partitionBy("page_id").text(path)
+    return path
+
+
+@query("src_html_docs", "SELECT page_id, html FROM pages WHERE html IS NOT NULL")
+def _(spark, sf):
+    """Read back as whole files; the page is in the path."""
+    files = html_files(spark, f"{_page_folder(spark, sf)}/*/*")
+    whole = F.left("html", F.length("html") - 1).alias("html")
+    return files.select(F.regexp_extract("path", r"page_id=(\d+)/", 1).cast("long").alias("page_id"), whole)
+
+
+@query("src_html_pages", "SELECT page_id, url, html FROM pages")
 def _(spark, sf):
     return table_scan(spark, f"{sf}/pages.parquet", key="page_id").select("page_id", "url", "html")
 
 
+@query("src_latest_dated", "SELECT event_id, ts FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-24'")
+def _(spark, sf):
+    """Feed folders named by their day, some days missing; the newest within the look-back window is read."""
+    path, events = fresh_path(spark, "dated-feeds"), table(spark, sf, "events").select("event_id", "ts")
+    for day in (dt.date(2024, 1, 9), dt.date(2024, 1, 21), dt.date(2024, 1, 24)):
+        events.filter(F.to_date("ts") == F.lit(day)).write.parquet(day.strftime(f"{path}/event-feed-%m-%d-%Y"))
+    newest = latest_dated(spark, f"{path}/event-feed-%m-%d-%Y", dt.date(2024, 1, 27))
+    return table_scan(spark, newest, events.schema)
+
+
+@query("snk_append_once", "SELECT * FROM orders")
+def _(spark, sf):
+    """Two batches, the first of which is sent again by a run that does not know that it came through."""
+    orders, path = table(spark, sf, "orders"), fresh_path(spark, "orders-batches")
+    early = F.col("o_orderdate") < F.lit(dt.datetime(1998, 1, 1))
+    for batch, rows in (("early", orders.filter(early)), ("late", orders.filter(~early)), ("early", orders.filter(early))):
+        append_batch(rows, path, ORDERS, batch)
+    return read_batches(spark, path, ORDERS)
+
+
+@query(
+    "snk_observed_counts",
+    """SELECT count(*) FILTER (o_totalprice > 1000) AS successes,
+              count(*) FILTER (o_totalprice > 1000 IS NOT TRUE) AS failures,
+              count(*) FILTER (o_totalprice > 1000) AS n_written FROM orders""",
+)
+def _(spark, sf):
+    orders, path = table(spark, sf, "orders"), fresh_path(spark, "orders-observed")
+    counts = write_observed(orders, path, ORDERS, F.col("o_totalprice") > 1000)
+    written_rows = spark.read.schema(ORDERS).parquet(path).agg(F.count(F.lit(1)).alias("n_written"))
+    return written_rows.select(*[F.lit(n).cast("long").alias(c) for n, c in zip(counts, ("successes", "failures"), strict=True)], "n_written")
+
+
 @query("snk_append", "SELECT * FROM orders")
 def _(spark, sf):
     orders, path = table(spark, sf, "orders"), fresh_path(spark, "orders")

@@ -6,6 +6,7 @@ from feedkit.sources.readers import (
     high_water_mark,
     html_files,
     known_names,
+    latest_dated,
     latest_snapshot,
     listed_names,
     lookup_pairs,
@@ -15,25 +16,39 @@ from feedkit.sources.readers import (
     table_scan,
     text_lines,
 )
-from feedkit.sources.writers import append_rows, to_schema, write_named, write_values, write_version, write_version_csv
+from feedkit.sources.writers import (
+    append_batch,
+    append_rows,
+    read_batches,
+    to_schema,
+    write_named,
+    write_observed,
+    write_values,
+    write_version,
+    write_version_csv,
+)
 
 __all__ = [
     "active_team_names",
+    "append_batch",
     "append_rows",
     "feed_scan",
     "high_water_mark",
     "html_files",
     "known_names",
+    "latest_dated",
     "latest_snapshot",
     "listed_names",
     "lookup_pairs",
     "name_pairs",
+    "read_batches",
     "scalar_query",
     "sql_query",
     "table_scan",
     "text_lines",
     "to_schema",
     "write_named",
+    "write_observed",
     "write_values",
     "write_version",
     "write_version_csv",

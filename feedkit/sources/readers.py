@@ -24,9 +24,9 @@ def without_nan(df: DataFrame) -> DataFrame:
 
 
 def table_scan(spark: SparkSession, path: str, schema: T.StructType | None = None, key: str | None = None) -> DataFrame:
-    """Whole parquet table; ``key`` moves the identifying column to the front."""
+    """Whole parquet table, NaN read as null; ``key`` moves the identifying column to the front."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.parquet(path)
+    df = without_nan(reader.parquet(path))
     return df.select(key, *[c for c in df.columns if c != key]) if key else df
 
 
@@ -72,6 +72,22 @@ def latest_snapshot(
     return df.filter((c >= F.lit(newest)) & (c < F.lit(newest + days)))
 
 
+def latest_dated(
+    spark: SparkSession, pattern: str, as_of: dt.date, lookback: int = LOOKBACK_DAYS, feed: str = "feed"
+) -> str:
+    """The path of the newest day that exists, among ``as_of`` and the ``lookback - 1`` days before it.
+
+    ``pattern`` is a path with the day in it as ``strftime`` writes it, such as ``team-feed-%m-%d-%Y``. At most ``lookback``
+    paths are looked for; nothing is listed or read.
+    """
+    sc = spark.sparkContext
+    for back in range(lookback):
+        path = sc._jvm.org.apache.hadoop.fs.Path((as_of - dt.timedelta(days=back)).strftime(pattern))
+        if path.getFileSystem(sc._jsc.hadoopConfiguration()).exists(path):
+            return path.toString()
+    raise SnapshotMissing(f"no snapshot of {feed} within {lookback} days")
+
+
 def lookup_pairs(df: DataFrame, old: str, new: str, order: str) -> DataFrame:
     """One row per old value. Where an old value is listed more than once the last row wins."""
     return (

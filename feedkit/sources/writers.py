@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +34,71 @@ def append_rows(df: DataFrame, path: str, schema: T.StructType) -> None:
     to_schema(df, schema).write.mode("append").parquet(path)
 
 
+_COMMITS = "_commits"
+
+
+def append_batch(df: DataFrame, path: str, schema: T.StructType, batch: str) -> bool:
+    """Adds a batch of rows to the table of batches at ``path``, all of it or nothing, and once only.
+
+    The rows are written into a folder of their own, which nobody reads until a small file named after the batch says so.
+    That file appears by one rename that fails if it is there already. A job that is run again, or by two drivers at a time,
+    so adds its batch once; rows of an attempt that was lost stay unread. Returns whether this call added the batch.
+    """
+    sc = df.sparkSession.sparkContext
+    fs = sc._jvm.org.apache.hadoop.fs
+    if not batch or "/" in batch or batch.startswith((".", "_")):
+        raise ValueError(f"a batch cannot be named {batch!r}")
+    commit = fs.Path(f"{path}/{_COMMITS}/{batch}")
+    store = commit.getFileSystem(sc._jsc.hadoopConfiguration())
+    if store.exists(commit):
+        return False
+    folder = f"data-{uuid.uuid4().hex}"
+    to_schema(df, schema).write.parquet(f"{path}/{folder}")
+    draft = fs.Path(f"{path}/{_COMMITS}/.{batch}-{folder}")
+    out = store.create(draft)
+    out.write(bytearray(folder.encode()))
+    out.close()
+    try:
+        fs.FileContext.getFileContext(store.getUri(), sc._jsc.hadoopConfiguration()).rename(
+            draft, commit, sc._gateway.new_array(fs.Options.Rename, 0)
+        )
+    except Py4JJavaError as e:
+        if not store.exists(commit):
+            raise
+        store.delete(draft, False)
+        if "AlreadyExists" not in e.java_exception.getClass().getName():
+            raise
+        return False
+    return True
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of all committed batches. The driver holds the names of their folders; no batch is an empty table."""
+    sc = spark.sparkContext
+    commits = sc._jvm.org.apache.hadoop.fs.Path(f"{path}/{_COMMITS}")
+    store = commits.getFileSystem(sc._jsc.hadoopConfiguration())
+    listed = [x.getPath() for x in store.listStatus(commits)] if store.exists(commits) else []
+    folders = []
+    for name in listed:
+        if not name.getName().startswith("."):
+            stream = store.open(name)
+            folders.append(f"{path}/{bytes(stream.readAllBytes()).decode()}")
+            stream.close()
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def write_observed(df: DataFrame, path: str, schema: T.StructType, accepted: Column) -> tuple[int, int]:
+    """Writes the accepted rows and returns how many were accepted and how many failed, counted while they are written.
+
+    A null condition is a failure. No second pass over the rows is made.
+    """
+    seen = Observation()
+    ok = F.coalesce(accepted, F.lit(False))
+    counted = df.observe(seen, F.count_if(ok).alias("successes"), F.count_if(~ok).alias("failures"))
+    to_schema(counted.filter(ok), schema).write.parquet(path)
+    return seen.get["successes"], seen.get["failures"]
+
+
 def quote_reserved(df: DataFrame) -> DataFrame:
     """Reserved field names, in any case, put in brackets."""
     return df.withColumnsRenamed({c: f"[{c}]" for c in df.columns if c.lower() in RESERVED_FIELDS})

@@ -15,9 +15,13 @@ from pyspark.sql import types as T
 
 from feedkit import session
 from feedkit.errors import EmptyInput, FeedkitError, FolderMissing, MissingLinks, SharedDirUnset, SnapshotMissing, TooFewRows
-from feedkit.operators import joins, quality, stats, updates
+from feedkit.operators import joins, literals, quality, stats, updates
 from feedkit.plans import feeds, stages
 from feedkit.sources import (
+    append_batch,
+    latest_dated,
+    read_batches,
+    write_observed,
     append_rows,
     feed_scan,
     html_files,
@@ -29,6 +33,7 @@ from feedkit.sources import (
     write_version,
     write_version_csv,
 )
+from feedkit.sources import writers
 
 DAY = dt.datetime(2017, 10, 18)
 NEXT = dt.datetime(2017, 10, 19)
@@ -409,3 +414,78 @@ def test_errors_inside_a_plan_are_raised(spark):
     df = spark.createDataFrame([("x",)], "c string")
     with pytest.raises(PySparkException):
         df.select(F.col("c").cast("int")).collect()
+
+
+# --- batches, dated folders, observed writes, typed maps ------------------------------------------------------------
+
+
+def test_a_batch_is_added_once_and_whole(spark, tmp_path):
+    path = f"{tmp_path}/batches"
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, name string")
+    assert read_batches(spark, path, df.schema).count() == 0
+    assert append_batch(df, path, df.schema, "monday") and not append_batch(df, path, df.schema, "monday")
+    assert append_batch(df.select("name", "id").filter("id = 2"), path, df.schema, "tuesday")
+    assert rows(read_batches(spark, path, df.schema)) == [(1, "a"), (2, "b"), (2, "b")]
+    for name in ("", "a/b", ".x", "_y"):
+        with pytest.raises(ValueError):
+            append_batch(df, path, df.schema, name)
+
+
+def test_a_lost_attempt_leaves_nothing_to_read(spark, tmp_path):
+    """A batch that fails half way, and data that was written without a commit, are not read; the batch can come again."""
+    path = f"{tmp_path}/batches"
+    df = spark.createDataFrame([(1, "1"), (2, "x")], "id long, name string")
+    numbers = df.select("id", F.col("name").cast("int").alias("name"))
+    with pytest.raises(PySparkException):
+        append_batch(numbers, path, numbers.schema, "b")
+    df.write.parquet(f"{path}/data-of-a-lost-driver")
+    assert read_batches(spark, path, numbers.schema).count() == 0
+    assert append_batch(numbers.filter("id = 1"), path, numbers.schema, "b")
+    assert rows(read_batches(spark, path, numbers.schema)) == [(1, 1)]
+
+
+def test_of_two_drivers_one_commits(spark, tmp_path):
+    """The second one finds the batch committed after it has written its rows."""
+    path = f"{tmp_path}/batches"
+    df = spark.createDataFrame([(1,)], "id long")
+
+    real = writers.to_schema
+
+    def slow(frame, schema):
+        writers.to_schema = real
+        assert append_batch(df, path, schema, "b")
+        return real(frame, schema)
+
+    writers.to_schema = slow
+    assert not append_batch(df, path, df.schema, "b")
+    assert rows(read_batches(spark, path, df.schema)) == [(1,)]
+
+
+def test_dated_folders(spark, tmp_path):
+    df = spark.createDataFrame([(1,)], "id long")
+    pattern = f"{tmp_path}/feed-%m-%d-%Y"
+    for day in (dt.date(2024, 1, 1), dt.date(2024, 1, 10)):
+        df.write.parquet(day.strftime(pattern))
+    assert latest_dated(spark, pattern, dt.date(2024, 1, 10)).endswith("feed-01-10-2024")
+    assert latest_dated(spark, pattern, dt.date(2024, 1, 9)).endswith("feed-01-01-2024")
+    assert latest_dated(spark, pattern, dt.date(2024, 1, 24)).endswith("feed-01-10-2024")
+    with pytest.raises(SnapshotMissing):
+        latest_dated(spark, pattern, dt.date(2024, 1, 25))
+
+
+def test_observed_write(spark, tmp_path):
+    df = spark.createDataFrame([(1, 5), (2, -1), (3, None)], "id long, v int")
+    assert write_observed(df, f"{tmp_path}/seen", df.schema, F.col("v") > 0) == (1, 2)
+    assert rows(spark.read.parquet(f"{tmp_path}/seen"), "id") == [(1,)]
+    assert write_observed(df.limit(0), f"{tmp_path}/none", df.schema, F.col("v") > 0) == (0, 0)
+
+
+@pytest.mark.parametrize("part_size", [2, 100])
+def test_typed_maps(spark, part_size):
+    data = [("g", 1, "a", 1.5), ("g", 2, "b", None), ("g", 3, "a", 2.5), ("g", 4, None, 9.0), ("g", 5, "c", 3.0), (None, 6, "z", 1.0)]
+    df = spark.createDataFrame(data, "g string, o long, k string, v double")
+    got = {r["part"]: r["entries"] for r in literals.dict_maps(df, ["g"], "o", "k", "v", part_size=part_size).collect()}
+    if part_size == 2:
+        assert got == {0: {"a": 2.5, "b": None}, 1: {"c": 3.0}}
+    else:
+        assert got == {0: {"a": 2.5, "b": None, "c": 3.0}}
