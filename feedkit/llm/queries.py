@@ -72,7 +72,8 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_mixing")
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text", count_words("text").alias("size"))
-    return mixing.mix(docs, "size").select("doc_id", "size", "source_size", "target", "taken", "copies")
+    docs = docs.withColumn("liking", mixing.by_length("size"))
+    return mixing.mix(docs, "size", preference="liking").select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
 @query("op10_pii")
