@@ -112,18 +112,26 @@ def _parity(places: np.ndarray, words: int) -> np.ndarray:
     return np.packbits(odd, bitorder="little").view("<u8")
 
 
-def sketch_keys(hashes: np.ndarray, bands: Bands) -> np.ndarray:
-    """Join keys of a set: one for every non-zero word of its sketches, for the zero ones as well if they are many."""
-    out = []
+def sketch_keys(hashes: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """Join keys of a set: one for every non-zero word of its sketches, for the zero ones as well if they are many.
+
+    A key is lone if the set may share but this one with a partner of its band. At least size - t words of partners agree,
+    and if zero words have no keys, as many less may be left; without that, size - t is two or more.
+    """
+    out, lone = [], []
     bit = hashes & np.uint64(63)
     for band, t, size in bands.of(len(hashes)):
         place = (hashes >> np.uint64(24)) % np.uint64(size)
         sketch = _parity((place * np.uint64(64) + bit).astype(np.int64), size)
         at = np.arange(size, dtype=np.uint64)
-        if np.count_nonzero(sketch == 0) < size - t:
+        zeros = np.count_nonzero(sketch == 0)
+        sure = size - t
+        if zeros < sure:
             at = at[sketch != 0]
+            sure -= zeros
         out.append(_mix(sketch[at.astype(np.int64)] * _P[1] + at * _P[2] + np.array([band + 1], np.uint64) * _P[4]))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        lone.append(np.full(len(at), sure < 2))
+    return (np.concatenate(out), np.concatenate(lone)) if out else (np.zeros(0, np.uint64), np.zeros(0, bool))
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
@@ -177,27 +185,28 @@ def sketched(docs: DataFrame, words: int, id_: str, text: str) -> DataFrame:
 
 
 def keyed(docs: DataFrame, words: int, percent: int, text: str) -> DataFrame:
-    """Rows (key, fp): the join keys of every set, which a task gives once. They go straight into the join's shuffle."""
+    """Rows (key, fp, lone): the join keys of every set, which a task gives once. They go straight into the join's shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, seen = Bands(percent), set()
         for batch in pieces(batches, "data"):
-            keys, fps = [], []
+            keys, fps, alone = [], [], []
             for data in batch.column("data").to_pylist():
                 hashes = shingles(data, words)
                 one = _fingerprint(hashes)[0] if len(hashes) else None
                 if one is None or one in seen:
                     continue
                 seen.add(one)
-                own = sketch_keys(hashes, bands).view(np.int64)
-                keys.append(own)
+                own, lone = sketch_keys(hashes, bands)
+                keys.append(own.view(np.int64))
+                alone.append(lone)
                 fps.append(np.full(len(own), one, np.int64))
             if len(seen) > CACHE_SETS:
                 seen.clear()
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, fps)], ["key", "fp"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, fps, alone)], ["key", "fp", "lone"])
 
-    return docs.select(utf8(text).alias("data")).mapInArrow(run, "key long, fp long")
+    return docs.select(utf8(text).alias("data")).mapInArrow(run, "key long, fp long, lone boolean")
 
 
 def _sets_of(scratch: Scratch, docs: DataFrame, nodes: DataFrame, words: int, id_: str, text: str) -> DataFrame:
@@ -213,7 +222,11 @@ def _sets_of(scratch: Scratch, docs: DataFrame, nodes: DataFrame, words: int, id
 
     wanted = nodes.select(F.col("id").alias("w_id"), F.col("fp").alias("w_fp"))
     rows = docs.select(F.col(id_).cast("long").alias("id"), utf8(text).alias("data"))
+    # Classes whose rows all lack an id are looked for among the rows without one.
+    nameless = rows.filter("id IS NULL")
     rows = rows.join(wanted.select("w_id").distinct(), F.col("id") == F.col("w_id"), "left_semi")
+    if not wanted.filter("w_id IS NULL").isEmpty():
+        rows = rows.union(nameless)
     sets = rows.mapInArrow(run, "fp long, hashes array<long>")
     return scratch.written(sets.join(wanted, F.col("fp") == F.col("w_fp"), "left_semi").dropDuplicates(["fp"]))
 
@@ -301,16 +314,29 @@ def near_duplicates(
     )
     nodes = scratch.written(classes.select("fp", "id", "n", *[F.get("sig", i).alias(f"s{i}") for i in range(SIGNATURE)]))
 
-    # Buckets of the join with more than one class, and their smallest and largest member.
+    # Buckets of the join with more than one class, and their smallest and largest member. One of two members says it all.
     bucket = Window.partitionBy("key")
-    sides = {"low": F.min("fp").over(bucket), "high": F.max("fp").over(bucket), "size": F.count(F.lit(1)).over(bucket)}
-    members = scratch.written(keyed(docs, words, percent, text).withColumns(sides).filter("low < high"))
-
-    ends = members.select(F.col("low").alias("a"), F.col("fp").alias("b")).union(members.select(F.col("fp"), F.col("high")))
-    stars = ends.filter("a < b").distinct()
+    one = F.struct("fp", "lone")
+    sides = {"low": F.min(one).over(bucket), "high": F.max(one).over(bucket), "size": F.count(F.lit(1)).over(bucket)}
+    members = keyed(docs, words, percent, text).withColumns(sides).filter("low.fp < high.fp AND (size > 2 OR fp = high.fp)")
+    lone = [F.col("lone") | F.col(f"{side}.lone") for side in ("low", "high")]
+    members = members.select(
+        "key", "fp", F.col("low.fp").alias("low"), F.col("high.fp").alias("high"), "size", lone[0].alias("f"), lone[1].alias("g")
+    )
+    members = scratch.written(members)
+    scratch.sweep()
+
+    # Every member with the smallest and the largest one. Partners agree in two keys or more, unless one of them has a lone
+    # one. A pair that stands so in a single bucket is none, or shares a bucket with two others that lie below and above it,
+    # where it is met later.
+    ends = members.select(F.col("low").alias("a"), F.col("fp").alias("b"), F.col("f").alias("lone")).filter("a < b")
+    ends = ends.union(members.filter("low < fp AND fp < high").select("fp", "high", "g"))
+    stars = ends.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.bool_or("lone").alias("lone"))
+    stars = stars.filter("met > 1 OR lone").select("a", "b")
     stars = join_on(join_on(stars, _sided(nodes, "a"), {"a": "a_fp"}, "inner"), _sided(nodes, "b"), {"b": "b_fp"}, "inner")
     links = _links(scratch, stars.filter(_could_link(percent)).select("a", "b"), nodes, sets, docs, words, percent, id_, text)
     labels = components(links, "a", "b", scratch.written)
+    scratch.sweep()
 
     # What is left of the buckets of three or more: members that the links do not connect with the smallest one, against all others.
     named = labels.select(F.col("node"), F.col("root"))

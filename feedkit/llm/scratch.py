@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 from feedkit.session import fresh_path
@@ -22,6 +24,11 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def sweep(self) -> None:
+        """Lets Spark delete the shuffle files of what has been written: it does so once the driver has collected the plans."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self) -> None:
         """Deletes the folder. Nothing that reads its tables may be used afterwards."""
         sc = self.spark.sparkContext

@@ -76,7 +76,11 @@ def test_sketch_keys_meet_for_every_pair_within_the_bound():
                 b = np.unique(np.concatenate([a[other // 2 :], base[n : n + other - other // 2]]))
                 common = len(np.intersect1d(a, b))
                 if common < len(a) and 100 * common >= percent * (len(a) + len(b) - common):
-                    assert set(nj.sketch_keys(a, bands)) & set(nj.sketch_keys(b, bands))
+                    (mine, lone), (others, alone) = nj.sketch_keys(a, bands), nj.sketch_keys(b, bands)
+                    shared = set(mine) & set(others)
+                    assert shared
+                    some = {k for k, x in [*zip(mine, lone), *zip(others, alone)] if x}
+                    assert len(shared) > 1 or shared & some
                     differ = np.bitwise_count(nj.signature(a) ^ nj.signature(b)).sum()
                     assert differ <= nj.differences(len(a), len(b), percent)
 
@@ -107,6 +111,40 @@ def test_awkward_rows(spark, small):
     assert nj.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_rows_without_an_id_link_others(spark):
+    """A bridge without an id between two texts that are too far from each other, a near copy without an id, copies of it."""
+    base = [f"w{i}" for i in range(200)]
+    near = [*base[:99], "x", *base[100:]]
+    far = [*near[:49], "y", *near[50:]]
+    rows = [(1, " ".join(base)), (None, " ".join(near)), (None, " ".join(near)), (2, " ".join(far)), (3, "alone in the world")]
+    rows += [(None, "alone in the other world"), (None, "lonely words of nobody")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    percent = 96
+    got = sorted(((r["doc_id"], r["component_id"]) for r in nj.near_duplicates(docs, 3, percent).collect()), key=str)
+    sets = [plain_set(" ".join(x), 3) for x in (base, near, far)]
+
+    def alike(a, b):
+        return 100 * len(a & b) >= percent * len(a | b)
+
+    assert alike(sets[0], sets[1]) and alike(sets[1], sets[2]) and not alike(sets[0], sets[2])
+    assert got == sorted([(1, 1), (None, 1), (None, 1), (2, 1), (3, 3), (None, None), (None, None)], key=str)
+
+
+@pytest.mark.parametrize(("size", "percent"), [(3, 90), (5, 80)])
+def test_a_passage_in_many_texts_that_are_otherwise_different(spark, size, percent):
+    rnd = random.Random(11)
+    passage = [f"p{i}" for i in range(120)]
+    rows = []
+    for i in range(400):
+        own = [f"o{i}-{j}" for j in range(rnd.choice([20, 30, 120]))]
+        rows.append((i, " ".join(own[: len(own) // 2] + passage + own[len(own) // 2 :])))
+        if i % 50 == 0:
+            rows.append((1_000 + i, rows[-1][1].replace("p60", "q60")))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"]: r["component_id"] for r in nj.near_duplicates(docs, size, percent).collect()}
+    assert got == plain_components(rows, size, percent)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(7, 7), (None, 3), (500, 400)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
