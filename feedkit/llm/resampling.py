@@ -74,32 +74,57 @@ def _stretches(data: bytes) -> Iterator[bytes]:
     yield data[start:]
 
 
-def histogram(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Rows (bucket, n): how often the features of all texts fall into each bucket that has any. A null text has none."""
+FEATURES = "id long, n_words long, buckets binary"
+
+
+def features(docs: DataFrame, id_: str | None = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of FEATURES: the buckets of a text's features, two bytes each. A null text has none.
+
+    Finding words costs far more than hashing and adding, so it is done once: the rows are meant to be written.
+    """
+    key = F.col(id_).cast("long") if id_ else F.lit(None).cast("long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, held = Words(), np.zeros(BUCKETS, np.int64)
+        words = Words()
         for batch in pieces(batches, "data"):
+            counts, packed = [], []
             for data in batch.column("data").to_pylist():
-                for _, found in words.buckets(data):
-                    held += np.bincount(found, minlength=BUCKETS)
+                found = list(words.buckets(data))
+                counts.append(sum(n for n, _ in found))
+                packed.append(b"".join(b.astype("<u2").tobytes() for _, b in found))
+            columns = [batch.column("id"), pa.array(counts, pa.int64()), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in FEATURES.split(", ")])
+
+    return docs.select(key.alias("id"), utf8(text).alias("data")).mapInArrow(run, FEATURES)
+
+
+def histogram(found: DataFrame) -> DataFrame:
+    """Rows (bucket, n) of rows of FEATURES: how many features fall into each bucket that has any."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(BUCKETS, np.int64)
+        for batch in pieces(batches, "buckets"):
+            for data in batch.column("buckets").to_pylist():
+                held += np.bincount(np.frombuffer(data, "<u2"), minlength=BUCKETS)
         some = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(held[some])], ["bucket", "n"])
 
-    parts = docs.select(utf8(text).alias("data")).mapInArrow(run, "bucket int, n long")
-    return parts.groupBy("bucket").agg(F.sum("n").alias("n"))
+    return found.select("buckets").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
-def gains(docs: DataFrame, target: DataFrame, text: str = "text", target_text: str = "text") -> np.ndarray:
-    """The gain of every bucket, in thousandths, rounded down. The driver holds two numbers for each of BUCKETS buckets."""
+def gains(found: DataFrame, target: DataFrame) -> np.ndarray:
+    """The gain of every bucket, in thousandths, rounded down, from features of documents and target.
+
+    The driver holds two numbers for each of BUCKETS buckets.
+    """
 
-    def counts(rows: DataFrame, column: str) -> list[int]:
+    def counts(rows: DataFrame) -> list[int]:
         held = [0] * BUCKETS
-        for r in histogram(rows, column).collect():
+        for r in histogram(rows).collect():
             held[r["bucket"]] = r["n"]
         return held
 
-    s, t = counts(docs, text), counts(target, target_text)
+    s, t = counts(found), counts(target)
     of_s, of_t = sum(s) + BUCKETS, sum(t) + BUCKETS
     return np.array(
         [math.floor(SCALE * math.log(((b + 1) * of_s) / ((a + 1) * of_t))) for a, b in zip(s, t, strict=True)], np.int64
@@ -113,40 +138,30 @@ def noise(doc_id: int | None) -> int:
     return math.floor(-SCALE * math.log(-math.log((h + 0.5) / 4294967296)))
 
 
-MEASURES = "n_words long, n_features long, weight long, score long"
+MEASURES = "id long, n_words long, n_features long, weight long, score long"
 
 
-def score(docs: DataFrame, gain: np.ndarray, id_: str = "doc_id", text: str = "text") -> DataFrame:
-    """Adds n_words, n_features, weight and score to the documents; columns of these names are replaced.
+def score(found: DataFrame, gain: np.ndarray) -> DataFrame:
+    """Rows of MEASURES of rows of FEATURES.
 
-    A null or empty text has no feature and weight 0. Rows that repeat an id have the same noise.
+    A text without features has weight 0. Rows that repeat an id have the same noise.
     """
-    added = [x.split()[0] for x in MEASURES.split(", ")]
-    kept = [c for c in docs.columns if c not in added]
-    shown = [f"c{i}" for i in range(len(kept))]
-    rows = docs.select(
-        *[F.col(f"`{c}`").alias(n) for c, n in zip(kept, shown, strict=True)],
-        utf8(text).alias("data"),
-        F.col(id_).cast("long").alias("id"),
-    )
-    shared = docs.sparkSession.sparkContext.broadcast(gain)
+    shared = found.sparkSession.sparkContext.broadcast(gain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
-        for batch in pieces(batches, "data"):
-            out = []
-            for data, doc_id in zip(batch.column("data").to_pylist(), batch.column("id").to_pylist(), strict=True):
-                n = features = total = 0
-                for more, found in words.buckets(data):
-                    n, features, total = n + more, features + len(found), total + int(shared.value[found].sum())
-                weight = total // features if features else 0
-                out.append((n, features, weight, weight + noise(doc_id)))
-            columns = [pa.array(c, pa.int64()) for c in zip(*out, strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in shown), *columns], [*shown, *added])
+        gain = shared.value
+        for batch in pieces(batches, "buckets"):
+            sizes, weights, scores = [], [], []
+            for doc_id, data in zip(batch.column("id").to_pylist(), batch.column("buckets").to_pylist(), strict=True):
+                buckets = np.frombuffer(data, "<u2")
+                weight = int(gain[buckets].sum()) // len(buckets) if len(buckets) else 0
+                sizes.append(len(buckets))
+                weights.append(weight)
+                scores.append(weight + noise(doc_id))
+            columns = [batch.column("id"), batch.column("n_words"), *(pa.array(c, pa.int64()) for c in (sizes, weights, scores))]
+            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in MEASURES.split(", ")])
 
-    fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*shown).schema]
-    scored = rows.mapInArrow(run, ", ".join([*fields, MEASURES]))
-    return scored.select(*[F.col(n).alias(c) for n, c in zip(shown, kept, strict=True)], *added)
+    return found.mapInArrow(run, MEASURES)
 
 
 def draw(scored: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS, id_: str = "doc_id") -> DataFrame:
@@ -169,9 +184,9 @@ def importance(
     docs: DataFrame, target: DataFrame, id_: str = "doc_id", text: str = "text", target_text: str = "text"
 ) -> DataFrame:
     """Rows (id, n_words, n_features, weight, score, rank) of all documents; see ``score`` and ``draw``."""
-    rows = docs.select(F.col(id_).cast("long").alias(id_), F.col(text).alias("text"))
-    scored = score(rows, gains(rows, target, "text", target_text), id_, "text").drop("text")
-    return draw(written(scored), id_=id_)
+    found = written(features(docs, id_, text))
+    gain = gains(found, written(features(target, None, target_text)))
+    return draw(written(score(found, gain).withColumnRenamed("id", id_)), id_=id_)
 
 
 def resample(docs: DataFrame, target: DataFrame, id_: str = "doc_id", text: str = "text", target_text: str = "text") -> DataFrame:
