@@ -39,8 +39,8 @@ PERCENT = 80
 # Largest over smallest size of a band, about.
 BAND = 1.4
 SIGNATURE = 8
-CACHE_WORDS = 400_000
-CACHE_SETS = 400_000
+CACHE_WORDS = 200_000
+CACHE_SETS = 200_000
 
 _P = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -179,6 +179,8 @@ def sketched(docs: DataFrame, words: int, id_: str, text: str) -> DataFrame:
             columns = [batch.column("id"), *(pa.array(x, pa.int64()) for x in (n, first, second))]
             columns += [pa.array(x, pa.list_(pa.int64())) for x in (sigs, wides)]
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in SETS.split(", ")])
+        # A worker goes on with tasks of other kinds, which need the memory.
+        _hashes.clear()
 
     rows = docs.select(F.col(id_).cast("long").alias("id"), utf8(text).alias("data"))
     return rows.mapInArrow(run, SETS)
@@ -205,6 +207,7 @@ def keyed(docs: DataFrame, words: int, percent: int, text: str) -> DataFrame:
                 seen.clear()
             if keys:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, fps, alone)], ["key", "fp", "lone"])
+        _hashes.clear()
 
     return docs.select(utf8(text).alias("data")).mapInArrow(run, "key long, fp long, lone boolean")
 
@@ -219,6 +222,7 @@ def _sets_of(scratch: Scratch, docs: DataFrame, nodes: DataFrame, words: int, id
             fps = [int(np.frombuffer(xxhash.xxh3_128_digest(x.tobytes()), "<i8")[0]) for x in sets]
             columns = [pa.array(fps, pa.int64()), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["fp", "hashes"])
+        _hashes.clear()
 
     wanted = nodes.select(F.col("id").alias("w_id"), F.col("fp").alias("w_fp"))
     rows = docs.select(F.col(id_).cast("long").alias("id"), utf8(text).alias("data"))
