@@ -7,7 +7,8 @@ agrees in at least B - T words with that of any partner: documents of one size b
 
 Words that are zero say nothing and would meet everywhere. B is larger than T + 1, so that a document with few zero words
 shares another word with each partner; one with B - T or more of them joins on the zeros too, as all its partners that
-lack another common word do.
+lack another common word do. Nearly every document shares two words or more with each partner, and knows if it may not; two
+that stand as smallest and other member of a single bucket only are then no partners, or meet in a bucket between others.
 
 Candidates pass two bounds, the sizes and the Hamming distance of a second, short sketch, before the sets themselves are
 compared. Equal sets are one class from the start. A bucket of the join is first compared with its smallest and its
