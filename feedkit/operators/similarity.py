@@ -3,16 +3,24 @@
 ``similar_pairs`` blocks on deletion variants: two strings within distance k become equal after at most k characters
 are deleted from each (the published FastSS method). Strings that share a variant are within 2k of each other, so a
 block stays small even where a third of all names share a first name or a prefix, unlike blocks on words, prefixes or
-segments. Long strings are blocked on their rarest grams (the published prefix filter); strings from one template still
-meet where their own parts are shorter than the grams that are chosen. ``nearest_names`` has no bound on the distance and widens a segment search until each name has an answer.
+segments. Long strings are blocked on their rarest grams (the published prefix filter). A gram that many strings share, as
+in strings from one template, makes a large block, and that is refined: what all its strings start and end with is taken
+off, which changes no distance inside the block, and the rest is blocked on deletion variants if it is short, else cut by
+length and letter counts, which are lower bounds of the distance.
+
+``nearest_names`` has no bound on the distance. It is a best-first search: names with equal letter counts form a cell, the
+counts bound the distance from below, cells are read in the order of the bound, and a value leaves as soon as its best name is
+at or under the bound reached.
 """
 
 from __future__ import annotations
 
+from math import comb
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedkit.operators.skew import join_keys
+from feedkit.operators.skew import join_keys, join_on
 from feedkit.session import cut_lineage
 
 # Longer strings are blocked on their rarest grams instead, because the number of deletion variants grows with the
@@ -21,6 +29,10 @@ VARIANT_LENGTH = 32
 GRAM = 3
 # Beyond this distance there are too many variants, and strings are blocked on segments.
 MOST_VARIANT_EDITS = 3
+# A gram that more strings share is refined; below it, comparing the pairs costs less.
+BLOCK = 2048
+# Letters are counted in this many groups.
+LETTER_GROUPS = 8
 
 
 def shortest_gram_border(k: int) -> int:
@@ -113,6 +125,108 @@ def _rare_grams(df: DataFrame, k: int) -> DataFrame:
     return chosen.select("n", "o", hashes.alias("keys")).withColumn("key", F.explode("keys"))
 
 
+def _letter_counts(c: Column) -> Column:
+    """How many characters of the string fall in each of LETTER_GROUPS groups, by code point."""
+    letters = F.transform(
+        F.filter(F.sequence(F.lit(0), F.length(c)), lambda i: i > 0), lambda i: F.ascii(F.substr(c, i, F.lit(1))) % LETTER_GROUPS
+    )
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(LETTER_GROUPS - 1)), lambda g: F.size(F.filter(letters, lambda x: x == g))
+    )
+
+
+def _count_bound(a: Column, b: Column) -> Column:
+    """A lower bound of the distance of two strings from their counts: an edit adds at most one letter and takes away one."""
+    over = F.zip_with(a, b, lambda x, y: x - y)
+    more = F.aggregate(over, F.lit(0), lambda acc, d: acc + F.greatest(d, F.lit(0)))
+    less = F.aggregate(over, F.lit(0), lambda acc, d: acc + F.greatest(-d, F.lit(0)))
+    return F.greatest(more, less)
+
+
+def _common_start(a: Column, b: Column) -> Column:
+    """Number of characters with which both strings start."""
+    short = F.least(F.length(a), F.length(b))
+    places = F.filter(F.sequence(F.lit(0), short), lambda i: i > 0)
+    other = F.filter(places, lambda i: F.substr(a, i, F.lit(1)) != F.substr(b, i, F.lit(1)))
+    return F.coalesce(F.array_min(other), short + 1) - 1
+
+
+def _large_blocks(keyed: DataFrame, k: int, core_length: int) -> DataFrame:
+    """Rows (key, same, head, tail, most) of the keys of over BLOCK strings: how many characters all of these start and end with.
+
+    The first and the last string in their order start with what all start with; so do the reversed ones. ``most`` is the
+    length up to which what is left has few variants beside the strings of the block, so that these cost less than its pairs.
+    ``same`` tells apart the sets of strings: of keys with the same strings the smallest one is enough.
+    """
+    back = F.reverse("n")
+    blocks = keyed.groupBy("key").agg(
+        F.count(F.lit(1)).alias("_c"),
+        F.bit_xor(F.xxhash64("n")).alias("_set"),
+        F.min("n").alias("_lo"),
+        F.max("n").alias("_hi"),
+        F.min(back).alias("_rlo"),
+        F.max(back).alias("_rhi"),
+        F.min(F.length("n")).alias("_len"),
+    )
+    head = _common_start(F.col("_lo"), F.col("_hi"))
+    tail = F.least(_common_start(F.col("_rlo"), F.col("_rhi")), F.col("_len") - F.col("head"))
+    variants = F.array(*[F.lit(sum(comb(n, j) for j in range(k + 1))) for n in range(core_length + 1)])
+    most = F.size(F.filter(variants, lambda v: v <= F.col("_c") / 8)) - 1
+    large = blocks.filter(F.col("_c") > BLOCK).withColumn("head", head)
+    return large.select("key", F.struct("_c", "_set").alias("same"), "head", tail.alias("tail"), most.alias("most"))
+
+
+def _both_sides(rows: DataFrame, on: list[str], *carried: str) -> tuple[DataFrame, DataFrame]:
+    """The rows as the first and the second string of a pair."""
+    first, second = (
+        rows.select(
+            F.col("n").alias(f"name{i}"), F.col("o").alias(f"ord{i}"), *[F.col(c).alias(f"{c}{i}") for c in carried], *on
+        )
+        for i in (1, 2)
+    )
+    return first, second
+
+
+_PAIR = ["name1", "ord1", "name2", "ord2"]
+
+
+def _once(ordered: Column) -> Column:
+    """A pair that shares several grams is taken at the smallest."""
+    return ordered & (F.col("key") == F.array_min(F.array_intersect("keys1", "keys2")))
+
+
+def _pairs_of_grams(keyed: DataFrame, k: int, core_length: int, ordered: Column) -> DataFrame:
+    """Candidate pairs (name1, ord1, name2, ord2) of the strings that share a gram."""
+    first, second = _both_sides(keyed, ["key"], "keys")
+    return first.join(second, "key").filter(_once(ordered)).select(*_PAIR)
+
+
+def _pairs_of_blocks(keyed: DataFrame, k: int, core_length: int, ordered: Column) -> DataFrame:
+    """The same where some grams are shared by many strings; see the module's text."""
+    large = _large_blocks(keyed, k, core_length)
+    few = join_keys(keyed, large, ["key"], "left_anti")
+    one = large.groupBy("same").agg(F.min("key").alias("key"), *[F.min_by(c, "key").alias(c) for c in ("head", "tail", "most")])
+    many = join_keys(keyed, one.drop("same"), ["key"], "inner")
+    core = F.substr("n", F.col("head") + 1, F.length("n") - F.col("head") - F.col("tail"))
+    many = many.withColumn("core", core).withColumn("counts", _letter_counts(F.col("core")))
+    near = _once(ordered) & (_count_bound(F.col("counts1"), F.col("counts2")) <= k)
+
+    found = _pairs_of_grams(few, k, core_length, ordered)
+    # Parts that differ by k characters in length meet under one kind of key, hence the overlap.
+    short = many.filter(F.length("core") <= F.col("most")).withColumn("variant", F.explode(_variant_keys(F.col("core"), k)))
+    first, second = _both_sides(short, ["key", "variant"], "keys", "counts")
+    found = found.unionByName(first.join(second, ["key", "variant"]).filter(near).select(*_PAIR))
+    # Length and count of half of the letters differ by at most k: a string meets its own cell and the cells beside it.
+    long_ = many.filter(F.length("core") > F.col("most") - k)
+    half = F.aggregate(F.slice("counts", 1, LETTER_GROUPS // 2), F.lit(0), lambda acc, x: acc + x)
+    cells = long_.withColumns({"by_len": F.floor(F.length("core") / (k + 1)), "by_half": F.floor(half / (k + 1))})
+    first, second = _both_sides(cells, ["key", "by_len", "by_half"], "keys", "counts")
+    for c in ("by_len", "by_half"):
+        second = second.withColumn(c, F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1)))
+    met = first.join(second, ["key", "by_len", "by_half"]).filter(near)
+    return found.unionByName(met.select(*_PAIR))
+
+
 def similar_pairs(names: DataFrame, name: str, order: str, limit: int, variant_length: int = VARIANT_LENGTH) -> DataFrame:
     """Pairs of different names at an edit distance under ``limit``: ``name1`` (the earlier one), ``name2``, ``dist``.
 
@@ -131,13 +245,11 @@ def similar_pairs(names: DataFrame, name: str, order: str, limit: int, variant_l
     short = df.filter(F.length("n") <= variant_length).select("n", "o", F.explode(_variant_keys(F.col("n"), k)).alias("key"))
     a, b = (short.select(F.col("n").alias(f"name{i}"), F.col("o").alias(f"ord{i}"), "key") for i in (1, 2))
     by_variant = a.join(b, "key").filter(ordered).drop("key")
-    long_ = _rare_grams(df.filter(F.length("n") > variant_length - k), k)
-    c, d = (
-        long_.select(F.col("n").alias(f"name{i}"), F.col("o").alias(f"ord{i}"), F.col("keys").alias(f"keys{i}"), "key")
-        for i in (1, 2)
-    )
-    once = F.col("key") == F.array_min(F.array_intersect("keys1", "keys2"))
-    by_gram = c.join(d, "key").filter(ordered & once).drop("key", "keys1", "keys2")
+    long_names = df.filter(F.length("n") > variant_length - k)
+    long_ = _rare_grams(long_names, k)
+    # Up to BLOCK strings make no larger block.
+    refined = long_names.limit(BLOCK + 1).count() > BLOCK
+    by_gram = (_pairs_of_blocks if refined else _pairs_of_grams)(long_, k, variant_length, ordered)
     return _within(by_variant.unionByName(by_gram), k)
 
 
@@ -165,52 +277,66 @@ def _within(found: DataFrame, k: int) -> DataFrame:
     )
 
 
-def nearest_names(df: DataFrame, value: str, universe: DataFrame) -> DataFrame:
-    """The name of the universe (``name``, ``ord``) nearest to each distinct value, the first one on a tie.
+def _shapes(df: DataFrame, name: str) -> DataFrame:
+    """Adds the letter counts of a column and their sums over both halves of the groups: ``counts``, ``low``, ``high``."""
+    half = LETTER_GROUPS // 2
+    total = lambda part: F.aggregate(part, F.lit(0), lambda acc, x: acc + x)
+    counted = df.withColumn("counts", _letter_counts(F.col(name)))
+    return counted.withColumns(
+        {"low": total(F.slice("counts", 1, half)), "high": total(F.slice("counts", half + 1, LETTER_GROUPS - half))}
+    )
+
 
-    Adds ``name`` and ``dist``. The search radius doubles until no value is left; a round compares a value only with
-    names that share a segment at a fitting place, and is exact for all names within its radius.
+def _cells_between(open_: DataFrame, cells: DataFrame, beyond: int, upto: int) -> DataFrame:
+    """Rows (value, best, cell): cells with a bound over ``beyond`` and up to ``upto`` that may hold a name as good as the best.
+
+    Cells are found from coarse to fine: by the sum over half of the groups, by both sums, by all counts.
     """
-    spark = df.sparkSession
-    people = universe.groupBy("name").agg(F.min("ord").alias("ord"))
-    open_ = cut_lineage(df.select(value).filter(F.col(value).isNotNull()).distinct())
-    done = None
-    bounds = people.agg(F.max(F.length("name"))).first()[0], open_.agg(F.max(F.length(value))).first()[0]
-    if None in bounds:
-        return open_.limit(0).select(value, F.lit("").alias("name"), F.lit(0).alias("dist"))
-    longest, radius = max(bounds), 3
-    while not open_.isEmpty():
-        last_round = radius >= longest
-        probes = _segment_probes(open_, value, radius)
-        index = _segment_index(people, "name", radius)
-        pairs = probes.join(index, ["_len", "_no", "_key"]).select(value, "name", "ord").distinct()
-        near = pairs.withColumn("dist", F.levenshtein(F.col(value), F.col("name"), radius)).filter("dist >= 0")
-        near = near.unionByName(_nothing_shared(open_, value, people).filter(F.col("dist") <= radius))
-        best = near.groupBy(value).agg(
-            F.min_by("name", F.struct("dist", "ord", "name")).alias("name"), F.min("dist").alias("dist")
-        )
-        best = cut_lineage(best)
-        done = best if done is None else done.unionByName(best)
-        if last_round:
-            break
-        open_ = cut_lineage(open_.join(best, value, "left_anti"))
-        radius = 2 * radius + 1
-    if done is None:
-        return spark.createDataFrame([], open_.schema).select(value, F.lit("").alias("name"), F.lit(0).alias("dist"))
-    return done
+    ends = F.greatest(F.col("low") - upto, F.lit(0)), F.col("low") + upto
+    wide = open_.select("value", "counts", F.col("high").alias("_high"), "best", F.explode(F.sequence(*ends)).alias("low"))
+    pairs = cells.select("low", "high").distinct()
+    near = wide.join(pairs, "low").filter(F.abs(F.col("high") - F.col("_high")) <= upto)
+    fine = cells.select("low", "high", F.col("counts").alias("cell"))
+    bound = _count_bound(F.col("counts"), F.col("cell"))
+    met = near.join(fine, ["low", "high"]).withColumn("bound", bound)
+    reached = (F.col("bound") > beyond) & (F.col("bound") <= upto)
+    return met.filter(reached & (F.col("best").isNull() | (F.col("bound") <= F.col("best")["dist"]))).select("value", "best", "cell")
+
+
+def _compared(cells: DataFrame, people: DataFrame) -> DataFrame:
+    """Rows (value, found): the distance to every name of the given cells, none where a better name is known."""
+    names = people.select("name", "ord", F.col("counts").alias("_counts"))
+    met = join_on(names, cells, {"_counts": "cell"}, "inner")
+    # Fixed value: a bound over every distance, where no name is known yet.
+    dist = F.expr("levenshtein(value, name, coalesce(best.dist, 2147483646))")
+    return met.select("value", F.struct(dist.alias("dist"), "ord", "name").alias("found"))
 
 
-def _nothing_shared(open_: DataFrame, value: str, people: DataFrame) -> DataFrame:
-    """A string shares no aligned character with another one at exactly the length of the longer one.
+def nearest_names(df: DataFrame, value: str, universe: DataFrame) -> DataFrame:
+    """The name of the universe (``name``, ``ord``) nearest to each distinct value, the first one on a tie.
 
-    So the first name of each length is the only one that can win that way: a table with one row per length.
+    Adds ``name`` and ``dist``. Null values and names are left out; without names there are no rows. The bound doubles until no
+    value is left; a value is compared once with each name whose letter counts allow for a distance up to the bound and
+    up to its best so far.
     """
-    per_length = people.groupBy(F.length("name").alias("_l")).agg(
-        F.min_by("name", F.struct("ord", "name")).alias("name"), F.min("ord").alias("ord")
-    )
-    shortest = per_length.agg(F.min("_l")).first()[0]
-    # Of two lengths at or under that of the value the earlier name wins; of longer ones only the shortest matters.
-    lengths = open_.select(value, F.explode(F.sequence(F.lit(shortest), F.greatest(F.length(value), F.lit(shortest)))).alias("_l"))
-    return lengths.join(per_length, "_l").select(
-        value, "name", "ord", F.greatest(F.length(value), F.col("_l")).cast("int").alias("dist")
-    )
+    people = _shapes(universe.filter(F.col("name").isNotNull()).groupBy("name").agg(F.min("ord").alias("ord")), "name")
+    people = cut_lineage(people)
+    best_type = f"struct<dist:int,ord:{dict(people.dtypes)['ord']},name:string>"
+    values = _shapes(df.select(F.col(value).alias("value")).filter(F.col(value).isNotNull()).distinct(), "value")
+    open_ = cut_lineage(values.withColumn("best", F.lit(None).cast(best_type)))
+    longest = people.agg(F.max(F.length("name"))).first()[0]
+    done = open_.limit(0)
+    if longest is not None:
+        cells = people.select("low", "high", "counts").distinct()
+        longest = max(longest, open_.agg(F.max(F.length("value"))).first()[0] or 0)
+        beyond, upto = -1, 2
+        while not open_.isEmpty():
+            compared = _compared(_cells_between(open_, cells, beyond, upto), people).filter("found.dist >= 0")
+            found = compared.groupBy("value").agg(F.min("found").alias("found"))
+            state = join_keys(open_, found, ["value"]).withColumn("best", F.least("best", "found")).drop("found")
+            state = cut_lineage(state)
+            settled = F.col("best").isNotNull() & ((F.col("best")["dist"] <= upto) | F.lit(upto >= longest))
+            done = done.unionByName(state.filter(settled))
+            open_ = state.filter(~settled)
+            beyond, upto = upto, 2 * upto
+    return done.select(F.col("value").alias(value), "best.name", "best.dist")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from feedkit.operators.joins import without_known_pairs
 from feedkit.operators.names import FULL_NAME, full_name_of_abbrev, parse_names, resolve_abbrevs, resolve_best_names
 from feedkit.operators.quality import MAX_LEVENSHTEIN
-from feedkit.operators.similarity import similar_pairs
+from feedkit.operators.similarity import nearest_names, similar_pairs
 from feedkit.plans.registry import query
 from feedkit.plans.views import table, with_views
 from feedkit.sources import name_pairs
@@ -48,6 +48,45 @@ def _(spark, sf):
     return similar_pairs(names, "name", "ord", 3)
 
 
+@query(
+    "similar_names_template",
+    """WITH n AS (SELECT DISTINCT concat('the account of ', substr(md5(c_name), 1, 6), ' with the wholesale house') AS name
+                  FROM customer)
+       SELECT a.name AS name1, b.name AS name2, CAST(levenshtein(a.name, b.name) AS INTEGER) AS dist
+       FROM n a JOIN n b ON a.name < b.name WHERE levenshtein(a.name, b.name) < 3""",
+)
+def _(spark, sf):
+    """Names of one template, as many as there are customers."""
+    own = F.substring(F.md5("c_name"), 1, 6)
+    phrase = F.concat(F.lit("the account of "), own, F.lit(" with the wholesale house"))
+    names = table(spark, sf, "customer").select(phrase.alias("name")).distinct().withColumn("ord", F.col("name"))
+    return similar_pairs(names, "name", "ord", 3)
+
+
+_WORDS_SQL = "SELECT doc_id, unnest(string_split_regex(lower(text), '[^a-z]+')) AS word FROM documents"
+
+
+@query(
+    "nearest_word",
+    f"""WITH w AS (SELECT word AS name, min(doc_id) AS ord FROM ({_WORDS_SQL}) WHERE word <> '' GROUP BY word),
+        v AS (SELECT DISTINCT word AS value FROM ({_WORDS_SQL.replace('doc_id, ', '').replace('documents', 'benchmark')})
+              WHERE word <> '' AND word NOT IN (SELECT name FROM w)),
+        d AS (SELECT value, name, ord, CAST(levenshtein(value, name) AS INTEGER) AS dist FROM v CROSS JOIN w)
+        SELECT value, arg_min(name, (dist, ord, name)) AS name, min(dist) AS dist FROM d GROUP BY value""",
+)
+def _(spark, sf):
+    """For every word of the benchmark that no document holds: the nearest word of the documents, the earliest on a tie."""
+
+    def words(name, *columns):
+        split = F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word")
+        return table(spark, sf, name).select(split, *columns).filter("word <> ''")
+
+    known = words("documents", "doc_id").groupBy(F.col("word").alias("name")).agg(F.min("doc_id").alias("ord"))
+    unknown = words("benchmark").select(F.col("word").alias("value")).distinct()
+    unknown = unknown.join(known, F.col("value") == F.col("name"), "left_anti")
+    return nearest_names(unknown, "value", known)
+
+
 @query(
     "parse_name",
     with_views(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import string
 
@@ -10,7 +11,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from feedkit.errors import UnhandledName
-from feedkit.operators import joins, names
+from feedkit.operators import joins, names, similarity
 from feedkit.operators.similarity import nearest_names, similar_pairs
 from feedkit.operators.topk import rank_by_distance
 from feedkit.sources import active_team_names, lookup_pairs, name_pairs
@@ -238,3 +239,62 @@ def test_strict_resolution_stops_at_an_unhandled_name(spark):
     assert joins.resolve_names(good, "n", *lists, strict=True).count() == 3
     with pytest.raises(UnhandledName, match="Nobody"):
         joins.resolve_names(good.union(spark.createDataFrame([("Nobody",)], "n string")), "n", *lists, strict=True)
+
+
+@pytest.mark.parametrize("block", [50, 2048])
+def test_large_blocks_of_one_template(spark, monkeypatch, block):
+    """3,000 names of one template, with one varying part, two far apart, and some long ones: whole, and far from all pairs."""
+    rng = random.Random(8)
+    own = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    texts = {f"the account of {own(6)} with the wholesale house" for _ in range(3000)}
+    texts |= {f"{own(4)} is the one that pays for the wholesale house of {own(4)}" for _ in range(600)}
+    texts |= {t.replace("wholesale", "wholesome") for t in sorted(texts)[:20]}
+    df = spark.createDataFrame(list(enumerate(sorted(texts))), "ord long, name string")
+    seen = []
+    monkeypatch.setattr(similarity, "BLOCK", block)
+    within = similarity._within
+    monkeypatch.setattr(similarity, "_within", lambda found, k: (seen.append(found), within(found, k))[1])
+    got = similar_pairs(df, "name", "ord", 3).collect()
+    a, b = (df.select(F.col("name").alias(f"name{i}"), F.col("ord").alias(f"o{i}")) for i in (1, 2))
+    pairs = a.crossJoin(b).filter("o1 < o2").withColumn("dist", F.levenshtein("name1", "name2", 2)).filter("dist >= 0")
+    assert sorted(map(tuple, got)) == sorted(map(tuple, pairs.select("name1", "name2", "dist").collect()))
+    assert len(got) > 20
+    assert seen[0].distinct().count() < len(texts) ** 2 / 2 / 15
+
+
+def test_nearest_compares_few(spark, monkeypatch):
+    """20 values and 5,000 names: all as by brute force, with a small part of all comparisons."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices(string.ascii_lowercase, k=rng.randint(3, 9)))
+    people = sorted({f"{word()} {word()}" for _ in range(5000)})
+    values = [v[:2] + rng.choice("xyz") + v[3:] + rng.choice(["", "s", " jr"]) for v in rng.sample(people, 18)] + ["", "none"]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (values[0],)], "v string")
+    universe = spark.createDataFrame([*enumerate(people), (-1, None)], "ord long, name string")
+    count = []
+    compared = similarity._compared
+
+    def counted(*args):
+        found = compared(*args)
+        count.append(found.count())
+        return found
+
+    monkeypatch.setattr(similarity, "_compared", counted)
+    got = {r["v"]: (r["name"], r["dist"]) for r in nearest_names(df, "v", universe).collect()}
+    every = df.filter("v is not null").distinct().crossJoin(universe.filter("name is not null"))
+    best = every.groupBy("v").agg(F.min(F.struct(F.levenshtein("v", "name").alias("d"), "ord", "name")).alias("b"))
+    assert got == {r["v"]: (r["b"]["name"], r["b"]["d"]) for r in best.collect()}
+    assert sum(count) < len(values) * len(people) / 8
+
+
+def test_nearest_with_one_hot_cell(spark):
+    """All names hold the same letters, so that letter counts tell nothing."""
+    people = sorted({"".join(p) for p in itertools.permutations("abcdef")})
+    universe = spark.createDataFrame(list(enumerate(people)), "ord long, name string")
+    df = spark.createDataFrame([("abcfed",), ("x",), ("abcdefabcdef",)], "v string")
+    got = {r["v"]: (r["dist"], r["name"]) for r in nearest_names(df, "v", universe).collect()}
+    assert got == {v: (d, people[i]) for v in ("abcfed", "x", "abcdefabcdef") for d, i in [min((distance(v, p), i) for i, p in enumerate(people))]}
+
+
+def test_nearest_without_names(spark):
+    values = spark.createDataFrame([("a",)], "v string")
+    assert nearest_names(values, "v", spark.createDataFrame([], "ord long, name string")).collect() == []
