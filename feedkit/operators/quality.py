@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from feedkit.functions.scalars import norm_nan
 from feedkit.operators.joins import name_status
 from feedkit.operators.skew import join_on
+from feedkit.session import written
 
 # Bounds of the game rules.
 MAX_OPEN_SPREAD = 25
@@ -85,7 +86,7 @@ def check_games(games: DataFrame) -> DataFrame:
 
 
 def player_groups(players: DataFrame) -> DataFrame:
-    """One row per (gd, team) with what the player rules need.
+    """One row per (gd, team) with what the player rules need, and ``_first_gid``, the game id of the row with the first id.
 
     Rows are first reduced per player, so a team with very many rows spreads over many tasks. Text columns are keys of
     that step rather than aggregates, which lets it hash instead of sort. Once a group has one game id and one
@@ -93,7 +94,7 @@ def player_groups(players: DataFrame) -> DataFrame:
     """
     keyed = players.filter(F.col("gd").isNotNull() & F.col("team").isNotNull())
     by_player = keyed.groupBy("gd", "team", "player", "gid", "opp").agg(
-        F.count(F.lit(1)).alias("_n"), F.count_if("starter").alias("_s"), *_one_number("tsid")
+        F.count(F.lit(1)).alias("_n"), F.count_if("starter").alias("_s"), F.min("id").alias("_first"), *_one_number("tsid")
     )
     texts = []
     for c in ("gid", "opp"):
@@ -106,6 +107,7 @@ def player_groups(players: DataFrame) -> DataFrame:
         F.sum("_n_tsid").alias("_n_tsid"),
         F.min("_lo_tsid").alias("_lo_tsid"),
         F.max("_hi_tsid").alias("_hi_tsid"),
+        F.min_by("gid", "_first").alias("_first_gid"),
         *texts,
     )
 
@@ -115,12 +117,12 @@ def check_players(
 ) -> DataFrame:
     """Rules on the players of a team on a date, against the facing team's group and the linked team row.
 
-    Players: id, gid, gd, team, opp, player, starter, tsid. Games: id, gd, team.
+    Players: id, gid, gd, team, opp, player, starter, tsid. Games: id, gd, team. The players are read and reduced once: the
+    groups are written, and the facing groups are read from there.
     """
-    groups = player_groups(players)
-    # Of the facing group only its first game id counts: a second, lighter aggregation that reads four columns.
-    facing = players.groupBy(F.col("gd").alias("_f_gd"), F.col("team").alias("_f_team")).agg(
-        F.min_by("gid", "id").alias("_f_gid"), F.lit(True).alias("_faced")
+    groups = written(player_groups(players))
+    facing = groups.select(
+        F.col("gd").alias("_f_gd"), F.col("team").alias("_f_team"), F.col("_first_gid").alias("_f_gid"), F.lit(True).alias("_faced")
     )
     linked = games.groupBy(F.col("id").alias("_t_id")).agg(
         F.count(F.lit(1)).alias("_t_rows"), F.min("gd").alias("_t_gd"), F.min("team").alias("_t_team")
