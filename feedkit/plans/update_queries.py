@@ -13,7 +13,7 @@ from feedkit.plans.join_queries import STARTERS, name_lists
 from feedkit.plans.registry import query
 from feedkit.plans.stages import update_all
 from feedkit.plans.views import table, with_views
-from feedkit.sources import lookup_pairs
+from feedkit.sources import lookup_pairs, stored_mark
 from feedkit.sources.writers import append_rows
 from feedkit.session import fresh_path, written
 
@@ -53,6 +53,31 @@ def _(spark, sf):
     )
 
 
+@query(
+    "load_after_stored_mark",
+    """SELECT event_id AS id, CAST(ts AS DATE)::VARCHAR AS day, user_id AS team, lower(event_type) AS kind FROM events
+       WHERE CAST(ts AS DATE) <= DATE '2024-01-27'""",
+)
+def _(spark, sf):
+    """The newest day loaded comes from the footers of the files, and only later days of the feed are read."""
+    feed = table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    path = fresh_path(spark, "loaded-days")
+    loaded = feed.select(F.col("event_id").alias("id"), "day", F.col("user_id").alias("team"), F.lower("event_type").alias("kind"))
+    append_rows(loaded.filter(F.col("day") <= F.lit(dt.date(2024, 1, 15))), path, loaded.schema)
+    target = spark.read.schema(loaded.schema).parquet(path)
+    later = U.load_incremental(
+        feed,
+        target,
+        "day",
+        F.lit(dt.date(2024, 1, 27)),
+        lambda new: new.select(
+            F.col("event_id").alias("id"), "day", F.col("user_id").alias("team"), F.lower("event_type").alias("kind")
+        ),
+        stored_mark(spark, path, "day"),
+    )
+    return later.withColumn("day", F.col("day").cast("string"))
+
+
 @query(
     "update_fk",
     with_views(

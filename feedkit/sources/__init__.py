@@ -3,6 +3,7 @@
 from feedkit.sources.readers import (
     active_team_names,
     feed_scan,
+    footer_maximum,
     high_water_mark,
     html_files,
     known_names,
@@ -13,6 +14,7 @@ from feedkit.sources.readers import (
     name_pairs,
     scalar_query,
     sql_query,
+    stored_mark,
     table_scan,
     text_lines,
 )
@@ -33,6 +35,7 @@ __all__ = [
     "append_batch",
     "append_rows",
     "feed_scan",
+    "footer_maximum",
     "high_water_mark",
     "html_files",
     "known_names",
@@ -44,6 +47,7 @@ __all__ = [
     "read_batches",
     "scalar_query",
     "sql_query",
+    "stored_mark",
     "table_scan",
     "text_lines",
     "to_schema",

@@ -6,6 +6,8 @@ import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +51,29 @@ def high_water_mark(target: DataFrame, column: str, floor: Column) -> Column:
     return target.agg(F.coalesce(F.max(column), floor)).scalar()
 
 
+def footer_maximum(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """One row with the newest value of a parquet table's column, from the statistics in the footers; null when there is no row.
+
+    Spark takes the value from the footers for whole numbers, dates and booleans, and scans the column of other types. The two
+    settings that it needs are those of a session of its own, so the given one keeps its own.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session.read.parquet(path).agg(F.max(column).alias(column))
+
+
+def stored_mark(spark: SparkSession, path: str, column: str) -> Any:
+    """The newest value of a parquet table's column, on the driver. Footers without a value, as of all nulls, mean a scan."""
+    try:
+        return footer_maximum(spark, path, column).first()[0]
+    except (PySparkException, Py4JJavaError) as failed:
+        # Fixed value: what Spark says of a footer without the value.
+        if "No min/max found" not in str(failed):
+            raise
+        return spark.read.parquet(path).agg(F.max(column)).first()[0]
+
+
 def feed_scan(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv", **options: Any) -> DataFrame:
     """A feed with known headers. The schema is given, never inferred, so the files are read once. NaN is read as null."""
     if fmt == "csv":

@@ -33,7 +33,7 @@ from feedkit.sources import (
     write_version,
     write_version_csv,
 )
-from feedkit.sources import writers
+from feedkit.sources import footer_maximum, stored_mark, writers
 
 DAY = dt.datetime(2017, 10, 18)
 NEXT = dt.datetime(2017, 10, 19)
@@ -489,3 +489,19 @@ def test_typed_maps(spark, part_size):
         assert got == {0: {"a": 2.5, "b": None}, 1: {"c": 3.0}}
     else:
         assert got == {0: {"a": 2.5, "b": None, "c": 3.0}}
+
+
+def test_mark_from_footers(spark, tmp_path):
+    """Whole numbers and dates come from footers; other types, nulls and empty tables are still right."""
+    path = str(tmp_path / "loaded")
+    row = "id long, day date, t timestamp_ntz, none long"
+    days = [dt.date(2024, 1, d) for d in (3, 9, 5)]
+    data = [(i, d, dt.datetime(2024, 1, d.day, 7), None) for i, d in enumerate(days)]
+    spark.createDataFrame(data, row).repartition(3).write.parquet(path)
+    plan = footer_maximum(spark, path, "day")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(day)]" in plan
+    assert [stored_mark(spark, path, c) for c in ("id", "day", "t", "none")] == [2, dt.date(2024, 1, 9), dt.datetime(2024, 1, 9, 7), None]
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    empty = str(tmp_path / "empty")
+    spark.createDataFrame([], row).write.parquet(empty)
+    assert stored_mark(spark, empty, "day") is None
