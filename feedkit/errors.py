@@ -33,3 +33,7 @@ class MissingLinks(FeedkitError):
 
 class SharedDirUnset(FeedkitError):
     """A cluster session names no shared folder in ``spark.checkpoint.dir``."""
+
+
+class RowsMoved(FeedkitError):
+    """A change of some parts of a table gave rows of other parts."""

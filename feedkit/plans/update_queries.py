@@ -13,7 +13,7 @@ from feedkit.plans.join_queries import STARTERS, name_lists
 from feedkit.plans.registry import query
 from feedkit.plans.stages import update_all
 from feedkit.plans.views import table, with_views
-from feedkit.sources import lookup_pairs, stored_mark
+from feedkit.sources import lookup_pairs, rewrite_parts, stored_mark
 from feedkit.sources.writers import append_rows
 from feedkit.session import fresh_path, written
 
@@ -93,6 +93,26 @@ def _(spark, sf):
     return U.fill_links(players, table(spark, sf, "v_pteam"), ["gid", "team"], "tsid", where=season, strict=False)
 
 
+@query(
+    "update_fk_in_place",
+    with_views(
+        """SELECT p.id, p.gid, p.team, p.season,
+                  CASE WHEN p.season = 2018 AND p.tsid IS NULL THEN t.id ELSE p.tsid END AS tsid
+           FROM v_player p LEFT JOIN (SELECT gid, team, min(id) AS id FROM v_pteam GROUP BY gid, team) t
+           ON p.gid = t.gid AND p.team = t.team"""
+    ),
+)
+def _(spark, sf):
+    """The same on a table in folders by season, of which only one is read and written for it."""
+    path, games = fresh_path(spark, "players-by-season"), table(spark, sf, "v_pteam")
+    players = table(spark, sf, "v_player").select("id", "gid", "team", "season", "tsid")
+    players.write.partitionBy("season").parquet(path)
+    rewrite_parts(
+        spark, path, "season", [SEASON], lambda part: U.fill_links(part, games, ["gid", "team"], "tsid", strict=False)
+    )
+    return spark.read.parquet(path).select(*players.columns)
+
+
 @query(
     "update_flag",
     with_views(

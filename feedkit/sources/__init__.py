@@ -22,6 +22,7 @@ from feedkit.sources.writers import (
     append_batch,
     append_rows,
     read_batches,
+    rewrite_parts,
     to_schema,
     write_named,
     write_observed,
@@ -45,6 +46,7 @@ __all__ = [
     "lookup_pairs",
     "name_pairs",
     "read_batches",
+    "rewrite_parts",
     "scalar_query",
     "sql_query",
     "stored_mark",

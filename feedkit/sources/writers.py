@@ -1,9 +1,10 @@
-"""Writers. Nothing is ever overwritten: data is appended, or written to the next free version."""
+"""Writers. Data is appended, or written to the next free version; only ``rewrite_parts`` overwrites, and only the parts it is told."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from typing import Any
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -11,7 +12,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedkit.errors import EmptyInput, FolderMissing
+from feedkit.errors import EmptyInput, FolderMissing, RowsMoved
+from feedkit.session import written
 
 # Field names a desktop database reserves; they are bracketed in exports.
 RESERVED_FIELDS = ("date", "name")
@@ -34,6 +36,23 @@ def append_rows(df: DataFrame, path: str, schema: T.StructType) -> None:
     to_schema(df, schema).write.mode("append").parquet(path)
 
 
+def rewrite_parts(
+    spark: SparkSession, path: str, by: str, parts: Sequence[Any], change: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Change some parts of a table that is partitioned by ``by``; the files of all others are neither read nor written.
+
+    The changed rows are written aside first, because Spark cannot overwrite what it reads, and then replace their parts in one
+    commit. Rows of a part that is not among ``parts`` are an error, and nothing is replaced. A part that the change leaves
+    without rows stays as it was. A table has one such change at a time.
+    """
+    rows = spark.read.parquet(path)
+    chosen = F.col(by).isin(list(parts))
+    changed = written(change(rows.filter(chosen)).select(*rows.columns))
+    if not changed.filter(~F.coalesce(chosen, F.lit(False))).isEmpty():
+        raise RowsMoved(f"the change gives rows beyond {by} in {list(parts)}")
+    changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+
+
 _COMMITS = "_commits"
 
 

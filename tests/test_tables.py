@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedkit import session
-from feedkit.errors import EmptyInput, FeedkitError, FolderMissing, MissingLinks, SharedDirUnset, SnapshotMissing, TooFewRows
+from feedkit.errors import EmptyInput, FeedkitError, FolderMissing, MissingLinks, RowsMoved, SharedDirUnset, SnapshotMissing, TooFewRows
 from feedkit.operators import joins, literals, quality, stats, updates
 from feedkit.plans import feeds, stages
 from feedkit.sources import (
@@ -33,7 +33,7 @@ from feedkit.sources import (
     write_version,
     write_version_csv,
 )
-from feedkit.sources import footer_maximum, stored_mark, writers
+from feedkit.sources import footer_maximum, rewrite_parts, stored_mark, writers
 
 DAY = dt.datetime(2017, 10, 18)
 NEXT = dt.datetime(2017, 10, 19)
@@ -505,3 +505,22 @@ def test_mark_from_footers(spark, tmp_path):
     empty = str(tmp_path / "empty")
     spark.createDataFrame([], row).write.parquet(empty)
     assert stored_mark(spark, empty, "day") is None
+
+
+def test_only_the_named_parts_are_rewritten(spark, tmp_path):
+    path = str(tmp_path / "seasons")
+    df = spark.createDataFrame([(1, "a", 2017), (2, None, 2018), (3, "c", 2018), (4, None, None)], "id int, v string, season int")
+    df.write.partitionBy("season").parquet(path)
+    files = lambda: {str(f.relative_to(path)) for f in (tmp_path / "seasons").rglob("*.parquet")}
+    before = files()
+    rewrite_parts(spark, path, "season", [2018, 2030], lambda part: part.withColumn("v", F.coalesce("v", F.lit("new"))))
+    assert {f for f in before if "2018" not in f} == {f for f in files() if "2018" not in f}
+    assert not {f for f in before if "2018" in f} & files()
+    wanted = [(1, "a", 2017), (2, "new", 2018), (3, "c", 2018), (4, None, None)]
+    assert rows(spark.read.parquet(path), "id", "v", "season") == wanted
+    # A row that would leave its part, also for none, stops the change before anything is replaced.
+    before = files()
+    for other in (2017, None):
+        with pytest.raises(RowsMoved):
+            rewrite_parts(spark, path, "season", [2018], lambda part: part.withColumn("season", F.lit(other).cast("int")))
+    assert files() == before and rows(spark.read.parquet(path), "id", "v", "season") == wanted
