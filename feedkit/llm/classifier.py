@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedkit.llm.text import pieces, utf8
+from feedkit.operators.columns import unused
 
 # Labelled documents the model is trained on, at most: those of the smallest hashes of their ids.
 TRAIN_ROWS = 5_000
@@ -129,22 +130,27 @@ class _Words(dict):
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:
-    """Adds the probability of label 1. A null or empty text has that of the bias alone. A column ``into`` is replaced."""
-    kept = [c for c in docs.columns if c != into]
-    rows = docs.select(*kept, utf8(text).alias("_data"))
+    """Adds the probability of label 1. A null or empty text has that of the bias alone.
+
+    Repeated rows and rows without an id are scored each by itself. A column ``into`` is replaced, columns of all other
+    names are kept.
+    """
+    kept = [c for c in docs.columns if c.lower() != into.lower()]
+    (data,) = unused(kept, "data")
+    rows = docs.select(*kept, utf8(text).alias(data))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words(shared.value.weights)
-        for batch in pieces(batches, "_data"):
+        for batch in pieces(batches, data):
             out = []
-            for data in batch.column("_data").to_pylist():
-                total = sum(map(words.__getitem__, tokens(data)), 0j)
+            for value in batch.column(data).to_pylist():
+                total = sum(map(words.__getitem__, tokens(value)), 0j)
                 z = (total.real / total.imag if total.imag else 0.0) + shared.value.bias
                 out.append(1 / (1 + math.exp(-max(-700.0, min(700.0, z)))))
                 if len(words) > CACHE_WORDS:
                     words.clear()
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(out, pa.float64())], [*kept, into])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*kept).schema]
+    fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in rows.select(*kept).schema]
     return rows.mapInArrow(run, ", ".join([*fields, f"`{into}` double"]))

@@ -3,7 +3,8 @@
 A task cuts its documents into shards of bounded size and sorts the suffixes of each shard, word by word. Every suffix
 of every benchmark item is then searched in it by binary search, all of them side by side: with each further word the
 range of a suffix narrows, until nothing is left. The last range that held something is its longest verbatim match, and
-the array says where. No shuffle is needed; the items are the only thing that all tasks share.
+the array says where. No shuffle is needed; the items are the only thing that all tasks share. They stand in a table in the
+shared folder, from which a task reads them in blocks of bounded size, one at a time.
 
 Words outside the items' vocabulary cannot match and are borders, as the ends of documents are. Suffixes that begin with
 such a word are left out of the array.
@@ -12,19 +13,24 @@ such a word are left out of the array.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedkit.llm.text import pieces, utf8
+from feedkit.llm.text import filtered, pieces, utf8
+from feedkit.operators.columns import unused
+from feedkit.session import fresh_path
 
 # Words of a match that count as contamination. A shorter item counts as a whole.
 WINDOW = 10
-# Items are handed to the tasks in blocks of at most this many bytes; every block is searched in all documents.
+# Tasks hold the items in blocks of at most this many bytes; every block is searched in all documents.
 BLOCK_BYTES = 32 << 20
+# Pairs of a document and an item are made distinct after at most about this many.
+PAIRS = 1 << 20
 
 # Letters A-Z become a-z; every byte that is no ASCII letter, digit or part of a longer character becomes a space.
 _FOLD = bytes(
@@ -40,7 +46,7 @@ def words(data: bytes) -> list[bytes]:
 class Items:
     """Benchmark items as word numbers, one after another with borders between; what tasks search for."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int = WINDOW):
         found = [(i, words(t)) for i, t in items]
         found = [(i, w) for i, w in found if w]
         self.number: dict[bytes, int] = {}
@@ -147,34 +153,71 @@ def search(text: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.n
     return some, length[some], place[some], array, np.stack([hit_low[some], hit_high[some]])
 
 
-def _shard_matches(shard: list[tuple[int, list[int]]], items: Items) -> tuple[dict[int, tuple], list[tuple]]:
-    """Of a shard of (row, word numbers): per row with hits (which words are hit, item ids), and the longest matches."""
-    sizes = np.array([len(w) for _, w in shard], np.int64)
+def _distinct_pairs(array: np.ndarray, starts: np.ndarray, low: np.ndarray, high: np.ndarray, item: np.ndarray, n_items: int):
+    """Distinct row * n_items + item of the rows with a place in [low, high) of the array, for each range and its item.
+
+    Equal ranges, such as those of a word that is repeated in an item, are listed once, and their rows are made distinct
+    before the items come to them.
+    """
+    order = np.lexsort((item, high, low))
+    low, high, item = low[order], high[order], item[order]
+    other = (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+    keep = np.append(True, other | (item[1:] != item[:-1]))
+    begin = np.flatnonzero(np.append(True, other)[keep])
+    item, low, high = item[keep], low[keep][begin], high[keep][begin]
+    n_items_of = np.diff(np.append(begin, len(item)))
+    # Ranges of one number of words do not overlap, so a place is listed at most once for each such number.
+    reach = high - low
+    places = array[_spread(low, reach)]
+    n_rows = len(starts)
+    met = np.unique(np.repeat(np.arange(len(low)), reach) * n_rows + np.searchsorted(starts, places, side="right") - 1)
+    by, row = met // n_rows, met % n_rows
+    sums = np.cumsum(n_items_of[by])
+    found = np.zeros(0, np.int64)
+    for part in np.split(np.arange(len(met)), np.searchsorted(sums, np.arange(PAIRS, sums[-1], PAIRS))):
+        n = n_items_of[by[part]]
+        found = np.unique(np.append(found, np.repeat(row[part], n) * n_items + item[_spread(begin[by[part]], n)]))
+    return found
+
+
+def _spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each row, ``count`` numbers of it."""
+    return np.arange(count.sum()) + np.repeat(start - np.cumsum(count) + count, count)
+
+
+def _shard_matches(shard: list[list[int]], items: Items) -> tuple[dict[int, tuple], list[tuple]]:
+    """Of a shard of word numbers: per row with hits (which words are hit, items as numbers), and the longest matches.
+
+    Memory is in proportion to the shard and the items, however often words repeat: hits are marks where ranges of the
+    array begin and end, one set for each number of words that counts.
+    """
+    sizes = np.array([len(w) for w in shard], np.int64)
     starts = np.cumsum(np.append(0, sizes + 1))
     text = np.zeros(starts[-1] + 1, np.int32)
-    for (_, numbers), at in zip(shard, starts, strict=False):
+    for numbers, at in zip(shard, starts, strict=False):
         text[at : at + len(numbers)] = numbers
-    suffix, length, place, array, ranges = search(text, items)
+    suffix, length, place, array, (low, high) = search(text, items)
     if not len(suffix):
         return {}, []
-    reach = ranges[1] - ranges[0]
-    # Every place at which a suffix counts; marks of where a hit begins and ends give the words inside one.
-    picked = np.arange(reach.sum()) - np.repeat(np.cumsum(reach) - reach, reach) + np.repeat(ranges[0], reach)
-    at, by = array[picked], np.repeat(suffix, reach)
-    marks = np.zeros(len(text) + 1, np.int64)
-    np.add.at(marks, at, 1)
-    np.add.at(marks, at + items.need[by], -1)
-    hit = np.cumsum(marks[:-1]) > 0
-    row = np.searchsorted(starts, at, side="right") - 1
-    pairs = np.unique(row * len(items.ids) + items.item[by])
+    # Where the hits that begin so far end, for each word of the text.
+    end = np.zeros(len(text), np.int64)
+    need = items.need[suffix]
+    for n in np.unique(need).tolist():
+        marks = np.zeros(len(array) + 1, np.int64)
+        np.add.at(marks, low[need == n], 1)
+        np.add.at(marks, high[need == n], -1)
+        begin = array[np.cumsum(marks[:-1]) > 0]
+        end[begin] = np.maximum(end[begin], begin + n)
+    hit = np.maximum.accumulate(end) > np.arange(len(text))
+    pairs = _distinct_pairs(array, starts, low, high, items.item[suffix], len(items.ids))
     rows, first = np.unique(pairs // len(items.ids), return_index=True)
     found = {}
     for r, numbers in zip(rows.tolist(), np.split(pairs % len(items.ids), first[1:]), strict=True):
-        found[shard[r][0]] = (hit[starts[r] : starts[r] + sizes[r]], [items.ids[i] for i in numbers.tolist()])
+        found[r] = (hit[starts[r] : starts[r] + sizes[r]], numbers.tolist())
     matches = []
     for s, n, p in zip(suffix.tolist(), length.tolist(), place.tolist(), strict=True):
         r = int(np.searchsorted(starts, p, side="right")) - 1
-        matches.append((shard[r][0], items.ids[items.item[s]], int(items.place[s]), int(p - starts[r]), n))
+        matches.append((r, items.ids[items.item[s]], int(items.place[s]), int(p - starts[r]), n))
     return found, matches
 
 
@@ -182,20 +225,40 @@ MATCH = "array<struct<item_id:string,item_word:int,doc_word:int,n_words:int>>"
 _MATCH = pa.list_(
     pa.struct([("item_id", pa.string()), ("item_word", pa.int32()), ("doc_word", pa.int32()), ("n_words", pa.int32())])
 )
-_ADDED = ["n_words", "n_hit", "items", "matches"]
-
-
-def _blocks(benchmark: DataFrame, item: str, text: str, size: int) -> Iterator[list[tuple[str, bytes]]]:
-    """The items in blocks of at most ``size`` bytes; a larger item stands alone. The driver holds one block."""
-    block, held = [], 0
-    rows = benchmark.select(F.col(item).cast("string").alias("i"), utf8(text).alias("t")).filter("i IS NOT NULL")
-    for i, t in rows.toLocalIterator(prefetchPartitions=False):
-        if block and held + len(t) > size:
-            yield block
-            block, held = [], 0
-        block.append((i, bytes(t)))
-        held += len(t)
-    yield block
+_ADDED = ["n_words", "n_hit", "n_items", "items", "matches"]
+
+# The block that stands alone in its table, so that a worker reads and numbers it once for all its shards.
+_held: dict[tuple, Items] = {}
+
+
+def _batches_of(folder: str) -> Iterator[pa.RecordBatch]:
+    """The rows (i, t) of a Parquet folder in the order of its files."""
+    store, base = fs.FileSystem.from_uri(folder)
+    names = sorted(x.path for x in store.get_file_info(fs.FileSelector(base)) if x.base_name.endswith(".parquet"))
+    for name in names:
+        with store.open_input_file(name) as file:
+            yield from pq.ParquetFile(file).iter_batches(batch_size=256, columns=["i", "t"])
+
+
+def _blocks(folder: str, window: int, size: int) -> Iterator[Items]:
+    """The stored items in blocks of at most ``size`` bytes, one at a time; a larger item stands alone."""
+    key = (folder, window, size)
+    if key in _held:
+        yield _held[key]
+        return
+    _held.clear()
+    block, held, count = [], 0, 0
+    for batch in _batches_of(folder):
+        for i, t in zip(batch.column("i").to_pylist(), batch.column("t").to_pylist(), strict=True):
+            if block and held + len(t) > size:
+                yield Items(block, window)
+                block, held, count = [], 0, count + 1
+            block.append((i, t))
+            held += len(t)
+    last = Items(block, window)
+    if not count:
+        _held[key] = last
+    yield last
 
 
 def mark_contaminated(
@@ -207,42 +270,54 @@ def mark_contaminated(
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """Adds n_words, n_hit (words inside an occurrence of a window of an item), items and matches to the documents.
+    """Adds n_words, n_hit (words inside an occurrence of a window of an item), n_items, items and matches to the documents.
 
     ``items`` are the sorted ids (as strings) of the items of which a window occurs. ``matches`` are the longest
     verbatim matches found in a shard, one for each suffix of an item that counts: where it begins in the item and in
-    the document, in words. A null text has no words, items without words or id have no windows, and rows of one item_id
-    count as one item. Columns of the added names are replaced.
+    the document, in words. A null or empty text has no words, and items without words have no windows. Rows of one
+    item_id count as one item. Items without an id are searched as well: their hits count in n_hit, they are one item
+    of n_items together and have no name in ``items``. Repeated documents each get their own result, and documents
+    without an id are marked as any others. Columns of the added names are replaced, columns of all other names kept.
     """
-    kept = [c for c in docs.columns if c not in _ADDED]
-    rows = docs.select(*kept, utf8(text).alias("_data"))
-    spark = docs.sparkSession
-    blocks = [spark.sparkContext.broadcast(Items(b, window)) for b in _blocks(benchmark, item, item_text, block_bytes)]
+    kept = [c for c in docs.columns if c.lower() not in _ADDED]
+    (data,) = unused(kept, "data")
+    rows = docs.select(*kept, utf8(text).alias(data))
+    folder = fresh_path(docs.sparkSession, "items")
+    benchmark.select(F.col(item).cast("string").alias("i"), utf8(item_text).alias("t")).write.parquet(folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "_data"):
-            split = [words(x) for x in batch.column("_data").to_pylist()]
-            hits: list[list[tuple]] = [[] for _ in split]
+        for batch in pieces(batches, data):
+            split = [words(x) for x in batch.column(data).to_pylist()]
+            hits: list[np.ndarray | None] = [None for _ in split]
+            names: list[set] = [set() for _ in split]
             longest: list[list[dict]] = [[] for _ in split]
-            for block in blocks:
-                items = block.value
+            for items in _blocks(folder, window, block_bytes):
                 if not items.ids:
                     continue
                 get = items.number.get
-                found, matches = _shard_matches([(i, [get(w, 0) for w in ws]) for i, ws in enumerate(split)], items)
-                for i, x in found.items():
-                    hits[i].append(x)
+                found, matches = _shard_matches([[get(w, 0) for w in ws] for ws in split], items)
+                for i, (hit, numbers) in found.items():
+                    hits[i] = hit if hits[i] is None else hits[i] | hit
+                    names[i].update(items.ids[x] for x in numbers)
                 for i, *m in matches:
                     longest[i].append(dict(zip(("item_id", "item_word", "doc_word", "n_words"), m, strict=True)))
-            ids = [sorted({i for _, names in x for i in names}) for x in hits]
             columns = [
                 pa.array([len(w) for w in split], pa.int64()),
-                pa.array([int(reduce(np.logical_or, (m for m, _ in x)).sum()) if x else 0 for x in hits], pa.int64()),
-                pa.array(ids, pa.list_(pa.string())),
+                pa.array([0 if x is None else int(x.sum()) for x in hits], pa.int64()),
+                pa.array([len(x) for x in names], pa.int64()),
+                pa.array([sorted(x - {None}) for x in names], pa.list_(pa.string())),
                 pa.array(longest, _MATCH),
             ]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *columns], [*kept, *_ADDED])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*kept).schema]
-    schema = ", ".join([*fields, f"n_words long, n_hit long, items array<string>, matches {MATCH}"])
+    fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in rows.select(*kept).schema]
+    schema = ", ".join([*fields, f"n_words long, n_hit long, n_items long, items array<string>, matches {MATCH}"])
     return rows.mapInArrow(run, schema)
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """The documents without a window of a benchmark item, with their own columns, whatever their names.
+
+    Documents without text or words stay. Of repeated rows all stay or none.
+    """
+    return filtered(docs, _ADDED, text, lambda d, t: mark_contaminated(d, benchmark, t), "n_hit = 0")

@@ -18,7 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedkit.llm.text import pieces, utf8
+from feedkit.llm.text import filtered, pieces, utf8
+from feedkit.operators.columns import unused
 
 # Base rules: fewer words than this, or more than this percentage of the words in repeated 3-word windows.
 MIN_WORDS = 50
@@ -214,17 +215,19 @@ _ADDED = [x.split()[0] for x in MEASURES.split(", ")] + ["base_failed", "kept",
 def judge(docs: DataFrame, rules: Sequence[Rule], text: str = "text") -> DataFrame:
     """Adds the base measures, ``base_failed``, ``kept`` and ``rejected_by`` (the first rule that rejects).
 
-    A null text has no words and fails as too short. Columns of these names are replaced, others kept. Which rule comes
-    first depends on the order of the rules, ``kept`` does not.
+    A null text has no words and fails as too short, as an empty one does. Repeated rows and rows without an id are
+    judged each by itself. Columns of these names are replaced, columns of all other names kept. Which rule comes first
+    depends on the order of the rules, ``kept`` does not.
     """
-    kept = [c for c in docs.columns if c not in _ADDED]
-    rows = docs.select(*kept, utf8(text).alias("_data"))
+    kept = [c for c in docs.columns if c.lower() not in _ADDED]
+    (data,) = unused(kept, "data")
+    rows = docs.select(*kept, utf8(text).alias(data))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "_data"):
+        for batch in pieces(batches, data):
             out: list[tuple] = []
-            for data in batch.column("_data").to_pylist():
-                t = Text(data)
+            for value in batch.column(data).to_pylist():
+                t = Text(value)
                 why = "base" if t.base_failed else next((r.name for r in rules if r.rejects(t)), None)
                 out.append(
                     (len(t.words), t.word_chars, t.symbols, t.dup_lines, t.repeat_words, why == "base", why is None, why)
@@ -233,11 +236,14 @@ def judge(docs: DataFrame, rules: Sequence[Rule], text: str = "text") -> DataFra
             columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), types, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *columns], [*kept, *_ADDED])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*kept).schema]
+    fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in rows.select(*kept).schema]
     schema = ", ".join([*fields, MEASURES, "base_failed boolean, kept boolean, rejected_by string"])
     return rows.mapInArrow(run, schema)
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents that no rule rejects, with their own columns."""
-    return judge(docs, ordered(docs, text), text).filter("kept").select(*[c for c in docs.columns])
+    """The documents that no rule rejects, with their own columns, also those that have a name ``judge`` adds.
+
+    A document without text, or with an empty one, is rejected. Of repeated rows all stay or none.
+    """
+    return filtered(docs, _ADDED, text, lambda d, t: judge(d, ordered(d, t), t), "kept")

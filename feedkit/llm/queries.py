@@ -180,7 +180,7 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         "n_words",
         "n_hit",
-        F.size("items").cast("long").alias("n_items"),
+        "n_items",
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedkit.operators.columns import unused
+
 # A word is a run of characters other than the space and the ASCII controls from tab to carriage return. On UTF-8
 # bytes, ``bytes.split()`` without arguments splits at exactly these six bytes.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,6 +32,16 @@ def count_words(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def filtered(docs: DataFrame, added: Sequence[str], text: str, mark: Callable[[DataFrame, str], DataFrame], where: str) -> DataFrame:
+    """The documents that ``where`` keeps after ``mark`` added its columns, with their own columns, whatever their names.
+
+    ``mark`` gets the documents and the name of their text; columns that are named like added ones have other names there.
+    """
+    own = dict(zip(docs.columns, unused(added, *docs.columns), strict=True))
+    marked = mark(docs.toDF(*own.values()), own[text]).filter(where)
+    return marked.select(*[F.col(n).alias(c) for c, n in own.items()])
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """The rows of the batches in slices of bounded bytes of a string or binary column; a longer row stands alone."""
     for batch in batches:

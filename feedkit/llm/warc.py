@@ -1,11 +1,15 @@
 """WARC archives: one gzip member per record, written and read by Spark tasks.
 
 The reader is sequential: it inflates one member at a time with an incremental decompressor, takes the block by its
-Content-Length and checks the digests. Archives are opened through Arrow's file systems, by the URI of the folder.
+Content-Length and checks the digests. It reads archives of other writers as well: digests by their label, header lines
+in any case, with or without a space and folded, records without digests, and ids of any form. Archives are opened
+through Arrow's file systems, by the URI of the folder.
 """
 
 from __future__ import annotations
 
+import base64
+import binascii
 import hashlib
 import uuid
 import zlib
@@ -15,7 +19,7 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedkit.errors import FeedkitError
@@ -38,15 +42,86 @@ class WarcError(FeedkitError):
 
 
 class Record(NamedTuple):
+    """Place in the archive, header fields by lower-case name (the first of repeated ones), and the block."""
+
     offset: int
     headers: dict[str, str]
     block: bytes
 
 
+class Payload(NamedTuple):
+    """A revisit has no data and speaks for the full payload; its size and digest are None where it does not say them.
+
+    ``digest`` is the hex SHA-256, ``stated`` what the record says, ``checked`` whether that was compared: None without a
+    payload to compare or a stated digest, False for a label that is not known.
+    """
+
+    size: int | None
+    digest: str | None
+    data: bytes | None
+    stated: str | None = None
+    checked: bool | None = None
+
+
 def _digest(data: bytes) -> str:
     return "sha256:" + hashlib.sha256(data).hexdigest()
 
 
+_HASHES = {"md5": hashlib.md5, "sha1": hashlib.sha1, "sha256": hashlib.sha256, "sha512": hashlib.sha512}
+
+
+def stated_digest(stated: str) -> tuple[str, bytes] | None:
+    """Label and bytes of a digest such as ``sha1:...`` in base16 or base32, None if the label is not known.
+
+    Raises WarcError for a value that has neither form.
+    """
+    label, _, value = stated.strip().partition(":")
+    label, value = label.strip().lower().replace("-", ""), value.strip()
+    if label not in _HASHES:
+        return None
+    size = _HASHES[label]().digest_size
+    try:
+        if len(value) == 2 * size:
+            return label, bytes.fromhex(value)
+        bare = value.rstrip("=").upper()
+        data = base64.b32decode(bare + "=" * (-len(bare) % 8))
+    except (ValueError, binascii.Error) as e:
+        raise WarcError(f"no digest: {stated}") from e
+    if len(data) != size:
+        raise WarcError(f"no digest: {stated}")
+    return label, data
+
+
+def fits(stated: str, data: bytes) -> bool | None:
+    """Whether the data have the stated digest; None if its label is not known."""
+    known = stated_digest(stated)
+    return None if known is None else _HASHES[known[0]](data).digest() == known[1]
+
+
+def header_fields(lines: list[str]) -> dict[str, str]:
+    """Header lines as fields by lower-case name; lines that begin with white space go on with the one before.
+
+    Of repeated fields the first counts; lines without a colon are passed over.
+    """
+    whole: list[str] = []
+    for line in lines:
+        if line[:1] in (" ", "\t") and whole:
+            whole[-1] += " " + line.strip()
+        else:
+            whole.append(line)
+    fields: dict[str, str] = {}
+    for name, colon, value in (x.partition(":") for x in whole):
+        if colon:
+            fields.setdefault(name.strip().lower(), value.strip())
+    return fields
+
+
+def _length(fields: dict[str, str]) -> int | None:
+    """The Content-Length, None if there is none or it is no number."""
+    value = fields.get("content-length", "")
+    return int(value) if value.isascii() and value.isdigit() else None
+
+
 def _line(value: str) -> str:
     """A header value without line breaks."""
     return value.replace("\r", "%0D").replace("\n", "%0A")
@@ -63,8 +138,8 @@ def encode_record(headers: dict[str, str], block: bytes) -> bytes:
 def read_records(stream, path: str = "") -> Iterator[Record]:
     """Records of an archive in order; memory is bounded by one record.
 
-    Raises WarcError for a cut-off member, a block that is shorter or longer than its Content-Length, and a block
-    that differs from its digest.
+    Raises WarcError for a cut-off member, a record without Content-Length, a block that is shorter or longer than it,
+    and a block that differs from its digest. A block digest of an unknown label is not checked.
     """
     rest, position = b"", 0
     while True:
@@ -76,11 +151,12 @@ def read_records(stream, path: str = "") -> Iterator[Record]:
             data += inflate.decompress(rest)
             position += len(rest) - len(inflate.unused_data)
             if size is None and (end := data.find(b"\r\n\r\n")) >= 0:
-                first, *lines = bytes(data[:end]).decode().split("\r\n")
+                first, *lines = bytes(data[:end]).decode(errors="replace").split("\r\n")
                 if not first.startswith("WARC/"):
                     raise WarcError(f"{path} at {offset}: no WARC record")
-                headers = dict(x.split(": ", 1) for x in lines)
-                size = int(headers["Content-Length"])
+                headers = header_fields(lines)
+                if (size := _length(headers)) is None:
+                    raise WarcError(f"{path} at {offset}: no Content-Length")
                 del data[: end + 4]
             if inflate.eof:
                 rest = inflate.unused_data
@@ -90,22 +166,29 @@ def read_records(stream, path: str = "") -> Iterator[Record]:
         if size is None or len(data) != size + 4 or data[size:] != b"\r\n\r\n":
             raise WarcError(f"{path} at {offset}: the block does not fit its Content-Length")
         block = bytes(data[:size])
-        if headers.get("WARC-Block-Digest", _digest(block)) != _digest(block):
+        if "warc-block-digest" in headers and fits(headers["warc-block-digest"], block) is False:
             raise WarcError(f"{path} at {offset}: the block differs from its digest")
         yield Record(offset, headers, block)
 
 
-def http_payload(record: Record, path: str = "") -> tuple[int, str, bytes | None]:
-    """Length, hex digest and bytes of the payload; a revisit has no bytes and speaks for the full payload."""
-    head, _, payload = record.block.partition(b"\r\n\r\n")
-    stated = record.headers["WARC-Payload-Digest"].removeprefix("sha256:")
-    fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
-    length = int(fields["Content-Length"])
-    if record.headers["WARC-Type"] == "revisit":
-        return length, stated, None
-    if len(payload) != length or hashlib.sha256(payload).hexdigest() != stated:
+def http_payload(record: Record, path: str = "") -> Payload:
+    """The payload of a record: what follows the HTTP header, or the whole block where there is none.
+
+    A length that the HTTP header states counts for revisits alone; what was stored may be cut or chunked. Raises
+    WarcError for a payload that differs from its digest.
+    """
+    head, _, data = record.block.partition(b"\r\n\r\n")
+    http = head.startswith(b"HTTP/")
+    stated = record.headers.get("warc-payload-digest")
+    if record.headers.get("warc-type", "").lower() == "revisit":
+        size = _length(header_fields(head.decode(errors="replace").split("\r\n")[1:])) if http else None
+        known = stated_digest(stated) if stated else None
+        return Payload(size, known[1].hex() if known and known[0] == "sha256" else None, None, stated)
+    data = data if http else record.block
+    checked = None if stated is None else fits(stated, data)
+    if checked is False:
         raise WarcError(f"{path} at {record.offset}: the payload differs from its digest")
-    return length, stated, payload
+    return Payload(len(data), hashlib.sha256(data).hexdigest(), data, stated, None if stated is None else bool(checked))
 
 
 def mark_revisits(pages: DataFrame, id_: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
@@ -189,36 +272,56 @@ def write_warc(marked: DataFrame, folder: str | None = None) -> DataFrame:
 
 RECORD_SCHEMA = (
     "path string, offset long, id long, url string, record_type string, refers_to long, "
-    "payload_bytes long, payload_digest string"
+    "payload_bytes long, payload_digest string, record_id string, refers_to_id string, refers_to_uri string, "
+    "stated_digest string, digest_checked boolean"
 )
+_TYPES = {"long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
+
+
+def archives(spark: SparkSession, folder: str, pattern: str = "*.warc.gz") -> DataFrame:
+    """The archives of a folder and the folders below it as a manifest for ``read_warc``, whoever wrote them.
+
+    Spark lists the files; their content is not read. A folder without such files gives an empty manifest.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+    path = F.regexp_replace("path", "^file:/+", "file:///")
+    return files.load(folder).select(path.alias("path"), path.alias("folder"))
 
 
 def read_warc(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
     """One row per response or revisit record of the archives that the manifest (path, folder) names.
 
-    Archives are read one after another within a task, each as a stream. ``payload`` is added on demand.
+    Archives are read one after another within a task, each as a stream. ``payload`` is added on demand. ``record_id``
+    and ``refers_to_id`` are the ids without angle brackets, of any form; ``id`` and ``refers_to`` are the numbers of
+    pages in ids that ``write_warc`` gave, else null. ``payload_digest`` is the hex SHA-256 of the payload; a revisit has
+    it if it states one. ``digest_checked`` is false for a digest of an unknown label and null where there is nothing to
+    compare. Records that repeat an id each have their row.
     """
     schema = RECORD_SCHEMA + (", payload binary" if with_payload else "")
-    types = {x.split()[0]: {"long": pa.int64(), "binary": pa.binary()}.get(x.split()[1], pa.string()) for x in schema.split(", ")}
+    types = {x.split()[0]: _TYPES.get(x.split()[1], pa.string()) for x in schema.split(", ")}
+
+    def bare(urn: str | None) -> str | None:
+        return None if urn is None else urn.strip().removeprefix("<").removesuffix(">")
 
-    def number(urn: str) -> int | None:
-        digits = urn.strip("<>").removeprefix(_ID)
-        return int(digits) if digits else None
+    def number(urn: str | None) -> int | None:
+        digits = urn[len(_ID) :] if urn is not None and urn.startswith(_ID) else ""
+        plain = digits.removeprefix("-")
+        return int(digits) if plain.isascii() and plain.isdigit() and abs(int(digits)) < 1 << 63 else None
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, folder in zip(*(batch.column(c).to_pylist() for c in ("path", "folder")), strict=True):
-                store, _ = fs.FileSystem.from_uri(folder)
+                store, at = fs.FileSystem.from_uri(folder)
                 rows, held = [], 0
-                with store.open_input_stream(path, compression=None) as stream:
+                with store.open_input_stream(at if path == folder else path, compression=None) as stream:
                     for record in read_records(stream, path):
                         h = record.headers
-                        if h["WARC-Type"] not in ("response", "revisit"):
+                        if (kind := h.get("warc-type", "").lower()) not in ("response", "revisit"):
                             continue
-                        size, digest, payload = http_payload(record, path)
-                        refers = number(h["WARC-Refers-To"]) if "WARC-Refers-To" in h else None
-                        row = (path, record.offset, number(h["WARC-Record-ID"]), h.get("WARC-Target-URI"))
-                        row += (h["WARC-Type"], refers, size, digest)
+                        size, digest, payload, stated, checked = http_payload(record, path)
+                        own, refers = bare(h.get("warc-record-id")), bare(h.get("warc-refers-to"))
+                        row = (path, record.offset, number(own), h.get("warc-target-uri"), kind, number(refers), size, digest)
+                        row += (own, refers, h.get("warc-refers-to-target-uri"), stated, checked)
                         rows.append(row + ((payload,) if with_payload else ()))
                         held += len(payload or b"") if with_payload else 0
                         if len(rows) >= 4096 or held > 8_000_000:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -83,3 +84,47 @@ def test_awkward_rows(spark, small):
     assert [g[2] for g in got if g[0] is None] == [["5"]]
     assert all(r["n_hit"] == 0 for r in dc.mark_contaminated(docs, bench.limit(0)).collect())
     assert dc.mark_contaminated(docs.limit(0), bench).count() == 0
+
+
+def test_items_without_id_are_hit_but_have_no_name(spark):
+    bench = [(None, "one two three four"), (None, "seven eight nine ten"), ("a", "one two three four"), ("b", "five six")]
+    bench = spark.createDataFrame(bench, "item_id string, text string")
+    docs = [(1, "x one two three four y"), (2, "seven eight nine ten"), (3, "five six seven eight nine ten one two three four"), (4, "six five")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["items"]) for r in dc.mark_contaminated(docs, bench).collect()}
+    assert got == {1: (4, 2, ["a"]), 2: (4, 1, []), 3: (10, 3, ["a", "b"]), 4: (0, 0, [])}
+
+
+def test_repeated_words_take_memory_in_proportion():
+    items = dc.Items([("a", b"w " * 1_000), ("b", b"w " * 5), ("c", b"v " * 30)], 10)
+    shard = [[items.number[b"w"]] * 200_000, [0] * 10, [items.number[b"w"]] * 7, [items.number[b"v"]] * 9]
+    tracemalloc.start()
+    found, _ = dc._shard_matches(shard, items)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {r: (int(h.sum()), n) for r, (h, n) in found.items()} == {0: (200_000, [0, 1]), 2: (7, [1])}
+    # Listing every place of every suffix would take 200,000 x 991 numbers.
+    assert peak < 200_000 * 8 * 40
+
+
+def test_many_pairs_are_made_distinct_in_parts(monkeypatch):
+    docs, items = corpus(7)
+    named = [(i, t.encode()) for i, t in items]
+    held = dc.Items(named, 4)
+    shard = [[held.number.get(w, 0) for w in dc.words(t.encode())] for _, t in docs]
+    whole = dc._shard_matches(shard, held)[0]
+    monkeypatch.setattr(dc, "PAIRS", 5)
+    parts = dc._shard_matches(shard, held)[0]
+    assert {r: n for r, (_, n) in parts.items()} == {r: n for r, (_, n) in whole.items()}
+    for r, (_, text) in enumerate(docs):
+        _, n_hit, names = plain_hits(text.encode(), named, 4)
+        hit, numbers = whole.get(r, (np.zeros(0, bool), []))
+        assert (int(hit.sum()), sorted(held.ids[x] for x in numbers)) == (n_hit, names)
+
+
+def test_own_columns_are_kept(spark):
+    docs = spark.createDataFrame([(1, "one two", "i", "d"), (2, "six", "j", "e")], "doc_id long, text string, items string, data string")
+    bench = spark.createDataFrame([("a", "one two")], "item_id string, text string")
+    assert [tuple(r) for r in dc.keep_clean(docs, bench).collect()] == [(2, "six", "j", "e")]
+    marked = {r["doc_id"]: (r["data"], r["items"]) for r in dc.mark_contaminated(docs, bench).collect()}
+    assert marked == {1: ("d", ["a"]), 2: ("e", [])}

@@ -38,6 +38,8 @@ def test_classifier_never_learns_held_out_labels(spark):
 def test_classifier_awkward_rows(spark, small):
     labels = spark.createDataFrame([(1, 1), (6, 0), (6, 1), (2, None), (None, 1), (8, 0), (99, 1)], "doc_id long, quality int")
     model = classifier.fit(small, labels)
+    clash = small.withColumns({c: F.lit(c) for c in ("Score", "data", "_data")})
+    assert all((r["data"], r["_data"]) == ("data", "_data") for r in classifier.score(clash, model).collect())
     rows = classifier.score(small.withColumn("score", F.lit("clash")), model).collect()
     assert len(rows) == small.count() and all(0 <= r["score"] <= 1 for r in rows)
     empty = classifier.score(small, classifier.fit(small, labels.limit(0))).collect()

@@ -62,3 +62,16 @@ def test_awkward_rows(spark, small):
     assert len(rows) == small.count() and not any(r["kept"] for r in rows if r["doc_id"] in (2, 3, 4, 5))
     assert quality.keep_good(docs.limit(0)).count() == 0
     assert quality.keep_good(small).columns == small.columns
+
+
+def test_own_columns_are_kept(spark, small):
+    docs = small.withColumns({c: F.lit(c) for c in ("data", "_data", "Kept", "n_words", "_n_words", "rejected_by")})
+    judged = quality.judge(docs, quality.RULES)
+    assert {c for c in judged.columns if c.lower() == "kept"} == {"kept"}
+    assert all((r["data"], r["_data"], r["_n_words"]) == ("data", "_data", "_n_words") for r in judged.collect())
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns
+    text = "the man and the dog went to that house with some of those people. " + " ".join(f"word{i}x of" for i in range(60))
+    good = quality.keep_good(docs.withColumn("text", F.lit(text)))
+    rows = good.collect()
+    assert len(rows) == small.count() and all(r[c] == c for r in rows for c in ("data", "_data", "Kept", "n_words", "_n_words", "rejected_by"))
