@@ -325,8 +325,11 @@ def near_duplicates(
     sides = {"low": F.min(one).over(bucket), "high": F.max(one).over(bucket), "size": F.count(F.lit(1)).over(bucket)}
     members = keyed(docs, words, percent, text).withColumns(sides).filter("low.fp < high.fp AND (size > 2 OR fp = high.fp)")
     lone = [F.col("lone") | F.col(f"{side}.lone") for side in ("low", "high")]
+    # Most buckets are of two, which need neither their key nor a member of their own: null costs no space.
+    large = F.col("size") > 2
     members = members.select(
-        "key", "fp", F.col("low.fp").alias("low"), F.col("high.fp").alias("high"), "size", lone[0].alias("f"), lone[1].alias("g")
+        F.when(large, F.col("key")).alias("key"), F.when(large, F.col("fp")).alias("fp"),
+        F.col("low.fp").alias("low"), F.col("high.fp").alias("high"), lone[0].alias("f"), lone[1].alias("g")
     )
     members = scratch.written(members)
     scratch.sweep()
@@ -334,7 +337,7 @@ def near_duplicates(
     # Every member with the smallest and the largest one. Partners agree in two keys or more, unless one of them has a lone
     # one. A pair that stands so in a single bucket is none, or shares a bucket with two others that lie below and above it,
     # where it is met later.
-    ends = members.select(F.col("low").alias("a"), F.col("fp").alias("b"), F.col("f").alias("lone")).filter("a < b")
+    ends = members.select(F.col("low").alias("a"), F.coalesce("fp", "high").alias("b"), F.col("f").alias("lone")).filter("a < b")
     ends = ends.union(members.filter("low < fp AND fp < high").select("fp", "high", "g"))
     stars = ends.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.bool_or("lone").alias("lone"))
     stars = stars.filter("met > 1 OR lone").select("a", "b")
@@ -345,7 +348,7 @@ def near_duplicates(
 
     # What is left of the buckets of three or more: members that the links do not connect with the smallest one, against all others.
     named = labels.select(F.col("node"), F.col("root"))
-    left = join_on(members.filter("size > 2").select("key", "fp", "low").distinct(), named.withColumnRenamed("node", "m"), {"fp": "m"})
+    left = join_on(members.filter("key IS NOT NULL").select("key", "fp", "low").distinct(), named.withColumnRenamed("node", "m"), {"fp": "m"})
     left = join_on(left.withColumnRenamed("root", "r"), named.withColumnRenamed("node", "m"), {"low": "m"})
     left = scratch.written(left.select("key", "fp", F.coalesce("r", "fp").alias("label"), F.coalesce("root", "low").alias("main")))
     unsolved = left.filter("label <> main").select(F.col("key").alias("k")).distinct()
