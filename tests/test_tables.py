@@ -254,6 +254,27 @@ def test_a_missing_feed_skips_only_its_stage(spark):
         stages.update_all(players, games, 2018, lambda mark: (new, None))
 
 
+def test_numbers_of_rejected_rows_are_not_given_again(spark):
+    def columns(types):
+        return ", ".join(f"{n} {k}" for k, ns in types.items() for n in ns)
+
+    players = spark.createDataFrame([], "id long, tsid long, starter boolean, " + columns(feeds.PLAYER_TYPES))
+    games = spark.createDataFrame([], "id long, " + columns(feeds.TEAM_TYPES))
+
+    def feed(day, lost_at):
+        taken = [(p, "A", f"p{p}", day) for p in (1, 2, 3) if p != lost_at]
+        new = spark.createDataFrame(taken, "feed_pos long, team string, player string, gd timestamp_ntz")
+        lost = spark.createDataFrame([(lost_at, day, "A", "?", "team not in lookup")], f"feed_pos long, {feeds.PROBLEM}")
+        return lambda mark: (new, lost)
+
+    off = {"link": False, "starters": False}
+    old = stages.update_all(players, games, 2018, feed(DAY, 3), **off)
+    assert rows(old.problems, "stage", "id") == [("players", 3)]
+    got = stages.update_all(old.players, old.games, 2018, feed(NEXT, 1), earlier=old.problems, **off)
+    assert rows(got.players, "id", "player") == [(1, "p1"), (2, "p2"), (5, "p2"), (6, "p3")]
+    assert rows(got.problems, "id") == [(4,)]
+
+
 def test_snapshots(spark):
     df = spark.createDataFrame([(1, DAY), (2, dt.datetime(2017, 10, 19, 5)), (3, NEXT), (4, dt.datetime(2017, 12, 1))], "id int, d timestamp_ntz")
     assert rows(latest_snapshot(df, "d", dt.date(2017, 10, 31)), "id") == [(2,), (3,)]
