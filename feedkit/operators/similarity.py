@@ -6,7 +6,9 @@ block stays small even where a third of all names share a first name or a prefix
 segments. Long strings are blocked on their rarest grams (the published prefix filter). A gram that many strings share, as
 in strings from one template, makes a large block, and that is refined: what all its strings start and end with is taken
 off, which changes no distance inside the block, and the rest is blocked on deletion variants if it is short, else cut by
-length and letter counts, which are lower bounds of the distance.
+length and letter counts, which are lower bounds of the distance. Where all long strings are of one template, so that little is
+left of them, no grams are needed: what is left is blocked on deletion variants together with the places of the deletions,
+which meet only within the distance.
 
 ``nearest_names`` has no bound on the distance. It is a best-first search: names with equal letter counts form a cell, the
 counts bound the distance from below, cells are read in the order of the bound, and a value leaves as soon as its best name is
@@ -15,11 +17,13 @@ at or under the bound reached.
 
 from __future__ import annotations
 
+from itertools import combinations
 from math import comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedkit.operators.ordering import in_order
 from feedkit.operators.skew import join_keys, join_on
 from feedkit.session import cut_lineage
 
@@ -31,6 +35,8 @@ GRAM = 3
 MOST_VARIANT_EDITS = 3
 # A gram that more strings share is refined; below it, comparing the pairs costs less.
 BLOCK = 2048
+# Strings of one template of which at most this many characters differ are blocked on these.
+CORE_LENGTH = 12
 # Letters are counted in this many groups.
 LETTER_GROUPS = 8
 
@@ -227,6 +233,63 @@ def _pairs_of_blocks(keyed: DataFrame, k: int, core_length: int, ordered: Column
     return found.unionByName(met.select(*_PAIR))
 
 
+def _template(df: DataFrame) -> tuple[int, int, int, int]:
+    """How many characters all strings ``n`` start and end with, and the shortest and longest length of what is left."""
+    back = F.reverse("n")
+    ends = df.agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.min(back).alias("rlo"), F.max(back).alias("rhi"),
+        F.min(F.length("n")).alias("short"), F.max(F.length("n")).alias("long"),
+    )
+    ends = ends.withColumn("head", _common_start(F.col("lo"), F.col("hi")))
+    tail = F.least(_common_start(F.col("rlo"), F.col("rhi")), F.col("short") - F.col("head"))
+    head, tail, short, long_ = ends.select("head", tail, "short", "long").first()
+    return head, tail, short - head - tail, long_ - head - tail
+
+
+def _placed_keys(cores: DataFrame, k: int, spread: int, first: bool) -> DataFrame:
+    """Rows (core, pos, key), by which two strings meet just if they are within distance k, but for equal hashes.
+
+    Strings with m1 and m2 characters deleted that are equal then, and g of whose deletions stand at the same places, are within
+    m1 + m2 - g: what stood there was changed, the other characters were taken away or added. Strings within distance k meet
+    in such a way with m1, m2 <= k. ``spread`` is the largest difference of two lengths, thus of m1 and m2.
+    """
+    level = cores.select("core", "pos", F.col("core").alias("rest"), F.array().cast("array<int>").alias("gaps"))
+    out = None
+    for m in range(k + 1):
+        if m:
+            # Deletions go from left to right. The place of one is the number of characters left before it.
+            low = F.coalesce(F.get("gaps", F.lit(m - 2)), F.lit(0)) + 1
+            spots = F.explode(F.sequence(low, F.length("rest"))).alias("spot")
+            level = level.filter(F.length("rest") >= low).select("*", spots)
+            rest = F.concat(F.substring("rest", F.lit(1), F.col("spot") - 1), F.substr("rest", F.col("spot") + 1))
+            level = level.select("core", "pos", rest.alias("rest"), F.array_append("gaps", F.col("spot") - 1).alias("gaps"))
+        keys = []
+        for other in range(max(m - spread, 0), min(m + spread, k) + 1):
+            sides = (m, other) if first else (other, m)
+            for places in combinations(range(m), max(m + other - k, 0)):
+                keys.append(F.xxhash64(*[F.lit(s) for s in sides], "rest", *[F.get("gaps", F.lit(p)) for p in places]))
+        keyed = level.select("core", "pos", F.explode(F.array_distinct(F.array(*keys))).alias("key"))
+        out = keyed if out is None else out.unionByName(keyed)
+    return out
+
+
+def _pairs_of_template(df: DataFrame, k: int, head: int, tail: int, spread: int) -> DataFrame:
+    """Rows (name1, name2, dist) of the strings ``n`` within distance k, compared by what is left without head and tail."""
+    some = df.first()["n"]
+    start, end = F.lit(some[:head]), F.lit(some[len(some) - tail :])
+    numbered, _ = in_order(df, ["o", "n"], "pos")
+    cores = numbered.select(F.substr("n", F.lit(head + 1), F.length("n") - head - tail).alias("core"), "pos")
+    one, two = (
+        _placed_keys(cores, k, spread, i == 1).withColumnsRenamed({"core": f"core{i}", "pos": f"pos{i}"}) for i in (1, 2)
+    )
+    met = one.join(two, "key").filter("pos1 < pos2").select("core1", "core2").distinct()
+    dist = F.levenshtein(F.col("core1"), F.col("core2"), k)
+    near = met.withColumn("dist", dist).filter(F.col("dist").between(0, k))
+    return near.select(
+        F.concat(start, "core1", end).alias("name1"), F.concat(start, "core2", end).alias("name2"), "dist"
+    )
+
+
 def similar_pairs(names: DataFrame, name: str, order: str, limit: int, variant_length: int = VARIANT_LENGTH) -> DataFrame:
     """Pairs of different names at an edit distance under ``limit``: ``name1`` (the earlier one), ``name2``, ``dist``.
 
@@ -246,9 +309,15 @@ def similar_pairs(names: DataFrame, name: str, order: str, limit: int, variant_l
     a, b = (short.select(F.col("n").alias(f"name{i}"), F.col("o").alias(f"ord{i}"), "key") for i in (1, 2))
     by_variant = a.join(b, "key").filter(ordered).drop("key")
     long_names = df.filter(F.length("n") > variant_length - k)
-    long_ = _rare_grams(long_names, k)
     # Up to BLOCK strings make no larger block.
     refined = long_names.limit(BLOCK + 1).count() > BLOCK
+    if refined:
+        head, tail, shortest, longest = _template(long_names)
+        if longest <= CORE_LENGTH:
+            found = _pairs_of_template(long_names, k, head, tail, longest - shortest)
+            twice = (F.length("name1") <= variant_length) & (F.length("name2") <= variant_length)
+            return _within(by_variant, k).unionByName(found.filter(~twice))
+    long_ = _rare_grams(long_names, k)
     by_gram = (_pairs_of_blocks if refined else _pairs_of_grams)(long_, k, variant_length, ordered)
     return _within(by_variant.unionByName(by_gram), k)
 

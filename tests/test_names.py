@@ -298,3 +298,25 @@ def test_nearest_with_one_hot_cell(spark):
 def test_nearest_without_names(spark):
     values = spark.createDataFrame([("a",)], "v string")
     assert nearest_names(values, "v", spark.createDataFrame([], "ord long, name string")).collect() == []
+
+
+@pytest.mark.parametrize("k", [1, 2, 3])
+def test_pairs_of_one_template(spark, monkeypatch, k):
+    """Pairs of one template meet only within the distance, whatever their lengths, repeated letters and order."""
+    monkeypatch.setattr(similarity, "BLOCK", 50)
+    rnd = random.Random(k)
+    own = sorted({"".join(rnd.choice("abé") for _ in range(rnd.choice([3, 4, 5, 7]))) for _ in range(140)} | {"", "a"})
+    texts = [f"the account of {o} with the house" for o in own]
+    orders = list(range(len(texts)))
+    rnd.shuffle(orders)
+    df = spark.createDataFrame(list(zip(texts, orders)), "name string, ord int")
+    want = set()
+    for (a, i), (b, j) in itertools.combinations(zip(texts, orders), 2):
+        if (d := distance(a, b)) <= k:
+            want.add((a, b, d) if i < j else (b, a, d))
+    got = similarity.similar_pairs(df, "name", "ord", k + 1)
+    assert "name1" in got.columns and sorted(tuple(r) for r in got.collect()) == sorted(want)
+    cores = spark.createDataFrame(list(zip(own, orders)), "core string, pos long")
+    one, two = (similarity._placed_keys(cores, k, 7, first).withColumnRenamed("core", f"c{first}") for first in (True, False))
+    met = one.join(two.withColumnRenamed("pos", "p"), "key").select("cTrue", "cFalse").distinct().collect()
+    assert {(a, b) for a, b in met} == {(a, b) for a in own for b in own if distance(a, b) <= k}
