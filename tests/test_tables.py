@@ -17,6 +17,7 @@ from feedkit import session
 from feedkit.errors import EmptyInput, FeedkitError, FolderMissing, MissingLinks, RowsMoved, SharedDirUnset, SnapshotMissing, TooFewRows
 from feedkit.operators import joins, literals, quality, stats, updates
 from feedkit.plans import feeds, stages
+from feedkit.plans.catalog import QUERIES
 from feedkit.sources import (
     append_batch,
     latest_dated,
@@ -545,3 +546,16 @@ def test_only_the_named_parts_are_rewritten(spark, tmp_path):
         with pytest.raises(RowsMoved):
             rewrite_parts(spark, path, "season", [2018], lambda part: part.withColumn("season", F.lit(other).cast("int")))
     assert files() == before and rows(spark.read.parquet(path), "id", "v", "season") == wanted
+
+
+def test_team_feed_is_numbered_on_few_columns(spark, sf_dir, monkeypatch):
+    seen = []
+
+    def spy(df, *args):
+        seen.append(df.columns)
+        return number_rows(df, *args)
+
+    number_rows = feeds.number_rows
+    monkeypatch.setattr(feeds, "number_rows", spy)
+    QUERIES["feed_team_rows"](spark, sf_dir)
+    assert seen == [["line", "team", "ref_main", "ref_crew1"]]
