@@ -33,6 +33,9 @@ TRAIN_ROWS = 20_000
 PRIOR_DOCUMENTS = 2.0
 # A token has a score if its log odds exceed so many of their standard deviations; one of them is taken off the score.
 DEVIATIONS = 3.5
+# It is in so many times the share of toxic documents as of clean ones, whatever the evidence: toxic documents that are longer on
+# average hold every common word more often, and segments of such words would run through whole clean texts.
+LEAST_RATIO = 3.0
 # What a token without a score costs.
 COST = 0.05
 # Parts of the labelled documents: each is calibrated with the scores that the others give.
@@ -165,7 +168,7 @@ def token_scores(counts: Mapping[bytes, tuple[int, int]], toxic: int, clean: int
         a, b = t + prior[0], c + prior[1]
         odds = math.log(a / (toxic + PRIOR_DOCUMENTS - a)) - math.log(b / (clean + PRIOR_DOCUMENTS - b))
         deviation = math.sqrt(1 / a + 1 / b)
-        if odds > DEVIATIONS * deviation:
+        if odds > DEVIATIONS * deviation and a / toxic >= LEAST_RATIO * b / clean:
             found[token] = odds - deviation
     return dict(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:LEXICON])
 

@@ -52,6 +52,25 @@ def test_token_scores():
     assert T.token_scores(counts, 0, 500) == T.token_scores(counts, 50, 0) == {}
 
 
+def test_common_words_of_longer_documents_have_no_score():
+    """Enough documents make any difference certain; a small one is no evidence."""
+    counts = {b"and": (1900, 15000), b"this": (1500, 11000), b"bad": (300, 100)}
+    assert set(T.token_scores(counts, 2000, 18000)) == {b"bad"}
+
+
+def test_words_of_longer_documents_are_not_learned(spark):
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(100)]
+    rows = []
+    for i in range(600):
+        y = int(i % 4 == 0)
+        text = r.choices(words, k=150 if y else 70)
+        rows.append((i, " ".join([*text, "vile", "foul"] if y else text), y))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = T.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    assert {b"vile", b"foul"} <= set(model.lexicon) and not [t for t in model.lexicon if t.startswith(b"w")]
+
+
 def test_evidence_falls_with_length():
     tail = T.fit_tail([(1000, [(0, 1, 1.0)]), (1000, [(5, 6, 2.0)]), (1000, [])])
     short, long = tail.evidence(100, [(0, 1, 9.0)]), tail.evidence(100_000, [(0, 1, 9.0)])
