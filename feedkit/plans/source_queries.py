@@ -123,20 +123,32 @@ def _(spark, sf):
     return text_lines(spark, path)
 
 
+# Folders that the pages are dealt over: more than Spark lists on the driver, so that tasks list them.
+_FOLDERS = 64
+
+
 def _page_folder(spark, sf) -> str:
-    """Every page as a file of its own, as a crawler leaves them: one folder per page. The writer ends it with a line end."""
+    """Every page as a file of its own, as a crawler leaves them, with its id in a comment before it. The writer ends it with a
+    line end.
+
+    Tasks move their files into place by themselves, which takes the driver no step per file. A task that is repeated writes the
+    same names again, and nobody reads the folder before the write is over.
+    """
     path = fresh_path(spark, "html-pages")
-    pages = table(spark, sf, "pages").select("page_id", F.col("html").alias("value")).filter("html IS NOT NULL")
-    pages.repartition(8, "page_id").write.partitionBy("page_id").text(path)
+    pages = table(spark, sf, "pages").filter("html IS NOT NULL")
+    marked = F.concat(F.lit("<!-- page_id="), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(" -->\n"), "html")
+    dealt = pages.select(F.pmod(F.xxhash64("page_id", "url"), F.lit(_FOLDERS)).alias("folder"), marked.alias("value"))
+    one_each = dealt.repartition("folder").write.partitionBy("folder").option("maxRecordsPerFile", 1)
+    one_each.option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(path)
     return path
 
 
 @query("src_html_docs", "SELECT page_id, html FROM pages WHERE html IS NOT NULL")
 def _(spark, sf):
-    """Read back as whole files; the page is in the path."""
-    files = html_files(spark, f"{_page_folder(spark, sf)}/*/*")
-    whole = F.left("html", F.length("html") - 1).alias("html")
-    return files.select(F.regexp_extract("path", r"page_id=(\d+)/", 1).cast("long").alias("page_id"), whole)
+    """Read back as whole files; the page is in the comment before it."""
+    files = html_files(spark, _page_folder(spark, sf))
+    page = F.expr("try_cast(regexp_extract(html, r'^<!-- page_id=(-?[0-9]*) -->', 1) AS BIGINT)").alias("page_id")
+    return files.select(page, F.expr("substring(html, instr(html, ' -->') + 5, length(html) - instr(html, ' -->') - 5)").alias("html"))
 
 
 @query("src_html_pages", "SELECT page_id, url, html FROM pages")

@@ -330,6 +330,16 @@ def test_lines(spark, tmp_path):
         write_values(df.limit(0), "n", str(tmp_path / "e"))
 
 
+def test_html_docs_of_repeated_page_ids(spark, tmp_path):
+    """Each row is a file of its own, also rows of one page and a row without an id."""
+    from feedkit.plans.catalog import QUERIES
+
+    rows = [(1, "a", "<p>x\r\n -->\n</p>\n"), (1, "b", "<p>y</p>"), (1, "b", "<p>y</p>"), (-7, "c", ""), (None, "d", "z"), (2, "e", None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = [(r["page_id"], r["html"]) for r in QUERIES["src_html_docs"](spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted([(i, h) for i, _, h in rows if h is not None], key=str)
+
+
 def test_html_files(spark, tmp_path):
     (tmp_path / "a.html").write_text("<p>é\n</p>", encoding="utf-8")
     assert [r["html"] for r in html_files(spark, str(tmp_path / "*.html")).collect()] == ["<p>é\n</p>"]
