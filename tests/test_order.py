@@ -72,6 +72,18 @@ def test_null_keys_form_no_group(spark):
     assert rows(rank_in_group(df, ["g"], "o"), "g", "o", "rank") == [("a", 2, 1)]
 
 
+def test_positions_do_not_shuffle_the_rows_again(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbered = number_rows(spark.range(1000).withColumnRenamed("id", "k"), "k", "pos", F.lit(0), parts=4)
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert numbered.filter("pos <> k + 1").isEmpty() and numbered.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_number_rows_goes_on_from_start(spark):
     df = spark.createDataFrame([(30,), (10,), (20,)], "line long")
     assert rows(number_rows(df, "line", "id", F.lit(100), parts=2), "line", "id") == [(10, 101), (20, 102), (30, 103)]

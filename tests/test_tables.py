@@ -569,3 +569,24 @@ def test_team_feed_is_numbered_on_few_columns(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(feeds, "number_rows", spy)
     QUERIES["feed_team_rows"](spark, sf_dir)
     assert seen == [["line", "team", "ref_main", "ref_crew1"]]
+
+
+def test_teams_of_the_player_feed_are_looked_up_in_pairs(spark, sf_dir, monkeypatch):
+    seen = []
+
+    def spy(df, *args, **kwargs):
+        seen.append(df.columns)
+        return map_values(df, *args, **kwargs)
+
+    map_values = feeds.map_values
+    monkeypatch.setattr(feeds, "map_values", spy)
+    QUERIES["feed_player_rejects"](spark, sf_dir)
+    assert seen == []
+    teams = spark.createDataFrame([("a", "A"), ("b", "B"), ("c", None)], "old_name string, new_name string")
+    sides = [("a", "b"), ("b", "a"), ("a", None), (None, "b"), ("a", "x"), ("c", "a"), ("a", "b"), (None, None)]
+    df = spark.createDataFrame([(i, *s) for i, s in enumerate(sides)], "i int, team string, opp string")
+    found = feeds._coded_in_pairs(df, feeds.Lookups(teams=teams, conversions=teams))
+    coded = {0: ("A", "B", False), 1: ("B", "A", False), 6: ("A", "B", False)}
+    assert rows(found, "i", "team", "opp", "_rejected") == [
+        (i, *coded.get(i, (*s, True))) for i, s in enumerate(sides)
+    ]
