@@ -88,27 +88,27 @@ def check_games(games: DataFrame) -> DataFrame:
 def player_groups(players: DataFrame) -> DataFrame:
     """One row per (gd, team) with what the player rules need, and ``_first_gid``, the game id of the row with the first id.
 
-    Rows are first reduced per player, so a team with very many rows spreads over many tasks. Text columns are keys of
-    that step rather than aggregates, which lets it hash instead of sort. Once a group has one game id and one
-    opponent, as rules 3 and 4 require, its reduced rows are its different players.
+    Rows are first reduced per player, so a team with very many rows spreads over many tasks; its reduced rows are its
+    different players. The few columns that this needs are shuffled before it: hardly any row has a player of its own group
+    to be reduced with in the task that made it, and a map of all of them there would only take memory. The text columns
+    make Spark sort for both steps, and the order by player serves them both.
     """
     keyed = players.filter(F.col("gd").isNotNull() & F.col("team").isNotNull())
-    by_player = keyed.groupBy("gd", "team", "player", "gid", "opp").agg(
-        F.count(F.lit(1)).alias("_n"), F.count_if("starter").alias("_s"), F.min("id").alias("_first"), *_one_number("tsid")
+    rows = keyed.select("gd", "team", "player", "id", "gid", "opp", "starter", "tsid").repartition("gd", "team", "player")
+    by_player = rows.groupBy("gd", "team", "player").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if("starter").alias("_s"),
+        F.min("id").alias("_first"),
+        F.min_by("gid", "id").alias("_gid"),
+        *[agg for c in ("gid", "opp", "tsid") for agg in _one_number(c)],
     )
-    texts = []
-    for c in ("gid", "opp"):
-        filled = F.sum(F.when(F.col(c).isNotNull(), F.col("_n")).otherwise(0))
-        texts += [filled.alias(f"_n_{c}"), F.min(c).alias(f"_lo_{c}"), F.max(c).alias(f"_hi_{c}")]
+    sums = [(F.sum(f"_n_{c}"), F.min(f"_lo_{c}"), F.max(f"_hi_{c}")) for c in ("tsid", "gid", "opp")]
     return by_player.groupBy("gd", "team").agg(
         F.sum("_n").alias("_rows"),
         F.sum("_s").alias("_starters"),
         F.count(F.lit(1)).alias("_players"),
-        F.sum("_n_tsid").alias("_n_tsid"),
-        F.min("_lo_tsid").alias("_lo_tsid"),
-        F.max("_hi_tsid").alias("_hi_tsid"),
-        F.min_by("gid", "_first").alias("_first_gid"),
-        *texts,
+        F.min_by("_gid", "_first").alias("_first_gid"),
+        *[agg.alias(f"_{a}_{c}") for c, three in zip(("tsid", "gid", "opp"), sums) for a, agg in zip(("n", "lo", "hi"), three)],
     )
 
 

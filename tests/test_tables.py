@@ -153,6 +153,27 @@ def test_player_rules(spark):
     assert all((table == "TStats") == info.startswith("TStats") for table, info in by_team.values())
 
 
+def test_player_groups_sort_once_per_step_and_keep_no_map(spark):
+    side = [
+        (5, "g", DAY, "a", "b", "p", True, 1),
+        (3, None, DAY, "a", "b", "p", False, None),
+        (4, "h", DAY, "a", "c", "q", None, 2),
+        (9, "h", DAY, "a", "c", None, True, 2),
+        (1, "x", DAY, None, "a", "p", True, 3),
+        (2, "x", None, "a", "b", "p", True, 3),
+        *[(100 + i, "x", DAY, "b", "a", "p", True, 3) for i in range(1000)],
+    ]
+    groups = quality.player_groups(spark.createDataFrame(side, PLAYER))
+    plan = groups._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and plan.count("Sort [") == 2 and plan.count("Exchange") == 2
+    found = ["team", "_rows", "_starters", "_players", "_first_gid"]
+    found += [f"_{a}_{c}" for c in ("gid", "opp", "tsid") for a in ("n", "lo", "hi")]
+    assert rows(groups, *found) == [
+        ("a", 4, 2, 3, None, 3, "g", "h", 4, "b", "c", 3, 1, 2),
+        ("b", 1000, 1000, 1, "x", 1000, "x", "x", 1000, "a", "a", 1000, 3, 3),
+    ]
+
+
 def test_summary(spark):
     log = spark.createDataFrame([("t", "i", "x")], "table string, id string, info string")
     none = spark.createDataFrame([], "name1 string, name2 string, dist int")
