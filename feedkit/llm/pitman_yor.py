@@ -23,8 +23,8 @@ word of every few megabytes of text: the seating of the words' restaurant that i
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from feedkit.llm.scratch import Scratch
 from feedkit.llm.text import pieces, utf8
-from feedkit.session import fresh_path, written
+from feedkit.session import fresh_path
 
 ORDER = 4
 BITS = 6
@@ -70,6 +70,8 @@ CHUNK_TOKENS = 1_500_000
 PARTITION_DISHES = 3_000_000
 # Tokens for each partition of the restaurants of preceding words, and the number of the mark before a text.
 PARTITION_TOKENS = 1_500_000
+# The partitions of preceding words are sampled in so many goes, so that only what is sent to some is on disk at a time.
+GOES = 3
 START = 1 << 62
 
 
@@ -305,21 +307,41 @@ STORE = (
 
 
 def _packed(numbers: np.ndarray, kind: str = "<u4") -> bytes:
-    """Numbers by planes of their bytes, deflated."""
+    """Numbers by planes of their bytes, compressed, after the size of the planes."""
     size = np.dtype(kind).itemsize
-    planes = np.ascontiguousarray(numbers.astype(kind)).view(np.uint8).reshape(-1, size).T
-    return zlib.compress(np.ascontiguousarray(planes).tobytes(), 1)
+    planes = np.ascontiguousarray(numbers.astype(kind).reshape(-1)).view(np.uint8).reshape(-1, size).T
+    planes = np.ascontiguousarray(planes).tobytes()
+    return len(planes).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(planes, asbytes=True)
 
 
 def _unpacked(data: bytes, kind: str = "<u4") -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+    size = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.Codec("zstd").decompress(data[8:], size, asbytes=True) if size else b"", np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
 
 
-def chunks(docs: DataFrame, model: str, id_: str, text: str) -> DataFrame:
-    """Stores texts in chunks: tokens as places in the chunk's distinct dishes, sorted by hash and context; written.
+def _packed_words(hashes: np.ndarray) -> bytes:
+    """Sorted hashes by their steps."""
+    return _packed(np.diff(hashes.astype(np.uint64), prepend=np.uint64(0)), "<u8")
 
-    Of a dish it keeps the word's hash, the context, how often training texts of the chunk hold it, and log10 of the
+
+def _unpacked_words(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data, "<u8"), dtype=np.uint64)
+
+
+# What the store has of each dish.
+KINDS = {"words": "<u8", "contexts": "u1", "train": "<u4", "spelling": "<f4"}
+
+
+def _dishes(row: dict, *names: str) -> list[np.ndarray]:
+    return [_unpacked_words(row[k]) if k == "words" else _unpacked(row[k], KINDS[k]) for k in names]
+
+
+def chunks(docs: DataFrame, model: str, id_: str, text: str, folder: str) -> DataFrame:
+    """Stores texts in chunks: tokens as places in the chunk's distinct dishes, sorted by hash and context; written to ``folder``.
+
+    A chunk has a folder of its own, from which the tasks that work on it fetch it. Tokens are kept as ranks of their dishes
+    by use in training texts, then by place. Of a dish it keeps the word's hash, the context, how often training texts of the chunk hold it, and log10 of the
     probability of the word's spelling.
     """
 
@@ -341,9 +363,10 @@ def chunks(docs: DataFrame, model: str, id_: str, text: str) -> DataFrame:
             dishes, places = np.unique(place[flat] * CONTEXTS + spoken, return_inverse=True)
             trained = np.bincount(places[np.repeat(~np.array(outs, bool), sizes)], minlength=len(dishes))
             word = order[dishes // CONTEXTS]
-            row = [number, ids, outs, sizes, _packed(places), hashes[word].astype("<u8").tobytes()]
-            row += [(dishes % CONTEXTS).astype(np.uint8).tobytes(), trained.astype("<u4").tobytes()]
-            row += [spelling[word].astype("<f4").tobytes(), len(dishes)]
+            rank = np.empty(len(dishes), np.int64)
+            rank[_by_use(trained)] = np.arange(len(dishes))
+            row = [number, ids, outs, sizes, _packed(rank[places]), _packed_words(hashes[word]), _packed(dishes % CONTEXTS, "u1")]
+            row += [_packed(trained), _packed(spelling[word], "<f4"), len(dishes)]
             types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64())] + [pa.binary()] * 5 + [pa.int64()]
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types, strict=True)], _names(STORE))
 
@@ -363,7 +386,21 @@ def chunks(docs: DataFrame, model: str, id_: str, text: str) -> DataFrame:
             yield chunk()
 
     rows = docs.select(F.col(id_).cast("long").alias("id"), held_out(id_).alias("held"), utf8(text).alias("data"))
-    return written(rows.mapInArrow(run, STORE))
+    rows = rows.mapInArrow(run, STORE)
+    rows.write.partitionBy("chunk").parquet(folder)
+    return docs.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def _by_use(train: np.ndarray) -> np.ndarray:
+    """Places of dishes, those that training texts use often first."""
+    return np.argsort(-train.astype(np.int64), kind="stable")
+
+
+def _stored(folder: str, chunk: int) -> dict:
+    """The stored row of a chunk."""
+    store, base = fs.FileSystem.from_uri(f"{folder}/chunk={chunk}")
+    files = [f.path for f in store.get_file_info(fs.FileSelector(base)) if f.path.endswith(".parquet")]
+    return next(r for f in files for r in pq.read_table(f, filesystem=store, partitioning=None).to_pylist())
 
 
 def _names(schema: str) -> list[str]:
@@ -455,18 +492,18 @@ def word_counts(store: DataFrame, bits: int, sent: DataFrame | None = None) -> D
     sorted dishes. A row without a chunk per partition has the sums. ``sent`` holds rows (part, words, contexts, tables).
     """
     parts = 1 << bits
-    kinds = {"words": "<u8", "contexts": "u1", "train": "<u4", "spelling": "<f4"}
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                columns = {k: np.frombuffer(row[k], t) for k, t in kinds.items()}
-                edges = _edges(columns["words"], bits)
+                words, *rest = _dishes(row, *KINDS)
+                edges = _edges(words, bits)
                 for p, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
                     if a < b:
+                        values = [_packed_words(words[a:b]), *[_packed(x[a:b], x.dtype.str) for x in rest]]
                         one = {"part": pa.array([p], pa.int32()), "chunk": [row["chunk"]]}
-                        yield pa.RecordBatch.from_pydict(one | {k: [x[a:b].tobytes()] for k, x in columns.items()})
+                        yield pa.RecordBatch.from_pydict(one | {k: [x] for k, x in zip(KINDS, values, strict=True)})
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         by_part: dict[int, list[dict]] = {}
@@ -477,18 +514,21 @@ def word_counts(store: DataFrame, bits: int, sent: DataFrame | None = None) -> D
             rows = sorted((r for r in both if r["chunk"] is not None), key=lambda r: r["chunk"])
             tables = [r for r in both if r["chunk"] is None]
             # The order in which tables arrive is no part of the result: they are only added up.
-            tables = [(_unpacked(r["words"]), np.frombuffer(r["contexts"], "u1"), _unpacked(r["tables"]).reshape(SAMPLES, -1)) for r in tables]
-            columns = [np.concatenate([np.frombuffer(r[k], t) for r in rows]) for k, t in kinds.items()]
+            tables = [(_unpacked(r["words"]), _unpacked(r["contexts"], "u1"), _unpacked(r["tables"]).reshape(SAMPLES, -1)) for r in tables]
+            found = [_dishes(r, *KINDS) for r in rows]
+            sizes = [len(x[0]) for x in found]
+            columns = [np.concatenate(x) for x in zip(*found, strict=True)]
+            del found
             own, shared, uses, number, sums = _answers(*columns, tables, parts, part)
             at = 0
-            for r in rows:
-                to = at + len(r["contexts"])
-                packed = [_packed(own[:, at:to].T, "<f4"), _packed(shared[:, at:to].T, "<f4"), _packed(uses[at:to], "<u8")]
+            for r, n in zip(rows, sizes, strict=True):
+                to = at + n
+                packed = [_packed(own[:, at:to], "<f4"), _packed(shared[:, at:to], "<f4"), _packed(uses[at:to], "<u8")]
                 yield _reply(r["chunk"], part, *packed, _packed(number[at:to], "<u8"), None)
                 at = to
             yield _reply(None, None, None, None, None, None, sums)
 
-    requests = store.select("chunk", *kinds).mapInArrow(ask, "part int, chunk long, words binary, contexts binary, train binary, spelling binary")
+    requests = store.select("chunk", *KINDS).mapInArrow(ask, "part int, chunk long, words binary, contexts binary, train binary, spelling binary")
     requests = requests.withColumn("tables", F.lit(None).cast("binary"))
     if sent is not None:
         requests = requests.unionByName(sent.select("part", "words", "contexts", "tables"), allowMissingColumns=True)
@@ -514,9 +554,9 @@ class Sums:
         """Predictive probabilities of dishes in their languages, a row per sample."""
         total = np.empty((SAMPLES, len(spelling)))
         for i in range(SAMPLES):
-            word = shared[:, i] + (WORD_STRENGTH + WORD_DISCOUNT * self.alls[i, 1]) * spelling
+            word = shared[i] + (WORD_STRENGTH + WORD_DISCOUNT * self.alls[i, 1]) * spelling
             word /= WORD_STRENGTH + self.alls[i, 0]
-            total[i] = own[:, i] + (CONTEXT_STRENGTH + CONTEXT_DISCOUNT * self.tables[i, language]) * word
+            total[i] = own[i] + (CONTEXT_STRENGTH + CONTEXT_DISCOUNT * self.tables[i, language]) * word
             total[i] /= CONTEXT_STRENGTH + self.guests[i, language]
         return total
 
@@ -524,13 +564,16 @@ class Sums:
 class Asked:
     """The dishes of a stored chunk in the contexts of the two words before, and which of them each token is.
 
+    ``places`` are the dishes of the tokens themselves. Of ``parts`` partitions of words, ``some`` are asked: words are dealt by
+    their hashes in order, the mark to the last.
     ``pairs`` are a preceding word times ``n_dishes`` plus the chunk's dish, ``triples`` a place in them times ``base`` plus
     the word before that; both are sorted. Words are places in the chunk's sorted hashes, the mark stands at their end.
     """
 
-    def __init__(self, row: dict):
-        places, sizes = _unpacked(row["numbers"]).astype(np.int64), np.array(row["n_tokens"], np.int64)
-        words = np.frombuffer(row["words"], "<u8")
+    def __init__(self, row: dict, parts: int = 1, some: range = range(1)):
+        words, train = _dishes(row, "words", "train")
+        places, sizes = _by_use(train)[_unpacked(row["numbers"])], np.array(row["n_tokens"], np.int64)
+        self.places = places
         self.new = np.append(True, words[1:] != words[:-1])
         self.hashes = words[self.new]
         self.n_dishes, self.base = len(words), len(self.hashes) + 1
@@ -540,15 +583,20 @@ class Asked:
         one[starts] = self.base - 1
         two = np.append(0, one[:-1])
         two[starts] = self.base - 1
+        learned = np.repeat(~np.array(row["held"], bool), sizes)
+        self.some = some
+        self.part = np.append((self.hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.uint64(parts - 1)).astype(np.int64)
+        if len(some) < parts:
+            mine = (self.part[one] >= some.start) & (self.part[one] < some.stop)
+            one, two, places, learned = one[mine], two[mine], places[mine], learned[mine]
         self.pairs, at = np.unique(one * self.n_dishes + places, return_inverse=True)
         self.triples, self.at = np.unique(at * self.base + two, return_inverse=True)
-        self.train = np.bincount(self.at[np.repeat(~np.array(row["held"], bool), sizes)], minlength=len(self.triples))
+        self.train = np.bincount(self.at[learned], minlength=len(self.triples))
 
-    def edges(self, parts: int) -> list[int]:
-        """Where the triples of each partition begin: words are dealt by their hashes in order, the mark to the last."""
-        part = np.append((self.hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.uint64(parts - 1)).astype(np.int64)
-        of = part[self.pairs[self.triples // self.base] // self.n_dishes]
-        return np.searchsorted(of, np.arange(parts + 1)).tolist()
+    def edges(self) -> list[int]:
+        """Where the triples of each partition begin."""
+        of = self.part[self.pairs[self.triples // self.base] // self.n_dishes]
+        return np.searchsorted(of, np.arange(self.some.start, self.some.stop + 1)).tolist()
 
 
 PIECE = "part int, chunk long, ones binary, pairs_of_one binary, dish_at binary, dishes binary, languages binary, p binary, triples_of_pair binary, twos binary, train binary"
@@ -573,27 +621,32 @@ def _grouped(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first.astype(np.int32), at.astype(np.int32)
 
 
-def seated_after_words(c: np.ndarray, pair: np.ndarray, two: np.ndarray, one: np.ndarray, p: np.ndarray, random: np.random.Generator):
+def _in_one(guests: np.ndarray, tables: np.ndarray, all_guests: np.ndarray, all_tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Own part and factor of the probability in the language, of dishes in restaurants of one word before."""
+    total = ONE_STRENGTH + all_guests
+    return np.maximum(guests - ONE_DISCOUNT * tables, 0) / total, (ONE_STRENGTH + ONE_DISCOUNT * all_tables) / total
+
+
+def _in_two(c: np.ndarray, t: np.ndarray, all_c: np.ndarray, all_t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Own part and factor of the probability after one word, of dishes in restaurants of two words before."""
+    total = TWO_STRENGTH + all_c
+    return np.maximum(c - TWO_DISCOUNT * t, 0) / total, (TWO_STRENGTH + TWO_DISCOUNT * all_t) / total
+
+
+def seats_after_words(c: np.ndarray, pair: np.ndarray, two: np.ndarray, one: np.ndarray, p: np.ndarray, random: np.random.Generator):
     """Gibbs samples of the seating of restaurants of two words before (c >= 0 customers of each dish) and of one.
 
     ``pair`` numbers a dish's place in those of its parent, ``two`` its restaurant; ``one`` and ``p`` are the restaurant
-    and the probability in the language of each dish of the parents. Yields (own, factor, tables): the probability of a
-    dish is own plus factor times that in the language, its tables are those of the parents' dishes.
+    and the probability in the language of each dish of the parents. Yields (t, guests, tables): tables of the dishes, and
+    customers and tables of the parents' dishes.
     """
     eaten = np.flatnonzero(c)
     many, t = eaten[c[eaten] > 1], (c > 0).astype(np.int64)
     n_two, n_one = int(two.max(initial=-1)) + 1, int(one.max(initial=-1)) + 1
-    all_two = np.bincount(two, weights=c, minlength=n_two)
     guests = np.bincount(pair, weights=t, minlength=len(one)).astype(np.int64)
     tables = (guests > 0).astype(np.int64)
-
-    def in_one():
-        sums = [np.bincount(one, weights=x, minlength=n_one) for x in (guests, tables)]
-        own = np.maximum(guests - ONE_DISCOUNT * tables, 0) / (ONE_STRENGTH + sums[0][one])
-        return own, ((ONE_STRENGTH + ONE_DISCOUNT * sums[1]) / (ONE_STRENGTH + sums[0]))[one], sums[1]
-
     for i in range(BURN_IN + SAMPLES):
-        own, factor, _ = in_one()
+        own, factor = _in_one(guests, tables, *(np.bincount(one, weights=x, minlength=n_one)[one] for x in (guests, tables)))
         others = np.bincount(two, weights=t, minlength=n_two)[two[many]] - t[many]
         at = pair[many]
         t[many] = seat(c[many], own[at] + factor[at] * p[at], others, TWO_STRENGTH, TWO_DISCOUNT, random)
@@ -604,119 +657,193 @@ def seated_after_words(c: np.ndarray, pair: np.ndarray, two: np.ndarray, one: np
         tables[guests == 1] = 1
         tables[several] = seat(guests[several], p[several], others, ONE_STRENGTH, ONE_DISCOUNT, random)
         if i >= BURN_IN:
-            own, factor, _ = in_one()
-            of_two = np.bincount(two, weights=t, minlength=n_two)
-            back = ((TWO_STRENGTH + TWO_DISCOUNT * of_two) / (TWO_STRENGTH + all_two))[two]
-            mine = np.maximum(c - TWO_DISCOUNT * t, 0) / (TWO_STRENGTH + all_two[two])
-            yield mine + back * own[pair], back * factor[pair], tables
+            yield t.astype(np.int32), guests, tables
+
 
+def seated_after_words(c: np.ndarray, pair: np.ndarray, two: np.ndarray, one: np.ndarray, p: np.ndarray, random: np.random.Generator):
+    """The samples of ``seats_after_words`` as (own, factor, tables): the probability of a dish is own plus factor times that in
+    the language, its tables are those of the parents' dishes."""
+    all_c = np.bincount(two, weights=c)[two]
+    for t, guests, tables in seats_after_words(c, pair, two, one, p, random):
+        own, factor = _in_one(guests, tables, *(np.bincount(one, weights=x)[one] for x in (guests, tables)))
+        mine, back = _in_two(c, t, all_c, np.bincount(two, weights=t)[two])
+        yield mine + back * own[pair], back * factor[pair], tables
 
-# ``near`` is the mean of own as above and ``factor`` that of each sample, for each triple of a chunk; rows without a chunk
-# have the tables that go to a partition of words.
-NEAR = "chunk long, part int, near binary, factor binary, words binary, contexts binary, tables binary"
 
+# Seats as small numbers, a row of each kind after the other. ``triples`` has of every triple of a chunk its customers in the
+# corpus less those of the chunk and those of its restaurant; then by sample customers less tables, of itself and of its
+# restaurant. ``pairs`` and ``ones`` have by sample the customers of the pairs' dishes and of the restaurants of one word, and
+# what these are more than the tables. Samples are steps from the first one. Rows without a chunk have the tables that go to a partition of words.
+NEAR = "chunk long, part int, triples binary, pairs binary, ones binary, words binary, contexts binary, tables binary"
 
-def _near(chunk=None, part=None, near=None, factor=None, words=None, contexts_=None, tables=None) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int32()] + [pa.binary()] * 5
-    row = (chunk, part, near, factor, words, contexts_, tables)
+
+def _near(chunk=None, part=None, triples=None, pairs=None, ones=None, words=None, contexts_=None, tables=None) -> pa.RecordBatch:
+    types = [pa.int64(), pa.int32()] + [pa.binary()] * 6
+    row = (chunk, part, triples, pairs, ones, words, contexts_, tables)
     return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], _names(NEAR))
 
 
+def _steps(samples: list[np.ndarray]) -> list[np.ndarray]:
+    """The first sample and how far the others are from it: 2 d, or -2 d - 1 for d < 0."""
+    away = [x.astype(np.int64) - samples[0] for x in samples[1:]]
+    return [samples[0], *[np.where(d < 0, -2 * d - 1, 2 * d) for d in away]]
+
+
+def _from_steps(steps: np.ndarray, i: int) -> np.ndarray:
+    """Sample i."""
+    x = steps[i].astype(np.int64)
+    return x if i == 0 else steps[0] + np.where(x & 1, -((x + 1) >> 1), x >> 1)
+
+
+def _restaurants(one: np.ndarray, languages: np.ndarray) -> np.ndarray:
+    """For each pair the number of its restaurant, among those of its word before and its dish's language in their order."""
+    key = one.astype(np.int64) * CONTEXTS + languages
+    return (np.cumsum(np.bincount(key) > 0) - 1)[key]
+
+
 def _after_words(rows: list[dict], part: int, bits: int) -> Iterator[pa.RecordBatch]:
     """Rows of NEAR for all pieces of a partition."""
     rows.sort(key=lambda r: r["chunk"])
-    pairs, triples, n_pairs = [], [], 0
+    pairs, triples, n_pairs = [[] for _ in range(5)], [[] for _ in range(4)], 0
     chunks_ = [r["chunk"] for r in rows]
+    places = []
+
+    def whole(columns: list[list[np.ndarray]]) -> Iterator[np.ndarray]:
+        # One column at a time stands twice in memory.
+        while columns:
+            yield np.concatenate(columns.pop(0))
+
     rows.reverse()
     while rows:
         r = rows.pop()
         ones, words, two = (_unpacked(r[k], "<u8") for k in ("ones", "dishes", "twos"))
-        at, languages, p = _unpacked(r["dish_at"]), np.frombuffer(r["languages"], "u1"), np.frombuffer(r["p"], "<f4")
-        one = np.repeat(ones, _unpacked(r["pairs_of_one"]))
+        at, languages, p = _unpacked(r["dish_at"]), _unpacked(r["languages"], "u1"), _unpacked(r["p"], "<f4")
+        of_one = np.repeat(np.arange(len(ones)), _unpacked(r["pairs_of_one"]))
+        one = ones[of_one]
         id_, restaurant = _mixed(one, _mixed(words, languages)[at]), _mixed(one, languages[at])
         pair = np.repeat(np.arange(len(at), dtype=np.int32), _unpacked(r["triples_of_pair"]))
-        triples.append((_mixed(id_[pair], two), _mixed(restaurant[pair], two), pair + np.int32(n_pairs), _unpacked(r["train"])))
-        pairs.append((id_, restaurant, words[at], languages[at], p[at]))
+        new = _mixed(id_[pair], two), _mixed(restaurant[pair], two), pair + np.int32(n_pairs), _unpacked(r["train"])
+        for column, x in zip([*triples, *pairs], [*new, id_, restaurant, words[at], languages[at], p[at]], strict=True):
+            column.append(x)
+        places.append(_restaurants(of_one, languages[at]).astype(np.int32))
         n_pairs += len(at)
-    sizes = [len(x[0]) for x in triples]
-    id_, restaurant, word, language, p = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    sizes = [len(x) for x in triples[0]]
+    del new, pair, two
+    id_, restaurant, word, language, p = whole(pairs)
     first, pair_at = _grouped(id_)
     one = _grouped(restaurant[first])[1]
     word, language, p = word[first], language[first], p[first].astype(np.float64)
-    id_, restaurant, pair, train = (np.concatenate(x) for x in zip(*triples, strict=True))
-    del pairs, triples
+    id_, restaurant, pair, train = whole(triples)
     first, at = _grouped(id_)
     two, pair = _grouped(restaurant[first])[1], pair_at[pair[first]]
-    del id_, restaurant, pair_at
+    del id_, restaurant
     c = np.bincount(at, weights=train, minlength=len(first)).astype(np.int64)
-    del train, first
-    near, factors, sent = np.zeros(len(c)), np.empty((len(c), SAMPLES), "<f4"), []
+    del first
     dish, of = _grouped(_mixed(word, language))
-    for i, (own, factor, tables) in enumerate(seated_after_words(c, pair, two, one, p, np.random.default_rng([SEED, 1, part]))):
-        near += own / SAMPLES
-        factors[:, i] = factor
+    samples, sent = [], []
+    for t, guests, tables in seats_after_words(c, pair, two, one, p, np.random.default_rng([SEED, 1, part])):
+        in_two, in_one, of_one = (np.bincount(x, weights=n) for x, n in ((two, t), (one, guests), (one, tables)))
+        samples.append([x.astype(np.int32) for x in (t, in_two, guests, guests - tables, in_one, in_one - of_one)])
         sent.append(np.bincount(of, weights=tables, minlength=len(dish)).astype(np.int64))
-    begin = 0
-    for chunk, n in zip(chunks_, sizes, strict=True):
-        mine = at[begin : begin + n]
-        yield _near(chunk, part, _packed(near[mine], "<f4"), _packed(factors[mine], "<f4"))
-        begin += n
+    in_two, begin, low = np.bincount(two, weights=c).astype(np.int64), 0, 0
+    for chunk, n, place in zip(chunks_, sizes, places, strict=True):
+        mine, its = at[begin : begin + n], pair_at[low : low + len(place)]
+        customers, everyone = c[mine], in_two[two[mine]]
+        columns = [customers - train[begin : begin + n], everyone]
+        columns += _steps([customers - x[0][mine] for x in samples]) + _steps([everyone - x[1][two[mine]] for x in samples])
+        whose = np.empty(int(place.max()) + 1, np.int64)
+        whose[place] = one[its]
+        of_pairs, of_ones = ([_steps([x[k][i] for x in samples]) for k in ks] for i, ks in ((its, (2, 3)), (whose, (4, 5))))
+        yield _near(chunk, part, *[_packed(np.concatenate(x)) for x in (columns, sum(of_pairs, []), sum(of_ones, []))])
+        begin, low = begin + n, low + len(place)
     word, language, sent = word[dish], language[dish], np.stack(sent)
     to = (word & np.uint64((1 << bits) - 1)).astype(np.int64)
     for k in np.unique(to):
         some = np.flatnonzero((to == k) & (sent[0] > 0))
         if len(some):
-            tables = _packed(sent[:, some].reshape(-1))
-            yield _near(None, int(k), None, None, _packed(word[some] >> np.uint64(bits)), language[some].tobytes(), tables)
+            values = [_packed(word[some] >> np.uint64(bits)), _packed(language[some], "u1"), _packed(sent[:, some])]
+            yield _near(None, int(k), None, None, None, *values)
 
 
-STORED = ("id", "held", "n_tokens", "numbers", "words", "contexts", "spelling")
-ANSWERS = {"own": "<f4", "shared": "<f4", "uses": "<u8", "number": "<u8", "near": "<f4", "factor": "<f4"}
+# The answers to a chunk: kinds of their numbers, and how many there are of each thing.
+ANSWERS = {
+    "own": ("<f4", SAMPLES),
+    "shared": ("<f4", SAMPLES),
+    "uses": ("<u8", 1),
+    "number": ("<u8", 1),
+    "triples": ("<u4", 2 + 2 * SAMPLES),
+    "pairs": ("<u4", 2 * SAMPLES),
+    "ones": ("<u4", 2 * SAMPLES),
+}
 
 
 def _together(store: DataFrame, *replies: DataFrame) -> DataFrame:
-    """Rows of a chunk in one task: its pieces of answers by part, the stored documents after them."""
-    both = store.select("chunk", F.lit(None).cast("int").alias("part"), *STORED)
+    """Pieces of the answers to a chunk in one task, by part; a row without a part after them."""
+    both = store.select("chunk", F.lit(None).cast("int").alias("part"))
     for x in replies:
         parts = x.filter("chunk IS NOT NULL").select("chunk", "part", *[c for c in ANSWERS if c in x.columns])
         both = both.unionByName(parts, allowMissingColumns=True)
     return both.repartition(max(1, store.count()), "chunk").sortWithinPartitions("chunk", F.col("part").asc_nulls_last())
 
 
-def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, dict[str, np.ndarray]]]:
+def _whole(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[tuple[dict, dict[str, np.ndarray]]]:
     """Every stored row with the answers to it."""
     answers: dict[str, list[np.ndarray]] = {}
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
             if row["part"] is None:
-                yield row, {k: np.concatenate(x) for k, x in answers.items()}
+                found = {k: np.concatenate(x, axis=1) for k, x in answers.items()}
                 answers = {}
+                yield _stored(folder, row["chunk"]) | {"chunk": row["chunk"]}, found
+                del found
                 continue
-            for k, kind in ANSWERS.items():
+            for k, (kind, many) in ANSWERS.items():
                 if row.get(k) is not None:
-                    answers.setdefault(k, []).append(_unpacked(row[k], kind))
+                    answers.setdefault(k, []).append(_unpacked(row[k], kind).reshape(many, -1))
 
 
 def _in_languages(row: dict, found: dict[str, np.ndarray], sums: Sums) -> np.ndarray:
-    own, shared = (found[k].reshape(-1, SAMPLES) for k in ("own", "shared"))
-    spelling = 10.0 ** np.frombuffer(row["spelling"], "<f4").astype(np.float64)
-    return sums.probabilities(own, shared, np.frombuffer(row["contexts"], "u1"), spelling)
-
-
-def after_words(store: DataFrame, replies: DataFrame, bits: int) -> DataFrame:
-    """Samples the restaurants of preceding words, given the answers to words: rows of NEAR."""
+    languages, spelling = _dishes(row, "contexts", "spelling")
+    return sums.probabilities(found["own"], found["shared"], languages, 10.0 ** spelling.astype(np.float64))
+
+
+def _chances(asked: Asked, languages: np.ndarray, found: dict[str, np.ndarray], p: np.ndarray) -> np.ndarray:
+    """Probabilities of a chunk's triples, given those of its dishes in their languages, averaged over samples."""
+    pair = asked.triples // asked.base
+    dish = asked.pairs % asked.n_dishes
+    place = _restaurants(asked.pairs // asked.n_dishes, languages[dish])
+    triples, pairs, ones = (found.pop(k) for k in ("triples", "pairs", "ones"))
+    customers, everyone, total = triples[0] + asked.train, triples[1], np.zeros(len(pair))
+    for i in range(SAMPLES):
+        guests, everyone_one = _from_steps(pairs[:SAMPLES], i), _from_steps(ones[:SAMPLES], i)
+        tables, tables_one = guests - _from_steps(pairs[SAMPLES:], i), everyone_one - _from_steps(ones[SAMPLES:], i)
+        own, factor = _in_one(guests, tables, everyone_one[place], tables_one[place])
+        own += factor * p[i, dish]
+        mine, back = _in_two(
+            customers, customers - _from_steps(triples[2 : 2 + SAMPLES], i), everyone, everyone - _from_steps(triples[2 + SAMPLES :], i)
+        )
+        back *= own[pair]
+        total += mine
+        total += back
+    return total / SAMPLES
+
+
+def after_words(scratch: Scratch, store: DataFrame, folder: str, replies: DataFrame, bits: int) -> DataFrame:
+    """Samples the restaurants of preceding words, given the answers to words: rows of NEAR; written."""
     sums = Sums(replies)
     tokens = store.agg(F.sum(F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, n: a + n))).first()[0] or 0
     parts = max(1, -(-tokens // PARTITION_TOKENS))
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, found in _whole(batches):
+    def ask(some: range, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Spelling is over; the worker needs the memory.
+        _models.clear()
+        for row, found in _whole(batches, folder):
             p = _in_languages(row, found, sums).mean(axis=0)
-            asked, languages, number = Asked(row), np.frombuffer(row["contexts"], "u1"), found["number"]
+            asked, languages, number = Asked(row, parts, some), _dishes(row, "contexts")[0], found["number"][0]
             numbers = np.append(number[asked.new], np.uint64(START))
-            edges = asked.edges(parts)
-            for part, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+            edges = asked.edges()
+            for part, a, b in zip(some, edges, edges[1:], strict=False):
                 if a == b:
                     continue
                 pair = asked.triples[a:b] // asked.base
@@ -725,12 +852,13 @@ def after_words(store: DataFrame, replies: DataFrame, bits: int) -> DataFrame:
                 ones, of_one = np.unique(pairs // asked.n_dishes, return_counts=True)
                 dishes, dish_at = np.unique(pairs % asked.n_dishes, return_inverse=True)
                 values = [_packed(numbers[ones], "<u8"), _packed(of_one), _packed(dish_at), _packed(number[dishes], "<u8")]
-                values += [languages[dishes].tobytes(), p[dishes].astype("<f4").tobytes(), _packed(of_pair)]
+                values += [_packed(languages[dishes], "u1"), _packed(p[dishes], "<f4"), _packed(of_pair)]
                 values += [_packed(numbers[asked.triples[a:b] % asked.base], "<u8"), _packed(asked.train[a:b])]
                 arrays = [pa.array([part], pa.int32()), pa.array([row["chunk"]], pa.int64()), *[pa.array([x], pa.binary()) for x in values]]
                 yield pa.RecordBatch.from_arrays(arrays, _names(PIECE))
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _models.clear()
         by_part: dict[int, list[dict]] = {}
         for batch in batches:
             for row in batch.to_pylist():
@@ -738,7 +866,15 @@ def after_words(store: DataFrame, replies: DataFrame, bits: int) -> DataFrame:
         for part in sorted(by_part):
             yield from _after_words(by_part.pop(part), part, bits)
 
-    return _together(store, replies).mapInArrow(ask, PIECE).repartition(parts, "part").mapInArrow(answer, NEAR)
+    both, found = _together(store, replies), []
+    borders = [parts * i // GOES for i in range(GOES + 1)]
+    for some in map(range, borders, borders[1:]):
+        if some:
+            pieces_ = both.mapInArrow(partial(ask, some), PIECE).repartition(len(some), "part")
+            found.append(scratch.written(pieces_.mapInArrow(answer, NEAR)))
+            del pieces_
+            scratch.sweep()
+    return reduce(DataFrame.unionByName, found)
 
 
 SCORES = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -752,26 +888,30 @@ def score(docs: DataFrame, id_: str = "doc_id", text: str = "text") -> DataFrame
     log10 probability of the text. A null text is an empty one, which still has its end. Rows that repeat an id are rows of
     their own. Other columns are left out.
     """
-    model = fit(docs.filter(~held_out(id_)), text)
-    store = chunks(docs, model, id_, text)
+    model, folder = fit(docs.filter(~held_out(id_)), text), fresh_path(docs.sparkSession, "chunks")
+    store = chunks(docs, model, id_, text, folder)
     bits = _word_bits(store)
     last = Scratch(docs.sparkSession, "words")
-    replies = last.written(word_counts(store, bits))
-    for _ in range(ROUNDS):
+    # Only the restaurants of preceding words ask for numbers, and only the scores for uses.
+    replies = last.written(word_counts(store, bits).drop("uses"))
+    last.sweep()
+    for i in range(ROUNDS):
         scratch = Scratch(docs.sparkSession, "words")
-        near = scratch.written(after_words(store, replies, bits))
+        near = after_words(scratch, store, folder, replies, bits)
         last.drop()
-        last, replies = scratch, scratch.written(word_counts(store, bits, near.filter("chunk IS NULL")))
+        replies = word_counts(store, bits, near.filter("chunk IS NULL")).drop("number" if i == ROUNDS - 1 else "uses")
+        last, replies = scratch, scratch.written(replies)
+        last.sweep()
     sums = Sums(replies)
     rest, trained = sums.trained + 0.5 * (sums.words + 1), int(sums.trained)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, found in _whole(batches):
-            p, places, asked = _in_languages(row, found, sums), _unpacked(row["numbers"]), Asked(row)
-            chance = found["near"].astype(np.float64)[asked.at]
-            for i, factor in enumerate(found["factor"].reshape(-1, SAMPLES).T):
-                chance += factor.astype(np.float64)[asked.at] * p[i, places] / SAMPLES
-            uses, sizes = found["uses"], np.array(row["n_tokens"], np.int64)
+        for row, found in _whole(batches, folder):
+            p, uses, sizes = _in_languages(row, found, sums), found["uses"][0], np.array(row["n_tokens"], np.int64)
+            del found["own"], found["shared"]
+            asked = Asked(row)
+            places, chance = asked.places, _chances(asked, _dishes(row, "contexts")[0], found, p)[asked.at]
+            del asked
             starts = np.cumsum(sizes) - sizes
             columns = [
                 pa.array(row["id"], pa.int64()),

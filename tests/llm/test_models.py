@@ -182,3 +182,17 @@ def test_word_order_counts(spark, monkeypatch):
 def test_pairs_of_small_numbers_have_hashes_of_their_own():
     a, b = np.meshgrid(np.arange(200_000, dtype=np.uint64), np.arange(5, dtype=np.uint8))
     assert len(np.unique(py._mixed(a.reshape(-1), b.reshape(-1)))) == a.size
+
+
+def test_steps_between_samples_come_back():
+    samples = list(np.random.default_rng(3).integers(0, 9, (py.SAMPLES, 50)))
+    steps = np.stack(py._steps(samples)).astype("<u4")
+    assert all(np.array_equal(py._from_steps(steps, i), x) for i, x in enumerate(samples))
+
+
+def test_answers_to_tokens_take_a_few_bytes(spark, tmp_path, monkeypatch):
+    """What is sent to a chunk about its tokens' contexts and what it stores are small against the text."""
+    monkeypatch.setattr("feedkit.session.shared_dir", lambda _: str(tmp_path))
+    tokens = sum(r["n_tokens"] for r in py.score(spark.read.parquet(f"{DATA}/documents.parquet")).collect())
+    left = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet") if "pitman-yor" not in str(f))
+    assert 0 < left < 9 * tokens
