@@ -340,7 +340,10 @@ def near_duplicates(
     ends = members.select(F.col("low").alias("a"), F.coalesce("fp", "high").alias("b"), F.col("f").alias("lone")).filter("a < b")
     ends = ends.union(members.filter("low < fp AND fp < high").select("fp", "high", "g"))
     stars = ends.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.bool_or("lone").alias("lone"))
-    stars = stars.filter("met > 1 OR lone").select("a", "b")
+    # Written alone: what was shuffled to count the pairs is gone before their signatures are shuffled with them.
+    stars = scratch.written(stars.filter("met > 1 OR lone").select("a", "b"))
+    del ends
+    scratch.sweep()
     stars = join_on(join_on(stars, _sided(nodes, "a"), {"a": "a_fp"}, "inner"), _sided(nodes, "b"), {"b": "b_fp"}, "inner")
     links = _links(scratch, stars.filter(_could_link(percent)).select("a", "b"), nodes, sets, docs, words, percent, id_, text)
     labels = components(links, "a", "b", scratch.written)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +26,11 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def sweep(self) -> None:
-        """Lets Spark delete the shuffle files of what has been written: it does so once the driver has collected the plans."""
+        """Lets Spark delete the shuffle files of what has been written: it does so once the driver has collected the plans.
+
+        The event of a query's end holds its plan until all listeners have seen it, hence the pause.
+        """
+        time.sleep(0.5)
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 

@@ -149,3 +149,17 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(7, 7), (None, 3), (500, 400)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     assert got == {i: 0 for i in range(61)} | {i: 100 for i in range(100, 160)} | {400: 400, 500: 400}
+
+
+def test_pairs_are_counted_before_their_signatures_are_fetched(spark, monkeypatch):
+    """The shuffle that counts the pairs is swept before the joins of the pairs shuffle again."""
+    events = []
+    write, link = nj.Scratch.written, nj._could_link
+    monkeypatch.setattr(nj.Scratch, "written", lambda self, df: events.append(df.columns) or write(self, df))
+    monkeypatch.setattr(nj.Scratch, "sweep", lambda self: events.append("sweep"))
+    monkeypatch.setattr(nj, "_could_link", lambda percent: events.append("link") or link(percent))
+    words = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join([*words, f"x{i}"])) for i in range(4)], "doc_id long, text string")
+    got = {r["component_id"] for r in nj.near_duplicates(docs).collect()}
+    at = events.index("link")
+    assert got == {0} and events[at - 2 : at] == [["a", "b"], "sweep"]
