@@ -10,6 +10,11 @@ shares another word with each partner; one with B - T or more of them joins on t
 lack another common word do. Nearly every document shares two words or more with each partner, and knows if it may not; two
 that stand as smallest and other member of a single bucket only are then no partners, or meet in a bucket between others.
 
+So B - T - 2 words more than needed may be left out, and a document leaves out its poorest ones: words with few bits are shared by
+chance and would make most of the buckets. They go in one order of words and places for all documents, by bits and then by hash.
+What a document leaves out is the beginning of that order, so that of the words two partners share the one that leaves out more
+decides, and two are left.
+
 Candidates pass two bounds, the sizes and the Hamming distance of a second, short sketch, before the sets themselves are
 compared. Equal sets are one class from the start. A bucket of the join is first compared with its smallest and its
 largest member only; what these links connect is left out when the rest of the bucket is compared.
@@ -40,6 +45,10 @@ PERCENT = 80
 # Largest over smallest size of a band, about.
 BAND = 1.4
 SIGNATURE = 8
+# Keys, and pairs, are dealt out by their hash and go through the join one part after the other, so that the shuffle files of one
+# part alone are on disk. Shingles are made again for every part of the keys.
+KEY_GOES = 2
+PAIR_GOES = 4
 CACHE_WORDS = 200_000
 CACHE_SETS = 200_000
 
@@ -114,10 +123,11 @@ def _parity(places: np.ndarray, words: int) -> np.ndarray:
 
 
 def sketch_keys(hashes: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """Join keys of a set: one for every non-zero word of its sketches, for the zero ones as well if they are many.
+    """Join keys of a set: one for every word of its sketches but the poorest, for some zero ones as well if they are many.
 
     A key is lone if the set may share but this one with a partner of its band. At least size - t words of partners agree,
-    and if zero words have no keys, as many less may be left; without that, size - t is two or more.
+    and if zero words have no keys, as many less may be left; without that, size - t is two or more. Of other poor words as
+    many are left out as leaves two.
     """
     out, lone = [], []
     bit = hashes & np.uint64(63)
@@ -127,11 +137,12 @@ def sketch_keys(hashes: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarra
         at = np.arange(size, dtype=np.uint64)
         zeros = np.count_nonzero(sketch == 0)
         sure = size - t
-        if zeros < sure:
-            at = at[sketch != 0]
-            sure -= zeros
-        out.append(_mix(sketch[at.astype(np.int64)] * _P[1] + at * _P[2] + np.array([band + 1], np.uint64) * _P[4]))
-        lone.append(np.full(len(at), sure < 2))
+        less = max(zeros if zeros < sure else 0, sure - 2)
+        keys = _mix(sketch * _P[1] + at * _P[2] + np.array([band + 1], np.uint64) * _P[4])
+        if less:
+            keys = keys[np.lexsort((keys, np.bitwise_count(sketch)))[less:]]
+        out.append(keys)
+        lone.append(np.full(len(keys), sure - less < 2))
     return (np.concatenate(out), np.concatenate(lone)) if out else (np.zeros(0, np.uint64), np.zeros(0, bool))
 
 
@@ -187,8 +198,11 @@ def sketched(docs: DataFrame, words: int, id_: str, text: str) -> DataFrame:
     return rows.mapInArrow(run, SETS)
 
 
-def keyed(docs: DataFrame, words: int, percent: int, text: str) -> DataFrame:
-    """Rows (key, fp, lone): the join keys of every set, which a task gives once. They go straight into the join's shuffle."""
+def keyed(docs: DataFrame, words: int, percent: int, text: str, go: int = 0, goes: int = 1) -> DataFrame:
+    """Rows (key, fp, lone): the join keys of every set, which a task gives once. They go straight into the join's shuffle.
+
+    Of ``goes`` parts of the keys only the one numbered ``go``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, seen = Bands(percent), set()
@@ -201,6 +215,9 @@ def keyed(docs: DataFrame, words: int, percent: int, text: str) -> DataFrame:
                     continue
                 seen.add(one)
                 own, lone = sketch_keys(hashes, bands)
+                if goes > 1:
+                    now = (own >> np.uint64(32)) % np.uint64(goes) == go
+                    own, lone = own[now], lone[now]
                 keys.append(own.view(np.int64))
                 alone.append(lone)
                 fps.append(np.full(len(own), one, np.int64))
@@ -303,6 +320,21 @@ def _links(
     return scratch.written(near.select("a", "b"))
 
 
+def _buckets(keys: DataFrame) -> DataFrame:
+    """Buckets of the join with more than one class, and their smallest and largest member. One of two members says it all."""
+    bucket = Window.partitionBy("key")
+    one = F.struct("fp", "lone")
+    sides = {"low": F.min(one).over(bucket), "high": F.max(one).over(bucket), "size": F.count(F.lit(1)).over(bucket)}
+    members = keys.withColumns(sides).filter("low.fp < high.fp AND (size > 2 OR fp = high.fp)")
+    lone = [F.col("lone") | F.col(f"{side}.lone") for side in ("low", "high")]
+    # Most buckets are of two, which need neither their key nor a member of their own: null costs no space.
+    large = F.col("size") > 2
+    return members.select(
+        F.when(large, F.col("key")).alias("key"), F.when(large, F.col("fp")).alias("fp"),
+        F.col("low.fp").alias("low"), F.col("high.fp").alias("high"), lone[0].alias("f"), lone[1].alias("g")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -319,33 +351,28 @@ def near_duplicates(
     )
     nodes = scratch.written(classes.select("fp", "id", "n", *[F.get("sig", i).alias(f"s{i}") for i in range(SIGNATURE)]))
 
-    # Buckets of the join with more than one class, and their smallest and largest member. One of two members says it all.
-    bucket = Window.partitionBy("key")
-    one = F.struct("fp", "lone")
-    sides = {"low": F.min(one).over(bucket), "high": F.max(one).over(bucket), "size": F.count(F.lit(1)).over(bucket)}
-    members = keyed(docs, words, percent, text).withColumns(sides).filter("low.fp < high.fp AND (size > 2 OR fp = high.fp)")
-    lone = [F.col("lone") | F.col(f"{side}.lone") for side in ("low", "high")]
-    # Most buckets are of two, which need neither their key nor a member of their own: null costs no space.
-    large = F.col("size") > 2
-    members = members.select(
-        F.when(large, F.col("key")).alias("key"), F.when(large, F.col("fp")).alias("fp"),
-        F.col("low.fp").alias("low"), F.col("high.fp").alias("high"), lone[0].alias("f"), lone[1].alias("g")
-    )
-    members = scratch.written(members)
-    scratch.sweep()
+    buckets = []
+    for go in range(KEY_GOES):
+        buckets.append(scratch.written(_buckets(keyed(docs, words, percent, text, go, KEY_GOES))))
+        scratch.sweep()
+    members = reduce(DataFrame.union, buckets)
 
     # Every member with the smallest and the largest one. Partners agree in two keys or more, unless one of them has a lone
     # one. A pair that stands so in a single bucket is none, or shares a bucket with two others that lie below and above it,
     # where it is met later.
     ends = members.select(F.col("low").alias("a"), F.coalesce("fp", "high").alias("b"), F.col("f").alias("lone")).filter("a < b")
     ends = ends.union(members.filter("low < fp AND fp < high").select("fp", "high", "g"))
-    stars = ends.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.bool_or("lone").alias("lone"))
-    # Written alone: what was shuffled to count the pairs is gone before their signatures are shuffled with them.
-    stars = scratch.written(stars.filter("met > 1 OR lone").select("a", "b"))
-    del ends
-    scratch.sweep()
-    stars = join_on(join_on(stars, _sided(nodes, "a"), {"a": "a_fp"}, "inner"), _sided(nodes, "b"), {"b": "b_fp"}, "inner")
-    links = _links(scratch, stars.filter(_could_link(percent)).select("a", "b"), nodes, sets, docs, words, percent, id_, text)
+    found = []
+    for go in range(PAIR_GOES):
+        part = ends.filter(F.pmod(F.xxhash64("a", "b"), F.lit(PAIR_GOES)) == go)
+        stars = part.groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"), F.bool_or("lone").alias("lone"))
+        # Written alone: what was shuffled to count the pairs is gone before their signatures are shuffled with them.
+        stars = scratch.written(stars.filter("met > 1 OR lone").select("a", "b"))
+        scratch.sweep()
+        stars = join_on(join_on(stars, _sided(nodes, "a"), {"a": "a_fp"}, "inner"), _sided(nodes, "b"), {"b": "b_fp"}, "inner")
+        found.append(scratch.written(stars.filter(_could_link(percent)).select("a", "b")))
+        scratch.sweep()
+    links = _links(scratch, reduce(DataFrame.union, found), nodes, sets, docs, words, percent, id_, text)
     labels = components(links, "a", "b", scratch.written)
     scratch.sweep()
 

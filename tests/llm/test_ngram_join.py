@@ -163,3 +163,31 @@ def test_pairs_are_counted_before_their_signatures_are_fetched(spark, monkeypatc
     got = {r["component_id"] for r in nj.near_duplicates(docs).collect()}
     at = events.index("link")
     assert got == {0} and events[at - 2 : at] == [["a", "b"], "sweep"]
+
+
+def test_poor_words_have_no_keys():
+    """So many of the words with the fewest bits are left out that partners still share two."""
+    rnd, bands = np.random.default_rng(2), nj.Bands(80)
+    hashes = np.unique(rnd.integers(0, 1 << 62, 600).astype(np.uint64))
+    keys, lone = nj.sketch_keys(hashes, bands)
+    assert len(keys) == sum(t + 2 for _, t, _ in bands.of(len(hashes))) and not lone.any()
+    # Keys of the parts are those of the whole.
+    assert len(np.unique(keys)) == len(keys)
+
+
+def test_keys_and_pairs_go_in_parts(spark, monkeypatch):
+    """Each part of the keys, and of the pairs, is written and its shuffle swept before the next one is shuffled."""
+    events, goes = [], []
+    write, key = nj.Scratch.written, nj.keyed
+    monkeypatch.setattr(nj.Scratch, "written", lambda self, df: events.append(df.columns) or write(self, df))
+    monkeypatch.setattr(nj.Scratch, "sweep", lambda self: events.append("sweep"))
+    monkeypatch.setattr(nj, "keyed", lambda *args: goes.append(args[-2:]) or key(*args))
+    words = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join([*words, f"x{i}"])) for i in range(4)], "doc_id long, text string")
+    whole = sorted(map(tuple, key(docs, 5, 80, "text").collect()))
+    assert sorted(tuple(r) for go in range(3) for r in key(docs, 5, 80, "text", go, 3).collect()) == whole
+    assert {r["component_id"] for r in nj.near_duplicates(docs).collect()} == {0}
+    assert goes == [(go, nj.KEY_GOES) for go in range(nj.KEY_GOES)] and nj.KEY_GOES > 1
+    at = events.index(["key", "fp", "low", "high", "f", "g"])
+    parts = [["key", "fp", "low", "high", "f", "g"], "sweep"] * nj.KEY_GOES + [["a", "b"], "sweep"] * 2 * nj.PAIR_GOES
+    assert events[at : at + len(parts)] == parts
