@@ -2,40 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-import time
+from feedkit.session import Scratch
 
-from pyspark.sql import DataFrame, SparkSession
-
-from feedkit.session import fresh_path
-
-
-class Scratch:
-    """Writes intermediate tables into a folder of its own below the shared one, and deletes that folder at the end."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.folder = fresh_path(spark, name)
-        self.tables = 0
-
-    def written(self, df: DataFrame) -> DataFrame:
-        """The rows as a table of the folder."""
-        self.tables += 1
-        path = f"{self.folder}/{self.tables}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def sweep(self) -> None:
-        """Lets Spark delete the shuffle files of what has been written: it does so once the driver has collected the plans.
-
-        The event of a query's end holds its plan until all listeners have seen it, hence the pause.
-        """
-        time.sleep(0.5)
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
-
-    def drop(self) -> None:
-        """Deletes the folder. Nothing that reads its tables may be used afterwards."""
-        sc = self.spark.sparkContext
-        path = sc._jvm.org.apache.hadoop.fs.Path(self.folder)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+__all__ = ["Scratch"]

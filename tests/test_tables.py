@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import numpy as np
 import pytest
@@ -611,3 +612,29 @@ def test_teams_of_the_player_feed_are_looked_up_in_pairs(spark, sf_dir, monkeypa
     assert rows(found, "i", "team", "opp", "_rejected") == [
         (i, *coded.get(i, (*s, True))) for i, s in enumerate(sides)
     ]
+
+
+@pytest.mark.parametrize(("name", "steps"), [("feed_player_rows", 2), ("feed_team_rows", 2)])
+def test_a_feed_deletes_what_it_wrote_on_its_way(spark, sf_dir, monkeypatch, name, steps):
+    """Each step is written and its shuffle swept before the next one, and only the rows by outcome stay."""
+    events, folders = [], []
+    init, write, by = session.Scratch.__init__, session.Scratch.written, feeds.written_by
+    monkeypatch.setattr(session.Scratch, "__init__", lambda self, *args: init(self, *args) or folders.append(self.folder))
+    monkeypatch.setattr(session.Scratch, "written", lambda self, df: events.append("step") or write(self, df))
+    monkeypatch.setattr(session.Scratch, "sweep", lambda self: events.append("sweep"))
+    monkeypatch.setattr(feeds, "written_by", lambda *args: events.append("rows") or by(*args))
+    df = QUERIES[name](spark, sf_dir)
+    assert events == ["step", "sweep"] * steps + ["rows", "sweep"]
+    assert len(folders) == 1 and not os.path.exists(folders[0]) and df.count() > 0
+    # Whole rows are read from what was written, with no join after it.
+    assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_rows_are_not_written_again(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(stages, "written", lambda df: written.append(df) or df)
+    target = spark.createDataFrame([(4, DAY)], "id long, gd timestamp_ntz")
+    new = spark.createDataFrame([(1, NEXT), (2, NEXT)], "feed_pos long, gd timestamp_ntz")
+    for stored in (True, False):
+        got, _ = stages.add_rows(target, lambda mark: (new, None), stored=stored)
+        assert rows(got, "id") == [(4,), (5,), (6,)] and bool(written) != stored
